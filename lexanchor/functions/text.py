@@ -11,9 +11,23 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def pat(p: str) -> str:
+    """Pattern with Unicode case folding switched on."""
+    return p.replace("(?i)", "(?iu)")
+
+
+def like(c, pattern: str) -> Column:
+    return col(c).rlike(pat(pattern))
+
+
+def capture(c, pattern: str, idx: int = 1) -> Column:
+    """Capture of the first match, '' when there is none."""
+    return F.regexp_extract(col(c), pat(pattern), idx)
+
+
 def group(c, pattern: str, idx: int = 1) -> Column:
     """Capture of the first match, NULL when there is none or it is empty."""
-    return F.nullif(F.regexp_extract(col(c), pattern, idx), F.lit(""))
+    return F.nullif(capture(c, pattern, idx), F.lit(""))
 
 
 def first_nonempty(*cols) -> Column:

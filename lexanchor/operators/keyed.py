@@ -25,6 +25,15 @@ def first_per_key(df: DataFrame, keys: Sequence, order: Sequence[Column], k: int
     return ranked.drop("__rn")
 
 
+def compute_once(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
+    """Adds columns that are evaluated once per row.
+
+    The one-element ``inline`` keeps later filters and projections from copying
+    costly expressions (patterns over long texts) into every place that uses them.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def position_segment(pos, size: int = SEGMENT) -> Column:
     """Segment number of an integer position."""
     return F.floor((F.col(pos) if isinstance(pos, str) else pos) / size)

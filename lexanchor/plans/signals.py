@@ -202,8 +202,8 @@ def _(x):
 
 @query("agg34_actor_environment_interactions", needs=("log",), ctes=JUDGMENTS, sql="""
 select c.actor_id, c.environment, round(c.n::double / t.n, 6) as participation_rate,
- (select round(corr((j.actor_id = c.actor_id)::int, (j.outcome = 'procedente')::int), 6) from jg j where j.adjudication_environment = c.environment) as correlation_with_outcome,
- (select round(corr((j.actor_id = c.actor_id)::int, j.uses_modulation::int), 6) from jg j where j.adjudication_environment = c.environment) as correlation_with_modulation
+ (select nullif(round(corr((j.actor_id = c.actor_id)::int, (j.outcome = 'procedente')::int), 6), 'nan'::double) from jg j where j.adjudication_environment = c.environment) as correlation_with_outcome,
+ (select nullif(round(corr((j.actor_id = c.actor_id)::int, j.uses_modulation::int), 6), 'nan'::double) from jg j where j.adjudication_environment = c.environment) as correlation_with_modulation
 from (select actor_id, adjudication_environment as environment, count(*) as n from jg group by all) c
 join (select adjudication_environment as environment, count(*) as n from jg group by all) t on t.environment = c.environment""")
 def _(x):

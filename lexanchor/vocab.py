@@ -209,12 +209,12 @@ P_REL = r"(?i)rel\.?\s*(?:p/\s*o?\s*ac\.?\s*)?min\.?\s*([^,\]\.\n]+)"
 P_REL_STRICT = r"(?i)rel\.\s*min\.\s*([^,\]\.;]+)"
 P_RED = r"(?i)red\.?\s*(?:do\s+ac\.?\s*)?min\.?\s*([^,\]\.\n]+)"
 P_VOTO = r"(?i)voto\s+d[oa]\s*(?:rel\.?\s*)?min\.?\s*([^,\]\.\n]+)"
-P_JULG = r"(?i)j\.\s*(\d[\d\-/]+(?:\s*de\s*\w+\s*de\s*\d+)?)"
+P_JULG = r"(?i)j\.\s*(\d[\d\-/]+(?:\s*de\s*[\w\p{L}]+\s*de\s*\d+)?)"
 P_JULG_STRICT = r"(?i)\bj\.\s*([\dºo°\.\-/]+)"
-P_JULG_LINKS = r"(?i)j\.\s*(\d[\d\-/]+(?:\s*(?:de\s*)?\w+\s*(?:de\s*)?\d{4})?)"
+P_JULG_LINKS = r"(?i)j\.\s*(\d[\d\-/]+(?:\s*(?:de\s*)?[\w\p{L}]+\s*(?:de\s*)?\d{4})?)"
 P_DJE = r"(?i)D[Jj][Ee]?\s*de\s*(\d[\d\-/]+)"
 P_DJE_STRICT = r"(?i)DJE\s+de\s+([\dºo°\.\-/]+)"
-P_DJE_LINKS = r"(?i)D[Jj][Ee]?\s*de\s*(\d[\d\-/]+(?:\s*(?:de\s*)?\w+\s*(?:de\s*)?\d{4})?)"
+P_DJE_LINKS = r"(?i)D[Jj][Ee]?\s*de\s*(\d[\d\-/]+(?:\s*(?:de\s*)?[\w\p{L}]+\s*(?:de\s*)?\d{4})?)"
 P_DJ = r"(?i)\bDJ\s+de\s*(\d[\d\-/]+)"
 P_TEMA = r"[Tt]ema\s*(\d+)"
 P_TEMA_STRICT = r"(?i)\bTema\s+([\d\.\-]+)"
