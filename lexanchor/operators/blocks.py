@@ -338,7 +338,7 @@ def editorial_counts(b):
 
 def editorial_pivot(b, markers: Sequence[str] = ("sumula_vinculante", "sumula", "controle_concentrado", "repercussao_geral", "julgados_correlatos")):
     return b.withColumn("article", T.parse_slug("anchor_slug")["article"]).groupBy("article").pivot("editorial_marker", list(markers)).agg(
-        F.count(F.lit(1))).na.fill(0)
+        F.count(F.lit(1))).na.fill(0, list(markers))
 
 
 def subdevice_counts(b):

@@ -193,7 +193,7 @@ PIVOT = ("sumula_vinculante", "sumula", "controle_concentrado", "repercussao_ger
 
 
 @query("agg24_editorial_pivot", needs=("blocks",), sql=f"""
-select coalesce({art(c='anchor_slug')}, 0) as article, {', '.join(f"count(*) filter (where editorial_marker = '{m}') as {m}" for m in PIVOT)} from fx_blocks group by 1""")
+select {art(c='anchor_slug')} as article, {', '.join(f"count(*) filter (where editorial_marker = '{m}') as {m}" for m in PIVOT)} from fx_blocks group by 1""")
 def _(x):
     return B.editorial_pivot(x.blocks)
 
