@@ -392,6 +392,7 @@ def renumber(df: DataFrame, order: Sequence[str], segment: Column, name: str = "
 
 def blocks_by_slug(b: DataFrame, page_size: int = 2000, segment_size: int = 4096) -> DataFrame:
     """Blocks of each slug as arrays of at most ``page_size`` structs, in block order; a busy slug has several pages."""
+    b = b.fillna("", ["anchor_slug"])
     x = segmented_scan(b, ["anchor_slug"], ["block_id"], position_segment("block_id", segment_size), counts={"__i": F.lit(True)})
     x = x.withColumn("page", F.floor((F.col("__i") - 1) / page_size).cast("int"))
     item = F.struct("block_id", "decision_unit_type", "editorial_marker", "process_key", "relator", "block_text")

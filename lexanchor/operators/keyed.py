@@ -49,38 +49,40 @@ def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
+    segment: Column | str,
     fills: Mapping[str, Column] | None = None,
     counts: Mapping[str, Column] | None = None,
     prev: Mapping[str, Column] | None = None,
     descending: bool = False,
 ) -> DataFrame:
-    """Running values per key.
+    """Running values per key (keys must not be NULL).
 
     ``fills``: last non-null value up to and including the row; ``counts``: number of
     true flags up to and including the row; ``prev``: value on the row before.
-    ``segment`` must not decrease along ``order``. With ``descending`` the scan runs
+    ``segment`` must not decrease along ``order``; the name of an existing column lets
+    several scans in a row share one shuffle. With ``descending`` the scan runs
     backwards, which turns ``prev`` into "the row after".
     """
     fills, counts, prev = fills or {}, counts or {}, prev or {}
+    seg = segment if isinstance(segment, str) else "__seg"
     direct = {f"__v_{n}": c for n, c in {**fills, **counts}.items()}
     direct.update({f"__v_{n}": F.struct(c.alias("v")) for n, c in prev.items()})
-    base = df.withColumns({"__seg": segment, **direct})
+    base = df.withColumns(direct if isinstance(segment, str) else {seg: segment, **direct})
     by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    inner = W.partitionBy(*keys, "__seg").orderBy(*by)
+    inner = W.partitionBy(*keys, seg).orderBy(*by)
     upto = inner.rowsBetween(W.unboundedPreceding, W.currentRow)
 
     pick = F.min_by if descending else F.max_by
     at = F.struct(*order)
-    summary = base.groupBy(*keys, "__seg").agg(
+    summary = base.groupBy(*keys, seg).agg(
         *[pick(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), at)).alias(f"__c_{n}") for n in fills],
         *[F.count_if(F.col(f"__v_{n}")).alias(f"__c_{n}") for n in counts],
         *[pick(f"__v_{n}", at).alias(f"__c_{n}") for n in prev],
     )
-    seg_order = F.col("__seg").desc() if descending else F.col("__seg").asc()
+    seg_order = F.col(seg).desc() if descending else F.col(seg).asc()
     before = W.partitionBy(*keys).orderBy(seg_order).rowsBetween(W.unboundedPreceding, -1)
     carry = summary.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__seg").alias("__s"),
+        *keys, seg,
         *[F.last(f"__c_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in {**fills, **prev}],
         *[F.coalesce(F.sum(f"__c_{n}").over(before), F.lit(0)).alias(f"__c_{n}") for n in counts],
     )
@@ -89,10 +91,8 @@ def segmented_scan(
         **{f"__l_{n}": F.count_if(F.col(f"__v_{n}")).over(upto) for n in counts},
         **{f"__l_{n}": F.lag(f"__v_{n}").over(inner) for n in prev},
     })
-    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col("__seg") == F.col("__s")]
-    joined = local.join(carry, same, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
+    return local.join(carry, [*keys, seg], "left").select(
+        *df.columns,
         *[F.coalesce(f"__l_{n}", f"__c_{n}").alias(n) for n in fills],
         *[(F.col(f"__l_{n}") + F.coalesce(f"__c_{n}", F.lit(0))).alias(n) for n in counts],
         *[F.coalesce(f"__l_{n}", f"__c_{n}")["v"].alias(n) for n in prev],

@@ -2,6 +2,6 @@
 
 from importlib import import_module
 
-MODULES = ["core", "signals", "blocks", "integrity"]
+MODULES = ["core", "signals", "blocks", "integrity", "structure"]
 for _m in MODULES:
     import_module(f"lexanchor.plans.{_m}")

@@ -34,6 +34,8 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] = (), ctes:
         QUERIES[name] = lambda spark, sf_dir: _portable(fn(Corpus(spark, sf_dir)))
         if sql is not None:
             head = cte(*needs) if needs else ""
+            if "union all select" in ctes and ("from st s" in ctes or "join pa on" in ctes):
+                head = head.replace("with ", "with recursive ", 1)
             if ctes:
                 head = f"{head},\n{ctes}" if head else f"with {ctes}"
             ORACLE[name] = f"{head}\n{sql}".strip()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lexanchor", cores: str | None = None) -> SparkSession:
@@ -24,9 +24,13 @@ def build_session(app: str = "lexanchor", cores: str | None = None) -> SparkSess
     return spark
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Uses the checkpoint folder the cluster names; a temporary one only where none is set."""
-    sc = spark.sparkContext
+def cut(df: DataFrame) -> DataFrame:
+    """Materializes a narrow intermediate table and drops its lineage (reliable checkpoint).
+
+    Uses the folder the cluster names in ``spark.checkpoint.dir``; a temporary one
+    only where none is set, as in local tests.
+    """
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexanchor-checkpoint-"))
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lexanchor-checkpoint-"))
+    return df.checkpoint()
