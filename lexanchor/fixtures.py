@@ -252,6 +252,18 @@ from ({_ORDER_BASE}) o where o_orderkey%10<>9"""
 select o_orderkey as block_id, case when o_orderkey%11=0 then '' else 'cf-1988-art-'||cast(case when o_orderkey%13=0 then n*10 else n end as string)||case when o_orderkey%4=0 then '-par-2' else '' end end as anchor_slug,
   case when o_orderkey%11=0 then 'unresolved' else 'exact' end as anchor_quality, case when o_orderkey%3=0 then '0.950' else '' end as anchor_confidence
 from ({_ORDER_BASE}) o where o_orderkey%10<>8"""
+    d["norm_nodes"] = """
+select slug, node_type, label, cast(null as string) as title, number_raw, number_norm, slug as path from (
+  select distinct slug, node_type, label, number_raw, number_norm from (
+    select case when o_orderkey%4=3 then 'adct-art-' else 'cf-1988-art-' end||cast(n as string) as slug, 'artigo' as node_type, 'Art. '||cast(n as string) as label,
+      cast(n as string) as number_raw, cast(n as string) as number_norm from @order_texts@
+    union all select 'cf-1988-art-'||cast(n as string)||'-inc-'||cast(1 + o_custkey%20 as string), 'inciso', rom, rom, cast(1 + o_custkey%20 as string) from @order_texts@
+    union all select 'cf-1988-art-'||cast(n as string)||'-par-'||cast(1+o_orderkey%3 as string), 'paragrafo', '§ '||cast(1+o_orderkey%3 as string), cast(1+o_orderkey%3 as string), cast(1+o_orderkey%3 as string) from @order_texts@ where o_orderkey%7<>0
+    union all select 'cf-1988-art-'||cast(n as string)||'-par-unico', 'paragrafo', 'Parágrafo único', 'único', 'unico' from @order_texts@ where n%5=0
+    union all select 'cf-1988-art-'||cast(n as string)||'-inc-'||cast(1 + o_custkey%20 as string)||'-ali-a', 'alinea', 'a)', 'a', 'a' from @order_texts@ where o_orderkey%8=0
+    union all select 'cf-1988-tit-'||cast(1 + o_custkey%20 as string), 'titulo', 'TÍTULO '||rom, rom, cast(1 + o_custkey%20 as string) from @order_texts@
+  ) u) v"""
+    d["order_texts"] = _ORDER_BASE
     line_exprs = [
         "case when k%8=0 then 'Art. '||cast(1 + cast(floor(k/8) as bigint)%40 as string)||'º Texto do artigo' end",
         "case k%5 when 0 then '§ '||cast(1+k%3 as string)||'º Texto do parágrafo' when 1 then rom||' - texto do inciso' "
