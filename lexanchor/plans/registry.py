@@ -25,7 +25,7 @@ def _portable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None, needs: tuple[str, ...] = (), ctes: str = ""):
+def query(name: str, sql: str | None = None, needs: tuple[str, ...] = (), ctes: str = "", recursive: bool = False):
     """Registers ``fn(corpus)``. ``needs`` are the mapped tables the SQL twin reads, ``ctes`` further named subqueries."""
 
     def add(fn: Callable[[Corpus], DataFrame]):
@@ -34,10 +34,10 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] = (), ctes:
         QUERIES[name] = lambda spark, sf_dir: _portable(fn(Corpus(spark, sf_dir)))
         if sql is not None:
             head = cte(*needs) if needs else ""
-            if "union all select" in ctes and ("from st s" in ctes or "join pa on" in ctes):
-                head = head.replace("with ", "with recursive ", 1)
             if ctes:
                 head = f"{head},\n{ctes}" if head else f"with {ctes}"
+            if recursive:
+                head = head.replace("with ", "with recursive ", 1)
             ORACLE[name] = f"{head}\n{sql}".strip()
         return fn
 

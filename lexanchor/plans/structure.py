@@ -189,7 +189,7 @@ def _nodes(x):
     return X.tree_rows(x.norm_lines).filter("node_type <> 'texto_livre'")
 
 
-@query("txt6_assign_parents", needs=("norm_lines",), ctes=PARENTS_REC, sql="select doc_id, pos, parent_pos from pp")
+@query("txt6_assign_parents", needs=("norm_lines",), ctes=PARENTS_REC, recursive=True, sql="select doc_id, pos, parent_pos from pp")
 def _(x):
     return X.assign_parents(_nodes(x), size=512).select("doc_id", "pos", "parent_pos")
 
@@ -202,7 +202,7 @@ pa as (select doc_id, pos, 'cf-1988-'||case when node_type='preambulo' then 'pre
  from nd n join pa on pa.doc_id = n.doc_id and pa.pos = n.parent_pos)"""
 
 
-@query("txt7_node_paths", needs=("norm_lines",), ctes=PATHS, sql="select doc_id, pos, slug, path, depth from pa")
+@query("txt7_node_paths", needs=("norm_lines",), ctes=PATHS, recursive=True, sql="select doc_id, pos, slug, path, depth from pa")
 def _(x):
     nodes = _nodes(x)
     a = X.node_paths(nodes, X.assign_parents(nodes))
@@ -233,7 +233,7 @@ def _(x):
     return X.article_gaps(m.select("doc_id", F.lit("artigo").alias("node_type"), F.col("value").alias("number_norm")))
 
 
-@query("src12_export_tree", needs=("norm_lines",), ctes=PATHS, sql="""
+@query("src12_export_tree", needs=("norm_lines",), ctes=PATHS, recursive=True, sql="""
 select p.doc_id, t.node_type, t.label, p.path, p.pos as line_start from pa p join tn t on t.doc_id = p.doc_id and t.pos = p.pos""")
 def _(x):
     nodes = _nodes(x)
