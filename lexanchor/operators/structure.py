@@ -196,38 +196,46 @@ def segment_blocks(lines: DataFrame, valid: DataFrame | None = None, reset: str
 
 
 # --------------------------------------------------------------------- norm tree
-def classify_line(c) -> Column:
-    """struct(node_type, label, number_raw, number_norm, text) of a norm line; texto_livre when nothing fits."""
-    c = T.norm_spaces(c)
+def line_type(c) -> Column:
+    """Node type of a norm line; texto_livre when nothing fits."""
+    c = T.col(c)
     out = None
+    for kind, p, _, _ in V.TREE_LINES:
+        out = F.when(T.like(c, p), kind) if out is None else out.when(T.like(c, p), kind)
+    return out.otherwise("texto_livre")
+
+
+def classify_lines(lines: DataFrame) -> DataFrame:
+    """Lines as node rows: doc_id, pos, node_type, label, number_raw, number_norm, text.
+
+    Type first, then its captures, then the number: each pattern runs once per line.
+    """
+    x = compute_once(lines.select("doc_id", "pos", T.norm_spaces("text").alias("line")), {"kind": line_type("line")})
+    raw = trail = None
     for kind, p, num, txt in V.TREE_LINES:
-        raw = T.capture(c, p, num) if num else F.lit(None).cast("string")
-        trail = F.trim(T.capture(c, p, txt)) if txt else F.lit("")
-        norm, label, name = raw, c, kind
-        if kind in ("titulo", "capitulo", "secao", "subsecao", "inciso"):
-            raw = F.upper(raw)
-            norm = T.roman_to_int(raw).cast("string")
-            label = raw if kind == "inciso" else c
-        elif kind in ("artigo", "paragrafo", "item"):
-            norm = raw.try_cast("bigint").cast("string")
-            label = {"artigo": F.concat(F.lit("Art. "), raw), "paragrafo": F.concat(F.lit("§ "), raw), "item": F.concat(raw, F.lit("."))}[kind]
-        elif kind == "paragrafo_unico":
-            raw, norm, label, name = F.lit("único"), F.lit("unico"), F.lit("Parágrafo único"), "paragrafo"
-        elif kind == "alinea":
-            raw = norm = F.lower(raw)
-            label = F.concat(raw, F.lit(")"))
-        elif kind == "preambulo":
-            label = F.lit("PREÂMBULO")
-        row = F.struct(F.lit(name).alias("node_type"), label.alias("label"), raw.alias("number_raw"), norm.alias("number_norm"), trail.alias("text"))
-        out = F.when(T.like(c, p), row) if out is None else out.when(T.like(c, p), row)
-    none = F.lit(None).cast("string")
-    return out.otherwise(F.struct(
-        F.lit("texto_livre").alias("node_type"), none.alias("label"), none.alias("number_raw"), none.alias("number_norm"), c.alias("text")))
-
-
-def tree_rows(lines: DataFrame) -> DataFrame:
-    """Classified lines: doc_id, pos and the node fields."""
-    return compute_once(lines, {"n": classify_line("text")}).select("doc_id", "pos", "n.*")
+        hit = F.col("kind") == kind
+        if num:
+            raw = (F if raw is None else raw).when(hit, T.capture("line", p, num))
+        if txt:
+            trail = (F if trail is None else trail).when(hit, F.trim(T.capture("line", p, txt)))
+    free = F.col("kind") == "texto_livre"
+    x = compute_once(x, {"raw": raw, "trail": trail.when(free, F.col("line")).otherwise("")})
+    roman = F.col("kind").isin("titulo", "capitulo", "secao", "subsecao", "inciso")
+    x = compute_once(x, {
+        "number_raw": F.when(roman, F.upper("raw")).when(F.col("kind") == "alinea", F.lower("raw")).when(F.col("kind") == "paragrafo_unico", "único")
+        .otherwise(F.col("raw"))})
+    r, k = F.col("number_raw"), F.col("kind")
+    norm = (
+        F.when(k == "paragrafo_unico", "unico").when(k == "alinea", r).when(roman, T.roman_to_int("number_raw").cast("string"))
+        .otherwise(r.try_cast("bigint").cast("string"))
+    )
+    label = (
+        F.when(k == "preambulo", "PREÂMBULO").when(k == "artigo", F.concat(F.lit("Art. "), r)).when(k == "paragrafo", F.concat(F.lit("§ "), r))
+        .when(k == "paragrafo_unico", "Parágrafo único").when(k == "inciso", r).when(k == "alinea", F.concat(r, F.lit(")")))
+        .when(k == "item", F.concat(r, F.lit("."))).when(~free, F.col("line"))
+    )
+    kind = F.when(k == "paragrafo_unico", "paragrafo").otherwise(k)
+    return x.select("doc_id", "pos", kind.alias("node_type"), label.alias("label"), "number_raw", norm.alias("number_norm"), F.col("trail").alias("text"))
 
 
 HEADINGS = ["titulo", "capitulo", "secao", "subsecao"]
@@ -246,7 +254,7 @@ def assign_parents(nodes: DataFrame, size: int = 4096) -> DataFrame:
       article on the last heading, as long as no row has gone to the root since.
     """
     t = F.col("node_type")
-    x = nodes.select("doc_id", "pos", "node_type").withColumn("seg", position_segment("pos", size))
+    x = cut(nodes.select("doc_id", "pos", "node_type")).withColumn("seg", position_segment("pos", size))
     opens = t.isin("artigo", "preambulo", *HEADINGS)
     x = segmented_scan(x, KEY, ["pos"], "seg", counts={"grp": opens}, fills={
         "art": F.when(opens, F.struct("pos", (t == "artigo").alias("is_art"))),
@@ -326,7 +334,7 @@ def node_paths(nodes: DataFrame, parents: DataFrame, prefix: str = "cf-1988") ->
     seg = F.create_map(*[F.lit(v) for kv in V.TREE_SEGMENT.items() for v in kv])
     own = F.when(F.col("node_type") == "preambulo", "preambulo").otherwise(
         F.concat(F.element_at(seg, F.col("node_type")), F.lit("-"), F.col("number_norm")))
-    x = nodes.join(parents.select("doc_id", "pos", "parent_pos"), ["doc_id", "pos"])
+    x = cut(nodes.select("doc_id", "pos", "node_type", "label", "number_norm").join(parents.select("doc_id", "pos", "parent_pos"), ["doc_id", "pos"]))
     absolute = F.col("node_type").isin("preambulo", "titulo", "artigo")
     s = resolve_chains(x.select("doc_id", "pos", F.when(~absolute, F.col("parent_pos")).alias("up"), own.alias("slug")),
                        ["doc_id", "pos"], "up", {"slug": "-"}).select("doc_id", "pos", F.concat(F.lit(prefix + "-"), "slug").alias("slug"))
@@ -337,7 +345,7 @@ def node_paths(nodes: DataFrame, parents: DataFrame, prefix: str = "cf-1988") ->
 def attach_text(rows: DataFrame, size: int = 4096) -> DataFrame:
     """Free lines joined to the node open before them; a heading takes its first short line as title.
 
-    ``rows``: output of ``tree_rows``.
+    ``rows``: output of ``classify_lines``.
     """
     node = F.col("node_type") != "texto_livre"
     x = segmented_scan(rows, KEY, ["pos"], position_segment("pos", size), fills={"owner": F.when(node, F.struct("pos", "node_type"))})

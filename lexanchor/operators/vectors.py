@@ -56,9 +56,7 @@ def embedding_budget(chunks: DataFrame, price_per_million: float = 0.02) -> Data
 
 def accept_vectors(vectors: DataFrame, target: DataFrame, dim: int) -> DataFrame:
     """Vectors of the right size that the target does not hold yet."""
-    ok = vectors.filter(F.size("vector_ref") == dim)
-    keys = ["chunk_slug", "embedding_model"]
-    return ok.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    return new_rows(vectors.filter(F.size("vector_ref") == dim), target, ["chunk_slug", "embedding_model"])
 
 
 # ----------------------------------------------------------------- allocation

@@ -304,7 +304,7 @@ select aggregate_id, event_id, json_extract_string(payload,'$.to_state') as to_s
 where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1""")
 def _(x):
     stream = Corpus(x.spark, x.dir)
-    stream._cache["events"] = x.spark.readStream.schema(x.events.schema).parquet(f"{x.dir}/events.parquet")
+    stream._cache["events"] = x.spark.readStream.schema(x.events.schema).option("pathGlobFilter", "events.parquet").parquet(x.dir)
     base = _shared(x.spark)
     q = ST.current_state_stream(stream.log, f"{base}/state", f"{base}/progress")
     q.awaitTermination()
@@ -314,7 +314,7 @@ def _(x):
 @query("str3_worklist_stream", sql="select 'c-'||doc_id as chunk_slug, ceil(length(text) / 4.0)::int as token_estimate from documents where text <> '' and not (doc_id%3=0 and doc_id%2=0)")
 def _(x):
     stream = Corpus(x.spark, x.dir)
-    stream._cache["documents"] = x.spark.readStream.schema(x.documents.schema).parquet(f"{x.dir}/documents.parquet")
+    stream._cache["documents"] = x.spark.readStream.schema(x.documents.schema).option("pathGlobFilter", "documents.parquet").parquet(x.dir)
     base = _shared(x.spark)
     _chunks(x)[1].write.parquet(f"{base}/emb")
     ST.worklist_stream(_chunks(stream)[0], f"{base}/emb", "m1", f"{base}/work", f"{base}/progress").awaitTermination()

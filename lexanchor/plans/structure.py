@@ -182,11 +182,11 @@ PARENTS_REC = PARENTS
 
 @query("txt2_classify_line", needs=("norm_lines",), ctes=NODES, sql="select doc_id, pos, node_type, label, number_raw, number_norm, text from tn")
 def _(x):
-    return X.tree_rows(x.norm_lines)
+    return X.classify_lines(x.norm_lines)
 
 
 def _nodes(x):
-    return X.tree_rows(x.norm_lines).filter("node_type <> 'texto_livre'")
+    return X.classify_lines(x.norm_lines).filter("node_type <> 'texto_livre'")
 
 
 @query("txt6_assign_parents", needs=("norm_lines",), ctes=PARENTS_REC, recursive=True, sql="select doc_id, pos, parent_pos from pp")
@@ -216,7 +216,7 @@ ti as (select doc_id, owner, min(pos) as tpos from ow where owner is not null an
 select o.doc_id, o.owner as pos, max(case when o.pos = t.tpos then o.text end) as title, coalesce(string_agg(case when o.text <> '' and o.pos is distinct from t.tpos then o.text end, chr(10) order by o.pos), '') as text
 from ow o left join ti t on t.doc_id = o.doc_id and t.owner = o.owner where o.owner is not null group by 1, 2""")
 def _(x):
-    return X.attach_text(X.tree_rows(x.norm_lines), size=512)
+    return X.attach_text(X.classify_lines(x.norm_lines), size=512)
 
 
 @query("agg39_tree_summary", needs=("norm_lines",), ctes=NODES, sql="""
