@@ -223,7 +223,7 @@ select 'pw-'||cast(o_orderkey as string), 'ord-'||cast(o_orderkey as string), 'o
 from @orders@ where o_orderkey%30=0"""
     d["fiscal"] = """
 select 'ord-'||cast(l_orderkey as string) as decision, 'ente-'||cast(l_suppkey % 27 as string) as entity,
-  cast(l_extendedprice as decimal(14,2)) as potential, cast(l_extendedprice as decimal(14,2)) * (1 - cast(l_discount as decimal(4,2))) as effective, l_tax as confidence,
+  cast(l_extendedprice as decimal(14,2)) as potential, cast(l_extendedprice as decimal(14,2)) * (1 - cast(l_discount as decimal(4,2))) as effective, cast(l_tax as decimal(4,2)) as confidence,
   l_quantity > 25 as retroactive, case l_linenumber%4 when 0 then 'imediato' when 1 then 'curto' when 2 then 'medio' else 'longo' end as horizon,
   l_shipdate as booked_at, l_returnflag as valid_flag
 from @lineitem@"""

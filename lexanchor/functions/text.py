@@ -306,8 +306,12 @@ def token_estimate(c) -> Column:
 
 
 def vector_literal(c) -> Column:
-    parts = F.transform(col(c), lambda v: F.format_string("%.7f", v.cast("double")))
-    return F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
+    """'[v1,v2,...]' with seven decimals, ties to even, sign of a negative zero kept."""
+    def one(v):
+        r = F.bround(v.cast("double").cast("decimal(38,26)"), 7)
+        return F.when((r == 0) & (v < 0), "-0.0000000").otherwise(F.format_string("%.7f", r))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(col(c), one), ","), F.lit("]"))
 
 
 def dot(a, b) -> Column:

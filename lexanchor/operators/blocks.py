@@ -160,19 +160,23 @@ def reanchor_queue(b: DataFrame) -> DataFrame:
     return anchor_tier(b).filter(F.col("anchor_tier") == "generica_nao_resolvida")
 
 
-def _text_key(c="block_text") -> Column:
-    return F.concat_ws("-", F.md5(T.col(c)), F.length(c))
+def with_text_key(b: DataFrame) -> DataFrame:
+    """Adds a key that is equal for equal texts and '' without text, unless it is there."""
+    if "text_key" in b.columns:
+        return b
+    key = F.when(filled("block_text"), F.concat_ws("-", F.md5("block_text"), F.length("block_text"))).otherwise("")
+    return b.withColumn("text_key", key)
 
 
 def co_anchor_groups(b: DataFrame) -> DataFrame:
     """Slugs under which the same text appears, for texts with more than one."""
-    t = b.filter(filled("block_text") & filled("anchor_slug")).select(_text_key().alias("text_key"), "anchor_slug").distinct()
+    t = with_text_key(b).filter(filled("text_key") & filled("anchor_slug")).select("text_key", "anchor_slug").distinct()
     return t.groupBy("text_key").agg(F.array_sort(F.collect_set("anchor_slug")).alias("slugs")).filter(F.size("slugs") > 1)
 
 
 def co_anchors(b: DataFrame) -> DataFrame:
     """Secondary anchors: for each block, the other slugs of its text."""
-    x = b.filter(filled("block_text")).withColumn("text_key", _text_key()).join(co_anchor_groups(b), "text_key")
+    x = with_text_key(b).filter(filled("text_key")).join(co_anchor_groups(b), "text_key")
     others = F.array_except("slugs", F.array(F.coalesce("anchor_slug", F.lit(""))))
     return x.select(
         "block_id", F.explode(others).alias("anchor_slug"), F.lit("secondary").alias("anchor_role"),
@@ -295,7 +299,7 @@ def relator_anchor_unified(b):
     return b.filter(filled("relator") & filled("anchor_slug_final")).groupBy(
         "relator", "anchor_slug_final", "decision_unit_type", "anchor_source").agg(
         F.count("*").alias("blocks"), F.count_distinct("process_key").alias("distinct_procs"),
-        F.round(F.avg("anchor_confidence_final"), 3).alias("avg_confidence"))
+        F.round(F.avg(F.col("anchor_confidence_final").cast("decimal(5,3)")), 3).cast("double").alias("avg_confidence"))
 
 
 def process_network_unified(b):

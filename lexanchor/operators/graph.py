@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from lexanchor.functions import text as T
-from lexanchor.operators.blocks import block_anchors, filled
+from lexanchor.operators.blocks import block_anchors, filled, with_text_key
 from lexanchor.operators.core import active, latest_state
 from lexanchor.operators.keyed import position_segment, segmented_scan
 from lexanchor.operators.reconcile import split_processes
@@ -130,15 +130,17 @@ def record_slugs(b: DataFrame, size: int = 4096) -> DataFrame:
 
 def blocks_to_graph(b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Process and record objects, and the anchor, process and rapporteur edges of the blocks."""
-    procs, _ = split_processes(b)
-    rec = record_slugs(b)
+    # everything but the texts, read several times
+    narrow = cut(with_text_key(b).drop("block_text", "metadata_text"))
+    procs, _ = split_processes(narrow)
+    rec = cut(record_slugs(narrow))
     payload = F.to_json(F.struct(
         F.col("block_text").alias("conteudo"), F.col("metadata_text").alias("rotulo_final"), F.col("editorial_marker").alias("camada_editorial"),
         F.col("decision_unit_type").alias("tipo_decisorio")))
     proc_payload = F.to_json(F.struct(F.col("process_class").alias("classe"), F.col("process_number").alias("numero"), "relator", "redator"))
     objects = procs.select(F.col("process_slug").alias("slug"), F.lit("processo").alias("type_slug"), proc_payload.alias("payload")).unionByName(
         b.join(rec, "block_id").select(F.col("record_slug").alias("slug"), F.lit("registro_jurisprudencial").alias("type_slug"), payload.alias("payload")))
-    anchors = block_anchors(b).join(rec, "block_id").select(
+    anchors = block_anchors(narrow).join(rec, "block_id").select(
         F.lit("ancora_normativa").alias("type_slug"), F.col("record_slug").alias("source"), F.col("anchor_slug").alias("target"), F.col("confidence").alias("weight"))
     none = F.lit(None).cast("double")
     belongs = rec.select(F.lit("ancora_processual").alias("type_slug"), F.col("record_slug").alias("source"), F.col("process_slug").alias("target"), none.alias("weight"))

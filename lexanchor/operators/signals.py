@@ -468,7 +468,11 @@ def fiscal_exposure(impacts: DataFrame, decisions: DataFrame) -> DataFrame:
 def fiscal_impact_index(impacts: DataFrame, retroactive_factor: float = 1.5, horizon_factors: dict[str, float] | None = None) -> DataFrame:
     """IIFD per decision: confidence-weighted estimates times retroactivity and horizon factors (parameters)."""
     factors = horizon_factors or {"imediato": 1.0, "curto": 0.9, "medio": 0.75, "longo": 0.5}
-    table = F.create_map(*[F.lit(v) for kv in factors.items() for v in kv])
-    value = F.col("potential").cast("double") * F.col("confidence") * F.when(F.col("retroactive"), retroactive_factor).otherwise(1.0)
-    value = value * F.coalesce(F.element_at(table, F.col("horizon")), F.lit(1.0))
-    return impacts.groupBy("decision").agg(F.round(F.sum(value), 2).alias("iifd"), F.count("*").alias("estimates"))
+
+    def dec(v: float, kind: str) -> Column:
+        return F.lit(v).cast(kind)
+
+    table = F.create_map(*[x for k, v in factors.items() for x in (F.lit(k), dec(v, "decimal(3,2)"))])
+    value = F.col("potential") * F.col("confidence") * F.when(F.col("retroactive"), dec(retroactive_factor, "decimal(2,1)")).otherwise(dec(1.0, "decimal(2,1)"))
+    value = value * F.coalesce(F.element_at(table, F.col("horizon")), dec(1.0, "decimal(3,2)"))
+    return impacts.groupBy("decision").agg(F.round(F.sum(value), 2).cast("double").alias("iifd"), F.count("*").alias("estimates"))

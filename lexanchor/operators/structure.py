@@ -41,31 +41,38 @@ def is_own_article(c) -> Column:
     return F.coalesce(number.between(1, 250), F.lit(False)) & ~tail.rlike("(?iu)" + cross)
 
 
-def line_kind(c) -> Column:
-    """struct(kind, value): art, par, inc, ali, marker, meta, or text."""
+def _line_cases(c, say) -> Column:
+    """One chain over the line kinds in trial order; ``say(kind, value)`` gives the result of each.
+
+    Every pattern appears once, so the chain costs the same whatever it returns.
+    """
     c = T.col(c)
     n = F.length(c)
-    par = F.translate(F.lower(T.capture(c, V.P_PAR_LINE)), "ú", "u")
+    out = (
+        F.when(is_own_article(c), say("art", T.capture(c, V.P_ART_LINE)))
+        .when(T.like(c, V.P_PAR_LINE) & (n < 300), say("par", F.translate(F.lower(T.capture(c, V.P_PAR_LINE)), "ú", "u")))
+        .when(T.like(c, V.P_PAR_UNICO_LINE) & (n < 300), say("par", F.lit("unico")))
+        .when(c.rlike(V.P_INC_LINE) & (n < 200), say("inc", F.regexp_extract(c, V.P_INC_LINE, 1)))
+        .when(c.rlike(V.P_ALI_LINE) & (n < 200), say("ali", F.regexp_extract(c, V.P_ALI_LINE, 1)))
+    )
+    for p, marker in V.MARKER_LINES:
+        out = out.when(T.like(c, p), say("marker", F.lit(marker)))
     meta = T.like(c, V.P_META_LINE) | T.like(c, V.P_META_LINE2) | T.like(c, V.P_SUM_LINE)
+    none = F.lit(None).cast("string")
+    return out.when(meta, say("meta", none)).otherwise(say("text", none))
 
-    def out(kind, value=None):
-        return F.struct(F.lit(kind).alias("kind"), (F.lit(None).cast("string") if value is None else value).alias("value"))
-
-    return (
-        F.when(is_own_article(c), out("art", T.capture(c, V.P_ART_LINE)))
-        .when(T.like(c, V.P_PAR_LINE) & (n < 300), out("par", par))
-        .when(T.like(c, V.P_PAR_UNICO_LINE) & (n < 300), out("par", F.lit("unico")))
-        .when(c.rlike(V.P_INC_LINE) & (n < 200), out("inc", F.regexp_extract(c, V.P_INC_LINE, 1)))
-        .when(c.rlike(V.P_ALI_LINE) & (n < 200), out("ali", F.regexp_extract(c, V.P_ALI_LINE, 1)))
-        .when(M.marker_line(c).isNotNull(), out("marker", M.marker_line(c)))
-        .when(meta, out("meta")).otherwise(out("text"))
-    )
+
+def line_kind(c) -> Column:
+    """struct(kind, value): art, par, inc, ali, marker, meta, or text."""
+    return _line_cases(c, lambda k, v: F.struct(F.lit(k).alias("kind"), v.alias("value")))
+
+
+LETTER = {"art": "A", "par": "A", "inc": "A", "ali": "A", "marker": "B", "meta": "D", "text": "C"}
 
 
 def classify_abcd(c) -> Column:
     """A norm anchor, B editorial marker, D bracket metadata, C text."""
-    k = line_kind(c)["kind"]
-    return F.when(k.isin("art", "par", "inc", "ali"), "A").when(k == "marker", "B").when(k == "meta", "D").otherwise("C")
+    return _line_cases(c, lambda k, v: F.lit(LETTER[k]))
 
 
 def structural_marks(lines: DataFrame) -> DataFrame:
@@ -131,6 +138,7 @@ def carry_context(marks: DataFrame, valid: DataFrame | None = None, reset: str =
     Repeated article numbers, devices outside any article, and devices that ``valid``
     (article, kind, value) rules out for their article are not structure and drop out.
     """
+    marks = cut(marks)  # narrow and read several times
     seg = position_segment("pos", size)
     acc = accept_first(marks)
     rows = marks.filter(F.col("kind") != "art").withColumn("namespace", F.lit(None).cast("string")).unionByName(
@@ -174,7 +182,7 @@ def attach_preceding(devices: DataFrame, rows: DataFrame, keys=("doc_id",), size
 
 def segment_blocks(lines: DataFrame, valid: DataFrame | None = None, reset: str = "article", size: int = 4096) -> DataFrame:
     """Commentary blocks: lines accumulate, a bracket line closes the block, anchors and markers end it."""
-    ctx = cut(carry_context(cut(structural_marks(lines)), valid, reset, size))
+    ctx = cut(carry_context(structural_marks(lines), valid, reset, size))
     at = F.struct(*[c for c in ctx.columns if c != "doc_id"])
     marks = ctx.select("doc_id", "pos", F.lit(0).alias("row"), at.alias("at"))
     u = marks.unionByName(lines.select("doc_id", "pos", F.lit(1).alias("row"), "text"), allowMissingColumns=True)
@@ -390,9 +398,11 @@ def document_profile(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def line_class(c) -> Column:
     """Norm, decision, editorial or other."""
-    k = classify_abcd(c)
-    heading = T.col(c).rlike("(?iu)^(T[IÍ]TULO|CAP[IÍ]TULO|SE[CÇ][AÃ]O)\\s+[IVXLCDM]+")
-    return F.when((k == "A") | heading, "norma").when(T.col(c).rlike(V.P_CITED), "decisao").when(k == "B", "editorial").otherwise("outro")
+    c = T.col(c)
+    heading = c.rlike("(?iu)^(T[IÍ]TULO|CAP[IÍ]TULO|SE[CÇ][AÃ]O)\\s+[IVXLCDM]+")
+    rest = F.when(heading, "norma").when(c.rlike(V.P_CITED), "decisao")
+    say = {"marker": rest.otherwise("editorial"), "meta": rest.otherwise("outro"), "text": rest.otherwise("outro")}
+    return _line_cases(c, lambda k, v: say.get(k, F.lit("norma")))
 
 
 def line_class_share(lines: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def _(x):
 
 @query("agg17_relator_anchor_unified", needs=UNEEDS, ctes=UNIFIED, sql="""
 select relator, anchor_slug_final, decision_unit_type, anchor_source, count(*) as blocks, count(distinct process_key) as distinct_procs,
- round(avg(anchor_confidence_final), 3) as avg_confidence from un where relator <> '' and anchor_slug_final <> '' group by 1, 2, 3, 4""")
+ ((2 * sum(round(anchor_confidence_final * 1000)::bigint) + count(*)) // (2 * count(*)))::double / 1000 as avg_confidence from un where relator <> '' and anchor_slug_final <> '' group by 1, 2, 3, 4""")
 def _(x):
     return B.relator_anchor_unified(unified(x))
 

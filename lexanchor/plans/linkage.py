@@ -7,6 +7,7 @@ from lexanchor.functions import metadata as M, text as T
 from lexanchor.operators import blocks as B, citations as C, linkage as L
 from lexanchor.plans.integrity import ASCII, WORD_CUT
 from lexanchor.plans.registry import query
+from lexanchor.session import cut
 from lexanchor.plans.sqltext import RESOLVED, has, lit, norm_key, norm_spaces, rx, sub
 
 # ------------------------------------------------------------------ variant index
@@ -116,7 +117,7 @@ select b.block_id, coalesce(j.slug, '') as anchor_slug, coalesce(j.node_type, ''
  case when j.slug is not null then round(least(0.90::double + case when j.namespace = j.expected then 0.05 else 0 end + {BONUS} + case when match_priority >= 100 then 0.03 when match_priority >= 90 then 0.02 when match_priority >= 80 then 0.01 else 0 end, 1.0)::double, 3) end as anchor_confidence
 from cb b left join bs j on j.block_id = b.block_id""")
 def _(x):
-    m = L.match_blocks(x.blocks, L.variant_index(x.norm_nodes))
+    m = L.match_blocks(x.blocks, cut(L.variant_index(x.norm_nodes)))
     return m.select("block_id", "anchor_slug", "anchor_node_type", "anchor_namespace", "anchor_quality", "match_score", "match_priority", "anchor_confidence")
 
 
@@ -124,7 +125,7 @@ def _(x):
 jn as (select c.block_id, i.slug, i.match_priority, i.match_priority + {SPEC} + case when i.namespace = c.expected then 50 else -20 end as score from cd c join ix i on i.anchor_text_norm = c.norm)""", sql="""
 select block_id, slug as anchor_slug from jn qualify row_number() over (partition by block_id order by score desc, match_priority desc, slug) = 1""")
 def _(x):
-    m = L.match_blocks(x.blocks, L.variant_index(x.norm_nodes))
+    m = L.match_blocks(x.blocks, cut(L.variant_index(x.norm_nodes)))
     return m.filter("anchor_quality in ('exact', 'adct')").select("block_id", "anchor_slug")
 
 

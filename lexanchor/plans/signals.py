@@ -349,8 +349,8 @@ def _(x):
 
 
 @query("frm10_fiscal_impact_index", needs=("fiscal",), sql="""
-select decision, round(sum(potential::double * confidence * (case when retroactive then 1.5::double else 1.0::double end)
- * (case horizon when 'imediato' then 1.0::double when 'curto' then 0.9::double when 'medio' then 0.75::double when 'longo' then 0.5::double end)), 2) as iifd, count(*) as estimates
+select decision, round(sum(potential * confidence * (case when retroactive then 1.5::decimal(2,1) else 1.0::decimal(2,1) end)
+ * (case horizon when 'imediato' then 1.00::decimal(3,2) when 'curto' then 0.90::decimal(3,2) when 'medio' then 0.75::decimal(3,2) when 'longo' then 0.50::decimal(3,2) end)), 2)::double as iifd, count(*) as estimates
 from fx_fiscal group by 1""")
 def _(x):
     return S.fiscal_impact_index(x.fiscal)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lexanchor import vocab as V
 from lexanchor.operators import structure as X
 from lexanchor.plans.registry import query
+from lexanchor.session import cut
 from lexanchor.plans.sqltext import has, lit, norm_spaces, rx, sub
 
 TAIL = f"substr(regexp_replace(text, {lit(V.P_ART_LINE)}, ''), 1, 120)"
@@ -82,12 +83,12 @@ def _(x):
 
 @query("win10_namespace_of", needs=("lines",), ctes=FEATURES, sql="select doc_id, pos, value, namespace from ar")
 def _(x):
-    return X.namespace_of(X.structural_marks(x.lines)).select("doc_id", "pos", "value", "namespace")
+    return X.namespace_of(cut(X.structural_marks(x.lines))).select("doc_id", "pos", "value", "namespace")
 
 
 @query("win11_accept_first", needs=("lines",), ctes=FEATURES, sql="select doc_id, pos, value, namespace from ac")
 def _(x):
-    return X.accept_first(X.structural_marks(x.lines)).select("doc_id", "pos", "value", "namespace")
+    return X.accept_first(cut(X.structural_marks(x.lines))).select("doc_id", "pos", "value", "namespace")
 
 
 @query("win7_carry_context", needs=("lines",), ctes=context(), sql=f"select {', '.join(CCOLS)} from ctx")
