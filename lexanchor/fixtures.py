@@ -244,14 +244,14 @@ select o_orderkey as block_id,
   case o_orderkey%5 when 0 then 'exact' when 1 then 'adct' when 2 then 'parent' when 3 then 'unresolved' else '' end as anchor_quality,
   case o_orderkey%4 when 0 then 'hybrid' when 1 then 'position' when 2 then 'text' else 'unresolved' end as anchor_source,
   cast((o_orderkey%20)/20.0 as double) as anchor_confidence
-from ({_ORDER_BASE}) o"""
+from @order_texts@ o"""
     d["parser_anchors"] = f"""
 select o_orderkey as block_id, case when o_orderkey%7=0 then '' else 'cf-art-'||cast(n as string)||case when o_orderkey%3=0 then '-inc-'||rom else '' end end as anchor_slug
-from ({_ORDER_BASE}) o where o_orderkey%10<>9"""
+from @order_texts@ o where o_orderkey%10<>9"""
     d["matcher_anchors"] = f"""
 select o_orderkey as block_id, case when o_orderkey%11=0 then '' else 'cf-1988-art-'||cast(case when o_orderkey%13=0 then n*10 else n end as string)||case when o_orderkey%4=0 then '-par-2' else '' end end as anchor_slug,
   case when o_orderkey%11=0 then 'unresolved' else 'exact' end as anchor_quality, case when o_orderkey%3=0 then '0.950' else '' end as anchor_confidence
-from ({_ORDER_BASE}) o where o_orderkey%10<>8"""
+from @order_texts@ o where o_orderkey%10<>8"""
     d["norm_nodes"] = """
 select slug, node_type, label, cast(null as string) as title, number_raw, number_norm, slug as path from (
   select distinct slug, node_type, label, number_raw, number_norm from (
@@ -278,7 +278,7 @@ select slug, node_type, label, cast(null as string) as title, number_raw, number
     ]
     d["lines"] = (
         "select doc as doc_id, cast(k * 8 + i as bigint) as pos, text from ("
-        + _rows(_ORDER_BASE, "doc, k", line_exprs, dialect) + ") z"
+        + _rows("select * from @order_texts@", "doc, k", line_exprs, dialect) + ") z"
     )
     tree_exprs = [
         "case when k%200=0 then 'TÍTULO '||rom end", "case when k%200=0 then 'Dos Princípios '||cast(k as string) end",
@@ -290,7 +290,7 @@ select slug, node_type, label, cast(null as string) as title, number_raw, number
     ]
     d["norm_lines"] = (
         "select doc as doc_id, cast(k * 10 + i as bigint) as pos, text from ("
-        + _rows(_ORDER_BASE, "doc, k", tree_exprs, dialect) + ") z"
+        + _rows("select * from @order_texts@", "doc, k", tree_exprs, dialect) + ") z"
     )
     d["comments"] = f"""
 select o_orderkey as com_id, doc as doc_id, k as pos,
@@ -299,7 +299,7 @@ select o_orderkey as com_id, doc as doc_id, k as pos,
   case when k%4=0 then '<a href="http://x.example.org/p?incidente='||cast(o_custkey as string)||'">RE '||cast(1000+o_custkey%77 as string)||'</a> ' else '' end||
   case when k%10=0 then '<a href="http://x.example.org/t?numeroTema='||cast(o_custkey%50 as string)||'&amp;PROCESSO=12&amp;CLASSE=ADI">tema</a> ' else '' end||
   case when k%21=0 then 'Súmula Vinculante 13 ' else '' end||case when k%6<>5 then {_META} else '' end||'</p>' end as html
-from ({_ORDER_BASE}) o"""
+from @order_texts@ o"""
     d["device_marks"] = """
 select cast(floor(o_orderkey / 400) as bigint) as doc_id, o_orderkey%400 as pos, 'cf-1988-art-'||cast(1 + cast(floor((o_orderkey%400)/5) as bigint) as string) as device
 from @orders@ where o_orderkey%5=2"""
@@ -343,6 +343,17 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(parts)
 
 
+TEXT_TABLES = {"order_texts", "documents", "pages"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Texts of an input with fewer splits than cores, dealt out to all cores; other inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 class Corpus:
     """Lazy access to the base tables and the mapped tables of one data directory."""
 
@@ -359,6 +370,8 @@ class Corpus:
                 self._cache[name] = self.spark.sql(sql, **{u: self.table(u) for u in used})
             else:
                 self._cache[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            if name in TEXT_TABLES:
+                self._cache[name] = spread(self._cache[name])
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:

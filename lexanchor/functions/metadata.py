@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from lexanchor import vocab as V
-from lexanchor.functions.text import capture, clean_name, col, first_nonempty, like, link_labels, links, norm_key, norm_spaces, plain_number
+from lexanchor.functions.text import capture, clean_name, col, first_nonempty, let, like, link_labels, links, norm_key, norm_spaces, plain_number
 
 FIELDS = ["process_class", "process_number", "relator", "redator", "julgamento_data", "dje_data", "tema_rg", "sumula_num"]
 
@@ -13,15 +13,18 @@ FIELDS = ["process_class", "process_number", "relator", "redator", "julgamento_d
 def extract_meta(c) -> Column:
     """Class, number, rapporteur, drafter, dates, theme and súmula of a metadata text ('' when absent)."""
     c = F.coalesce(col(c), F.lit(""))
-    cls = F.upper(capture(c, V.P_PROC))
-    sumula = F.when(cls == "", capture(c, V.P_SUMULA)).otherwise("")
-    return F.struct(
-        cls.alias("process_class"), plain_number(capture(c, V.P_PROC, 2)).alias("process_number"),
-        F.trim(capture(c, V.P_REL)).alias("relator"), F.trim(capture(c, V.P_RED)).alias("redator"),
-        F.trim(capture(c, V.P_JULG)).alias("julgamento_data"), F.trim(capture(c, V.P_DJE)).alias("dje_data"),
-        capture(c, V.P_TEMA).alias("tema_rg"),
-        F.coalesce(F.nullif(capture(c, V.P_SV), F.lit("")), sumula).alias("sumula_num"),
-    )
+
+    def fields(cited):
+        cls = F.upper(capture(cited, V.P_PROC))
+        sumula = F.when(cls == "", capture(c, V.P_SUMULA)).otherwise("")
+        return F.struct(
+            cls.alias("process_class"), plain_number(capture(cited, V.P_PROC, 2)).alias("process_number"),
+            F.trim(capture(c, V.P_REL)).alias("relator"), F.trim(capture(c, V.P_RED)).alias("redator"),
+            F.trim(capture(c, V.P_JULG)).alias("julgamento_data"), F.trim(capture(c, V.P_DJE)).alias("dje_data"),
+            capture(c, V.P_TEMA).alias("tema_rg"),
+            F.when(F.lower(c).contains("mula"), F.coalesce(F.nullif(capture(c, V.P_SV), F.lit("")), sumula)).otherwise("").alias("sumula_num"))
+
+    return let(capture(c, V.P_PROC, 0), fields)
 
 
 def extract_meta_strict(c) -> Column:

@@ -12,8 +12,13 @@ def col(c) -> Column:
 
 
 def pat(p: str) -> str:
-    """Pattern with Unicode case folding switched on."""
-    return p.replace("(?i)", "(?iu)")
+    """Pattern with Unicode case folding switched on where it has letters beyond ASCII."""
+    return p if p.isascii() else p.replace("(?i)", "(?iu)")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def like(c, pattern: str) -> Column:

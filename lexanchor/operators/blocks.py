@@ -38,10 +38,9 @@ def resolve_blocks(b: DataFrame, text_head: int = 200) -> DataFrame:
     Metadata comes from the metadata text; when that names no rapporteur, from the
     first ``text_head`` characters of the block. Values already on the row fill gaps.
     """
-    x = compute_once(b, {
-        "__m": M.extract_meta("metadata_text"),
-        "__t": M.extract_meta(F.substring(F.coalesce("block_text", F.lit("")), 1, text_head)),
-    })
+    head = F.substring(F.coalesce("block_text", F.lit("")), 1, text_head)
+    x = compute_once(b, {"__m": M.extract_meta("metadata_text")})
+    x = compute_once(x, {"__t": F.when(F.col("__m.relator") == "", M.extract_meta(head))})
     x = x.withColumn("__x", F.when(F.col("__m.relator") != "", F.col("__m")).otherwise(F.col("__t")))
     x = x.withColumns({
         "process_class": F.coalesce(T.first_nonempty("__x.process_class", "process_class"), F.lit("")),

@@ -57,7 +57,7 @@ def _line_cases(c, say) -> Column:
     )
     for p, marker in V.MARKER_LINES:
         out = out.when(T.like(c, p), say("marker", F.lit(marker)))
-    meta = T.like(c, V.P_META_LINE) | T.like(c, V.P_META_LINE2) | T.like(c, V.P_SUM_LINE)
+    meta = T.like(c, V.P_META_LINE2) | T.like(c, V.P_SUM_LINE) | T.like(c, V.P_META_LINE)  # cheap patterns first
     none = F.lit(None).cast("string")
     return out.when(meta, say("meta", none)).otherwise(say("text", none))
 
