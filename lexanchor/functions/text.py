@@ -312,9 +312,12 @@ def token_estimate(c) -> Column:
 
 def vector_literal(c) -> Column:
     """'[v1,v2,...]' with seven decimals, ties to even, sign of a negative zero kept."""
+    unit = 10**7
+
     def one(v):
-        r = F.bround(v.cast("double").cast("decimal(38,26)"), 7)
-        return F.when((r == 0) & (v < 0), "-0.0000000").otherwise(F.format_string("%.7f", r))
+        n = F.abs((F.bround(v.cast("double").cast("decimal(38,26)"), 7) * unit).cast("bigint"))
+        whole, part = F.floor(n / unit).cast("string"), F.lpad((n % unit).cast("string"), 7, "0")
+        return F.concat(F.when(v < 0, "-").otherwise(""), whole, F.lit("."), part)
 
     return F.concat(F.lit("["), F.array_join(F.transform(col(c), one), ","), F.lit("]"))
 
