@@ -176,6 +176,7 @@ union all
 select 'pn-'||cast(c_custkey as string), 'parent_of', 'nat-'||cast(c_nationkey as string),
   'cust-'||cast(c_custkey as string), cast(null as double), cast(null as string), cast(null as timestamp@NTZ@),
   cast(null as timestamp@NTZ@) from @customer@"""
+    d["event_keys"] = f"select *, {_K} as k from @events@"
     d["log"] = f"""
 select 'ev-'||cast(event_id as string) as event_id,
   case event_type when 'view' then 'mudanca_estado' when 'signup' then 'distribuicao' else 'julgamento' end as type_slug,
@@ -185,13 +186,13 @@ select 'ev-'||cast(event_id as string) as event_id,
     when 'signup' then '{{}}' else {_JUDGMENT} end as payload,
   case when event_id%10=0 then null else 'ev-'||cast(event_id - 1 - (event_id%10)%2 * (case when event_id%10>1 then 1 else 0 end) as string) end as causation_id,
   ts as occurred_at, ts + interval 1 days as recorded_at
-from (select *, {_K} as k from @events@) e"""
+from @event_keys@ e"""
     d["roles"] = f"""
 select 'pap-'||cast(event_id as string) as edge_id, 'exerce_papel' as type_slug, 'sup-'||cast(event_id % 10 as string) as source_id,
   'ord-'||cast(user_id as string) as target_id, cast(null as double) as weight,
   '{{"role":"'||case k%4 when 0 then 'relator' when 1 then 'votante' when 2 then 'divergente' else 'presidente_sessao' end||'"}}' as payload,
   cast(null as timestamp@NTZ@) as valid_from, cast(null as timestamp@NTZ@) as valid_to
-from (select *, {_K} as k from @events@) e where event_type in ('purchase','click','error')"""
+from @event_keys@ e where event_type in ('purchase','click','error')"""
     d["argument_edges"] = """
 select 'arg-'||cast(o_orderkey as string) as edge_id,
   case o_orderkey%5 when 0 then 'supera' when 1 then 'contradiz' else 'confirma' end as type_slug,
@@ -343,7 +344,7 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(parts)
 
 
-TEXT_TABLES = {"order_texts", "documents", "pages"}
+TEXT_TABLES = {"order_texts", "event_keys", "documents", "pages"}
 
 
 def spread(df: DataFrame) -> DataFrame:
