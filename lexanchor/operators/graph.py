@@ -7,8 +7,6 @@ with reliable checkpoints.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from lexanchor.functions import text as T

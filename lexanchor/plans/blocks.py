@@ -279,8 +279,7 @@ union all select node_order, node_slug, 1, rank, block_id, upper(replace(marker,
  where marker <> '' and marker <> 'sem_categoria' and coalesce(before, '') <> marker""")
 def _(x):
     slugs = x.blocks.filter("anchor_slug <> ''").select(F.col("anchor_slug").alias("node_slug")).distinct()
-    seg = T.parse_slug("node_slug")["article"]
-    # the fixture orders its nodes by slug text; its first three characters after the last fixed part cut the segments
+    # nodes are numbered in slug order; the opening characters of a slug cut the segments
     nodes = B.renumber(slugs, ["node_slug"], F.conv(F.hex(F.rpad(F.substring("node_slug", 1, 7), 7, " ")), 16, 10).cast("decimal(20,0)"), "node_order")
     return B.mirror(nodes.withColumn("label", F.concat(F.lit("No "), F.col("node_slug"))), x.blocks)
 
