@@ -1,4 +1,4 @@
 """The queries of this package and their SQL twins."""
 
-from lexanchor.llm import exact_dedup  # noqa: F401  registers its query
+from lexanchor.llm import exact_dedup, mixing  # noqa: F401  registers their queries
 from lexanchor.llm.common import ORACLE, QUERIES  # noqa: F401
