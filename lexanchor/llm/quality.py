@@ -1,6 +1,6 @@
 """Quality rules as weak supervision.
 
-Seven rules look at counts of a whole text; each votes good or bad, or abstains where its
+Ten rules look at counts of a whole text; each votes good or bad, or abstains where its
 measure is in between. Expectation-maximisation over the counts of vote patterns (at most
 three to the power of the number of rules rows) estimates the prior of a good document and
 how each rule votes on good and on bad ones, that is its accuracies. The posterior
@@ -19,8 +19,8 @@ from lexanchor.llm.common import WORD, query, table, text_or_empty, written
 
 MIN_WORDS = 50
 ITERATIONS = 15
-#: Documents that the starting accuracies count for, so that rare votes don't run away.
-PRIOR_DOCS = 20.0
+#: Share of the documents that the starting accuracies count for, so that rare votes don't run away.
+PRIOR_SHARE = 0.05
 START_GOOD = 0.8
 #: Starting chance of a bad vote, a good vote and an abstention on a good and on a bad document.
 START = {1: (0.05, 0.85, 0.10), 0: (0.45, 0.40, 0.15)}
@@ -33,6 +33,9 @@ RULES = [
     ("lines", "10 * n_dup_lines > 3 * n_lines", "20 * n_dup_lines <= n_lines"),
     ("repetition", "10 * n_repeat_words > 3 * n_words", "10 * n_repeat_words <= n_words"),
     ("shouting", "2 * n_upper > word_chars", "5 * n_upper <= word_chars"),
+    ("letters", "5 * n_bare_words > n_words", "20 * n_bare_words <= n_words"),
+    ("marks", "10 * n_marks > word_chars", "50 * n_marks <= 3 * word_chars"),
+    ("variety", "100 * n_distinct < 15 * n_words", "100 * n_distinct >= 30 * n_words"),
     ("exclamation", "5 * n_bangs > n_words", "20 * n_bangs <= n_words"),
 ]
 _M = len(RULES)
@@ -45,7 +48,7 @@ def _vote(bad: str, good: str) -> str:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Adds the counts that the rules look at: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_bangs."""
+    """Adds the counts that the rules look at: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct, n_bare_words, n_marks, n_upper, n_bangs."""
     df = docs.withColumn("__text", text_or_empty())
     df = df.withColumn("__w", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)))
     df = df.withColumn("__lines", F.expr(r"filter(split(__text, '\\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]')"))
@@ -57,7 +60,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_words": "size(__w)", "word_chars": "length(array_join(__w, ''))", "n_symbols": "regexp_count(__text, '[#*$%&|<>]')",
         "n_lines": "size(__lines)", "n_dup_lines": "size(__lines) - size(array_distinct(__lines))",
         "n_repeat_words": "aggregate(transform(__at, (p, i) -> least(coalesce(get(__at, i + 1) - p, 3), 3)), 0, (a, x) -> a + x)",
-        "n_upper": r"regexp_count(__text, '\\p{Lu}')", "n_bangs": "regexp_count(__text, '!')",
+        "n_distinct": "size(array_distinct(__w))", "n_bare_words": r"size(filter(__w, x -> not x rlike '\\p{L}'))",
+        "n_marks": r"regexp_count(__text, '[^\\p{L}\\p{M}\\p{N}\\x20\\x09-\\x0D]')", "n_upper": r"regexp_count(__text, '\\p{Lu}')", "n_bangs": "regexp_count(__text, '!')",
     }
     return df.withColumns({n: F.expr(e).cast("long") for n, e in as_long.items()}).drop("__text", "__w", "__lines", "__grams", "__again", "__at")
 
@@ -81,7 +85,7 @@ def pattern_posteriors(patterns: DataFrame) -> DataFrame:
     """
     votes = ", ".join(f"pattern div {3 ** j} % 3" for j in range(_M))
     one = patterns.withColumn("v", F.expr(f"transform(array({votes}), x -> int(x))")).agg(
-        F.sort_array(F.collect_list(F.struct("pattern", F.col("n").cast("double").alias("n"), "v"))).alias("p"))
+        F.sort_array(F.collect_list(F.struct("pattern", F.col("n").cast("double").alias("n"), "v"))).alias("p"), (F.sum("n") * PRIOR_SHARE).cast("double").alias("pad"))
     start = "array(" + ", ".join(f"{x}D" for x in _start()) + ")"
 
     def good(model: str, v: str) -> str:
@@ -92,10 +96,10 @@ def pattern_posteriors(patterns: DataFrame) -> DataFrame:
     total = lambda what: f"aggregate(e, 0D, (a, s) -> a + {what})"
     step = f"""transform(array(transform(p, s -> struct(s.v as v, s.n * {good('m', 's.v')} as g, s.n as n))), e ->
       transform(array(array({total('s.n - s.g')}, {total('s.g')})), mass -> transform(sequence(0, {6 * _M}), i ->
-        case when i = 0 then (mass[1] + {PRIOR_DOCS * START_GOOD}D) / (mass[0] + mass[1] + {PRIOR_DOCS}D)
+        case when i = 0 then (mass[1] + {START_GOOD}D * pad) / (mass[0] + mass[1] + pad)
         else (aggregate(e, 0D, (a, s) -> a + case when s.v[(i - 1) div 6] = (i - 1) % 3
-            then (case when (i - 1) div 3 % 2 = 1 then s.g else s.n - s.g end) else 0D end) + {PRIOR_DOCS}D * {start}[i])
-          / (mass[int((i - 1) div 3 % 2)] + {PRIOR_DOCS}D) end))[0])[0]"""
+            then (case when (i - 1) div 3 % 2 = 1 then s.g else s.n - s.g end) else 0D end) + pad * {start}[i])
+          / (mass[int((i - 1) div 3 % 2)] + pad) end))[0])[0]"""
     model = one.withColumn("model", F.expr(f"aggregate(sequence(1, {ITERATIONS}), {start}, (m, round) -> {step})"))
     return model.select("model", F.inline("p")).select("pattern", F.expr(good("model", "v")).alias("p_good"))
 
@@ -134,10 +138,10 @@ def _sql() -> str:
         return f"select {', '.join(names)}, n, l1 / (l0 + l1) as g from (select p.*, {like(0)} as l0, {like(1)} as l1 from patterns p cross join model{k})"
 
     for k in range(ITERATIONS):
-        sums = [f"(sum(n * g) + {PRIOR_DOCS * START_GOOD}) / (sum(n) + {PRIOR_DOCS}) as m0"]
+        sums = [f"(sum(n * g) + {START_GOOD} * sum(n) * {PRIOR_SHARE}) / (sum(n) + sum(n) * {PRIOR_SHARE}) as m0"]
         for i, start in enumerate(_start()[1:]):
             w = "n * g" if i // 3 % 2 else "n * (1 - g)"
-            sums.append(f"(coalesce(sum({w}) filter (where v{i // 6} = {i % 3}), 0) + {PRIOR_DOCS * start}) / (sum({w}) + {PRIOR_DOCS}) as m{i + 1}")
+            sums.append(f"(coalesce(sum({w}) filter (where v{i // 6} = {i % 3}), 0) + {start} * sum(n) * {PRIOR_SHARE}) / (sum({w}) + sum(n) * {PRIOR_SHARE}) as m{i + 1}")
         ctes += [f"post{k} as ({post(k)})", f"model{k + 1} as (select {', '.join(sums)} from post{k})"]
     chain = ",\n".join(ctes)
     ws = r"\x20\x09-\x0D"
@@ -146,13 +150,14 @@ w as (select r, unnest(regexp_extract_all(text, '[^{ws}]+')) as word, generate_s
 g as (select r, i, word, lead(word, 1) over o as b, lead(word, 2) over o as c from w window o as (partition by r order by i)),
 again as (select r, i from (select r, i, count(*) over (partition by r, word, b, c) as k from g where c is not null) where k > 1),
 hit as (select r, count(distinct i) as n from (select r, i from again union all select r, i + 1 from again union all select r, i + 2 from again) group by r),
-per as (select r, count(*) as n_words, sum(length(word)) as word_chars from w group by r),
+per as (select r, count(*) as n_words, sum(length(word)) as word_chars, count(distinct word) as n_distinct, count(*) filter (where not regexp_matches(word, '\\p{{L}}')) as n_bare_words from w group by r),
 l as (select r, line, count(*) as k from (select r, unnest(string_split(text, chr(10))) as line from texts) where regexp_matches(line, '[^{ws}]') group by r, line),
 ls as (select r, sum(k) as n_lines, sum(k - 1) as n_dup_lines from l group by r),
 m as (
   select doc_id, coalesce(n_words, 0) as n_words, coalesce(word_chars, 0) as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols,
     coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(hit.n, 0) as n_repeat_words,
-    len(regexp_extract_all(text, '\\p{{Lu}}')) as n_upper, len(regexp_extract_all(text, '!')) as n_bangs
+    coalesce(n_distinct, 0) as n_distinct, coalesce(n_bare_words, 0) as n_bare_words,
+    len(regexp_extract_all(text, '[^\\p{{L}}\\p{{M}}\\p{{N}}{ws}]')) as n_marks, len(regexp_extract_all(text, '\\p{{Lu}}')) as n_upper, len(regexp_extract_all(text, '!')) as n_bangs
   from texts left join per using (r) left join ls using (r) left join hit using (r)),
 voted as (select *, {BASE_FAILED} as base_failed, {votes} from m),
 patterns as (select {', '.join(names)}, count(*) as n from voted group by {', '.join(names)}),
