@@ -1,4 +1,4 @@
 """The queries of this package and their SQL twins."""
 
-from lexanchor.llm import exact_dedup, language, mixing, near_dedup, packing, quality, token_files  # noqa: F401  registers their queries
+from lexanchor.llm import exact_dedup, language, mixing, near_dedup, packing, quality, token_files, url_filter  # noqa: F401  registers their queries
 from lexanchor.llm.common import ORACLE, QUERIES  # noqa: F401
