@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexanchor.llm.common import table, written
+from lexanchor.llm.common import ship, table, written
 from lexanchor.llm.exact_dedup import drop_exact_duplicates
 from lexanchor.llm.mixing import mixed_documents
 from lexanchor.llm.near_dedup import drop_near_duplicates
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(ship(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

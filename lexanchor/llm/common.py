@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +20,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, once for each application, so that tasks can import it from anywhere."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        if package.is_dir():  # otherwise it was shipped itself
+            sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='ship-')}/{package.name}", "zip", package.parent, package.name))
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Registers ``fn(spark, sf_dir)`` and, where SQL can express it, its SQL twin."""
 
     def add(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(ship(spark), sf_dir)
         if sql is not None:
             ORACLE[name] = sql
         return fn
