@@ -184,7 +184,7 @@ select 'ev-'||cast(event_id as string) as event_id,
   case event_type when 'view' then '{{"from_state":"distribuida","to_state":'||case when k%10=0 then 'null'
       when k%3=0 then '"pautada"' when k%3=1 then '"julgada"' else '"transitada"' end||'}}'
     when 'signup' then '{{}}' else {_JUDGMENT} end as payload,
-  case when event_id%10=0 then null else 'ev-'||cast(event_id - 1 - (event_id%10)%2 * (case when event_id%10>1 then 1 else 0 end) as string) end as causation_id,
+  case when event_id%10=0 then null when event_id%47=5 then 'ev-lost-'||cast(event_id as string) else 'ev-'||cast(event_id - 1 - (event_id%10)%2 * (case when event_id%10>1 then 1 else 0 end) as string) end as causation_id,
   ts as occurred_at, ts + interval 1 days as recorded_at
 from @event_keys@ e"""
     d["roles"] = f"""
@@ -311,8 +311,8 @@ select page_id, url, '<div class="processo-classe"> ADI </div><div class="proces
 from @pages@"""
     d["dedup_blocks"] = """
 select doc_id as block_id, 'cf-1988-art-'||cast(1 + doc_id%3 as string) as anchor_slug, lang as editorial_marker, text as block_text from @documents@"""
-    d["plates"] = "select vec_id, embedding from @embeddings@ where vec_id < 50"
-    d["vectors"] = "select vec_id, embedding, label from @embeddings@ where vec_id >= 50"
+    d["plates"] = "select vec_id, embedding from @embeddings@ where vec_id % 10 = 0"
+    d["vectors"] = "select vec_id, embedding, label from @embeddings@ where vec_id % 10 <> 0"
     return d
 
 
@@ -344,15 +344,10 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(parts)
 
 
+#: Text inputs that hold all their rows in few splits, as the small test files do.
 TEXT_TABLES = {"order_texts", "event_keys", "documents", "pages"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Texts of an input with fewer splits than cores, dealt out to all cores; other inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+#: Session setting with the number of partitions text inputs are dealt to; unset, they stay as they are read.
+TEXT_PARTITIONS = "spark.lexanchor.textPartitions"
 
 
 class Corpus:
@@ -371,8 +366,9 @@ class Corpus:
                 self._cache[name] = self.spark.sql(sql, **{u: self.table(u) for u in used})
             else:
                 self._cache[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-            if name in TEXT_TABLES:
-                self._cache[name] = spread(self._cache[name])
+            wanted = self.spark.conf.get(TEXT_PARTITIONS, "")
+            if wanted and name in TEXT_TABLES:
+                self._cache[name] = self._cache[name].repartition(int(wanted))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:

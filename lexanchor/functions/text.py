@@ -301,9 +301,11 @@ def link_summary(c) -> Column:
 
 
 # ---------------------------------------------------------------------- vectors
-def truncate_for_model(c, limit: int = 24000) -> Column:
-    """Embedding input of one chunk: the model takes at most ``limit`` characters."""
-    return F.substring(F.coalesce(col(c), F.lit("")), 1, limit)
+def pieces_for_model(c, limit: int = 24000) -> Column:
+    """Embedding inputs of one text: consecutive pieces of at most ``limit`` characters, one at least."""
+    text = F.coalesce(col(c), F.lit(""))
+    last = F.greatest(F.floor((F.length(text) - 1) / limit), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substr(text, i * limit + 1, F.lit(limit)))
 
 
 def token_estimate(c) -> Column:

@@ -23,9 +23,11 @@ def parent_links(e: DataFrame) -> DataFrame:
 
 
 def ancestor_closure(links: DataFrame) -> DataFrame:
-    """Every (node, ancestor, distance) of a (node, parent) table."""
+    """Every (node, ancestor, distance) of a (node, parent) table; a cycle is reported as soon as a node meets itself."""
     known = cut(links.select("node", F.col("parent").alias("ancestor"), F.lit(1).alias("distance")))
-    total, reach = known.count(), 1
+    reach = 1
+    if not known.filter("node = ancestor").isEmpty():
+        raise ValueError("parent links form a cycle")
     while True:
         edge = known.filter(F.col("distance") == reach)
         up = known.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("next"), F.col("distance").alias("d"))
@@ -33,21 +35,26 @@ def ancestor_closure(links: DataFrame) -> DataFrame:
         more = cut(more)
         if more.isEmpty():
             return known
-        if reach > total:
+        if not more.filter("node = ancestor").isEmpty():
             raise ValueError("parent links form a cycle")
         known, reach = known.unionByName(more), reach * 2
 
 
 def chain_roots(nodes: DataFrame, key: str, parent: str) -> DataFrame:
-    """Root and number of links of each node, by pointer jumping; finished nodes leave the joins."""
-    live = cut(nodes.select(key, F.col(parent).alias("up"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("links")))
+    """Root and number of links of each node, by pointer jumping; finished nodes leave the joins.
+
+    A node whose parent is not in the table is a root itself.
+    """
+    there = nodes.select(F.col(key).alias("up"), F.lit(True).alias("seen"))
+    known = nodes.select(key, F.col(parent).alias("up")).join(there, "up", "left").withColumn("up", F.when(F.col("seen"), F.col("up")))
+    live = cut(known.select(key, "up", F.when(F.col("up").isNull(), 0).otherwise(1).alias("links")))
     table, done, covered, total = live, None, 1, live.count()
     while True:
-        # a pointer that leads nowhere (no parent, or a parent outside the table) has found its root
+        # a pointer that leads nowhere has found its root
         step = live.filter(F.col("up").isNotNull()).join(
-            table.select(F.col(key).alias("up"), F.col("up").alias("next"), F.col("links").alias("more"), F.lit(True).alias("seen")), "up", "left")
+            table.select(F.col(key).alias("up"), F.col("up").alias("next"), F.col("links").alias("more")), "up", "left")
         ended = live.filter(F.col("up").isNull()).select(key, F.col(key).alias("root"), "links")
-        step = cut(step.select(key, "up", "next", "links", "more", "seen"))
+        step = cut(step.select(key, "up", "next", "links", "more"))
         found = step.filter(F.col("next").isNull()).select(key, F.col("up").alias("root"), "links")
         ended = ended.unionByName(found)
         done = ended if done is None else done.unionByName(ended)

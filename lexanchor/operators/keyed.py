@@ -54,18 +54,20 @@ def segmented_scan(
     counts: Mapping[str, Column] | None = None,
     prev: Mapping[str, Column] | None = None,
     descending: bool = False,
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Running values per key (keys must not be NULL).
 
     ``fills``: last non-null value up to and including the row; ``counts``: number of
-    true flags up to and including the row; ``prev``: value on the row before.
+    true flags up to and including the row; ``sums``: running totals of numbers; ``prev``: value
+    on the row before.
     ``segment`` must not decrease along ``order``; the name of an existing column lets
     several scans in a row share one shuffle. With ``descending`` the scan runs
     backwards, which turns ``prev`` into "the row after".
     """
-    fills, counts, prev = fills or {}, counts or {}, prev or {}
+    fills, counts, prev, sums = fills or {}, counts or {}, prev or {}, sums or {}
     seg = segment if isinstance(segment, str) else "__seg"
-    direct = {f"__v_{n}": c for n, c in {**fills, **counts}.items()}
+    direct = {f"__v_{n}": c for n, c in {**fills, **counts, **sums}.items()}
     direct.update({f"__v_{n}": F.struct(c.alias("v")) for n, c in prev.items()})
     base = df.withColumns(direct if isinstance(segment, str) else {seg: segment, **direct})
     by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
@@ -77,6 +79,7 @@ def segmented_scan(
     summary = base.groupBy(*keys, seg).agg(
         *[pick(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), at)).alias(f"__c_{n}") for n in fills],
         *[F.count_if(F.col(f"__v_{n}")).alias(f"__c_{n}") for n in counts],
+        *[F.sum(f"__v_{n}").alias(f"__c_{n}") for n in sums],
         *[pick(f"__v_{n}", at).alias(f"__c_{n}") for n in prev],
     )
     seg_order = F.col(seg).desc() if descending else F.col(seg).asc()
@@ -84,17 +87,18 @@ def segmented_scan(
     carry = summary.select(
         *keys, seg,
         *[F.last(f"__c_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in {**fills, **prev}],
-        *[F.coalesce(F.sum(f"__c_{n}").over(before), F.lit(0)).alias(f"__c_{n}") for n in counts],
+        *[F.coalesce(F.sum(f"__c_{n}").over(before), F.lit(0)).alias(f"__c_{n}") for n in {**counts, **sums}],
     )
     local = base.withColumns({
         **{f"__l_{n}": F.last(f"__v_{n}", ignorenulls=True).over(upto) for n in fills},
         **{f"__l_{n}": F.count_if(F.col(f"__v_{n}")).over(upto) for n in counts},
+        **{f"__l_{n}": F.coalesce(F.sum(f"__v_{n}").over(upto), F.lit(0)) for n in sums},
         **{f"__l_{n}": F.lag(f"__v_{n}").over(inner) for n in prev},
     })
     return local.join(carry, [*keys, seg], "left").select(
         *df.columns,
         *[F.coalesce(f"__l_{n}", f"__c_{n}").alias(n) for n in fills],
-        *[(F.col(f"__l_{n}") + F.coalesce(f"__c_{n}", F.lit(0))).alias(n) for n in counts],
+        *[(F.col(f"__l_{n}") + F.coalesce(f"__c_{n}", F.lit(0))).alias(n) for n in {**counts, **sums}],
         *[F.coalesce(f"__l_{n}", f"__c_{n}")["v"].alias(n) for n in prev],
     )
 

@@ -13,6 +13,9 @@ PROFILE_KEYS = {
 }
 RATES = {"procedencia_rate": "procedente", "modulacao_rate": "modulated", "contencao_rate": "contained", "expansao_rate": "expansive"}
 
+#: Months of a period; a week has seven days instead.
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
 
 def learn_profiles(ev: DataFrame, e: DataFrame, period: str = "month") -> DataFrame:
     """Profile rows of the five kinds per target and period: sample size and rates."""
@@ -32,7 +35,7 @@ def learn_profiles(ev: DataFrame, e: DataFrame, period: str = "month") -> DataFr
     rates = {r: F.round(F.col(m) / F.col("n"), 6) for r, m in RATES.items()}
     return p.select(
         F.md5(F.concat_ws("|", "profile_type", "target_slug", F.col("period_start").cast("string"))).alias("profile_id"), "profile_type", "target_slug",
-        "period_start", F.last_day("period_start").alias("period_end") if period == "month" else F.col("period_start").alias("period_end"),
+        "period_start", (F.date_sub(F.add_months("period_start", MONTHS[period]), 1) if period in MONTHS else F.date_add("period_start", 6)).alias("period_end"),
         F.col("n").alias("sample_size"), *[c.alias(r) for r, c in rates.items()], F.lit("proposed").alias("status"))
 
 

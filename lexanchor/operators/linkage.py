@@ -113,7 +113,8 @@ def candidates(b: DataFrame) -> DataFrame:
             found = F.transform(found, F.upper if mode == "U" else F.lower)
         groups.append(F.flatten(F.transform(found, _written(templates))))
     x = x.select("block_id", "expected", "article", F.posexplode_outer(F.array_distinct(F.concat(*groups))).alias("ord", "candidate"))
-    return x.withColumn("norm", T.norm_key("candidate"))
+    # texts that differ only in case or accents are one candidate, the first
+    return first_per_key(x.withColumn("norm", T.norm_key("candidate")), ["block_id", "norm"], [F.col("ord").asc()])
 
 
 def score_lookup(idx: DataFrame) -> DataFrame:

@@ -60,17 +60,18 @@ def truth_keys(truth: DataFrame, key: Callable, size: int, min_length: int, tie:
 
 def reconcile_prefix(
     b: DataFrame, truth: DataFrame, lengths: Sequence[int], key: Callable = T.word_key, min_length: int = 1,
-    full_prefix: bool = True, tie: str = "first", any_shorter: tuple[int, int] | None = None,
+    full_prefix: bool = True, tie: str = "first", any_shorter: tuple[int, int] | None = None, truth_min: int | None = None,
 ) -> DataFrame:
     """Official article of each block by the longest shared key prefix, and the slug it implies.
 
     Every length is one lookup level, all joined at once on (level, prefix); the
     longest level wins. ``full_prefix`` asks keys to be as long as the level.
     ``any_shorter=(low, high)`` adds exact lookups for block keys of low..high-1
-    characters that open a longer official key.
+    characters that open a longer official key. ``truth_min`` is the least length of
+    official keys where it is not that of block keys.
     """
     top = max(lengths)
-    keys = truth_keys(truth, key, top, min_length, tie)
+    keys = truth_keys(truth, key, top, min_length if truth_min is None else truth_min, tie)
 
     def levels(df: DataFrame, *keep: str) -> DataFrame:
         rows = []
@@ -116,7 +117,7 @@ def reconcile_ascii(b, truth):
 
 def fix_boundaries(b, truth):
     """Fix log on 100-character keys with a 60-character fallback; the last equal official key counts."""
-    return reconcile_prefix(b, truth, [100, 60], key=T.boundary_key, min_length=21, tie="last", full_prefix=False, any_shorter=(21, 60))
+    return reconcile_prefix(b, truth, [100, 60], key=T.boundary_key, min_length=20, tie="last", full_prefix=False, any_shorter=(20, 60), truth_min=21)
 
 
 def fix_patterns(log: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,21 +13,24 @@ from lexanchor.operators.blocks import filled
 from lexanchor.operators.keyed import position_segment, segmented_scan
 from lexanchor.sources.tables import new_rows
 
-TILE_BYTES = 64 * 1024 * 1024
+#: Bytes of the plates of a tile, decisions of a block, and scores that a task holds at once.
+TILE_BYTES, BLOCK_ROWS, SCORES = 16 * 1024 * 1024, 16384, 1 << 22
 
 
 # --------------------------------------------------------------------- chunks
-def build_chunks(b: DataFrame, page_size: int = 2000) -> DataFrame:
-    """One chunk per device: its decisions in date order (undated last).
+def build_chunks(b: DataFrame, page_chars: int = 24000) -> DataFrame:
+    """Chunks per device: its decisions in date order (undated last), paged by characters.
 
-    A device with more than ``page_size`` decisions continues in further chunks.
+    A page starts anew after every ``page_chars`` characters, so a group holds that much
+    and one more decision; nothing is cut.
     """
     iso = F.coalesce(T.norm_date("julgamento_data"), F.lit("9999-99-99"))
     x = b.filter(filled("anchor_slug") & filled("block_text")).select("anchor_slug", "block_id", iso.alias("iso"), "block_text")
     day = F.replace("iso", F.lit("-"), F.lit("")).cast("bigint")
     seg = F.when(F.col("iso") < "9999", day).otherwise(day + position_segment("block_id"))
-    x = segmented_scan(x, ["anchor_slug"], ["iso", "block_id"], seg, counts={"__i": F.lit(True)})
-    x = x.withColumn("chunk_index", F.floor((F.col("__i") - 1) / page_size).cast("int"))
+    own = F.length("block_text") + 1
+    x = segmented_scan(x, ["anchor_slug"], ["iso", "block_id"], seg, sums={"__end": own})
+    x = x.withColumn("chunk_index", F.floor((F.col("__end") - own) / page_chars).cast("int"))
     parts = F.array_sort(F.collect_list(F.struct("iso", "block_id", "block_text")))
     c = x.groupBy("anchor_slug", "chunk_index").agg(
         F.array_join(F.transform(parts, lambda p: p["block_text"]), "\n").alias("chunk_text"), F.count("*").alias("units"),
@@ -44,9 +47,10 @@ def pending_chunks(chunks: DataFrame, emb: DataFrame, model: str) -> DataFrame:
     return chunks.filter(filled("chunk_text")).join(have, "chunk_slug", "left_anti")
 
 
-def embedding_worklist(chunks: DataFrame, emb: DataFrame, model: str) -> DataFrame:
-    """Inputs to embed, cut to what the model accepts."""
-    return pending_chunks(chunks, emb, model).select("chunk_slug", T.truncate_for_model("chunk_text").alias("input"), "token_estimate")
+def embedding_worklist(chunks: DataFrame, emb: DataFrame, model: str, limit: int = 24000) -> DataFrame:
+    """Inputs to embed: consecutive pieces of each chunk of the size that the model accepts."""
+    p = pending_chunks(chunks, emb, model).select("chunk_slug", F.posexplode(T.pieces_for_model("chunk_text", limit)).alias("piece", "input"))
+    return p.withColumn("token_estimate", T.token_estimate("input"))
 
 
 def embedding_budget(chunks: DataFrame, price_per_million: float = 0.02) -> DataFrame:
@@ -60,59 +64,58 @@ def accept_vectors(vectors: DataFrame, target: DataFrame, dim: int) -> DataFrame
 
 
 # ----------------------------------------------------------------- allocation
-def _tiles(plates: DataFrame, key: str, vector: str, tile_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Plates as unit vectors in tiles of a fixed size limit, fetched one tile at a time."""
-    size = plates.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
-    n, d = size["n"], size["d"] or 1
-    tiles = max(1, -(-n * d * 8 // tile_bytes))
-    for i in range(tiles):
-        part = plates if tiles == 1 else plates.filter(F.pmod(F.xxhash64(key), F.lit(tiles)) == i)
-        pdf = part.select(key, vector).toPandas()
-        if len(pdf):
-            m = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-            norm = np.linalg.norm(m, axis=1, keepdims=True)
-            yield pdf[key].to_numpy(), m / np.where(norm == 0, 1, norm)
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
+    m = np.stack(vectors.to_numpy()).astype(np.float64)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0, 1, norm)
+
+
+def _best(k: int, key: str, vector: str):
+    """The k best plates of a tile for each decision of a block; scores are made for few rows at a time."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({key: left[key].iloc[:0], "plate": right["plate"].iloc[:0], "score": np.zeros(0)})
+        right = right.sort_values("plate", ignore_index=True)
+        names, m, top = right["plate"].to_numpy(), _unit_rows(right["plate_vector"]), min(k, len(right))
+        step = max(1, SCORES // len(names))
+        out = []
+        for at in range(0, len(left), step):
+            part = left.iloc[at:at + step]
+            s = np.round(_unit_rows(part[vector]) @ m.T, 9)
+            least = np.partition(s, len(names) - top, axis=1)[:, len(names) - top, None]
+            row, col = np.nonzero(s >= least)  # ties at the limit included, in the order of the plates
+            order = np.lexsort((col, -s[row, col], row))
+            row, col = row[order], col[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            row, col = row[rank < top], col[rank < top]
+            out.append(pd.DataFrame({key: part[key].to_numpy()[row], "plate": names[col], "score": s[row, col]}))
+        return pd.concat(out, ignore_index=True)
+
+    return run
 
 
 def nearest_plates(
-    decisions: DataFrame, plates: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", tile_bytes: int = TILE_BYTES,
+    decisions: DataFrame, plates: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding",
+    block_rows: int = BLOCK_ROWS, tile_bytes: int = TILE_BYTES,
 ) -> DataFrame:
-    """The k plates of highest cosine for each decision, with rank.
+    """The k plates of highest cosine for each decision, with rank; any number of plates is exact.
 
-    Plates are read in tiles of at most ``tile_bytes``. Each tile goes to the tasks
-    once and meets the decisions in one Arrow matrix product without a shuffle; with
-    several tiles the k best of each are merged, so any number of plates is exact.
+    Decisions are dealt to blocks and plates to tiles of bounded size by a hash; every block
+    meets every tile in one task as a matrix product, and the k best of each tile are
+    merged. Vectors that are missing or of another size than most plates' take no part.
     """
-    spark = decisions.sparkSession
-    ident = decisions.schema[key].dataType.simpleString()
-    schema = f"{key} {ident}, plate {plates.schema[key].dataType.simpleString()}, score double"
-    parts = []
-    for ids, matrix in _tiles(plates, key, vector, tile_bytes):
-        tile = spark.sparkContext.broadcast((ids, matrix))
-
-        def score(batches: Iterator[pd.DataFrame], tile=tile) -> Iterator[pd.DataFrame]:
-            names, m = tile.value
-            top = min(k, len(names))
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-                norm = np.linalg.norm(v, axis=1, keepdims=True)
-                s = np.round((v / np.where(norm == 0, 1, norm)) @ m.T, 9)
-                order = np.lexsort((np.broadcast_to(names, s.shape), -s), axis=1)[:, :top]
-                rows = np.repeat(np.arange(len(pdf)), top)
-                yield pd.DataFrame({
-                    key: pdf[key].to_numpy()[rows], "plate": names[order.ravel()], "score": np.take_along_axis(s, order, 1).ravel()})
-
-        parts.append(decisions.select(key, vector).mapInPandas(score, schema))
-    if not parts:
-        return spark.createDataFrame([], schema + ", rank int")
-    if len(parts) == 1:
-        best = parts[0]
-    else:
-        best = parts[0]
-        for p in parts[1:]:
-            best = best.unionByName(p)
+    size = plates.filter(F.col(vector).isNotNull()).agg(F.count("*").alias("n"), F.mode(F.size(vector)).alias("d")).first()
+    dim = size["d"] or 0
+    usable = F.col(vector).isNotNull() & (F.size(vector) == dim)
+    ours, theirs = decisions.filter(usable).select(key, vector), plates.filter(usable)
+    tiles = max(1, -(-size["n"] * dim * 8 // tile_bytes))
+    blocks = max(1, -(-ours.count() // block_rows))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    d = ours.withColumn("b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).withColumn("t", spread(tiles))
+    p = theirs.select(F.col(key).alias("plate"), F.col(vector).alias("plate_vector"), F.pmod(F.xxhash64(key), F.lit(tiles)).cast("int").alias("t")).withColumn("b", spread(blocks))
+    schema = f"{key} {decisions.schema[key].dataType.simpleString()}, plate {plates.schema[key].dataType.simpleString()}, score double"
+    best = d.groupBy("b", "t").cogroup(p.groupBy("b", "t")).applyInPandas(_best(k, key, vector), schema)
     # at most k rows per tile and decision
     per = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "plate"))).alias("all"))
     return per.select(key, F.posexplode(F.slice("all", 1, k)).alias("i", "x")).select(
@@ -120,12 +123,14 @@ def nearest_plates(
 
 
 def allocate(decisions: DataFrame, plates: DataFrame, k: int = 5, tau: float = 0.75, **kw) -> tuple[DataFrame, DataFrame]:
-    """Allocations at or above the threshold, and the queue of decisions without any."""
+    """Allocations at or above the threshold, and the queue: all decisions without any, with the reason."""
     near = nearest_plates(decisions, plates, k, **kw)
-    key = kw.get("key", "vec_id")
+    key, vector = kw.get("key", "vec_id"), kw.get("vector", "embedding")
     good = near.filter(F.col("score") >= tau)
-    queue = near.filter((F.col("rank") == 1) & (F.col("score") < tau)).select(key, F.col("score").alias("best_score"))
-    return good, queue
+    first = near.filter(F.col("rank") == 1).select(key, F.col("score").alias("best_score"))
+    reason = F.when(F.col(vector).isNull(), "no vector").when(F.col("best_score").isNull(), "no comparable plate").otherwise("below threshold")
+    queue = decisions.select(key, vector).join(first, key, "left").filter(F.col("best_score").isNull() | (F.col("best_score") < tau))
+    return good, queue.select(key, "best_score", reason.alias("reason"))
 
 
 def _literal(vector: Sequence[float]) -> Column:

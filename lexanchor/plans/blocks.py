@@ -260,10 +260,9 @@ def _(x):
     return B.stratified_sample(x.blocks, "editorial_marker", 10, 7).select("editorial_marker", "block_id")
 
 
-@query("win4_renumber", needs=("blocks",), sql="select block_id, row_number() over (order by block_id) as row_id from fx_blocks where block_id%3 <> 0")
+@query("win4_renumber", needs=("blocks",), sql="select block_id, row_number() over (order by block_id) as row_id from fx_blocks")
 def _(x):
-    b = x.blocks.filter("block_id % 3 <> 0").select("block_id")
-    return B.renumber(b, ["block_id"], B.position_segment("block_id", 1000))
+    return B.renumber(x.blocks.select("block_id"), ["block_id"], B.position_segment("block_id", 1000))
 
 
 MRANK = "case editorial_marker " + " ".join(f"when '{k}' then {v}" for k, v in V.MARKER_RANK.items()) + f" else {V.MARKER_RANK_DEFAULT} end"

@@ -118,11 +118,11 @@ def _(x):
 @query("vec1_build_chunks", needs=("blocks",), ctes=RESOLVED + """,
 ck0 as (select *, try_cast(nullif(regexp_extract(julgamento_data, '^([0-9]+)-([0-9]+)-([0-9]+)$', 3), '') as int) as y, regexp_extract(julgamento_data, '^([0-9]+)-([0-9]+)-([0-9]+)$', 2) as m, regexp_extract(julgamento_data, '^([0-9]+)-([0-9]+)-([0-9]+)$', 1) as d from rb where anchor_slug <> '' and block_text <> ''),
 ck1 as (select *, case when y between 1988 and 2026 then y||'-'||lpad(m, 2, '0')||'-'||lpad(d, 2, '0') else '9999-99-99' end as iso from ck0),
-ck2 as (select *, (row_number() over (partition by anchor_slug order by iso, block_id) - 1) // 25 as ix from ck1)""", sql="""
+ck2 as (select *, (sum(length(block_text) + 1) over (partition by anchor_slug order by iso, block_id) - length(block_text) - 1) // 4000 as ix from ck1)""", sql="""
 select anchor_slug||'/'||ix as chunk_slug, anchor_slug, ix as chunk_index, count(*) as units, min(case when iso < '9999' then iso end) as first_date, md5(string_agg(block_text, chr(10) order by iso, block_id)) as hash_chunk,
  ceil(length(string_agg(block_text, chr(10) order by iso, block_id)) / 4.0)::int as token_estimate from ck2 group by 2, 3""")
 def _(x):
-    return VE.build_chunks(B.resolve_blocks(x.blocks), page_size=25).select("chunk_slug", "anchor_slug", "chunk_index", "units", "first_date", "hash_chunk", "token_estimate")
+    return VE.build_chunks(B.resolve_blocks(x.blocks), page_chars=4000).select("chunk_slug", "anchor_slug", "chunk_index", "units", "first_date", "hash_chunk", "token_estimate")
 
 
 def _chunks(x):
@@ -139,7 +139,8 @@ def _(x):
 
 
 @query("vec2_embedding_worklist", sql="""
-select 'c-'||doc_id as chunk_slug, md5(substr(text, 1, 24000)) as input, ceil(length(text) / 4.0)::int as token_estimate from documents where text <> '' and not (doc_id%3=0 and doc_id%2=0)""")
+select chunk_slug, piece, md5(substr(text, piece * 24000 + 1, 24000)) as input, ceil(length(substr(text, piece * 24000 + 1, 24000)) / 4.0)::int as token_estimate
+from (select 'c-'||doc_id as chunk_slug, text, unnest(range(0, ceil(length(text) / 24000.0)::bigint))::int as piece from documents where text <> '' and not (doc_id%3=0 and doc_id%2=0))""")
 def _(x):
     c, e = _chunks(x)
     return VE.embedding_worklist(c, e, "m1").withColumn("input", F.md5("input"))
@@ -176,9 +177,13 @@ def _(x):
     return VE.allocate(x.vectors, x.plates, tau=0.3)[0].select("vec_id", "plate", "rank")
 
 
-@query("vec3_queue", needs=("vectors", "plates"), ctes=COS, sql="select vec_id, round(score, 6) as best_score from nr where rank = 1 and score < 0.3")
+@query("vec3_queue", needs=("vectors", "plates"), ctes=COS, sql="""
+select vec_id, case when vec_id % 7 <> 3 then round(score, 6) end as best_score, case when vec_id % 7 = 3 then 'no vector' else 'below threshold' end as reason
+from nr where rank = 1 and (score < 0.3 or vec_id % 7 = 3)""")
 def _(x):
-    return VE.allocate(x.vectors, x.plates, tau=0.3)[1].withColumn("best_score", F.round("best_score", 6))
+    """Every seventh decision has no vector."""
+    v = x.vectors.withColumn("embedding", F.when(F.col("vec_id") % 7 != 3, F.col("embedding")))
+    return VE.allocate(v, x.plates, tau=0.3)[1].withColumn("best_score", F.round("best_score", 6))
 
 
 PROBE = [round(((i * 37) % 19 - 9) / 10, 1) for i in range(64)]
@@ -259,6 +264,12 @@ def _(x):
     return LN.learn_profiles(x.log, x.edges)
 
 
+@query("lrn1_learn_profiles_week", needs=("log", "edges"), ctes=profiles_sql("week"), sql=f"""
+select profile_type, target_slug, strftime(period_start, '%Y-%m-%d') as period_start, strftime(period_start + interval 6 days, '%Y-%m-%d') as period_end, sample_size, {RCOLS} from pf""")
+def _(x):
+    return LN.learn_profiles(x.log, x.edges, "week").select("profile_type", "target_slug", "period_start", "period_end", "sample_size", *_M)
+
+
 @query("win13_profile_drift", needs=("log", "edges"), ctes=profiles_sql("week"), sql=f"select profile_type, target_slug, strftime(period_start, '%Y-%m-%d') as period_start, {', '.join(r + '_drift' for r in _M)} from df")
 def _(x):
     return LN.profile_drift(LN.learn_profiles(x.log, x.edges, "week")).select("profile_type", "target_slug", "period_start", *[f"{r}_drift" for r in _M])

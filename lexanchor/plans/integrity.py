@@ -7,6 +7,7 @@ from lexanchor.functions import text as T
 from lexanchor.operators import blocks as B, integrity as I, reconcile as R
 from lexanchor.plans.registry import query, ts
 from lexanchor.plans.sqltext import RESOLVED, lit, norm_key, strip_accents, sub
+from lexanchor.session import scratch
 from lexanchor.sources import tables as S
 
 
@@ -185,11 +186,11 @@ ASCII = "substr(" + sub(sub(f"trim(lower({strip_accents(_markup('text'))}))", V.
 BOUND = f"lower(trim({sub(_markup('text'), chr(92) + 's+', ' ')}))"
 
 
-def _rec_sql(key, lengths, min_len, full, last=False, short=False):
+def _rec_sql(key, lengths, min_len, full, last=False, short=False, truth_min=None):
     agg = "max_by" if last else "min_by"
     top = max(lengths)
     parts = [f"""ks as (select *, substr({key}, 1, {top}) as key from (select *, text from documents)),
-tk as (select key, min(doc_id) as first_pos, {agg}((doc_id % 40 + 1)::int, doc_id) as article from ks where doc_id % 2 = 0 and length(key) >= {min_len} group by key),
+tk as (select key, min(doc_id) as first_pos, {agg}((doc_id % 40 + 1)::int, doc_id) as article from ks where doc_id % 2 = 0 and length(key) >= {truth_min or min_len} group by key),
 ours as (select doc_id as block_id, ((doc_id // 2) % 40 + 1)::int as our_article, text, key from ks where doc_id % 2 = 1)"""]
     picks = []
     for i, n in enumerate(lengths):
@@ -218,7 +219,7 @@ def _rec(name, fn, *spec, **kw):
 _rec("rec1_reconcile_80_50", R.reconcile_80_50, WORD, [80, 50], 21, False)
 _rec("rec2_reconcile_cascade", R.reconcile_cascade, WORD_CUT, [100, 80, 60, 40], 1, True)
 _rec("rec3_reconcile_ascii", R.reconcile_ascii, ASCII, [80, 60, 40], 30, False)
-_rec("rec4_fix_boundaries", R.fix_boundaries, BOUND, [100, 60], 21, False, last=True, short=True)
+_rec("rec4_fix_boundaries", R.fix_boundaries, BOUND, [100, 60], 20, False, last=True, short=True, truth_min=21)
 
 
 def _sides(x):
@@ -309,16 +310,68 @@ def _(x):
 
 
 # ------------------------------------------------------------- table maintenance
-@query("src7_append_new", sql="select o_orderkey, o_custkey from orders where o_orderkey%3=0 and not (o_orderkey%2=0)")
+@query("src7_append_new", sql="select o_orderkey, case when o_orderkey%2=0 then o_custkey else -o_custkey end as o_custkey from orders")
 def _(x):
+    """A table of half the orders takes all orders, twice: rows that are there stay, the second run adds nothing."""
     o = x.orders.select("o_orderkey", "o_custkey")
-    return S.new_rows(o.filter("o_orderkey % 3 = 0"), o.filter("o_orderkey % 2 = 0"), ["o_orderkey"])
+    path = scratch(x.spark, "append-new")
+    o.filter("o_orderkey % 2 = 0").write.parquet(path)
+    for _ in range(2):
+        S.append_new(o.withColumn("o_custkey", -F.col("o_custkey")), path, ["o_orderkey"])
+    return x.spark.read.parquet(path)
 
 
-@query("src8_upsert", sql="select o_orderkey, case when o_orderkey%3=0 then 'Z' else o_orderstatus end as o_orderstatus from orders where o_orderkey%2=0 or o_orderkey%3=0")
+@query("src8_upsert", sql="select o_orderkey, case when o_orderkey%3<>1 then 'Z' else o_orderstatus end as o_orderstatus from orders")
 def _(x):
     o = x.orders.select("o_orderkey", "o_orderstatus")
-    return S.upsert(o.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("Z")), o.filter("o_orderkey % 2 = 0"), ["o_orderkey"])
+    return S.upsert(o.filter("o_orderkey % 3 <> 1").withColumn("o_orderstatus", F.lit("Z")), o.filter("o_orderkey % 3 <> 2"), ["o_orderkey"])
+
+
+# --------------------------------------------------------------- readers and writers
+@query("src1_read_tsv", sql="select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, cast(c_nationkey as varchar) as c_nationkey from customer")
+def _(x):
+    """Written with a byte order mark in front of the first column name, as some exports have it."""
+    path = scratch(x.spark, "tsv")
+    S.write_tsv(x.customer.select(F.col("c_custkey").alias("\ufeffc_custkey"), "c_name", "c_mktsegment", "c_nationkey"), path)
+    return S.read_tsv(x.spark, path, multiline=False)
+
+
+@query("src2_write_tsv", sql="""
+select cast(s_suppkey as varchar) as key, s_name as name, cast(null as varchar) as segment from supplier
+ union all select cast(c_custkey as varchar), null, c_mktsegment from customer""")
+def _(x):
+    """Rows with different columns in one file; what a row lacks is written as '' and read as missing."""
+    path = scratch(x.spark, "tsv")
+    S.write_tsv(S.union_all_columns(x.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")),
+                                    x.customer.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"))), path)
+    return S.read_tsv(x.spark, path, multiline=False)
+
+
+@query("src3_read_blocks_json", needs=("blocks",), sql="select block_id, nullif(anchor_slug, '') as anchor_slug, md5(block_text) as text_hash from fx_blocks")
+def _(x):
+    """Blocks written as JSON arrays, one array per file, and read back with the fixed schema."""
+    path = scratch(x.spark, "blocks-json")
+    b = x.blocks.select("block_id", F.nullif("anchor_slug", F.lit("")).alias("anchor_slug"), "block_text")
+    arrays = b.groupBy(F.floor(F.col("block_id") / 500).alias("file")).agg(F.to_json(F.collect_list(F.struct("block_id", "anchor_slug", "block_text"))).alias("value"))
+    arrays.repartition("file").write.partitionBy("file").text(path)
+    return S.read_blocks_json(x.spark, path).select("block_id", "anchor_slug", F.md5("block_text").alias("text_hash"))
+
+
+@query("src5_read_pages", sql="select page_id, url, md5(html) as html_hash from pages")
+def _(x):
+    """Pages kept as ISO-8859-1 bytes and decoded; other characters are kept as references."""
+    path = scratch(x.spark, "pages")
+    latin = F.encode(F.regexp_replace("html", "[^\\x00-\u00ff]", "?"), "ISO-8859-1")
+    x.pages.select("page_id", "url", "html", latin.alias("raw")).write.parquet(path)
+    p = S.read_pages(x.spark, path)
+    plain = ~F.col("html").rlike("[^\\x00-\u00ff]")
+    return p.select("page_id", "url", F.md5(F.when(plain, S.latin1_text("raw")).otherwise(F.col("html"))).alias("html_hash"))
+
+
+@query("src9_materialize_distribution", sql="select o_orderpriority, o_orderstatus, count(*) as n from orders group by 1, 2")
+def _(x):
+    n = x.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
+    return S.materialize(n, scratch(x.spark, "distribution"), "by_status", ["o_orderstatus"]).select("o_orderpriority", "o_orderstatus", "n")
 
 
 @query("src13_changed_only", needs=("objects",), sql="select id, hash_content from fx_objects where length(payload)%3=0 or id like '%9'")

@@ -93,9 +93,9 @@ SPEC = "case i.node_type " + " ".join(f"when '{k}' then {v}" for k, v in V.SPECI
 BONUS = "case node_type " + " ".join(f"when '{k}' then {v}" for k, v in V.TYPE_BONUS.items()) + " else 0 end"
 
 
-@query("lnk5_candidates", needs=("blocks",), ctes=CAND, sql="select block_id, expected, candidate, norm from cd")
+@query("lnk5_candidates", needs=("blocks",), ctes=CAND, sql="select distinct block_id, expected, norm from cd")
 def _(x):
-    return L.candidates(x.blocks).filter("candidate is not null").select("block_id", "expected", "candidate", "norm")
+    return L.candidates(x.blocks).filter("candidate is not null").select("block_id", "expected", "norm")
 
 
 LOOK = f"""sl as (select anchor_text_norm as norm, expected, slug, node_type, namespace, match_priority, score from (select i.*, e.expected,
@@ -330,9 +330,12 @@ def _(x):
     return B.drop_markers(x.comments.withColumn("t", T.strip_html("html")), "t").select("com_id", s["first"].alias("first"), s["all"].alias("all_links"))
 
 
-@query("fn28_truncate_for_model", sql="select doc_id, length(substr(text, 1, 24000)) as kept, ceil(length(text) / 4.0)::int as tokens from documents")
+@query("fn28_truncate_for_model", sql="""
+select doc_id, greatest(1, ceil(length(text) / 24000.0))::int as pieces, md5(text) as text_hash, ceil(length(text) / 4.0)::int as tokens from documents""")
 def _(x):
-    return x.documents.select("doc_id", F.length(T.truncate_for_model("text")).alias("kept"), T.token_estimate("text").alias("tokens"))
+    """Inputs a model accepts: consecutive pieces that give the text when joined."""
+    p = x.documents.select("doc_id", T.pieces_for_model("text").alias("p"), T.token_estimate("text").alias("tokens"))
+    return p.select("doc_id", F.size("p").alias("pieces"), F.md5(F.array_join("p", "")).alias("text_hash"), "tokens")
 
 
 @query("fn29_vector_literal", sql="select vec_id, '['||array_to_string(list_transform(embedding, lambda v: printf('%.7f', v::double)), ',')||']' as literal from embeddings")

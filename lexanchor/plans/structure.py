@@ -71,9 +71,9 @@ def _(x):
     return x.lines.select("doc_id", "pos", X.classify_abcd("text").alias("line_class"))
 
 
-@query("txt4_own_articles", needs=("lines",), sql=f"select doc_id, pos, {OWN} as own from fx_lines where text like 'Art%'")
+@query("txt4_own_articles", needs=("lines",), sql=f"select doc_id, pos, {OWN} as own from fx_lines")
 def _(x):
-    return x.lines.filter("text like 'Art%'").select("doc_id", "pos", X.is_own_article("text").alias("own"))
+    return x.lines.select("doc_id", "pos", X.is_own_article("text").alias("own"))
 
 
 @query("txt14_marker_lines", needs=("lines",), sql=f"select doc_id, pos, {MARK} as marker from fx_lines where {MARK} is not null")
@@ -226,12 +226,13 @@ def _(x):
     return X.tree_summary(_nodes(x))
 
 
-@query("agg39_article_gaps", needs=("lines",), ctes=FEATURES, sql="""
-select doc_id, v as article from (select doc_id, unnest(range(1, m + 1)) as v from (select doc_id, max(value::int) as m from f1 where kind='art' and pos%3<>0 group by 1))
-where (doc_id, v) not in (select doc_id, value::int from f1 where kind='art' and pos%3<>0)""")
+@query("agg39_article_gaps", needs=("lines",), ctes=FEATURES + ", ag as (select doc_id, value::int + value::int // 3 as a from f1 where kind='art')", sql="""
+select doc_id, v as article from (select doc_id, unnest(range(1, m + 1)) as v from (select doc_id, max(a) as m from ag group by 1)) where (doc_id, v) not in (select doc_id, a from ag)""")
 def _(x):
-    m = X.structural_marks(x.lines).filter("kind = 'art' and pos % 3 <> 0")
-    return X.article_gaps(m.select("doc_id", F.lit("artigo").alias("node_type"), F.col("value").alias("number_norm")))
+    """Article numbers are stretched, so that every fourth is missing."""
+    m = X.structural_marks(x.lines).filter("kind = 'art'")
+    number = F.expr("cast(cast(value as int) + cast(value as int) div 3 as string)")
+    return X.article_gaps(m.select("doc_id", F.lit("artigo").alias("node_type"), number.alias("number_norm")))
 
 
 @query("src12_export_tree", needs=("norm_lines",), ctes=PATHS, recursive=True, sql="""
