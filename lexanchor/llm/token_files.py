@@ -36,7 +36,6 @@ END_ID = 1
 _HEAD = struct.Struct("<4sII")
 _MAGIC = b"PFR1"
 _PAGES = "shard int, page int, start long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
-_SHIFTS = np.arange(32, dtype=np.uint32)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -44,6 +43,30 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
 
 
+def _pack_bits(values: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of each value of a block, end to end: eight values fill ``w`` bytes."""
+    lanes = values.reshape(len(values), BLOCK // 8, 8)
+    out = np.zeros((len(values), BLOCK // 8, w), np.uint8)
+    for j in range(8):
+        byte, bit = divmod(j * w, 8)
+        v = (lanes[:, :, j].astype(np.uint64) & np.uint64((1 << w) - 1)) << np.uint64(bit)
+        for t in range((bit + w + 7) // 8):
+            out[:, :, byte + t] |= (v >> np.uint64(8 * t)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpack_bits(packed: np.ndarray, w: int) -> np.ndarray:
+    groups = packed.reshape(len(packed), BLOCK // 8, w)
+    out = np.empty((len(packed), BLOCK // 8, 8), np.uint32)
+    for j in range(8):
+        byte, bit = divmod(j * w, 8)
+        v = np.zeros(groups.shape[:2], np.uint64)
+        for t in range((bit + w + 7) // 8):
+            v |= groups[:, :, byte + t].astype(np.uint64) << np.uint64(8 * t)
+        out[:, :, j] = (v >> np.uint64(bit)) & np.uint64((1 << w) - 1)
+    return out.reshape(len(packed), BLOCK)
+
+
 def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """A page of ids (unsigned 32-bit)."""
     n, count = len(ids), -(-len(ids) // BLOCK)
@@ -68,8 +91,7 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
         if w:
-            bits = ((rest[at][:, :, None] >> _SHIFTS[:w]) & 1).astype(np.uint8)
-            packed = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
+            packed = _pack_bits(rest[at], int(w))
             out[starts[at][:, None] + 6 + np.arange(packed.shape[1])] = packed
     block, place = np.nonzero(outside)
     if len(block):
@@ -99,8 +121,7 @@ def unpack(raw: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
         if w:
             at = np.flatnonzero(width == w)
             packed = data[starts[at][:, None] + 6 + np.arange(BLOCK // 8 * int(w))]
-            bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), BLOCK, int(w)).astype(np.uint32)
-            rest[at] = (bits << _SHIFTS[:w]).sum(axis=2, dtype=np.uint32)
+            rest[at] = _unpack_bits(packed, int(w))
     block = np.repeat(np.arange(len(starts)), extra)
     if len(block):
         within = np.arange(len(block)) - np.repeat(np.cumsum(extra) - extra, extra)

@@ -1,7 +1,7 @@
 """Token ids by a public tokenizer, for whole texts inside a task.
 
-Both vocabularies in use split a text at a single space between visible characters before
-any merge, so such chunks can be encoded alone. Chunks that come again are looked up; the
+Both vocabularies in use split a text at a single space or line break between visible
+characters before any merge, so such chunks can be encoded alone. Chunks that come again are looked up; the
 rest go to the tokenizer in batches. The result equals that of the whole text, which tests
 compare. Strings of special tokens in a text are ordinary text.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -19,94 +20,101 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Chunks that a worker remembers for good and on trial. A chunk on trial that comes again
 #: is remembered for good; either memory is emptied when it is full.
-REMEMBERED, ON_TRIAL = 300_000, 150_000
+REMEMBERED, ON_TRIAL = 250_000, 200_000
 LONGEST_REMEMBERED = 64
 _SAFE = r"[\w!-~]"
 _BOUNDARY = re.compile(rf"(?<={_SAFE}) (?={_SAFE})")
+_SAFE_END = re.compile(_SAFE)
 _PLAIN = re.compile(rf"{_SAFE}(?:.*{_SAFE})?", re.DOTALL)
 
 #: Byte-level vocabularies write visible Latin-1 bytes as themselves and the others, in order, from U+0100 on.
 _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SPACE_CHAR = chr(_BYTE_CHARS[0x20])
 
 
 class Encoder:
-    """Ids of texts by the tokenizer of a file; keeps a bounded memory of chunks."""
+    """Ids of texts by the tokenizer of a file; keeps a bounded memory of chunks (ids as little-endian bytes)."""
 
     def __init__(self, path: str, space_in_front: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
         self.space = " " if space_in_front else ""
-        self.memory: dict[str, tuple[int, ...]] = {}
-        self.trial: dict[str, tuple[int, ...]] = {}
-        self.tails: dict[str, tuple[int, ...]] = {}
+        self.memory: dict[str, bytes] = {}
+        self.trial: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        self.heads: dict[str, bytes] = {"": b""}
+        self.line = array("I", self.whole(["\n"])[0]).tobytes()
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _alone(self, chunk: str) -> tuple[int, ...] | None:
+    def _by_merges(self, chunk: str) -> bytes | None:
         """Ids of a word of letters with points and commas behind, straight from the merges; None for other chunks."""
         core = chunk.rstrip(".,")
+        line = core[0] == "\n" if core else False
+        if line:
+            core = core[1:]
         if not core.isalpha():
             return None
-        piece = self.space + core
-        if not self.space:
-            piece = core.lower()
-            if not piece.isascii() and ("Σ" in core or not piece.isalpha() or not unicodedata.is_normalized("NFC", core)):
+        if core.isascii():
+            piece = core.lower() if not self.space else core if line else _SPACE_CHAR + core
+        else:
+            piece = core.lower() if not self.space else core if line else self.space + core
+            if not self.space and ("Σ" in core or not piece.isalpha() or not unicodedata.is_normalized("NFC", core)):
                 return None
-        if self.space or not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
-        ids = tuple([t.id for t in self.tokenizer.model.tokenize(piece)])
-        tail = chunk[len(core):]
-        if tail:
-            if tail not in self.tails:
-                if len(self.tails) > 1000:
-                    self.tails.clear()
-                self.tails[tail] = tuple(self.whole([tail])[0])
-            ids += self.tails[tail]
+        ids = array("I", [t.id for t in self.merge(piece)]).tobytes()
+        tail = chunk[len(core) + line:]
+        if tail not in self.tails:
+            if len(self.tails) > 1000:
+                self.tails = {"": b""}
+            self.tails[tail] = array("I", self.whole([tail])[0]).tobytes()
+        return (self.line if line else b"") + ids + self.tails[tail]
+
+    def _missed(self, chunk: str) -> bytes | None:
+        """Ids of a chunk that is not remembered for good; None if it can't be encoded alone."""
+        ids = self.trial.pop(chunk, None)
+        if ids is not None:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            self.memory[chunk] = ids
+            return ids
+        ids = self._by_merges(chunk)
+        if ids is None:
+            line = chunk[:1] == "\n"
+            if not _PLAIN.fullmatch(chunk, line):
+                return None
+            ids = array("I", self.whole([chunk if line else self.space + chunk])[0]).tobytes()
+        if len(chunk) <= LONGEST_REMEMBERED:
+            if len(self.trial) >= ON_TRIAL:
+                self.trial.clear()
+            self.trial[chunk] = ids
         return ids
 
-    def _fresh(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
-        out = {c: self._alone(c) for c in chunks}
-        rest = [c for c, ids in out.items() if ids is None]
-        if rest:
-            out.update(zip(rest, map(tuple, self.whole([self.space + c for c in rest])), strict=True))
-        return out
-
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        head, *parts = text.split(" ")
-        memory = self.memory
-        found = [memory.get(p) for p in parts]
-        if None in found:
-            try:
-                learned = self._learn({p for p, ids in zip(parts, found, strict=True) if ids is None})
-            except ValueError:
-                return self._by_boundary(text)
-            found = [learned[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
-        if parts and not (head and re.match(_SAFE, head[-1])):
+        # a line break between visible characters stands alone too: it starts a chunk of its own kind
+        head, *parts = text.replace("\n", " \n").split(" ")
+        if parts and not (head and _SAFE_END.match(head[-1])):
             return self._by_boundary(text)
-        first = self.whole([head])[0] if head else []
-        return np.fromiter(chain(first, chain.from_iterable(found)), np.uint32)
-
-    def _learn(self, parts: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of chunks that are not remembered for good; fails on those that can't be encoded alone."""
-        again = {p: self.trial.pop(p) for p in parts if p in self.trial}
-        new = [p for p in parts if p not in again]
-        if not all(map(_PLAIN.fullmatch, new)):
-            self.trial.update(again)
-            raise ValueError("white space at an end")
-        if len(self.memory) + len(again) > REMEMBERED:
-            self.memory.clear()
-        self.memory.update(again)
-        fresh = self._fresh(new)
-        if len(self.trial) + len(fresh) > ON_TRIAL:
-            self.trial.clear()
-        self.trial.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST_REMEMBERED)
-        return again | fresh
+        found = list(map(self.memory.get, parts))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    ids = self._missed(parts[i])
+                    if ids is None:
+                        return self._by_boundary(text)
+                    found[i] = ids
+        if head not in self.heads:
+            if len(self.heads) >= ON_TRIAL // 8:
+                self.heads = {"": b""}
+            self.heads[head] = array("I", self.whole([head])[0]).tobytes()
+        return np.frombuffer(self.heads[head] + b"".join(found), np.uint32)
 
     def _by_boundary(self, text: str) -> np.ndarray:
         head, *parts = _BOUNDARY.split(text)
