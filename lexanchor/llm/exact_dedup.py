@@ -147,6 +147,8 @@ def _filters(slice_bits: int):
         place = (whole >> np.uint64(width)).astype(np.int64) if slice_bits else np.zeros(len(whole), np.int64)
         order = np.argsort(place, kind="stable")
         whole, place = whole[order] & np.uint64((1 << width) - 1), place[order]
+        if not len(whole):
+            return
         ids, starts = np.unique(place, return_index=True)
         ends = np.r_[starts[1:], len(place)]
         yield batch_of(schema, [ids, [QuotientFilter(whole[a:b], np.ones(b - a), width).to_bytes() for a, b in zip(starts, ends, strict=True)]])
