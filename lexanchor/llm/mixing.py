@@ -155,7 +155,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A pass that takes a whole document keeps its text as it is; otherwise the words taken
     keep the white space before them. n_chars is counted again where the column exists.
     """
-    kept = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), "doc_id", "source", "text").transform(with_words), "mixed")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
+    kept = written(docs.select(whole, "doc_id", "source", "text").transform(with_words).drop("text"), "mixed")
     _, taken = mix(kept)
     ranges = taken.groupBy("row", "pass").agg(F.sum(F.expr("until - from")).alias("n"), F.sort_array(F.collect_list(F.struct("from", "until"))).alias("ranges"))
     met = kept.select("row", "size", "d").join(ranges, "row")
