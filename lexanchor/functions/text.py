@@ -228,11 +228,8 @@ def process_key_with_sumula(cls, num, sumula) -> Column:
 
 # ------------------------------------------------------------ hashes and labels
 def block_hash_md5(slug, marker, text, meta) -> Column:
-    """First 16 hex digits over slug, marker, 200 characters of text and 100 of metadata."""
-    raw = F.concat_ws(
-        "|", F.coalesce(col(slug), F.lit("")), F.coalesce(col(marker), F.lit("")),
-        F.substring(F.coalesce(col(text), F.lit("")), 1, 200), F.substring(F.coalesce(col(meta), F.lit("")), 1, 100),
-    )
+    """First 16 hex digits over slug, marker and the whole text and metadata."""
+    raw = F.concat_ws("|", *[F.coalesce(col(c), F.lit("")) for c in (slug, marker, text, meta)])
     return F.substring(F.md5(raw), 1, 16)
 
 

@@ -32,13 +32,19 @@ def marker_rank(c="editorial_marker") -> Column:
 
 
 # ----------------------------------------------------------------- resolution
-def resolve_blocks(b: DataFrame, text_head: int = 200) -> DataFrame:
+def _opening(c: str, size: int | None) -> Column:
+    """The whole text, or its first ``size`` characters."""
+    text = F.coalesce(F.col(c), F.lit(""))
+    return text if size is None else F.substring(text, 1, size)
+
+
+def resolve_blocks(b: DataFrame, text_head: int | None = None) -> DataFrame:
     """Decision blocks with case metadata, key, unit kind, signature and hash.
 
-    Metadata comes from the metadata text; when that names no rapporteur, from the
-    first ``text_head`` characters of the block. Values already on the row fill gaps.
+    Metadata comes from the metadata text; when that names no rapporteur, from the block
+    (its first ``text_head`` characters, if given). Values already on the row fill gaps.
     """
-    head = F.substring(F.coalesce("block_text", F.lit("")), 1, text_head)
+    head = _opening("block_text", text_head)
     x = compute_once(b, {"__m": M.extract_meta("metadata_text")})
     x = compute_once(x, {"__t": F.when(F.col("__m.relator") == "", M.extract_meta(head))})
     x = x.withColumn("__x", F.when(F.col("__m.relator") != "", F.col("__m")).otherwise(F.col("__t")))
@@ -72,9 +78,9 @@ def resolve_blocks_strict(b: DataFrame) -> DataFrame:
         "anchor_slug", "editorial_marker", "editorial_label", "block_text", "metadata_text", "process_key", "relator", "julgamento_data"))
 
 
-def fill_missing_meta(b: DataFrame, text_head: int = 200) -> DataFrame:
+def fill_missing_meta(b: DataFrame, text_head: int | None = None) -> DataFrame:
     """Reads class, number, rapporteur and theme again where the class is missing and there is text."""
-    source = F.concat(F.coalesce("metadata_text", F.lit("")), F.lit(" "), F.substring("block_text", 1, text_head))
+    source = F.concat(F.coalesce("metadata_text", F.lit("")), F.lit(" "), _opening("block_text", text_head))
     x = compute_once(b, {"__m": F.when(~filled("process_class") & filled("block_text"), M.extract_meta(source))})
     rel = F.when(F.length("__m.relator") > 30, F.trim(F.regexp_extract("__m.relator", V.P_NAME_HEAD, 1))).otherwise(F.col("__m.relator"))
     x = x.withColumn("__rel", rel)
@@ -199,7 +205,7 @@ def attach_decisions(devices: DataFrame, b: DataFrame) -> DataFrame:
     keyed = b.withColumn("device_slug", F.regexp_extract("anchor_slug", r"^((?:cf-1988|adct)-art-\d+)", 1))
     x = devices.join(keyed.drop("namespace", "label"), "device_slug", "left")
     bare = F.col("block_id").isNull()
-    place = F.substring(F.md5(F.concat(F.col("device_slug"), F.lit("|normativo|"), F.substring("normative_text", 1, 100))), 1, 16)
+    place = F.substring(F.md5(F.concat(F.col("device_slug"), F.lit("|normativo|"), F.col("normative_text"))), 1, 16)
     return x.select(
         "device_slug", "label", "namespace", "block_id", F.when(bare, F.col("device_slug")).otherwise(F.col("anchor_slug")).alias("anchor_slug"),
         F.when(bare, "dispositivo_normativo").otherwise(F.col("decision_unit_type")).alias("decision_unit_type"),

@@ -42,7 +42,7 @@ def confirmed_metadata(comments: DataFrame) -> DataFrame:
     x = x.filter(~M.is_marker_text("text"))
     refs = F.regexp_extract_all(F.col("text"), F.lit(V.P_BRACKET), F.lit(1))
     x = compute_once(x, {"refs": refs})
-    sum_ = M.sumula_of("text", F.substring("text", 1, 200))
+    sum_ = M.sumula_of("text", F.col("text"))
     x = compute_once(x, {
         "__r": F.transform("refs", M.reference_meta), "__l": M.link_meta("html"), "__s": T.link_summary("html"),
         "__t": F.struct(T.capture("text", V.P_TEMA).alias("tema_rg"), sum_["num"].alias("sumula_num"), sum_["kind"].alias("sumula_tipo"))})
@@ -62,13 +62,14 @@ def confirmed_metadata(comments: DataFrame) -> DataFrame:
     return x.select(
         *keep, *fields, F.when((F.col("process_class") != "") & (F.col("process_number") != ""), F.concat_ws("_", "process_class", "process_number")).otherwise("").alias("process_key"),
         F.col("__s.first").alias("url_principal"), F.col("__s.all").alias("urls_todas"), F.col("__s.labels").alias("link_labels"),
-        F.substring(F.array_join("refs", "; "), 1, 300).alias("referencia"), "fonte_relator", "fonte_processo")
+        F.array_join("refs", "; ").alias("referencia"), "fonte_relator", "fonte_processo")
 
 
-def comment_blocks(comments: DataFrame) -> DataFrame:
-    """Block text, metadata and marker of each comment of a page."""
+def comment_blocks(comments: DataFrame, marker_head: int | None = None) -> DataFrame:
+    """Block text, metadata and marker of each comment of a page; the marker is read from the whole text, or its opening."""
+    opening = F.col("raw") if marker_head is None else F.substring("raw", 1, marker_head)
     x = compute_once(comments, {"raw": T.strip_html("html")})
-    x = compute_once(x, {"s": T.split_metadata(T.strip_prefix("raw")), "marker": M.detect_editorial(F.substring("raw", 1, 80))})
+    x = compute_once(x, {"s": T.split_metadata(T.strip_prefix("raw")), "marker": M.detect_editorial(opening)})
     return x.select(*[c for c in comments.columns if c != "html"], F.col("s.text").alias("block_text"), F.col("s.meta").alias("metadata_text"), "marker")
 
 

@@ -16,9 +16,10 @@ def _key(c) -> Column:
     return F.concat_ws("-", F.md5(c), F.length(c))
 
 
-def dedup_prefix(b: DataFrame, order: str = "block_id", size: int = 300) -> DataFrame:
-    """First block per anchor and opening text (the rule compares ``size`` characters)."""
-    head = F.substring(F.trim(F.coalesce("block_text", F.lit(""))), 1, size)
+def dedup_prefix(b: DataFrame, order: str = "block_id", size: int | None = None) -> DataFrame:
+    """First block per anchor and trimmed text, or its first ``size`` characters."""
+    head = F.trim(F.coalesce("block_text", F.lit("")))
+    head = head if size is None else F.substring(head, 1, size)
     return first_per_key(b, [_key(head), F.coalesce("anchor_slug", F.lit(""))], [F.col(order).asc()])
 
 

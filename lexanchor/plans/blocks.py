@@ -328,7 +328,7 @@ def _(x):
     return B.recover_text(x.blocks, src, "block_id").select("block_id", "block_text", "metadata_text")
 
 
-@query("txt19_fill_missing_meta", needs=("blocks",), ctes=f"""f0 as (select b.*, {meta("metadata_text||' '||substr(block_text, 1, 200)", 'm')} from fx_blocks b),
+@query("txt19_fill_missing_meta", needs=("blocks",), ctes=f"""f0 as (select b.*, {meta("metadata_text||' '||block_text", 'm')} from fx_blocks b),
 f1 as (select *, case when process_class = '' and block_text <> '' then true else false end as need from f0)""", sql="""
 select block_id, case when need and (m_process_class <> '' or m_relator <> '') then m_process_class else process_class end as process_class,
  case when need and (m_process_class <> '' or m_relator <> '') then m_process_number else process_number end as process_number,

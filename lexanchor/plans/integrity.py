@@ -128,7 +128,7 @@ def _dedup(expr):
     return f"""select block_id, anchor_slug from (select *, row_number() over (partition by {expr}, anchor_slug order by block_id) as rn from fx_dedup_blocks) where rn = 1"""
 
 
-@query("ddp1_dedup_prefix", needs=("dedup_blocks",), sql=_dedup("substr(trim(block_text), 1, 300)"))
+@query("ddp1_dedup_prefix", needs=("dedup_blocks",), sql=_dedup("trim(block_text)"))
 def _(x):
     return R.dedup_prefix(x.dedup_blocks).select("block_id", "anchor_slug")
 
@@ -145,7 +145,7 @@ def _(x):
 
 
 @query("ddp1_removed_count", needs=("dedup_blocks",), sql="""
-select count(*) as total, count(*) - count(distinct (substr(trim(block_text), 1, 300), anchor_slug)) as removed from fx_dedup_blocks""")
+select count(*) as total, count(*) - count(distinct (trim(block_text), anchor_slug)) as removed from fx_dedup_blocks""")
 def _(x):
     return R.removed_count(x.dedup_blocks, R.dedup_prefix(x.dedup_blocks))
 

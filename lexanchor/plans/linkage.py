@@ -203,10 +203,10 @@ select com_id, coalesce(nullif(upper({rx('ref', V.P_PROC_LINKS)}), ''), upper(lc
  case when length({_ALIASED}) >= 4 then {_ALIASED} else '' end as relator, trim({rx('ref', V.P_JULG_LINKS)}) as julgamento_data,
  coalesce(nullif({rx('ref', V.P_TEMA)}, ''), nullif(regexp_extract(array_to_string(urls, ' '), 'numeroTema=([0-9]+)', 1), ''), {rx('text', V.P_TEMA)}) as tema_rg,
  case when {rx('text', V.P_SV)} <> '' then {rx('text', V.P_SV)} else '' end as sumula_num, regexp_extract(array_to_string(urls, ' '), 'incidente=([0-9]+)', 1) as stf_incidente,
- coalesce(urls[1], '') as url_principal, array_to_string(urls, ' | ') as urls_todas, case when {rx('ref', V.P_PROC_LINKS)} <> '' then 'ref' when lc <> '' then 'link' else '' end as fonte_processo from h2""")
+ coalesce(urls[1], '') as url_principal, array_to_string(urls, ' | ') as urls_todas, array_to_string(refs, '; ') as referencia, case when {rx('ref', V.P_PROC_LINKS)} <> '' then 'ref' when lc <> '' then 'link' else '' end as fonte_processo from h2""")
 def _(x):
     return C.confirmed_metadata(x.comments.select("com_id", "html")).select(
-        "com_id", "process_class", "process_number", "relator", "julgamento_data", "tema_rg", "sumula_num", "stf_incidente", "url_principal", "urls_todas", "fonte_processo")
+        "com_id", "process_class", "process_number", "relator", "julgamento_data", "tema_rg", "sumula_num", "stf_incidente", "url_principal", "urls_todas", "referencia", "fonte_processo")
 
 
 @query("agg21_confirmed_coverage", needs=("comments",), ctes=COMM, sql=f"""
@@ -226,7 +226,7 @@ PRE = "|".join(V.EDITORIAL_PREFIXES)
 
 @query("fn23_fn24_comment_blocks", needs=("comments",), ctes=COMM + f""", k0 as (select *, regexp_replace(text, '^(?:{PRE})\\s*', '') as body from h0)""", sql=f"""
 select com_id, doc_id, pos, trim(regexp_replace(body, {lit(V.P_BRACKET_END)}, '')) as block_text, trim({rx('body', V.P_BRACKET_END)}) as metadata_text,
- case {' '.join(f"when {' or '.join(f'contains(lower(substr(text,1,80)), {lit(w)})' for w in ws)} then '{m}'" for ws, m in V.MARKER_WORDS)} end as marker from k0""")
+ case {' '.join(f"when {' or '.join(f'contains(lower(text), {lit(w)})' for w in ws)} then '{m}'" for ws, m in V.MARKER_WORDS)} end as marker from k0""")
 def _(x):
     return C.comment_blocks(x.comments)
 

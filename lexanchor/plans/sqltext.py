@@ -57,14 +57,14 @@ def lower_slug(src: str) -> str:
 
 
 _F = ["relator", "redator", "julgamento_data", "dje_data", "tema_rg", "sumula_num"]
-RESOLVED = f"""rm as (select b.* exclude (editorial_label), {meta('metadata_text', 'm')}, {meta('substr(block_text, 1, 200)', 't')} from fx_blocks b),
+RESOLVED = f"""rm as (select b.* exclude (editorial_label), {meta('metadata_text', 'm')}, {meta('block_text', 't')} from fx_blocks b),
 rs0 as (select * exclude (process_class, process_number), case when m_relator <> '' then m_process_class else t_process_class end as xc,
  case when m_relator <> '' then m_process_number else t_process_number end as xn, process_class as oc, process_number as onum,
  {', '.join(f"case when m_relator <> '' then m_{f} else t_{f} end as {f}" for f in _F)} from rm),
 rs1 as (select *, coalesce(nullif(xc, ''), oc) as process_class, coalesce(nullif(xn, ''), onum) as process_number from rs0),
 rb as (select *, nullif(concat_ws('_', nullif(upper(process_class), ''), nullif(process_number, '')), '') as process_key,
  {unit_type('editorial_marker', 'metadata_text', 'process_class', 'tema_rg')} as decision_unit_type,
- substr(md5(anchor_slug||'|'||editorial_marker||'|'||substr(block_text,1,200)||'|'||substr(metadata_text,1,100)), 1, 16) as block_hash,
+ substr(md5(anchor_slug||'|'||editorial_marker||'|'||block_text||'|'||metadata_text), 1, 16) as block_hash,
  case when anchor_slug like 'adct%' then 'adct' else 'cf' end as namespace,
  trim(process_class||' '||process_number||' rel. '||relator) as raw_signature from rs1)"""
 

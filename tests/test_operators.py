@@ -184,3 +184,55 @@ def test_scoring_keeps_two_rows_per_text(spark):
     nodes = spark.createDataFrame([(f"cf-1988-art-{i}-par-unico", "paragrafo", "Parágrafo único", None, "único", "unico", "") for i in range(50)],
                                   "slug string, node_type string, label string, title string, number_raw string, number_norm string, path string")
     assert L.score_lookup(L.variant_index(nodes)).groupBy("norm").count().filter("count > 2").count() == 0
+
+
+def test_pieces_join_to_the_text(spark):
+    text = "".join(chr(97 + i % 26) for i in range(50_001)) + "é"
+    got = one(spark, T.pieces_for_model(F.lit(text)))
+    assert [len(p) for p in got] == [24000, 24000, 2002] and "".join(got) == text
+    assert one(spark, T.pieces_for_model(F.lit(None).cast("string"))) == [""]
+
+
+def test_cycles_are_found_at_once_and_lost_causes_are_roots(spark):
+    for links in ([(1, 2), (2, 3), (3, 1)], [(7, 7)]):
+        with pytest.raises(ValueError):
+            G.ancestor_closure(spark.createDataFrame(links, "node int, parent int"))
+    ev = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 99), (5, 4)], "event_id int, causation_id int")
+    assert {(r.event_id, r.root, r.steps) for r in G.causation_chain(ev).collect()} == {(1, 1, 0), (2, 1, 1), (3, 1, 2), (4, 4, 0), (5, 4, 1)}
+
+
+def test_boundary_keys_of_twenty_characters_count(spark):
+    truth = spark.createDataFrame([(1, 5, "abcdefghij klmnopqrs and more of it"), (2, 6, "only twenty letters.")], "pos int, article int, text string")
+    ours = spark.createDataFrame([(1, "cf-1988-art-9", "abcdefghij klmnopqrs"), (2, "cf-1988-art-9", "only twenty letters."), (3, "cf-1988-art-9", "abcdefghij klmnopqr")],
+                                 "block_id int, anchor_slug string, block_text string")
+    got = {r.block_id: (r.truth_article, r.status) for r in R.fix_boundaries(ours, truth).collect()}
+    assert got == {1: (5, "fixed"), 2: (None, "unmatched"), 3: (None, "unmatched")}
+
+
+def test_candidates_that_differ_in_accents_are_one(spark):
+    b = spark.createDataFrame([(1, "art. 5, § 2 e Parágrafo 2 e Paragrafo 2", "")], "block_id int, block_text string, metadata_text string")
+    norms = [r.norm for r in L.candidates(b).collect()]
+    assert len(norms) == len(set(norms))
+
+
+def test_allocation_is_whole_and_bounded(spark, monkeypatch):
+    import numpy as np
+
+    from lexanchor.operators import vectors as VE
+
+    r = np.random.default_rng(0)
+    mine, theirs = r.normal(size=(40, 4)), r.normal(size=(50_000, 4))
+    decisions = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(mine)] + [(100, None), (101, [1.0])], "vec_id long, embedding array<double>")
+    plates = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(theirs)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(VE, "SCORES", 100_000)
+    near = VE.nearest_plates(decisions, plates, 3, block_rows=16, tile_bytes=400_000)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    scores = np.round(unit(mine) @ unit(theirs).T, 9)
+    want = {(i, int(p), k + 1) for i, row in enumerate(scores) for k, p in enumerate(np.lexsort((np.arange(len(row)), -row))[:3])}
+    assert {(x.vec_id, x.plate, x["rank"]) for x in near.collect()} == want
+    good, queue = VE.allocate(decisions, plates, 3, tau=0.99)
+    allocated = {x.vec_id for x in good.collect()}
+    reasons = {x.vec_id: x.reason for x in queue.collect()}
+    assert allocated | set(reasons) == {*range(40), 100, 101} and not allocated & set(reasons)
+    assert reasons[100] == "no vector" and reasons[101] == "no comparable plate"
+    assert {x.reason for x in VE.allocate(decisions, plates.limit(0))[1].collect()} == {"no vector", "no comparable plate"}
