@@ -8,23 +8,18 @@ from lexanchor import vocab as V
 from lexanchor.functions import metadata as M, text as T
 from lexanchor.operators.keyed import compute_once, first_per_key
 
-CITED_HEAD = rf"^({V.CLASSES_CITED})\s*[-n.]*\s*([\d.]+(?:[-/]\d+)?)"
-CITED_REL = r"rel\.?\s*(?:p/\s*o?\s*ac\.?\s*)?min\.?\s*([^,\]]+)"
-CITED_BODY = r",\s*(P|1.?\s*T|2.?\s*T)\s*[,\]]"
-CITED_DATE = r"j\.\s*(\d[\d\-]+(?:\s*de\s*[\w\p{L}]+\s*de\s*\d+)?)"
-
 
 def extract_citations(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per bracketed decision of each text."""
     found = F.regexp_extract_all(F.col(text), F.lit(V.P_CITED), F.lit(1))
-    x = docs.select(key, F.posexplode(found).alias("n", "ref")).withColumn("ref", F.trim("ref")).filter(F.col("ref").rlike(CITED_HEAD))
+    x = docs.select(key, F.posexplode(found).alias("n", "ref")).withColumn("ref", F.trim("ref")).filter(F.col("ref").rlike(V.CITED_HEAD))
 
     def get(p, i=1):
         return F.regexp_extract("ref", p, i)
 
     return x.select(
-        key, "n", get(CITED_HEAD).alias("classe"), get(CITED_HEAD, 2).alias("numero"), F.trim(get(CITED_REL)).alias("relator"),
-        F.trim(get(CITED_DATE)).alias("data_julgamento"), F.trim(get(CITED_BODY)).alias("orgao"), get(V.P_TEMA).alias("tema_rg"),
+        key, "n", get(V.CITED_HEAD).alias("classe"), get(V.CITED_HEAD, 2).alias("numero"), F.trim(get(V.CITED_REL)).alias("relator"),
+        F.trim(get(V.CITED_DATE)).alias("data_julgamento"), F.trim(get(V.CITED_BODY)).alias("orgao"), get(V.P_TEMA).alias("tema_rg"),
         F.trim(F.regexp_extract("ref", V.P_DJE.replace("(?i)", ""), 1)).alias("dje"))
 
 
@@ -77,19 +72,22 @@ URL = r"https?://[^\s\"<>)]+"
 
 
 def url_mentions(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
-    """Every link with the text around it and the last decision named before it."""
-    x = compute_once(docs.select(key, text), {
-        "__u": F.regexp_extract_all(F.col(text), F.lit(URL), F.lit(0)), "__p": F.split(F.col(text), URL, -1)})
-    x = x.select(key, text, "__u", "__p", F.posexplode("__u").alias("i", "url"))
-    start = F.length(F.array_join(F.slice("__p", F.lit(1), F.col("i") + 1), "")) + F.length(F.array_join(F.slice("__u", F.lit(1), F.col("i")), ""))
-    x = compute_once(x, {"start": start})
-    before = F.substr(F.col(text), F.lit(1), F.col("start"))
-    named = F.regexp_extract_all(before, F.lit(T.pat(V.P_PROC)), F.lit(0))
-    lead = F.substr(F.col(text), F.greatest(F.col("start") - window + 1, F.lit(1)), F.least(F.col("start"), F.lit(window)))
-    tail = F.substr(F.col(text), F.col("start") + F.length("url") + 1, F.lit(window))
-    return x.select(
-        key, (F.col("i") + 1).alias("numero"), "url", F.concat(lead, F.col("url"), tail).alias("context"),
-        F.coalesce(F.try_element_at(named, F.lit(-1)), F.lit("")).alias("acao_referente"))
+    """Every link with the text around it and the last decision named before it.
+
+    Links and decisions are found once per text; only short structs are exploded.
+    """
+    process = F.lit(T.pat(V.P_PROC))
+    x = compute_once(docs.select(key, F.col(text).alias("__text")), {
+        "__u": F.regexp_extract_all("__text", F.lit(URL), F.lit(0)), "__p": F.split("__text", URL, -1),
+        "__m": F.regexp_extract_all("__text", process, F.lit(0)), "__q": F.split("__text", T.pat(V.P_PROC), -1)})
+    size = lambda arr, n: f"aggregate(slice({arr}, 1, {n}), 0, (a, t) -> a + length(t))"
+    x = compute_once(x, {
+        "__urls": F.expr(f"transform(__u, (u, i) -> struct(i + 1 as numero, u as url, {size('__p', 'i + 1')} + {size('__u', 'i')} as start))"),
+        "__named": F.expr(f"transform(__m, (m, i) -> struct(m, {size('__q', 'i + 1')} + {size('__m', 'i + 1')} as until))")})
+    around = (f"concat(substr(__text, greatest(u.start - {window - 1}, 1), least(u.start, {window})), u.url, "
+              f"substr(__text, u.start + length(u.url) + 1, {window}))")
+    last = "coalesce(try_element_at(filter(__named, m -> m.until <= u.start), -1).m, '')"
+    return x.select(key, F.expr(f"inline(transform(__urls, u -> struct(u.numero as numero, u.url as url, {around} as context, {last} as acao_referente)))"))
 
 
 PROCESS_FIELDS = {
@@ -118,18 +116,14 @@ def process_links(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     return first_per_key(x, ["processo", "classe", "incidente", "peca"], [F.col(key).asc(), F.col("n").asc()])
 
 
-GRANULAR_INC = r"""\b[Aa]rt\.?\s*(\d+)[º°o]?,\s*(?:inc(?:iso|\.)?\s+)?([IVXLCDM]+)\b(?:,\s*(?:al[ií]nea\s+)?["“']?([a-z])\b)?"""
-GRANULAR_PAR = r"\b[Aa]rt\.?\s*(\d+)[º°o]?,\s*§\s*(\d+)"
-
-
 def infer_granular(b: DataFrame) -> DataFrame:
     """Formal anchors plus inferred ones for the sub-devices a text names ("art. 55, VI")."""
     def all_(p, i):
         return F.regexp_extract_all(F.col("block_text"), F.lit(p), F.lit(i))
 
-    inc = F.transform(F.arrays_zip(all_(GRANULAR_INC, 1).alias("a"), all_(GRANULAR_INC, 2).alias("i"), all_(GRANULAR_INC, 3).alias("l")), lambda m: F.concat(
+    inc = F.transform(F.arrays_zip(all_(V.GRANULAR_INC, 1).alias("a"), all_(V.GRANULAR_INC, 2).alias("i"), all_(V.GRANULAR_INC, 3).alias("l")), lambda m: F.concat(
         F.lit("cf-1988-art-"), m["a"], F.lit("-inc-"), F.lower(m["i"]), F.when(m["l"] != "", F.concat(F.lit("-ali-"), m["l"])).otherwise("")))
-    par = F.transform(F.arrays_zip(all_(GRANULAR_PAR, 1).alias("a"), all_(GRANULAR_PAR, 2).alias("p")), lambda m: F.concat(
+    par = F.transform(F.arrays_zip(all_(V.GRANULAR_PAR, 1).alias("a"), all_(V.GRANULAR_PAR, 2).alias("p")), lambda m: F.concat(
         F.lit("cf-1988-art-"), m["a"], F.lit("-par-"), m["p"]))
     formal = b.filter(F.coalesce("anchor_slug", F.lit("")) != "").select("block_id", "anchor_slug", F.lit("formal").alias("anchor_origin"))
     found = b.filter(F.col("block_text") != "").select("block_id", F.col("anchor_slug").alias("own"), F.explode(F.array_distinct(F.concat(inc, par))).alias("anchor_slug"))

@@ -101,16 +101,25 @@ def _(x):
 AT = "2000-01-01 00:00:00"
 
 
-@query("tmp1_as_of", needs=("objects", "log", "edges"), sql=f"""
-select 'objects' as part, type_slug, count(*) as n from fx_objects where (valid_from is null or valid_from <= timestamp '{AT}')
- and (valid_to is null or valid_to > timestamp '{AT}') group by type_slug
-union all select 'events', type_slug, count(*) from fx_log where occurred_at <= timestamp '2024-02-01 00:00:00' and occurred_at <= timestamp '{AT}' group by type_slug
-union all select 'edges', type_slug, count(*) from fx_edges where (valid_from is null or valid_from <= timestamp '{AT}')
- and (valid_to is null or valid_to > timestamp '{AT}') group by type_slug""")
-def _(x):
-    parts = zip(("objects", "events", "edges"), C.as_of(x.objects, x.log, x.edges, AT))
-    out = [d.groupBy("type_slug").agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), "type_slug", "n") for p, d in parts]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+def _as_of_sql(at: str) -> str:
+    alive = f"(valid_from is null or valid_from <= timestamp '{at}') and (valid_to is null or valid_to > timestamp '{at}')"
+    return f"""select '{at}' as at, 'objects' as part, type_slug, count(*) as n from fx_objects where {alive} group by type_slug
+union all select '{at}', 'events', type_slug, count(*) from fx_log where occurred_at <= timestamp '{at}' group by type_slug
+union all select '{at}', 'edges', type_slug, count(*) from fx_edges where {alive} group by type_slug"""
+
+
+#: A time before all events and one amid them.
+AS_OF = (AT, "2024-01-15 12:00:00")
+
+
+@query("tmp1_as_of", needs=("objects", "log", "edges"), sql=" union all ".join(map(_as_of_sql, AS_OF)))
+def _(x):
+    out = None
+    for at in AS_OF:
+        for part, d in zip(("objects", "events", "edges"), C.as_of(x.objects, x.log, x.edges, at), strict=True):
+            n = d.groupBy("type_slug").agg(F.count("*").alias("n")).select(F.lit(at).alias("at"), F.lit(part).alias("part"), "type_slug", "n")
+            out = n if out is None else out.unionByName(n)
+    return out
 
 
 @query("tmp2_known_at", needs=("log",), sql="""

@@ -152,8 +152,8 @@ def _(x):
 # ------------------------------------------------------------------- citations
 CITE = f"""ci as (select block_id as doc_id, block_text||' '||metadata_text as text from fx_blocks),
 c0 as (select doc_id, unnest(range(0, len(regexp_extract_all(text, {lit(V.P_CITED)}, 1)))) as n, trim(unnest(regexp_extract_all(text, {lit(V.P_CITED)}, 1))) as ref from ci),
-c1 as (select doc_id, n, {rx('ref', C.CITED_HEAD)} as classe, {rx('ref', C.CITED_HEAD, 2)} as numero, trim({rx('ref', C.CITED_REL)}) as relator, trim({rx('ref', C.CITED_DATE)}) as data_julgamento,
- trim({rx('ref', C.CITED_BODY)}) as orgao, {rx('ref', V.P_TEMA)} as tema_rg, trim({rx('ref', V.P_DJE.replace('(?i)', ''))}) as dje from c0 where {has('ref', C.CITED_HEAD)})"""
+c1 as (select doc_id, n, {rx('ref', V.CITED_HEAD)} as classe, {rx('ref', V.CITED_HEAD, 2)} as numero, trim({rx('ref', V.CITED_REL)}) as relator, trim({rx('ref', V.CITED_DATE)}) as data_julgamento,
+ trim({rx('ref', V.CITED_BODY)}) as orgao, {rx('ref', V.P_TEMA)} as tema_rg, trim({rx('ref', V.P_DJE.replace('(?i)', ''))}) as dje from c0 where {has('ref', V.CITED_HEAD)})"""
 
 
 def _cited(x):
@@ -256,9 +256,9 @@ def _(x):
 
 
 @query("txt18_infer_granular", needs=("blocks",), ctes=f"""
-g0 as (select block_id, anchor_slug as own, unnest(regexp_extract_all(block_text, {lit(C.GRANULAR_INC)}, 1)) as a, unnest(regexp_extract_all(block_text, {lit(C.GRANULAR_INC)}, 2)) as i,
-  unnest(regexp_extract_all(block_text, {lit(C.GRANULAR_INC)}, 3)) as l from fx_blocks),
-q0 as (select block_id, anchor_slug as own, unnest(regexp_extract_all(block_text, {lit(C.GRANULAR_PAR)}, 1)) as a, unnest(regexp_extract_all(block_text, {lit(C.GRANULAR_PAR)}, 2)) as p from fx_blocks),
+g0 as (select block_id, anchor_slug as own, unnest(regexp_extract_all(block_text, {lit(V.GRANULAR_INC)}, 1)) as a, unnest(regexp_extract_all(block_text, {lit(V.GRANULAR_INC)}, 2)) as i,
+  unnest(regexp_extract_all(block_text, {lit(V.GRANULAR_INC)}, 3)) as l from fx_blocks),
+q0 as (select block_id, anchor_slug as own, unnest(regexp_extract_all(block_text, {lit(V.GRANULAR_PAR)}, 1)) as a, unnest(regexp_extract_all(block_text, {lit(V.GRANULAR_PAR)}, 2)) as p from fx_blocks),
 gg as (select distinct block_id, own, 'cf-1988-art-'||a||'-inc-'||lower(i)||case when l <> '' then '-ali-'||l else '' end as s from g0 union select distinct block_id, own, 'cf-1988-art-'||a||'-par-'||p from q0)""", sql="""
 select block_id, anchor_slug, 'formal' as anchor_origin from fx_blocks where anchor_slug <> ''
 union all select block_id, s, 'inferida' from gg where own <> s""")

@@ -478,3 +478,12 @@ AXIS_PAIRS = [
     ("class", "actor"), ("outcome", "environment"), ("direction", "environment"), ("modulation", "environment"),
     ("fiscal", "actor"), ("fiscal", "environment"),
 ]
+
+
+# Patterns of bracketed citations and of sub-devices named in texts.
+CITED_HEAD = rf"^({CLASSES_CITED})\s*[-n.]*\s*([\d.]+(?:[-/]\d+)?)"
+CITED_REL = r"rel\.?\s*(?:p/\s*o?\s*ac\.?\s*)?min\.?\s*([^,\]]+)"
+CITED_BODY = r",\s*(P|1.?\s*T|2.?\s*T)\s*[,\]]"
+CITED_DATE = r"j\.\s*(\d[\d\-]+(?:\s*de\s*[\w\p{L}]+\s*de\s*\d+)?)"
+GRANULAR_INC = r"""\b[Aa]rt\.?\s*(\d+)[º°o]?,\s*(?:inc(?:iso|\.)?\s+)?([IVXLCDM]+)\b(?:,\s*(?:al[ií]nea\s+)?["“']?([a-z])\b)?"""
+GRANULAR_PAR = r"\b[Aa]rt\.?\s*(\d+)[º°o]?,\s*§\s*(\d+)"
