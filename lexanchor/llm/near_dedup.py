@@ -9,10 +9,11 @@ registers, corrected for registers that agree by accident, drops those more than
 standard deviations below the threshold, and full sets decide about the rest.
 
 No group is expanded into its pairs. Texts with equal sets are one class. In each key the
-classes are first compared with one member (the least, then a random one), which joins a
+classes are first compared with one member (the least, then random ones), which joins a
 large group of near copies into few components; after that only members of different
-components are compared, those outside the group's largest component with blocks of
-bounded size. So a link between different components is never skipped.
+components are compared, those outside the key's largest component with blocks of bounded
+size, and a block returns one link for each two components that it joins. So a link
+between different components is never skipped.
 
 Words are separated by ASCII white space after A-Z is lower-cased. Fewer than five words
 are one shingle; without words or text a row is alone with an empty set. Rows with a null
@@ -43,7 +44,7 @@ BANDS = BUCKETS // BAND_ROWS
 DEVIATIONS = 5.0
 #: Classes of one key that a task compares with those outside the key's largest component.
 BLOCK = 2048
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 _FACTORS = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 #: For each bucket the order in which it looks for a filled one.
@@ -156,18 +157,49 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def _cross(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block's own members with the probes that come to it, across components."""
-    own, probes = pdf[pdf["own"]], pdf[~pdf["own"]]
-    regs = np.frombuffer(b"".join(own["sketch"]), np.uint16).reshape(-1, BUCKETS)
-    sizes, labels, sigs = own["n"].to_numpy(), own["label"].to_numpy(), own["sig"].to_numpy()
-    a: list[bytes] = []
-    b: list[bytes] = []
-    for sig, n, label, s in zip(probes["sig"], probes["n"], probes["label"], probes["sketch"], strict=True):
-        good = may_link(regs, np.frombuffer(s, np.uint16)[None, :], sizes, np.array([n])) & (labels != label)
-        for other in sigs[good]:
-            a.append(sig)
-            b.append(other)
+def _passing(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each probe of a block its row and the block's own rows of other components that it may link to."""
+    own = np.flatnonzero(pdf["own"])
+    regs = np.frombuffer(b"".join(pdf["sketch"].iloc[own]), np.uint16).reshape(-1, BUCKETS)
+    sizes, labels = pdf["n"].to_numpy(), pdf["label"].to_numpy()
+    for i in np.flatnonzero(~pdf["own"]):
+        other = np.flatnonzero(labels[own] != labels[i])
+        if len(other):
+            mine = np.frombuffer(pdf["sketch"].iloc[i], np.uint16)
+            good = other[may_link(regs[other], mine[None, :], sizes[own][other], sizes[i:i + 1])]
+            if len(good):
+                yield i, own[good], (regs[good] == mine).sum(axis=1)
+
+
+def _cross_members(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Members of a block that may link to another component."""
+    found: set[int] = set()
+    for i, others, _ in _passing(pdf):
+        found.add(i)
+        found.update(others.tolist())
+    return pd.DataFrame({"sig": list(pdf["sig"].iloc[sorted(found)].unique())})
+
+
+def _cross_links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links by full sets that join components within a block, likeliest first: one for each pair of components at most."""
+    sigs, labels, grams = pdf["sig"].to_numpy(), pdf["label"].to_numpy(), pdf["grams"].to_numpy()
+    top: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while x in top:
+            x = top[x]
+        return x
+
+    a, b = [], []
+    for i, others, same in _passing(pdf):
+        for j in others[np.argsort(-same, kind="stable")]:
+            one, two = find(labels[i]), find(labels[j])
+            if one != two:
+                common = len(np.intersect1d(grams[i], grams[j], assume_unique=True))
+                if 100 * common >= THRESHOLD * (len(grams[i]) + len(grams[j]) - common):
+                    top[one] = two
+                    a.append(sigs[i])
+                    b.append(sigs[j])
     return pd.DataFrame({"a": a, "b": b})
 
 
@@ -237,36 +269,56 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return written(met.filter(100 * F.col("common") >= THRESHOLD * (F.size("grams_a") + F.size("grams_b") - F.col("common"))).select("a", "b"), "verified")
 
     ends = lambda p: p.select(F.col("a").alias("sig")).union(p.select("b")).distinct()
-    links = verified(pairs, sets_of(ends(pairs)))
-    members = written(shared.select("sig").distinct(), "members")
-    joined = components(links).select(F.col("node").alias("sig"), "label")
-    labels = written(members.join(joined, "sig", "left").select("sig", F.coalesce("label", "sig").alias("label")), "labels")
+
+    def across(pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends are in different components."""
+        for side in ("a", "b"):
+            pairs = pairs.join(labels.select(F.col("sig").alias(side), F.col("label").alias(f"l_{side}")), side)
+        return pairs.filter("l_a <> l_b").select("a", "b")
+
+    sets = sets_of(ends(pairs))
+    labels = written(shared.select("sig").distinct().withColumn("label", F.col("sig")), "labels")
+    # the least hub of each class joins most; the other hubs are only asked where components still differ
+    labels = _relabelled(labels, verified(pairs.groupBy("a").agg(F.min("b").alias("b")), sets))
+    rest = written(across(pairs), "pairs")
+    if not rest.isEmpty():
+        labels = _relabelled(labels, verified(rest, sets))
 
     def mixed_keys(labels: DataFrame) -> DataFrame:
-        """Members of keys with several components beside the first hub, which met them all."""
+        """Members of keys with several components, where more than the first hub's pairs are open."""
         met = shared.filter("members > 2").join(labels, "sig")
         parts = met.groupBy("key", "label").agg(F.count("*").alias("k"))
         per = parts.groupBy("key").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("total"), F.count("*").alias("parts")).filter("parts > 1")
         return written(met.select("key", "sig", "label").join(per.select("key", F.col("top.label").alias("main"), "total"), "key"), "mixed")
 
     left = mixed_keys(labels)
-    if not left.isEmpty():
-        # a second, random member of each key's largest component meets the others
-        hubs = left.filter("label = main").groupBy("key").agg(F.min(F.struct(F.xxhash64("sig").alias("h"), "sig")).alias("h"))
+    outside = left.filter("label <> main").count()
+    turn = 0
+    while outside:
+        # a random member of each key's largest component meets the others, as long as that joins a fourth of them
+        turn += 1
+        hubs = left.filter("label = main").groupBy("key").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("h"), "sig")).alias("h"))
         again = left.filter("label <> main").join(hubs.select("key", F.col("h.sig").alias("b")), "key").select(F.col("sig").alias("a"), "b").distinct()
-        again = written(estimated(again), "pairs")
-        if not again.isEmpty():
-            labels = _relabelled(labels, verified(again, sets_of(ends(again))))
-            left = mixed_keys(labels)
-        size = left.withColumn("blocks", F.ceil(F.col("total") / BLOCK))
-        size = size.join(short, "sig")
-        own = size.withColumns({"own": F.lit(True), "block": F.pmod(F.xxhash64("sig"), "blocks")})
-        probes = size.filter("label <> main").withColumns({"own": F.lit(False), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
-        cols = ["key", "block", "own", "sig", "label", "n", "sketch"]
-        cross = own.select(*cols).union(probes.select(*cols)).groupBy("key", "block").applyInPandas(_cross, "a binary, b binary")
-        cross = written(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        if not cross.isEmpty():
-            labels = _relabelled(labels, verified(cross, sets_of(ends(cross))))
+        again = written(estimated(again).groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        if again.isEmpty():
+            break
+        labels = _relabelled(labels, verified(again, sets_of(ends(again))))
+        left = mixed_keys(labels)
+        before, outside = outside, left.filter("label <> main").count()
+        if 4 * outside > 3 * before:
+            break
+    if outside:
+        size = left.withColumn("blocks", F.ceil(F.col("total") / BLOCK)).join(short, "sig")
+
+        def dealt(size: DataFrame) -> DataFrame:
+            own = size.withColumns({"own": F.lit(True), "block": F.pmod(F.xxhash64("sig"), "blocks")})
+            probes = size.filter("label <> main").withColumns({"own": F.lit(False), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
+            return own.union(probes).drop("main", "total", "blocks").groupBy("key", "block")
+
+        open_ = written(dealt(size).applyInPandas(_cross_members, "sig binary").distinct(), "open")
+        if not open_.isEmpty():
+            whole = size.join(sets_of(open_), "sig")
+            labels = _relabelled(labels, written(dealt(whole).applyInPandas(_cross_links, "a binary, b binary"), "links"))
 
     ids = classes.select("sig", "least_id").join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     tops = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))
