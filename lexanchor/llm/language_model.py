@@ -5,15 +5,14 @@ are the vocabulary, in classes of 32 by rank; the others share the class "rare".
 chance is a softmax over classes times a softmax over the words of its class (class
 factoring); rare tokens share their class's chance by add-one counts, so the chances of
 all tokens, seen or not, sum to one. Both softmaxes add weights of hashed features of the
-text before: the previous word, the previous two, and skips to the second and third word
-before. Words outside the vocabulary are features by a hash of their last three bytes.
+text before: the previous word, the previous two, and a skip to the second word before. Words outside the vocabulary are features by a hash of their last three bytes.
 
 Training runs in ``ROUNDS`` over disjoint parts that cover all training documents. In a
 round every task starts from the same weights, does minibatch gradient steps over its
 documents (Adagrad, sparse rows in numpy) and returns its change; changes are averaged by
 their tokens in two steps of bounded groups. Weights start at the unigram model.
 
-A table of the ``LOOKUP`` most frequent tokens (a fixed number) goes to every task; the
+A table of the most frequent tokens, ``LOOKUP`` at most, goes to every task; the
 other tokens of a text meet the counts in a join, so no part of the vocabulary is dropped.
 
 Null texts are empty: the end alone. With no training document both scores are those of
@@ -39,16 +38,17 @@ from lexanchor.llm.common import batch_of, crc_mod, query, rows, table, written
 #: The end of a text; no word holds a space.
 END = b" "
 CLASS = 32
-CLASSES = 32
+CLASSES = 16
 VOCABULARY = (CLASSES - 1) * CLASS
 LOOKUP = 200_000
 SUFFIXES = 1024
 START = VOCABULARY + SUFFIXES
 _CODES = 2048
-#: Rows of class weights: three kinds of single words, then hashed pairs. Rows of word weights: hashed with the class.
-PAIRS = 8192
-CLASS_ROWS, WORD_ROWS = 3 * _CODES + PAIRS, 1 << 15
-BATCH, RATE, ROUNDS = 4096, 0.15, 2
+_BEFORE = np.full(2, START)
+#: Rows of class weights: two kinds of single words, then hashed pairs. Rows of word weights: hashed with the class.
+PAIRS = 4096
+CLASS_ROWS, WORD_ROWS = 2 * _CODES + PAIRS, 1 << 14
+BATCH, RATE, ROUNDS = 8192, 0.15, 2
 #: Most tasks of a training round, and floats in a slice of their changes.
 WORKERS, SLICE = 1024, 1 << 14
 #: Distinct tokens that a counting task holds.
@@ -134,10 +134,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _features(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rows of class weights for the tokens at these places; three codes come before each text."""
-    one, two, three = codes[at - 1], codes[at - 2], codes[at - 3]
+    """Rows of class weights for the tokens at these places; two codes come before each text."""
+    one, two = codes[at - 1], codes[at - 2]
     pair = ((two * _CODES + one) * 2654435761 >> 15) % PAIRS
-    return np.stack([one, _CODES + two, 2 * _CODES + three, 3 * _CODES + pair], axis=1)
+    return np.stack([one, _CODES + two, 2 * _CODES + pair], axis=1)
 
 
 def _word_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
@@ -146,17 +146,17 @@ def _word_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 def forward(w: Weights, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
     """Chances of classes; which tokens are in the vocabulary; their word rows, classes and chances of words."""
-    z = w.by_class[features[:, 0]]
+    z = np.take(w.by_class, features[:, 0], axis=0)
     for j in range(1, features.shape[1]):
-        z += w.by_class[features[:, j]]
+        z += np.take(w.by_class, features[:, j], axis=0)
     p_class = _softmax(z + w.class_bias)
     inside = np.flatnonzero(target >= 0)
     cls = target[inside] // CLASS
     word_rows = _word_rows(features[inside], cls)
-    z = w.by_word[word_rows[:, 0]]
+    z = np.take(w.by_word, word_rows[:, 0], axis=0)
     for j in range(1, word_rows.shape[1]):
-        z += w.by_word[word_rows[:, j]]
-    return p_class, inside, word_rows, cls, _softmax(z + w.word_bias[cls])
+        z += np.take(w.by_word, word_rows[:, j], axis=0)
+    return p_class, inside, word_rows, cls, _softmax(z + np.take(w.word_bias, cls, axis=0))
 
 
 def log10_chances(w: Weights, features: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -174,10 +174,11 @@ def _step(weights: np.ndarray, sums: np.ndarray, at: np.ndarray, g: np.ndarray)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    total = np.add.reduceat(g[order % len(g)], first, axis=0)
-    own = flat[first]
-    sums[own] += total * total
-    weights[own] -= RATE * total / np.sqrt(sums[own] + 1e-6)
+    total = np.add.reduceat(np.take(g, order % len(g), axis=0), first, axis=0)
+    own = flat[first].astype(np.int64)
+    square = np.take(sums, own, axis=0) + total * total
+    sums[own] = square
+    weights[own] = np.take(weights, own, axis=0) - RATE * total / np.sqrt(square + np.float32(1e-6))
 
 
 def train_batch(w: Weights, sums: Weights, features: np.ndarray, target: np.ndarray) -> None:
@@ -217,9 +218,9 @@ class Reader:
 
 def _batches_of(texts: list[tuple[np.ndarray, np.ndarray]], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and targets of texts given as (ranks, codes)."""
-    codes = np.concatenate([x for _, c in texts for x in (np.full(3, START), c)])
+    codes = np.concatenate([x for _, c in texts for x in (_BEFORE, c)])
     lengths = np.array([len(r) for r, _ in texts])
-    starts = np.cumsum(lengths + 3) - lengths
+    starts = np.cumsum(lengths + 2) - lengths
     at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     ranks = np.concatenate([r for r, _ in texts])
     return _features(codes, at), np.where(ranks < size, ranks, -1)
@@ -244,7 +245,7 @@ def _train(sent, weights_sent):
             ranks, codes, _ = reader.read(tokens(text))
             held.append((ranks, codes))
             size += len(ranks)
-            if size >= 4 * BATCH:
+            if size >= 2 * BATCH:
                 n += learn()
                 held, size = [], 0
         if held:
@@ -316,7 +317,7 @@ def _score(sent, weights_sent):
             ranks, codes, missing = reader.read(tokens(text))
             held.append((doc_id, held_out, ranks, codes, missing))
             size += len(ranks)
-            if size >= 8 * BATCH:
+            if size >= 4 * BATCH:
                 yield flush()
                 row, held, size = row + len(held), [], 0
         if held:
@@ -325,12 +326,25 @@ def _score(sent, weights_sent):
     return run
 
 
+def _cutoff(counts: DataFrame, most: int = LOOKUP) -> int:
+    """The least count that at most ``most`` tokens reach, by counts rounded down to three leading bits."""
+    step = F.expr("cast(pow(2, greatest(floor(log2(c)) - 2, 0)) as bigint)")
+    sizes = counts.select((F.floor(F.col("c") / step) * step).cast("long").alias("least")).groupBy("least").agg(F.count("*").alias("n")).orderBy(F.desc("least")).collect()
+    total, cutoff = 0, 1 << 62
+    for r in sizes:  # a few hundred rows
+        total += r.n
+        if total > most:
+            break
+        cutoff = r.least
+    return cutoff
+
+
 def scores(docs: DataFrame, train: Column, held_out: Column) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     counts = token_counts(docs.filter(train).select("text"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    often = counts.orderBy(F.desc("c"), "token").limit(LOOKUP).collect()  # a fixed number
+    often = sorted(counts.filter(F.col("c") >= _cutoff(counts)).collect(), key=lambda r: (-r.c, r.token))  # at most LOOKUP
     lexicon = Lexicon([bytes(r.token) for r in often], np.array([r.c for r in often], np.float64), total, distinct)
     flat = fit(docs.filter(train), lexicon)
     sent, weights = spark.sparkContext.broadcast(lexicon), spark.sparkContext.broadcast(flat)
