@@ -20,12 +20,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+_BATCH_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package to the executors, once for each application, so that tasks can import it from anywhere."""
+    """Prepares a session: sends this package to the executors, once for each application, and bounds Arrow batches.
+
+    Batches of 10,000 rows, the default, hold tens of megabytes of text on either side of a
+    Python task; another value that the session has set is left alone.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
     if sc.applicationId not in _SHIPPED:
         _SHIPPED.add(sc.applicationId)
         package = Path(__file__).resolve().parents[1]
@@ -70,6 +77,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_few(df: DataFrame, name: str) -> DataFrame:
+    """A narrow table as ``written``, in no more files than four for each core of the cluster."""
+    return written(df.coalesce(4 * max(2, df.sparkSession.sparkContext.defaultParallelism)), name)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -29,7 +29,7 @@ from lexanchor.operators.keyed import first_per_key
 #: Fingerprints that one slice of the merged filter holds on average.
 SLICE_ENTRIES = 1 << 20
 #: Text that a map task holds back while it folds equal texts together.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 4 << 20
 
 
 class QuotientFilter:

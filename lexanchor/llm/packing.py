@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lexanchor.llm.common import batch_of, query, rows, table, text_or_empty, written
-from lexanchor.llm.tokens import encoder
+from lexanchor.llm.tokens import REMEMBERED, encoder
 
 SEQUENCE = 2048
 END_ID = 0
@@ -35,11 +35,11 @@ _PIECES = pa.schema([("slot", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.
                      ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _cut(path: str, space: bool, end_id: int, longest: int, with_ids: bool):
+def _cut(path: str, space: bool, end_id: int, longest: int, with_ids: bool, remembered: int):
     schema = _PIECES.append(pa.field("ids", pa.binary())) if with_ids else _PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, space)
+        enc = encoder(path, space, remembered)
         slot = TaskContext.get().partitionId() << 36
         out: list[list] = [[] for _ in schema]
         size = 0
@@ -115,10 +115,11 @@ def _pack_group(longest: int):
     return run
 
 
-def encoded_pieces(docs: DataFrame, path: str, space_in_front: bool, end_id: int = END_ID, longest: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
+def encoded_pieces(docs: DataFrame, path: str, space_in_front: bool, end_id: int = END_ID, longest: int = SEQUENCE, with_ids: bool = False,
+                   remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of (doc_id, text): slot, doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
     schema = "slot long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_cut(path, space_in_front, end_id, longest, with_ids), schema)
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(_cut(path, space_in_front, end_id, longest, with_ids, remembered), schema)
 
 
 def packed(pieces: DataFrame, longest: int = SEQUENCE, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -136,9 +137,10 @@ def packed_ids(pieces: DataFrame, places: DataFrame) -> DataFrame:
     return parts.select("sequence_id", F.unhex(F.array_join("parts.ids", "")).alias("ids"))
 
 
-def packed_documents(docs: DataFrame) -> DataFrame:
+def packed_documents(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
+    """Places of all pieces; ``remembered`` bounds the chunks that a worker keeps (memory against time, same result)."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packed(written(encoded_pieces(docs, path, True), "pieces")).drop("slot")
+    return packed(written(encoded_pieces(docs, path, True, remembered=remembered), "pieces")).drop("slot")
 
 
 @query("op4_best_fit_packing")

@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Chunks that a worker remembers for good and on trial. A chunk on trial that comes again
 #: is remembered for good; either memory is emptied when it is full.
-REMEMBERED, ON_TRIAL = 250_000, 200_000
+REMEMBERED, ON_TRIAL = 300_000, 200_000
 LONGEST_REMEMBERED = 64
 _SAFE = r"[\w!-~]"
 _BOUNDARY = re.compile(rf"(?<={_SAFE}) (?={_SAFE})")
@@ -36,13 +36,14 @@ _SPACE_CHAR = chr(_BYTE_CHARS[0x20])
 class Encoder:
     """Ids of texts by the tokenizer of a file; keeps a bounded memory of chunks (ids as little-endian bytes)."""
 
-    def __init__(self, path: str, space_in_front: bool):
+    def __init__(self, path: str, space_in_front: bool, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.space = " " if space_in_front else ""
+        self.remembered, self.on_trial = remembered, remembered * ON_TRIAL // REMEMBERED
         self.memory: dict[str, bytes] = {}
         self.trial: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
@@ -79,7 +80,7 @@ class Encoder:
         """Ids of a chunk that is not remembered for good; None if it can't be encoded alone."""
         ids = self.trial.pop(chunk, None)
         if ids is not None:
-            if len(self.memory) >= REMEMBERED:
+            if len(self.memory) >= self.remembered:
                 self.memory.clear()
             self.memory[chunk] = ids
             return ids
@@ -90,7 +91,7 @@ class Encoder:
                 return None
             ids = array("I", self.whole([chunk if line else self.space + chunk])[0]).tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self.trial) >= ON_TRIAL:
+            if len(self.trial) >= self.on_trial:
                 self.trial.clear()
             self.trial[chunk] = ids
         return ids
@@ -98,6 +99,8 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
+        if not self.space and text.isascii():
+            text = text.lower()  # as the vocabulary's own normaliser does; fewer chunks differ
         # a line break between visible characters stands alone too: it starts a chunk of its own kind
         head, *parts = text.replace("\n", " \n").split(" ")
         if parts and not (head and _SAFE_END.match(head[-1])):
@@ -111,7 +114,7 @@ class Encoder:
                         return self._by_boundary(text)
                     found[i] = ids
         if head not in self.heads:
-            if len(self.heads) >= ON_TRIAL // 8:
+            if len(self.heads) >= self.on_trial // 8:
                 self.heads = {"": b""}
             self.heads[head] = array("I", self.whole([head])[0]).tobytes()
         return np.frombuffer(self.heads[head] + b"".join(found), np.uint32)
@@ -121,12 +124,12 @@ class Encoder:
         return np.fromiter(chain.from_iterable(self.whole([head, *(self.space + p for p in parts)])), np.uint32)
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, space_in_front: bool) -> Encoder:
+def encoder(path: str, space_in_front: bool, remembered: int = REMEMBERED) -> Encoder:
     """One encoder for each file and worker process."""
-    key = (path, space_in_front)
+    key = (path, space_in_front, remembered)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(path, space_in_front)
     return _ENCODERS[key]
