@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexanchor.llm.common import batch_of, mix, query, rows, table, written
+from lexanchor.llm.common import batch_of, mix, query, rows, table, written, written_few
 
 SHINGLE_WORDS = 5
 #: Links need 100 * intersection >= THRESHOLD * union.
@@ -209,21 +209,21 @@ def components(links: DataFrame) -> DataFrame:
     Each round hooks every label to its least neighbour, shortens the chains and relabels
     the links; links within a component fall away, so the rest shrinks fast.
     """
-    nodes = written(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("label", F.col("node")), "nodes")
+    nodes = written_few(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("label", F.col("node")), "nodes")
     rest = links.select("a", "b").filter("a <> b")
     while True:
-        rest = written(rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        rest = written_few(rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
         if rest.isEmpty():
             return nodes
-        hooks = written(rest.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")), "hooks")
+        hooks = written_few(rest.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")), "hooks")
         while True:  # each step halves the length of the chains
             above = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            moved = written(hooks.join(above, "up", "left").select("node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "hooks")
+            moved = written_few(hooks.join(above, "up", "left").select("node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "hooks")
             hooks = moved.select("node", "up")
             if moved.filter("moved").isEmpty():
                 break
         up = hooks.select(F.col("node").alias("label"), "up")
-        nodes = written(nodes.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "nodes")
+        nodes = written_few(nodes.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "nodes")
         for side in ("a", "b"):
             rest = rest.join(hooks.select(F.col("node").alias(side), "up"), side, "left").withColumn(side, F.coalesce("up", side)).drop("up")
         rest = rest.filter("a <> b")
@@ -233,8 +233,8 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links between labelled nodes."""
     one = links.join(labels.select(F.col("sig").alias("a"), F.col("label").alias("la")), "a").join(
         labels.select(F.col("sig").alias("b"), F.col("label").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b")
-    merged = components(written(one.distinct(), "label-links")).select(F.col("node").alias("label"), F.col("label").alias("top"))
-    return written(labels.join(merged, "label", "left").select("sig", F.coalesce("top", "label").alias("label")), "labels")
+    merged = components(written_few(one.distinct(), "label-links")).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return written_few(labels.join(merged, "label", "left").select("sig", F.coalesce("top", "label").alias("label")), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(short.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
         return pairs.mapInArrow(_estimate, "a binary, b binary")
 
-    pairs = written(estimated(shared.filter("sig <> hub").select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()), "pairs")
+    pairs = written_few(estimated(shared.filter("sig <> hub").select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()), "pairs")
 
     def sets_of(members: DataFrame) -> DataFrame:
         place = classes.join(members, "sig", "left_semi").select("sig", F.col("place.doc_id").alias("__id"), F.col("place.text_key").alias("__key"))
@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             met = met.join(sets.select(F.col("sig").alias(side), F.col("grams").alias(f"grams_{side}")), side)
         met = met.withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
-        return written(met.filter(100 * F.col("common") >= THRESHOLD * (F.size("grams_a") + F.size("grams_b") - F.col("common"))).select("a", "b"), "verified")
+        return written_few(met.filter(100 * F.col("common") >= THRESHOLD * (F.size("grams_a") + F.size("grams_b") - F.col("common"))).select("a", "b"), "verified")
 
     ends = lambda p: p.select(F.col("a").alias("sig")).union(p.select("b")).distinct()
 
@@ -277,10 +277,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return pairs.filter("l_a <> l_b").select("a", "b")
 
     sets = sets_of(ends(pairs))
-    labels = written(shared.select("sig").distinct().withColumn("label", F.col("sig")), "labels")
+    labels = written_few(shared.select("sig").distinct().withColumn("label", F.col("sig")), "labels")
     # the least hub of each class joins most; the other hubs are only asked where components still differ
     labels = _relabelled(labels, verified(pairs.groupBy("a").agg(F.min("b").alias("b")), sets))
-    rest = written(across(pairs), "pairs")
+    rest = written_few(across(pairs), "pairs")
     if not rest.isEmpty():
         labels = _relabelled(labels, verified(rest, sets))
 
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         met = shared.filter("members > 2").join(labels, "sig")
         parts = met.groupBy("key", "label").agg(F.count("*").alias("k"))
         per = parts.groupBy("key").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("total"), F.count("*").alias("parts")).filter("parts > 1")
-        return written(met.select("key", "sig", "label").join(per.select("key", F.col("top.label").alias("main"), "total"), "key"), "mixed")
+        return written_few(met.select("key", "sig", "label").join(per.select("key", F.col("top.label").alias("main"), "total"), "key"), "mixed")
 
     left = mixed_keys(labels)
     outside = left.filter("label <> main").count()
@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         turn += 1
         hubs = left.filter("label = main").groupBy("key").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("h"), "sig")).alias("h"))
         again = left.filter("label <> main").join(hubs.select("key", F.col("h.sig").alias("b")), "key").select(F.col("sig").alias("a"), "b").distinct()
-        again = written(estimated(again).groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        again = written_few(estimated(again).groupBy("a").agg(F.min("b").alias("b")), "pairs")
         if again.isEmpty():
             break
         labels = _relabelled(labels, verified(again, sets_of(ends(again))))
@@ -315,10 +315,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             probes = size.filter("label <> main").withColumns({"own": F.lit(False), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
             return own.union(probes).drop("main", "total", "blocks").groupBy("key", "block")
 
-        open_ = written(dealt(size).applyInPandas(_cross_members, "sig binary").distinct(), "open")
+        open_ = written_few(dealt(size).applyInPandas(_cross_members, "sig binary").distinct(), "open")
         if not open_.isEmpty():
             whole = size.join(sets_of(open_), "sig")
-            labels = _relabelled(labels, written(dealt(whole).applyInPandas(_cross_links, "a binary, b binary"), "links"))
+            labels = _relabelled(labels, written_few(dealt(whole).applyInPandas(_cross_links, "a binary, b binary"), "links"))
 
     ids = classes.select("sig", "least_id").join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     tops = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))
