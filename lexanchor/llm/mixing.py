@@ -143,7 +143,8 @@ def mix(sized: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLO
     pieces = placed.filter("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
     pieces = pieces.select("row", "rank", "block", "start", F.expr(f"greatest(start - block * {block}, 0)").alias("lo"),
                            F.expr(f"least(start + size - block * {block}, {block})").alias("hi"))
-    taken = pieces.join(draw_slots(targets, block, shard_slots), ["rank", "block"]).filter("words > lo").select(
+    # slots come from a few rows per source, so their size is underestimated: they must not be broadcast
+    taken = pieces.join(draw_slots(targets, block, shard_slots).hint("merge"), ["rank", "block"]).filter("words > lo").select(
         "row", "shard", "slot", "pass", F.expr(f"block * {block} + lo - start").alias("from"),
         F.expr(f"block * {block} + least(hi, words) - start").alias("until"))
     return placed, taken
