@@ -1,19 +1,23 @@
 """Language-model scores by a hashed maximum-entropy model.
 
-Counts of all training tokens are exact: tasks count, Spark sums. The most frequent tokens
-are the vocabulary, in classes of 32 by rank; the others share the class "rare". A token's
-chance is a softmax over classes times a softmax over the words of its class (class
-factoring); rare tokens share their class's chance by add-one counts, so the chances of
-all tokens, seen or not, sum to one. Both softmaxes add weights of hashed features of the
-text before: the previous word, the previous two, and a skip to the second word before. Words outside the vocabulary are features by a hash of their last three bytes.
+Counts of all training tokens are exact: tasks count, Spark sums. The vocabulary holds every
+token of the lexicon that was counted ``LEAST`` times or more; the others share the leaf "rare".
+Words are factored into nested classes, two in each: a Huffman tree over the counts, so that
+a word costs about as many decisions as its information in bits. A token's chance is the
+product of its path's decisions; rare tokens share their leaf's chance by add-one counts, so
+the chances of all tokens, seen or not, sum to one. Each decision adds weights of hashed
+features of the text before: the previous word, the previous two, skips to the second and
+third word before, and the previous word's last three bytes by a hash. The table of weights
+grows with the vocabulary.
 
 Training runs in ``ROUNDS`` over disjoint parts that cover all training documents. In a
 round every task starts from the same weights, does minibatch gradient steps over its
 documents (Adagrad, sparse rows in numpy) and returns its change; changes are averaged by
 their tokens in two steps of bounded groups. Weights start at the unigram model.
 
-A table of the most frequent tokens, ``LOOKUP`` at most, goes to every task; the
-other tokens of a text meet the counts in a join, so no part of the vocabulary is dropped.
+The lexicon goes to every task. It holds the tokens above a count limit: at most ``LOOKUP`` or,
+if that is more, ``GROWTH`` times the root of the number of training tokens. The other tokens
+of a text meet the counts in a join, so their counts are exact too.
 
 Null texts are empty: the end alone. With no training document both scores are those of
 an empty count table. Rows with null or repeated ids are scored one by one; an empty table
@@ -22,6 +26,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+import heapq
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -33,22 +39,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexanchor.llm.common import batch_of, crc_mod, query, rows, table, written
+from lexanchor.llm.common import batch_of, crc_mod, mix, query, rows, table, written
 
 #: The end of a text; no word holds a space.
 END = b" "
-CLASS = 32
-CLASSES = 16
-VOCABULARY = (CLASSES - 1) * CLASS
-LOOKUP = 200_000
+#: Least count of a word of the vocabulary.
+LEAST = 2
+LOOKUP, GROWTH = 200_000, 20
 SUFFIXES = 1024
-START = VOCABULARY + SUFFIXES
-_CODES = 2048
-_BEFORE = np.full(2, START)
-#: Rows of class weights: two kinds of single words, then hashed pairs. Rows of word weights: hashed with the class.
-PAIRS = 4096
-CLASS_ROWS, WORD_ROWS = 2 * _CODES + PAIRS, 1 << 14
-BATCH, RATE, ROUNDS = 8192, 0.15, 2
+#: Kinds of features, and the code that stands before a text.
+KINDS, START = 5, 1 << 40
+_BEFORE = np.full(3, START)
+#: Weights for each word, and the least size of the table.
+PER_WORD, LEAST_TABLE = 8, 1 << 21
+BATCH, RATE, DAMPING, ROUNDS = 8192, 0.15, 1.0, 2
 #: Most tasks of a training round, and floats in a slice of their changes.
 WORKERS, SLICE = 1024, 1 << 14
 #: Distinct tokens that a counting task holds.
@@ -89,107 +93,122 @@ class Lexicon:
     def __post_init__(self) -> None:
         self.rank = {w: i for i, w in enumerate(self.words)}
         self.log_counts = np.log10(self.counts + 1.0) if len(self.counts) else np.zeros(0)
-        self.size = min(VOCABULARY, len(self.words))
-        self.codes = np.array([i if i < self.size else suffix_code(w) for i, w in enumerate(self.words)], np.int64)
+        self.size = int(np.searchsorted(-self.counts, -LEAST, side="right"))
+        self.codes = np.array([((i + 1) * SUFFIXES if i < self.size else 0) + suffix_code(w) for i, w in enumerate(self.words)], np.int64)
         inside = int(self.counts[:self.size].sum())
         #: Add-one mass of all tokens outside the vocabulary, one unseen token included.
         self.rare_mass = (self.total - inside) + (self.distinct - self.size) + 1
+        self.tree = Tree(np.append(self.counts[:self.size] + 1.0, self.rare_mass))
 
 
 def suffix_code(word: bytes) -> int:
-    return VOCABULARY + (zlib.crc32(word[-3:]) & (SUFFIXES - 1))
+    return zlib.crc32(word[-3:]) & (SUFFIXES - 1)
+
+
+class Tree:
+    """A Huffman tree. ``up`` holds twice the decision above each leaf, then above each decision, plus the side; -1 at the root."""
+
+    def __init__(self, mass: np.ndarray):
+        self.leaves = n = len(mass)
+        self.up = np.full(2 * n - 1, -1, np.int32)
+        self.bias = np.zeros(n - 1, np.float32)
+        heap = list(zip(mass.tolist(), range(n), strict=True))
+        heapq.heapify(heap)
+        for k in range(n - 1):
+            (a, left), (b, right) = heapq.heappop(heap), heap[0]
+            self.up[left], self.up[right] = 2 * k, 2 * k + 1
+            self.bias[k] = math.log(b / a)
+            heapq.heapreplace(heap, (a + b, n + k))
+
+    def paths(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``leaf``, decisions and sides (1: the second) on the ways to the root."""
+        row, up = np.arange(len(leaf)), self.up[leaf]
+        on_way, steps = [], []
+        while True:
+            more = np.flatnonzero(up >= 0)
+            if not len(more):
+                break
+            row, up = np.take(row, more), np.take(up, more)
+            on_way.append(row)
+            steps.append(up)
+            up = self.up[self.leaves + (up >> 1)]
+        if not steps:
+            none = np.zeros(0, np.int64)
+            return none, none, none
+        step = np.concatenate(steps)
+        return np.concatenate(on_way), step >> 1, step & 1
 
 
 class Weights:
-    """All weights in one array: class rows, class bias, word rows, word bias."""
+    """Weights of hashed pairs of a feature and a decision, in a table whose size is a power of two."""
 
-    def __init__(self, flat: np.ndarray):
-        self.flat = flat
-        parts = np.split(flat, np.cumsum([CLASS_ROWS * CLASSES, CLASSES, WORD_ROWS * CLASS]))
-        self.by_class, self.class_bias = parts[0].reshape(CLASS_ROWS, CLASSES), parts[1]
-        self.by_word, self.word_bias = parts[2].reshape(WORD_ROWS, CLASS), parts[3].reshape(CLASSES, CLASS)
+    SIZE = LEAST_TABLE
 
-    SIZE = CLASS_ROWS * CLASSES + CLASSES + WORD_ROWS * CLASS + CLASSES * CLASS
+    def __init__(self, flat: np.ndarray, tree: Tree | None = None):
+        self.flat, self.tree = flat, tree
+        self.shift = np.uint64(65 - len(flat).bit_length())
+        #: Gradients of a batch; zero between batches.
+        self.open = np.zeros(0, np.float32)
+        if tree is not None:
+            self.of_decision = mix(np.arange(len(tree.bias), dtype=np.uint64))
 
     @classmethod
     def unigram(cls, lexicon: Lexicon) -> Weights:
-        w = cls(np.zeros(cls.SIZE, np.float32))
-        grid = np.zeros(CLASSES * CLASS)
-        grid[:lexicon.size] = lexicon.counts[:lexicon.size] + 1.0
-        grid = grid.reshape(CLASSES, CLASS)
-        mass = grid.sum(axis=1)
-        mass[-1] = lexicon.rare_mass
-        w.word_bias[:] = np.where(grid > 0, np.log(np.maximum(grid, 1e-30)), -1e4)
-        w.class_bias[:] = np.where(mass > 0, np.log(np.maximum(mass, 1e-30)), -1e4)
-        w.class_bias -= w.class_bias.max()
-        w.word_bias -= w.word_bias.max(axis=1, keepdims=True)
-        return w
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+        size = max(cls.SIZE, 1 << (PER_WORD * lexicon.size).bit_length())
+        return cls(np.zeros(size, np.float32), lexicon.tree)
 
-
-def _features(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rows of class weights for the tokens at these places; two codes come before each text."""
-    one, two = codes[at - 1], codes[at - 2]
-    pair = ((two * _CODES + one) * 2654435761 >> 15) % PAIRS
-    return np.stack([one, _CODES + two, 2 * _CODES + pair], axis=1)
+    def slots(self, features: np.ndarray, row: np.ndarray, decision: np.ndarray) -> np.ndarray:
+        """Places in the table, one line for each kind of feature."""
+        of_decision = self.of_decision[decision]
+        out = np.empty((features.shape[1], len(row)), np.int64)
+        for j in range(len(out)):
+            out[j] = (np.take(features[:, j], row) + of_decision) >> self.shift
+        return out
 
 
-def _word_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    return ((features * CLASSES + cls[:, None]) * 2654435761 >> 13) % WORD_ROWS
+def _features(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashed features of the tokens at these places; three codes come before each text."""
+    codes = codes.astype(np.uint64)
+    one, two, three = (mix(codes * np.uint64(KINDS) + np.uint64(j)) for j in range(3))
+    pair, end = two[at - 2] * np.uint64(3) + one[at - 1], (codes % np.uint64(SUFFIXES))[at - 1] * np.uint64(KINDS) + np.uint64(3)
+    return np.stack([one[at - 1], two[at - 2], three[at - 3], mix(pair), mix(end)], axis=1)
 
 
 def forward(w: Weights, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Chances of classes; which tokens are in the vocabulary; their word rows, classes and chances of words."""
-    z = np.take(w.by_class, features[:, 0], axis=0)
-    for j in range(1, features.shape[1]):
-        z += np.take(w.by_class, features[:, j], axis=0)
-    p_class = _softmax(z + w.class_bias)
-    inside = np.flatnonzero(target >= 0)
-    cls = target[inside] // CLASS
-    word_rows = _word_rows(features[inside], cls)
-    z = np.take(w.by_word, word_rows[:, 0], axis=0)
-    for j in range(1, word_rows.shape[1]):
-        z += np.take(w.by_word, word_rows[:, j], axis=0)
-    return p_class, inside, word_rows, cls, _softmax(z + np.take(w.word_bias, cls, axis=0))
+    """Rows, sides and places in the table of all decisions on the targets' paths, and their logits."""
+    row, decision, side = w.tree.paths(np.where(target >= 0, target, w.tree.leaves - 1))
+    slots = w.slots(features, row, decision)
+    z = w.tree.bias[decision]
+    for line in slots:
+        z += np.take(w.flat, line)
+    return row, side, slots, z
 
 
 def log10_chances(w: Weights, features: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log10 of each token's chance; for tokens outside the vocabulary (target -1) of their class alone."""
-    p_class, inside, _, cls, p_word = forward(w, features, target)
-    out = np.log10(np.maximum(p_class[:, -1], 1e-30).astype(np.float64))
-    out[inside] = np.log10(np.maximum(p_class[inside, cls].astype(np.float64), 1e-30)) + np.log10(
-        np.maximum(p_word[np.arange(len(inside)), target[inside] % CLASS].astype(np.float64), 1e-30))
-    return out
-
-
-def _step(weights: np.ndarray, sums: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
-    """Adagrad step for rows ``at`` (one column for each feature) that share the gradient ``g``."""
-    flat = at.T.ravel().astype(np.uint16)
-    order = np.argsort(flat, kind="stable")
-    flat = flat[order]
-    first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    total = np.add.reduceat(np.take(g, order % len(g), axis=0), first, axis=0)
-    own = flat[first].astype(np.int64)
-    square = np.take(sums, own, axis=0) + total * total
-    sums[own] = square
-    weights[own] = np.take(weights, own, axis=0) - RATE * total / np.sqrt(square + np.float32(1e-6))
+    """log10 of each token's chance; for tokens outside the vocabulary (target -1) of their leaf alone."""
+    row, side, _, z = forward(w, features, target)
+    logs = np.logaddexp(np.float32(0), np.where(side > 0, -z, z))
+    return np.bincount(row, logs, len(target)) / -math.log(10)
 
 
 def train_batch(w: Weights, sums: Weights, features: np.ndarray, target: np.ndarray) -> None:
-    p_class, inside, word_rows, cls, p_word = forward(w, features, target)
-    goal = np.full(len(target), CLASSES - 1)
-    goal[inside] = cls
-    p_class[np.arange(len(target)), goal] -= 1
-    _step(w.by_class, sums.by_class, features, p_class)
-    if len(inside):
-        p_word[np.arange(len(inside)), target[inside] % CLASS] -= 1
-        _step(w.by_word, sums.by_word, word_rows, p_word)
+    """Adagrad steps over the batch's summed gradients, one for each kind of feature."""
+    _, side, slots, z = forward(w, features, target)
+    g = 1 / (1 + np.exp(np.clip(-z, -60, 60))) - side.astype(np.float32)
+    if len(w.open) != len(w.flat):
+        w.open = np.zeros_like(w.flat)
+    for line in slots:
+        np.add.at(w.open, line, g)
+        total = np.take(w.open, line)
+        w.open[line] = 0
+        square = np.take(sums.flat, line)  # a slot that comes twice is set twice to the same value
+        square += total * total
+        sums.flat[line] = square
+        square += np.float32(DAMPING)
+        np.sqrt(square, out=square)
+        total *= np.float32(RATE)
+        total /= square
+        w.flat[line] = np.take(w.flat, line) - total
 
 
 class Reader:
@@ -220,7 +239,7 @@ def _batches_of(texts: list[tuple[np.ndarray, np.ndarray]], size: int) -> tuple[
     """Features and targets of texts given as (ranks, codes)."""
     codes = np.concatenate([x for _, c in texts for x in (_BEFORE, c)])
     lengths = np.array([len(r) for r, _ in texts])
-    starts = np.cumsum(lengths + 2) - lengths
+    starts = np.cumsum(lengths + 3) - lengths
     at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     ranks = np.concatenate([r for r, _ in texts])
     return _features(codes, at), np.where(ranks < size, ranks, -1)
@@ -231,7 +250,7 @@ def _train(sent, weights_sent):
         schema = pa.schema([("slice", pa.int32()), ("part", pa.int64()), ("n", pa.float64()), ("change", pa.binary())])
         lexicon: Lexicon = sent.value
         start: np.ndarray = weights_sent.value
-        w, sums, reader, n = Weights(start.copy()), Weights(np.zeros(Weights.SIZE, np.float32)), Reader(lexicon), 0
+        w, sums, reader, n = Weights(start.copy(), lexicon.tree), Weights(np.zeros_like(start)), Reader(lexicon), 0
         held: list = []
         size = 0
 
@@ -291,7 +310,7 @@ def _score(sent, weights_sent):
                             ("log_counts", pa.float64()), ("log_model", pa.float64()), ("n_rare", pa.int64()),
                             ("tokens", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
         lexicon: Lexicon = sent.value
-        w, reader = Weights(weights_sent.value), Reader(lexicon)
+        w, reader = Weights(weights_sent.value, lexicon.tree), Reader(lexicon)
         row = TaskContext.get().partitionId() << 36
         held: list = []
         size = 0
@@ -344,7 +363,8 @@ def scores(docs: DataFrame, train: Column, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     counts = token_counts(docs.filter(train).select("text"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    often = sorted(counts.filter(F.col("c") >= _cutoff(counts)).collect(), key=lambda r: (-r.c, r.token))  # at most LOOKUP
+    often = counts.filter(F.col("c") >= _cutoff(counts, max(LOOKUP, GROWTH * math.isqrt(total)))).collect()
+    often.sort(key=lambda r: (-r.c, r.token))
     lexicon = Lexicon([bytes(r.token) for r in often], np.array([r.c for r in often], np.float64), total, distinct)
     flat = fit(docs.filter(train), lexicon)
     sent, weights = spark.sparkContext.broadcast(lexicon), spark.sparkContext.broadcast(flat)

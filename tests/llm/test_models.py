@@ -167,3 +167,38 @@ def test_chances_of_all_tokens_sum_to_one():
 def test_held_out_scores_beat_the_base(spark):
     rows = [r for r in G.op9(spark, DIR).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_context_tells_less_frequent_words_apart():
+    filler = [f"f{i}" for i in range(2000)]
+    pairs = [w for _ in range(6) for w in [x for f in filler for x in [f] * 2] + [x for i in range(200) for x in (f"a{i % 2}", "the", f"w{i % 2}")]]
+    counts = Counter(pairs)
+    best = sorted(counts.items(), key=lambda r: (-r[1], r[0]))
+    extra = [(f"z{i:04d}", 900) for i in range(1000)]  # a thousand words come before w0 and w1
+    best = extra + best + [("once", 1)]
+    lexicon = G.Lexicon([w.encode() for w, _ in best], np.array([c for _, c in best], float), sum(c for _, c in best), len(best))
+    assert lexicon.size == len(best) - 1 and lexicon.rank[b"w0"] >= 992
+    w, sums = G.Weights.unigram(lexicon), G.Weights(np.zeros(G.Weights.unigram(lexicon).flat.size, np.float32))
+    ranks, codes, _ = G.Reader(lexicon).read([x.encode() for x in pairs])
+    features, target = G._batches_of([(ranks, codes)], lexicon.size)
+    for at in range(0, len(target), 256):
+        G.train_batch(w, sums, features[at:at + 256], target[at:at + 256])
+    score = lambda *text: G.log10_chances(w, *G._batches_of([G.Reader(lexicon).read([x.encode() for x in text])[:2]], lexicon.size))[-1]
+    assert score("a0", "the", "w0") > score("a1", "the", "w0") + 0.3 and score("a1", "the", "w1") > score("a0", "the", "w1") + 0.3
+    assert score("a0", "x", "the") != score("a1", "x", "y", "the")
+
+
+def test_skip_to_the_third_word_and_a_table_that_grows():
+    text = [x for i in range(3000) for x in (f"k{i % 2}", "p", "q", f"v{i % 2}")]
+    counts = Counter(text)
+    best = sorted(counts.items(), key=lambda r: (-r[1], r[0]))
+    lexicon = G.Lexicon([w.encode() for w, _ in best], np.array([c for _, c in best], float), len(text), len(best))
+    w, sums = G.Weights.unigram(lexicon), G.Weights(np.zeros(G.Weights.SIZE, np.float32))
+    ranks, codes, _ = G.Reader(lexicon).read([x.encode() for x in text])
+    features, target = G._batches_of([(ranks, codes)], lexicon.size)
+    for at in range(0, len(target), 256):
+        G.train_batch(w, sums, features[at:at + 256], target[at:at + 256])
+    chances = G.log10_chances(w, features, target)[-400:]
+    assert chances[np.array(text[-400:]) == "v0"].mean() > -0.15  # without the skip: log10(1/2)
+    many = G.Lexicon([str(i).encode() for i in range(600_000)], np.full(600_000, 3.0), 1_800_000, 600_000)
+    assert many.size == 600_000 and len(G.Weights.unigram(many).flat) >= G.PER_WORD * many.size > G.Weights.SIZE
