@@ -131,5 +131,5 @@ def encoder(path: str, space_in_front: bool, remembered: int = REMEMBERED) -> En
     """One encoder for each file and worker process."""
     key = (path, space_in_front, remembered)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, space_in_front)
+        _ENCODERS[key] = Encoder(path, space_in_front, remembered)
     return _ENCODERS[key]

@@ -102,3 +102,11 @@ def test_packed_pieces_against_whole_encoding(spark):
     out = {r.sequence_id: len(r.ids) // 4 for r in packing.packed_ids(pieces, places).collect()}
     assert sum(out.values()) == total and len(out) == len(sequences)
     assert packing.packed_documents(docs(spark, [])).count() == 0
+
+
+def test_encoder_takes_the_memory_it_is_asked_for():
+    from lexanchor.llm import tokens as E
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    small, usual = E.encoder(path, True, 80_000), E.encoder(path, True)
+    assert (small.remembered, usual.remembered) == (80_000, E.REMEMBERED) and small.on_trial < usual.on_trial
