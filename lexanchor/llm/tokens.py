@@ -113,11 +113,14 @@ class Encoder:
                     if ids is None:
                         return self._by_boundary(text)
                     found[i] = ids
-        if head not in self.heads:
-            if len(self.heads) >= self.on_trial // 8:
-                self.heads = {"": b""}
-            self.heads[head] = array("I", self.whole([head])[0]).tobytes()
-        return np.frombuffer(self.heads[head] + b"".join(found), np.uint32)
+        ids = self.heads.get(head)
+        if ids is None:
+            ids = array("I", self.whole([head])[0]).tobytes()
+            if len(head) <= LONGEST_REMEMBERED:
+                if len(self.heads) >= self.on_trial // 8:
+                    self.heads = {"": b""}
+                self.heads[head] = ids
+        return np.frombuffer(ids + b"".join(found), np.uint32)
 
     def _by_boundary(self, text: str) -> np.ndarray:
         head, *parts = _BOUNDARY.split(text)

@@ -110,3 +110,13 @@ def test_encoder_takes_the_memory_it_is_asked_for():
     path = public_tokenizers.path("byte_bpe_50k.json")
     small, usual = E.encoder(path, True, 80_000), E.encoder(path, True)
     assert (small.remembered, usual.remembered) == (80_000, E.REMEMBERED) and small.on_trial < usual.on_trial
+
+
+def test_long_heads_are_encoded_but_not_kept():
+    from lexanchor.llm import tokens as E
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    e = E.Encoder(path, True)
+    for text in ("漢字" * 500, "x" * 5000, "y" * 65 + " tail", "short head"):
+        assert e.encode(text).tolist() == e.whole([text])[0]
+    assert max(map(len, e.heads)) <= E.LONGEST_REMEMBERED and "short" in e.heads
