@@ -237,8 +237,8 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written_few(labels.join(merged, "label", "left").select("sig", F.coalesce("top", "label").alias("label")), "labels")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, component_id, kept."""
+def _marked(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the component's label, which is null for rows with an empty set."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = written(keyed.mapInArrow(_sketches, "doc_id long, text_key long, sig binary, n long, sketch binary"), "sketches")
     classes = written(found.filter("n > 0").groupBy("sig").agg(
@@ -322,17 +322,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ids = classes.select("sig", "least_id").join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     tops = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    owners = ids.select("sig", "label").join(tops, "label").select("sig", "component_id")
+    owners = ids.select("sig", "label").join(tops, "label").select("sig", "label", "component_id")
     out = found.select("doc_id", "text_key", "sig", F.col("n").alias("n_shingles")).join(owners, "sig", "left")
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "label")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, component_id, kept."""
+    return _marked(docs).drop("label")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with all its columns, one document of each component."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    """``docs`` with all its columns, one document of each component: the least id that is not null, then the least text key."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    found = _marked(docs).filter("label is not null").groupBy("label", "doc_id", "text_key").agg(F.count("*").alias("k"))
+    found = written_few(found.select("label", "k", place.alias("place")), "marks")
+    first = found.groupBy("label").agg(F.min("place").alias("first"))
+    ends = found.join(first, "label").select(F.col("place.doc_id").alias("__id"), F.col("place.text_key").alias("__key"), (F.col("place") > F.col("first")).alias("gone"), "k")
+    gone, repeated = ends.filter("gone").select("__id", "__key"), written_few(ends.filter("not gone and k > 1").select("__id", "__key"), "repeated")
     keyed = docs.withColumn("__text_key", F.xxhash64("text"))
-    out = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["__id"]) & (keyed["__text_key"] == gone["__key"]), "left_anti")
+    same = lambda rows: keyed["doc_id"].eqNullSafe(rows["__id"]) & (keyed["__text_key"] == rows["__key"])
+    out = keyed.join(gone, same(gone), "left_anti")
+    if not repeated.isEmpty():  # rows equal in id and text
+        once = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "__text_key"])
+        out = out.join(repeated, same(repeated), "left_anti").union(once)
     return out.select(*docs.columns)
 
 

@@ -133,3 +133,13 @@ def test_dropping_near_duplicates_keeps_one_of_each(spark):
     _, least = components_of(table)
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == sorted({least[i] for i in range(len(table))})
+
+
+def test_groups_of_null_and_repeated_ids_keep_one(spark):
+    near = lambda seed, k: words(200, seed, 500) + f" end{k}"
+    table = [(None, near(1, k), None, None) for k in range(4)]
+    table += [(5, near(2, k), None, None) for k in range(3)] + [(9, near(2, 7), None, None)]
+    table += [(None, near(3, 0), None, None), (7, near(3, 1), None, None)]
+    table += [(11, near(4, 0), None, None)] * 2 + [(12, None, None, None)] * 2
+    out = N.drop_near_duplicates(docs(spark, table)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 5), (False, 7), (False, 11), (False, 12), (False, 12), (True, 0)]
