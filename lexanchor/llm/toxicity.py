@@ -154,7 +154,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: tuple[int,
         F.col("rn") <= F.when(F.col("toxic"), sample[1]).otherwise(sample[0])).filter(F.col("rn") <= max(sample)).select("doc_id", "toxic")
     # at most ``sample`` ids of either label
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    rows = sorted(texts.collect(), key=lambda r: r.doc_id)
+    # a part of the texts at a time; the fit keeps the numbers of their words only
+    rows = texts.orderBy("doc_id").toLocalIterator()
     return fit((int(r.toxic), [words for _, _, words in sentences(r.text or "")]) for r in rows)
 
 

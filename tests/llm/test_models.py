@@ -202,3 +202,16 @@ def test_skip_to_the_third_word_and_a_table_that_grows():
     assert chances[np.array(text[-400:]) == "v0"].mean() > -0.15  # without the skip: log10(1/2)
     many = G.Lexicon([str(i).encode() for i in range(600_000)], np.full(600_000, 3.0), 1_800_000, 600_000)
     assert many.size == 600_000 and len(G.Weights.unigram(many).flat) >= G.PER_WORD * many.size > G.Weights.SIZE
+
+
+def test_learning_toxicity_never_collects_texts(spark, monkeypatch):
+    df = docs(spark, corpus(40))
+    labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+
+    def refuse(self):
+        raise AssertionError(f"collects {self.columns}")
+
+    want = sorted((r.doc_id, int(r.doc_id % 7 == 0), r.text) for r in df.dropDuplicates(["doc_id"]).filter("doc_id < 40").collect() if crc(r.doc_id) % 4 != 2)
+    monkeypatch.setattr(type(df), "collect", refuse)
+    monkeypatch.setattr(T, "fit", lambda bags: [y for y, _ in bags])
+    assert T.learn(df, labels, crc_mod(4) != 2) == [y for _, y, _ in want]
