@@ -318,8 +318,8 @@ pairs as (
 select p.anchor_id, p.positive_id, cast(row_number() over w as integer) as rank, s.other_id as negative_id, p.positive_score, s.score as negative_score
 from pairs p join scored s on s.anchor_id = p.anchor_id and not s.same
   and {LOW} * p.positive_score <= 100 * s.score and 100 * s.score <= {HIGH} * p.positive_score
-qualify row_number() over w <= {NEGATIVES}
-window w as (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id)"""
+window w as (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id)
+qualify row_number() over w <= {NEGATIVES}"""
 
 
 @query("op13_hard_negatives", _SQL)
