@@ -55,31 +55,34 @@ class Words:
     """What is known of each word met so far: its two hashed numbers and its counts of kinds of characters."""
 
     at: dict[str, int] = field(default_factory=dict)
-    numbers: list[tuple[int, int]] = field(default_factory=list)
-    counts: list[tuple[int, ...]] = field(default_factory=list)
+    rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 9), np.int64))
+    fresh: list[tuple[int, ...]] = field(default_factory=list)
 
-    def find(self, words: list[str]) -> np.ndarray:
+    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the row that it has in a table of counts and hashed numbers, and the table."""
         found = list(map(self.at.get, words))
         if None in found:
             for w in words:
                 if w not in self.at:
                     self._add(w)
             found = list(map(self.at.get, words))
-        return np.array(found, np.int64)
+        if self.fresh:
+            self.rows, self.fresh = np.concatenate([self.rows, np.array(self.fresh, np.int64)]), []
+        return np.array(found, np.int64), self.rows
 
     def _add(self, word: str) -> None:
-        self.at[word] = len(self.numbers)
+        self.at[word] = len(self.at)
         kinds = word.translate(_KINDS)
         upper, lower, digits = kinds.count("A"), kinds.count("a"), kinds.count("0")
         other = len(word) - upper - lower - digits
         symbols = sum(c in SYMBOLS for c in word) if other else 0
-        self.counts.append((len(word), upper + lower, upper, digits, symbols, other - symbols, word.count("!") if other else 0))
-        self.numbers.append((_hashed("w", word.lower()), _hashed("s", shape(kinds))))
+        self.fresh.append((len(word), upper + lower, upper, digits, symbols, other - symbols, word.count("!") if other else 0,
+                           _hashed("w", word.lower()), _hashed("s", shape(kinds))))
 
     def forget(self) -> None:
         """Keeps memory bounded; numbers given out before do not hold after."""
-        if len(self.numbers) > REMEMBERED:
-            self.at, self.numbers, self.counts = {}, [], []
+        if len(self.at) > REMEMBERED:
+            self.at, self.rows = {}, self.rows[:0]
 
 
 class _Kinds(dict):
@@ -137,10 +140,9 @@ def measured(words: Words, texts: list[list[tuple[int, list[str]]]]) -> Lines:
     n_lines = np.array([len(t) for t in texts])
     flat = [x for t in texts for x in t]
     n_words = np.array([len(w) for _, w in flat])
-    at = words.find([w for _, ws in flat for w in ws])
+    at, known = words.find([w for _, ws in flat for w in ws])
     of_line = np.repeat(np.arange(len(flat)), n_words)
-    counts = np.array(words.counts, np.int64).reshape(-1, 7)[at]
-    chars, letters, upper, digits, symbols, marks, bangs = (np.bincount(of_line, c, len(flat)).astype(np.int64) for c in counts.T)
+    chars, letters, upper, digits, symbols, marks, bangs = (np.bincount(of_line, known[at, c], len(flat)).astype(np.int64) for c in range(7))
     stutter = np.bincount(of_line[1:][(at[1:] == at[:-1]) & (of_line[1:] == of_line[:-1])], minlength=len(flat))
     distinct = np.array([len(set(w)) for _, w in flat])
     again = np.zeros(len(flat), np.int64)
@@ -157,7 +159,7 @@ def measured(words: Words, texts: list[list[tuple[int, list[str]]]]) -> Lines:
              _share(symbols, chars), _share(marks, chars), np.minimum(chars // np.maximum(n_words, 1), BUCKETS - 1), _share(distinct, n_words), end, again,
              _share(stutter, n_words), _share(bangs, chars), np.zeros(len(flat), np.int64)]
     measures = np.stack(found, axis=1) + np.arange(len(MEASURES)) * BUCKETS
-    return Lines(n_lines, np.array([n for n, _ in flat]), n_words, np.array(words.numbers, np.int64).reshape(-1, 2)[at], measures)
+    return Lines(n_lines, np.array([n for n, _ in flat]), n_words, known[at, 7:], measures)
 
 
 @dataclass
@@ -383,12 +385,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for text in batch.column("text").to_pylist():
+        for _, texts in enumerate_chunks(batch.column("text").to_pylist()):
             words.forget()
-            x = measured(words, [window(list(lines(text)))])
-            for col, v in zip(out, (int(x.n_lines[0]), x.length.astype(np.int32).tobytes(), x.n_words.astype(np.int32).tobytes(),
-                                    x.numbers.astype(np.int32).tobytes(), x.measures.astype(np.int16).tobytes()), strict=True):
-                col.append(v)
+            x = measured(words, [window(list(lines(t))) for t in texts])
+            line, word = np.r_[0, np.cumsum(x.n_lines)], np.r_[0, np.cumsum(x.n_words)]
+            for i, n in enumerate(x.n_lines):
+                at, of = slice(line[i], line[i + 1]), slice(word[line[i]], word[line[i + 1]])
+                for col, v in zip(out, (int(n), x.length[at].astype(np.int32).tobytes(), x.n_words[at].astype(np.int32).tobytes(),
+                                        x.numbers[of].astype(np.int32).tobytes(), x.measures[at].astype(np.int16).tobytes()), strict=True):
+                    col.append(v)
         kinds = (pa.int32(), *[pa.binary()] * 4)
         yield pa.RecordBatch.from_arrays([batch.column("quality"), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))],
                                          names=["quality", "n_lines", "length", "n_words", "numbers", "measures"])
