@@ -311,6 +311,9 @@ select page_id, url, '<div class="processo-classe"> ADI </div><div class="proces
 from @pages@"""
     d["dedup_blocks"] = """
 select doc_id as block_id, 'cf-1988-art-'||cast(1 + doc_id%3 as string) as anchor_slug, lang as editorial_marker, text as block_text from @documents@"""
+    d["names"] = """
+select p_partkey as name_id, case p_partkey%4 when 0 then p_name when 1 then translate(p_name, 'aeiou', 'áêíõü') when 2 then p_name||' '||p_type
+  else upper(p_name)||' de '||translate(lower(p_brand), 'a#', 'ã ') end as name from @part@"""
     d["plates"] = "select vec_id, embedding from @embeddings@ where vec_id % 10 = 0"
     d["vectors"] = "select vec_id, embedding, label from @embeddings@ where vec_id % 10 <> 0"
     return d

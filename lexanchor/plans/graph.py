@@ -5,13 +5,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from lexanchor.fixtures import Corpus
-from lexanchor.operators import blocks as B, graph as G, learn as LN, vectors as VE
+from lexanchor.operators import blocks as B, graph as G, learn as LN, search as SE, vectors as VE
 from lexanchor.plans.core import STATE_NEEDS
 from lexanchor.plans.integrity import WORD
 from lexanchor.plans.registry import query
 from lexanchor.plans.signals import JUDGMENTS
 from lexanchor.plans.sqltext import RESOLVED, norm_key
-from lexanchor.session import cut
+from lexanchor.session import cut, scratch
 from lexanchor.streaming import state as ST
 
 CLOSE = """lk as (select target_id as node, source_id as parent from fx_edges where type_slug='parent_of' and valid_to is null),
@@ -202,14 +202,76 @@ def _(x):
     return VE.text_search(x.documents, ["The", "pará", "que", "nicht"], "doc_id", "text")
 
 
-@query("vec5_trigram_similarity", sql="""
-select p_partkey, round(len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))), 6) as similarity from (
- select p_partkey, list_distinct(flatten(list_transform(string_split(lower(p_name), ' '), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  '||w||' ', i, 3))))) as a,
-  list_distinct(flatten(list_transform(string_split(lower(p_type), ' '), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  '||w||' ', i, 3))))) as b from part
- where regexp_matches(p_name, '^[A-Za-z0-9 ]+$') and regexp_matches(p_type, '^[A-Za-z0-9 ]+$'))""")
+def _trigrams(src: str) -> str:
+    return (f"list_distinct(flatten(list_transform(list_filter(string_split({WORD.replace('text', src)}, ' '), lambda w: w <> ''), "
+            "lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  '||w||' ', i, 3)))))")
+
+
+@query("vec5_trigram_similarity", needs=("names",), sql=f"""
+select name_id, round(len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))), 6) as similarity
+from (select name_id, {_trigrams('name')} as a, {_trigrams('p_name')} as b from fx_names join part on p_partkey = name_id)""")
+def _(x):
+    p = x.names.join(x.part, F.col("p_partkey") == F.col("name_id"))
+    return p.select("name_id", VE.trigram_similarity("name", "p_name").alias("similarity"))
+
+
+TERMS = ["The", "pará", "que", "nicht", "émentle"]
+_TERMS_KEY = "['the', 'para', 'que', 'nicht', 'ementle']"
+POSTED = f"""wk as (select doc_id, unnest(list_filter(string_split({WORD}, ' '), lambda w: w <> '')) as term from DOCS),
+ps as (select term, doc_id, count(*) as n from wk group by 1, 2)"""
+
+
+def _index(x) -> SE.TextIndex:
+    return SE.TextIndex(x.spark, scratch(x.spark, "index"), "doc_id")
+
+
+@query("vec5_index_search", ctes=POSTED.replace("DOCS", "documents"), sql=f"""
+select doc_id, count(*) as matched, sum(n)::bigint as hits, round(sum((1 + ln(n)) * ln(1 + (select count(*) from documents)::double / df)), 6) as score
+from ps join (select term, count(*) as df from ps group by 1) using (term) where list_contains({_TERMS_KEY}, term) group by 1""")
+def _(x):
+    index = _index(x)
+    index.update(x.documents, "text")
+    return index.search(TERMS).withColumn("score", F.round("score", 6))
+
+
+@query("vec5_index_update", ctes="next as (select doc_id, case when doc_id % 5 = 0 then coalesce(text, '')||' emenda nóva' else text end as text from documents where doc_id % 11 <> 3),\n"
+       + POSTED.replace("DOCS", "next"), sql="select term, count(*) as documents, sum(n)::bigint as occurrences from ps group by 1")
+def _(x):
+    """The table changes between two updates: texts grow and documents go."""
+    index = _index(x)
+    index.update(x.documents, "text")
+    text = F.when(F.col("doc_id") % 5 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit(" emenda nóva"))).otherwise(F.col("text"))
+    index.update(x.documents.filter("doc_id % 11 <> 3").select("doc_id", text.alias("text")), "text")
+    return index.frequencies()
+
+
+NAME_CLASSES = f"""ts as (select name_id, list_sort({_trigrams('name')}) as tg from fx_names),
+nc as (select name_id, tg, min(name_id) over (partition by tg) as class from ts where len(tg) > 0),
+nk as (select distinct class, tg from nc)"""
+
+
+@query("vec5_similar_names", needs=("names",), ctes=NAME_CLASSES, sql="""
+select a, b, round(shared / united, 6) as similarity from (select x.class as a, y.class as b, len(list_intersect(x.tg, y.tg))::double as shared,
+  len(list_distinct(list_concat(x.tg, y.tg))) as united from nk x join nk y on x.class < y.class) where 10 * shared >= 6 * united""")
+def _(x):
+    return SE.similar_names(x.names, "name_id", "name", 60)[1]
+
+
+@query("vec5_name_classes", needs=("names",), ctes=NAME_CLASSES, sql="select name_id, class from nc")
+def _(x):
+    return SE.similar_names(x.names, "name_id", "name", 60)[0]
+
+
+MISSPELT = ["tionement", "quepala", "nichtt", "thretion", "éauxmant"]
+
+
+@query("vec5_similar_terms", ctes=POSTED.replace("DOCS", "documents") + f""",
+vt as (select term, {_trigrams('term')} as tg from (select distinct term from ps)),
+qt as (select term as query, {_trigrams('term')} as qg from (select unnest({MISSPELT}) as term))""", sql="""
+select query, term, round(shared / united, 6) as similarity from (select query, term, len(list_intersect(tg, qg))::double as shared,
+  len(list_distinct(list_concat(tg, qg))) as united from vt, qt) where 100 * shared >= 45 * united""")
 def _(x):
-    p = x.part.filter(F.col("p_name").rlike("^[A-Za-z0-9 ]+$") & F.col("p_type").rlike("^[A-Za-z0-9 ]+$"))
-    return p.select("p_partkey", VE.trigram_similarity("p_name", "p_type").alias("similarity"))
+    return SE.similar_terms(MISSPELT, SE.postings(x.documents, "doc_id", "text").select("term").distinct(), 45)
 
 
 @query("vec6_decision_lines", needs=("vectors", "plates"), ctes=COS, sql="""
