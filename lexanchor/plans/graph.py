@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lexanchor.fixtures import Corpus
-from lexanchor.operators import blocks as B, graph as G, learn as LN, search as SE, vectors as VE
+from lexanchor.operators import blocks as B, graph as G, learn as LN, nearest as NE, search as SE, vectors as VE
 from lexanchor.plans.core import STATE_NEEDS
 from lexanchor.plans.integrity import WORD
 from lexanchor.plans.registry import query
@@ -172,6 +172,12 @@ def _(x):
     return VE.nearest_plates(x.vectors, x.plates, tile_bytes=64 * 8 * 20).withColumn("score", F.round("score", 6))
 
 
+@query("vec3_nearest_plates_pruned", needs=("vectors", "plates"), ctes=COS, sql="select vec_id, plate, round(score, 6) as score, rank from nr")
+def _(x):
+    """Small tiles, so that there is something to prune."""
+    return NE.nearest(x.vectors, x.plates, tile_rows=64).rows.withColumn("score", F.round("score", 6))
+
+
 @query("vec3_allocate", needs=("vectors", "plates"), ctes=COS, sql="select vec_id, plate, rank from nr where score >= 0.3")
 def _(x):
     return VE.allocate(x.vectors, x.plates, tau=0.3)[0].select("vec_id", "plate", "rank")
