@@ -173,18 +173,26 @@ def with_text_key(b: DataFrame) -> DataFrame:
     return b.withColumn("text_key", key)
 
 
-def co_anchor_groups(b: DataFrame) -> DataFrame:
-    """Slugs under which the same text appears, for texts with more than one."""
-    t = with_text_key(b).filter(filled("text_key") & filled("anchor_slug")).select("text_key", "anchor_slug").distinct()
-    return t.groupBy("text_key").agg(F.array_sort(F.collect_set("anchor_slug")).alias("slugs")).filter(F.size("slugs") > 1)
+def anchor_factors(b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The co-anchor relation in factors: (text_key, anchor_slug, n) of texts with several slugs, and their blocks.
+
+    Blocks meet the slugs of their text through its key, so that a text with many blocks and
+    many slugs has as many rows as it has blocks and slugs, not their product. ``n`` counts the
+    blocks of a text under a slug, an empty slug included.
+    """
+    x = with_text_key(b).filter(filled("text_key")).withColumn("anchor_slug", F.coalesce("anchor_slug", F.lit("")))
+    pairs = x.groupBy("text_key", "anchor_slug").agg(F.count("*").alias("n"))
+    several = pairs.filter(filled("anchor_slug")).groupBy("text_key").agg(F.count("*").alias("slugs")).filter("slugs > 1")
+    members = x.join(several.select("text_key"), "text_key", "left_semi")
+    return pairs.join(several, "text_key"), members.select("block_id", "text_key", "anchor_slug", "anchor_confidence", "anchor_source")
 
 
 def co_anchors(b: DataFrame) -> DataFrame:
-    """Secondary anchors: for each block, the other slugs of its text."""
-    x = with_text_key(b).filter(filled("text_key")).join(co_anchor_groups(b), "text_key")
-    others = F.array_except("slugs", F.array(F.coalesce("anchor_slug", F.lit(""))))
-    return x.select(
-        "block_id", F.explode(others).alias("anchor_slug"), F.lit("secondary").alias("anchor_role"),
+    """Secondary anchors: for each block, the other slugs of its text. Expands the factors; only on demand."""
+    pairs, members = anchor_factors(b)
+    slugs = pairs.filter(filled("anchor_slug")).select("text_key", F.col("anchor_slug").alias("other"))
+    return members.join(slugs, "text_key").filter(F.col("other") != F.col("anchor_slug")).select(
+        "block_id", F.col("other").alias("anchor_slug"), F.lit("secondary").alias("anchor_role"),
         F.col("anchor_confidence").alias("confidence"), F.col("anchor_source").alias("source"))
 
 
@@ -316,9 +324,19 @@ def process_network_unified(b):
         F.array_join(F.array_sort(F.collect_list("anchor_slug_final")), ",").alias("anchor_slugs"))
 
 
-def block_anchor_summary(ba):
-    return ba.groupBy("anchor_role").agg(
-        F.count("*").alias("total"), F.count_distinct("block_id").alias("unique_blocks"), F.count_distinct("anchor_slug").alias("unique_slugs"))
+def block_anchor_summary(b: DataFrame) -> DataFrame:
+    """Anchors, blocks and slugs of either role, counted on the factors."""
+    pairs, members = anchor_factors(b)
+    role = lambda name: F.lit(name).alias("anchor_role")
+    main = b.filter(filled("anchor_slug")).agg(F.count("*").alias("total"), F.count_distinct("block_id").alias("unique_blocks"), F.count_distinct("anchor_slug").alias("unique_slugs"))
+    # a block has all slugs of its text but its own, and each slug is another one for some block
+    others = F.col("slugs") - filled("anchor_slug").cast("int")
+    more = pairs.agg(F.sum(F.col("n") * others).alias("total"), F.count_distinct(F.when(filled("anchor_slug"), F.col("anchor_slug"))).alias("unique_slugs"))
+    seen = members.agg(F.count_distinct("block_id").alias("unique_blocks"))
+    parts = main.select(role("primary"), "*").unionByName(more.select(role("secondary"), "*"), allowMissingColumns=True).unionByName(
+        seen.select(role("secondary"), "*"), allowMissingColumns=True)  # three rows
+    out = parts.groupBy("anchor_role").agg(*[F.max(c).alias(c) for c in ("total", "unique_blocks", "unique_slugs")])
+    return out.filter("total > 0")
 
 
 def field_coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:

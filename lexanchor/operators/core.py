@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexanchor.functions.text import jget, jhas
-from lexanchor.operators.keyed import first_per_key, segmented_scan, time_segment
+from lexanchor.operators.keyed import bounded_segments, first_per_key, segmented_scan, time_segment
 
 
 def active(df: DataFrame) -> DataFrame:
@@ -105,8 +105,9 @@ def known_at(df: DataFrame, ts) -> DataFrame:
 def state_intervals(ev: DataFrame, segment: Column | None = None) -> DataFrame:
     """Each state of an aggregate from its event to the next state event."""
     rows = state_events(ev).select("aggregate_id", "event_id", F.col("to_state").alias("state"), F.col("occurred_at").alias("from_at"))
-    seg = time_segment("from_at") if segment is None else segment
-    return segmented_scan(rows, ["aggregate_id"], ["from_at", "event_id"], seg, prev={"to_at": F.col("from_at")}, descending=True)
+    key, order = ["aggregate_id"], ["from_at", "event_id"]
+    rows = bounded_segments(rows, key, order, time_segment("from_at") if segment is None else segment)
+    return segmented_scan(rows, key, order, "__seg", prev={"to_at": F.col("from_at")}, descending=True).drop("__seg")
 
 
 def with_terminal(states: DataFrame, st: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lexanchor.functions import text as T
-from lexanchor.operators.blocks import block_anchors, filled, with_text_key
+from lexanchor.operators.blocks import anchor_factors, filled, with_text_key
 from lexanchor.operators.core import active, latest_state
 from lexanchor.operators.keyed import position_segment, segmented_scan
 from lexanchor.operators.reconcile import split_processes
@@ -80,6 +80,64 @@ def tree_closure(o: DataFrame, e: DataFrame) -> DataFrame:
         F.concat_ws("/", "up_path", "id").alias("path"))
 
 
+def _tour(links: DataFrame) -> DataFrame:
+    """The walk around each tree as (elem, next): entering and leaving every node, children in the order of a hash.
+
+    Nodes are linked to their next sibling, spread over buckets, so a parent of many children is no single task.
+    """
+    child = links.withColumn("__b", F.pmod(F.xxhash64("node"), F.lit(256)))
+    after = segmented_scan(child, ["parent"], ["__b", "node"], "__b", prev={"sibling": F.col("node")}, descending=True)
+    first = child.groupBy(F.col("parent").alias("node")).agg(F.min_by("node", F.struct("__b", "node")).alias("child"))
+    nodes = links.select("node").unionByName(links.select(F.col("parent").alias("node"))).distinct()
+    enter, leave = (lambda c: F.concat(F.lit("+"), c)), (lambda c: F.concat(F.lit("-"), c))
+    down = nodes.join(first, "node", "left").select(enter("node").alias("elem"), F.coalesce(enter("child"), leave("node")).alias("next"))
+    on = nodes.join(after.select("node", "parent", "sibling"), "node", "left").select(
+        leave("node").alias("elem"), F.coalesce(enter("sibling"), leave("parent"), leave("node")).alias("next"))
+    return down.unionByName(on)
+
+
+def interval_labels(links: DataFrame) -> DataFrame:
+    """(node, root, enter, leave) of a table (node, parent) with one parent a node: descendants lie between enter and leave.
+
+    The walk around each tree is ranked by pointer jumping: each round doubles what a pointer
+    spans, so a chain of n links takes about log2(2 n) rounds over 2 n narrow rows at most. Rows
+    that have reached the end of their walk leave the joins.
+    """
+    if not links.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError("a node has two parents")
+    live = cut(_tour(links).withColumns({"steps": (F.col("elem") != F.col("next")).cast("bigint"), "end": F.col("elem") == F.col("next")}))
+    table, done, span, total = live, live.filter("end"), 1, live.count()
+    live = live.filter("not end")
+    while not live.isEmpty():
+        if span > total:
+            raise ValueError("parent links form a cycle")
+        ahead = table.select(F.col("elem").alias("next"), F.col("next").alias("__next"), F.col("steps").alias("__steps"), F.col("end").alias("__end"))
+        moved = cut(live.join(ahead, "next").select("elem", F.col("__next").alias("next"), (F.col("steps") + F.col("__steps")).alias("steps"), F.col("__end").alias("end")))
+        done, live, span = done.unionByName(moved.filter("end")), moved.filter("not end"), span * 2
+        table = done.unionByName(live)
+    at = done.select(F.substring("elem", 2, 1 << 30).alias("node"), F.substring("next", 2, 1 << 30).alias("root"), F.startswith("elem", F.lit("+")).alias("entering"), "steps")
+    ends = at.groupBy("node").agg(F.max("root").alias("root"), F.max(F.when(F.col("entering"), F.col("steps"))).alias("a"), F.max(F.when(~F.col("entering"), F.col("steps"))).alias("b"))
+    # steps count back from the end of the root's walk
+    length = ends.filter(F.col("node") == F.col("root")).select("root", F.col("a").alias("length"))
+    return cut(ends.join(length, "root").select("node", "root", (F.col("length") - F.col("a")).alias("enter"), (F.col("length") - F.col("b")).alias("leave")))
+
+
+def rollup_by_intervals(counts: DataFrame, labels: DataFrame, value: str = "n", size: int = 4096) -> DataFrame:
+    """Own and accumulated totals per node, as ``rollup_to_ancestors``: differences of running sums along the walk.
+
+    Nodes without anything of their own or below are left out; nodes outside the trees keep their own.
+    """
+    own = counts.groupBy("node").agg(F.sum(value).alias("own"))
+    known = labels.join(own, "node", "left")
+    zero = F.lit(0).cast("bigint")
+    enter = known.select("node", "root", F.col("enter").alias("pos"), F.coalesce("own", zero).alias("v"), F.col("own").isNotNull().cast("bigint").alias("c"))
+    walk = enter.unionByName(known.select("node", "root", F.col("leave").alias("pos"), zero.alias("v"), zero.alias("c")))
+    sums = segmented_scan(walk, ["root"], ["pos"], position_segment("pos", size), sums={"run": F.col("v"), "seen": F.col("c")})
+    per = sums.groupBy("node").agg(F.max("v").alias("own"), (F.max("run") - F.min("run") + F.max("v")).alias("total"), (F.max("seen") - F.min("seen") + F.max("c")).alias("__c"))
+    outside = own.join(labels, "node", "left_anti").select("node", "own", F.col("own").alias("total"))
+    return per.filter("__c > 0").drop("__c").unionByName(outside)
+
+
 def rollup_to_ancestors(counts: DataFrame, closure: DataFrame, value: str = "n") -> DataFrame:
     """Own and accumulated totals per node: values are summed per node before they climb."""
     own = counts.groupBy("node").agg(F.sum(value).alias("own"))
@@ -90,7 +148,7 @@ def rollup_to_ancestors(counts: DataFrame, closure: DataFrame, value: str = "n")
 def subject_rollup(e: DataFrame, subject_links: DataFrame) -> DataFrame:
     """Cases per subject, with those of its narrower subjects."""
     n = active(e.filter(F.col("type_slug") == "sobre")).groupBy(F.col("target_id").alias("node")).agg(F.count("*").alias("n"))
-    return rollup_to_ancestors(n, ancestor_closure(parent_links(subject_links)))
+    return rollup_by_intervals(n, interval_labels(parent_links(subject_links)))
 
 
 def cross_edges(e: DataFrame, o: DataFrame, ot: DataFrame) -> DataFrame:
@@ -134,7 +192,11 @@ def record_slugs(b: DataFrame, size: int = 4096) -> DataFrame:
 
 
 def blocks_to_graph(b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Process and record objects, and the anchor, process and rapporteur edges of the blocks."""
+    """Process and record objects, and the anchor, process and rapporteur edges of the blocks.
+
+    A record is anchored to its own device; the other devices of its text are edges of the
+    text, to which its records are tied (``expand_co_anchors`` writes them out).
+    """
     # everything but the texts, read several times
     narrow = cut(with_text_key(b).drop("block_text", "metadata_text"))
     procs, _ = split_processes(narrow)
@@ -145,9 +207,14 @@ def blocks_to_graph(b: DataFrame) -> tuple[DataFrame, DataFrame]:
     proc_payload = F.to_json(F.struct(F.col("process_class").alias("classe"), F.col("process_number").alias("numero"), "relator", "redator"))
     objects = procs.select(F.col("process_slug").alias("slug"), F.lit("processo").alias("type_slug"), proc_payload.alias("payload")).unionByName(
         b.join(rec, "block_id").select(F.col("record_slug").alias("slug"), F.lit("registro_jurisprudencial").alias("type_slug"), payload.alias("payload")))
-    anchors = block_anchors(narrow).join(rec, "block_id").select(
-        F.lit("ancora_normativa").alias("type_slug"), F.col("record_slug").alias("source"), F.col("anchor_slug").alias("target"), F.col("confidence").alias("weight"))
     none = F.lit(None).cast("double")
+    edge = lambda kind, source, target, weight: (F.lit(kind).alias("type_slug"), F.col(source).alias("source"), target.alias("target"), weight.alias("weight"))
+    anchors = narrow.filter(filled("anchor_slug")).join(rec, "block_id").select(*edge("ancora_normativa", "record_slug", F.col("anchor_slug"), F.col("anchor_confidence")))
+    pairs, members = anchor_factors(narrow)
+    text = F.concat(F.lit("txt-"), "text_key")
+    tied = members.join(rec, "block_id").select(*edge("mesmo_texto", "record_slug", text, F.col("anchor_confidence")))
+    shared = pairs.filter(filled("anchor_slug")).withColumn("text", text).select(*edge("ancora_normativa", "text", F.col("anchor_slug"), none))
+    anchors = anchors.unionByName(tied).unionByName(shared)
     belongs = rec.select(F.lit("ancora_processual").alias("type_slug"), F.col("record_slug").alias("source"), F.col("process_slug").alias("target"), none.alias("weight"))
     ruled = procs.filter(filled("relator")).select(
         F.lit("relator_de").alias("type_slug"), F.concat(F.lit("min-"), F.replace(T.norm_key("relator"), F.lit(" "), F.lit("-"))).alias("source"),
@@ -155,10 +222,25 @@ def blocks_to_graph(b: DataFrame) -> tuple[DataFrame, DataFrame]:
     return objects, anchors.unionByName(belongs).unionByName(ruled)
 
 
+def expand_co_anchors(e: DataFrame) -> DataFrame:
+    """Edges with those of shared texts written out for each record: its own device once, the others of its text."""
+    tied = e.filter(F.col("type_slug") == "mesmo_texto").select("source", F.col("target").alias("text"), "weight")
+    of_text = e.filter(F.col("type_slug") == "ancora_normativa").select(F.col("source").alias("text"), "target")
+    own = e.filter(F.col("type_slug") == "ancora_normativa").select("source", "target")
+    more = tied.join(of_text, "text").join(own, ["source", "target"], "left_anti")
+    plain = e.filter(F.col("type_slug") != "mesmo_texto").filter(~F.startswith("source", F.lit("txt-")))
+    return plain.unionByName(more.select(F.lit("ancora_normativa").alias("type_slug"), "source", "target", "weight"))
+
+
 def anchor_degree(e: DataFrame) -> DataFrame:
-    """Devices per process and processes per device, through the records that carry both anchors."""
+    """Devices per process and processes per device, through the records that carry both anchors.
+
+    A process meets the devices of a shared text once, however many records tie it to the text.
+    """
     dev = e.filter(F.col("type_slug") == "ancora_normativa").select("source", F.col("target").alias("device"))
     proc = e.filter(F.col("type_slug") == "ancora_processual").select("source", F.col("target").alias("process"))
-    pairs = dev.join(proc, "source").select("process", "device").distinct()
+    tied = e.filter(F.col("type_slug") == "mesmo_texto").select("source", F.col("target").alias("text"))
+    through = proc.join(tied, "source").select("process", F.col("text").alias("source")).distinct()
+    pairs = proc.unionByName(through).join(dev, "source").select("process", "device").distinct()
     return pairs.groupBy(F.lit("process").alias("kind"), F.col("process").alias("slug")).agg(F.count("*").alias("degree")).unionByName(
         pairs.groupBy(F.lit("device").alias("kind"), F.col("device").alias("slug")).agg(F.count("*").alias("degree")))

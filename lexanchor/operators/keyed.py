@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from lexanchor.session import cut
+
 SEGMENT = 4096
 
 
@@ -45,6 +47,25 @@ def time_segment(ts, seconds: int = 86400) -> Column:
     return F.floor(F.unix_seconds(c.cast("timestamp")) / seconds)
 
 
+def bounded_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, rows: int = SEGMENT) -> DataFrame:
+    """Adds ``__seg``: the segment, cut again where a key has more than about ``rows`` rows in it.
+
+    Only the rows of such segments are dealt to ranges of (keys, order), whose bounds Spark takes
+    from a sample; a range never holds more than its share, so one busy day of one key is spread
+    like any other rows. The others keep their segment as it is.
+    """
+    base = df.withColumn("__part", segment)
+    sizes = cut(base.groupBy(*keys, "__part").agg(F.count("*").alias("__n")).filter(F.col("__n") > rows))
+    crowded = sizes.agg(F.sum("__n")).first()[0]
+    if crowded is None:
+        return base.withColumn("__seg", F.struct("__part", F.lit(0).alias("__range"))).drop("__part")
+    at = [*keys, "__part"]
+    calm = base.join(sizes, at, "left_anti").withColumn("__range", F.lit(0))
+    dealt = base.join(sizes, at, "left_semi").repartitionByRange(-(-crowded // rows) + 1, *keys, *order).withColumn("__range", F.spark_partition_id())
+    both = calm.unionByName(cut(dealt))  # ranges stay what they were when a task runs again
+    return both.withColumn("__seg", F.struct("__part", "__range")).drop("__part", "__range")
+
+
 def segmented_scan(
     df: DataFrame,
     keys: Sequence[str],

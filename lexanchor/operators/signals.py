@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexanchor import vocab as V
 from lexanchor.functions.text import jget
 from lexanchor.operators.core import active
-from lexanchor.operators.keyed import segmented_scan, time_segment, with_rate
+from lexanchor.operators.keyed import bounded_segments, segmented_scan, time_segment, with_rate
 
 PAYLOAD = (
     "outcome string, outcome_polarity string, decision_direction string, decision_unanimity string, "
@@ -355,16 +355,18 @@ def process_lifecycle(o: DataFrame, ot: DataFrame, ev: DataFrame) -> DataFrame:
 def time_between(ev: DataFrame, segment: Column | None = None) -> DataFrame:
     """Seconds since the previous event of the same aggregate."""
     rows = ev.select("aggregate_id", "event_id", "type_slug", "occurred_at")
-    seg = time_segment("occurred_at") if segment is None else segment
-    out = segmented_scan(rows, ["aggregate_id"], ["occurred_at", "event_id"], seg, prev={"previous_at": F.col("occurred_at")})
+    key, order = ["aggregate_id"], ["occurred_at", "event_id"]
+    rows = bounded_segments(rows, key, order, time_segment("occurred_at") if segment is None else segment)
+    out = segmented_scan(rows, key, order, "__seg", prev={"previous_at": F.col("occurred_at")}).drop("__seg")
     return out.withColumn("tem_seconds", F.timestamp_diff("SECOND", F.col("previous_at"), F.col("occurred_at")))
 
 
 def trajectory(ev: DataFrame, segment: Column | None = None) -> DataFrame:
     """Milestones of each aggregate as numbered steps."""
     rows = ev.select("aggregate_id", "event_id", F.col("type_slug").alias("milestone"), "occurred_at")
-    seg = time_segment("occurred_at") if segment is None else segment
-    return segmented_scan(rows, ["aggregate_id"], ["occurred_at", "event_id"], seg, counts={"step": F.lit(True)})
+    key, order = ["aggregate_id"], ["occurred_at", "event_id"]
+    rows = bounded_segments(rows, key, order, time_segment("occurred_at") if segment is None else segment)
+    return segmented_scan(rows, key, order, "__seg", counts={"step": F.lit(True)}).drop("__seg")
 
 
 def case_patterns(steps: DataFrame) -> DataFrame:

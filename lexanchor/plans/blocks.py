@@ -112,7 +112,7 @@ def _(x):
 @query("agg19_block_anchor_summary", needs=("blocks",), ctes=CO, sql="""
 select anchor_role, count(*) as total, count(distinct block_id) as unique_blocks, count(distinct anchor_slug) as unique_slugs from ba group by 1""")
 def _(x):
-    return B.block_anchor_summary(B.block_anchors(x.blocks))
+    return B.block_anchor_summary(x.blocks)
 
 
 def _counts(name, fn, keys, cond):

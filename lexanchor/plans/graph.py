@@ -37,7 +37,7 @@ select node, sum(own)::bigint as own, sum(t)::bigint as total from (select targe
  union all select c.ancestor, 0, 1 from fx_edges e join cl c on c.node = e.target_id where e.type_slug='interpreta') group by 1""")
 def _(x):
     n = x.edges.filter("type_slug = 'interpreta'").groupBy(F.col("target_id").alias("node")).agg(F.count("*").alias("n"))
-    return G.rollup_to_ancestors(n, G.ancestor_closure(G.parent_links(x.edges)))
+    return G.rollup_by_intervals(n, G.interval_labels(G.parent_links(x.edges)))
 
 
 @query("gr4_subject_rollup", needs=("edges", "subject_edges"), ctes="""
@@ -98,7 +98,30 @@ ge as (select 'ancora_normativa' as type_slug, record_slug as source, anchor_slu
 
 @query("gr6_blocks_to_graph_edges", needs=("blocks",), ctes=GRAPH, sql="select type_slug, source, target from ge")
 def _(x):
-    return G.blocks_to_graph(B.resolve_blocks(x.blocks))[1].select("type_slug", "source", "target")
+    return G.expand_co_anchors(G.blocks_to_graph(B.resolve_blocks(x.blocks))[1]).select("type_slug", "source", "target")
+
+
+@query("gr6_shared_text_edges", needs=("blocks",), ctes=RESOLVED + ", " + REC + """,
+tk as (select *, md5(block_text)||'-'||length(block_text) as text_key from rb where block_text <> ''),
+sv as (select text_key from tk where anchor_slug <> '' group by 1 having count(distinct anchor_slug) > 1)""", sql="""
+select 'mesmo_texto' as type_slug, record_slug as source, 'txt-'||text_key as target from rr join tk using (block_id) join sv using (text_key)
+union all select distinct 'ancora_normativa', 'txt-'||text_key, tk.anchor_slug from tk join sv using (text_key) where tk.anchor_slug <> ''""")
+def _(x):
+    """The co-anchors as they are kept: records tied to texts, texts anchored to devices."""
+    e = G.blocks_to_graph(B.resolve_blocks(x.blocks))[1].select("type_slug", "source", "target")
+    return e.filter((F.col("type_slug") == "mesmo_texto") | F.startswith("source", F.lit("txt-")))
+
+
+@query("gr1_interval_labels", needs=("edges",), ctes=CLOSE, recursive=True, sql="""
+select node, (count(*) filter (where distance > 0))::bigint as descendants, max(depth)::bigint as depth from (
+ select ancestor as node, distance, 0 as depth from cl union all select node, 0, distance from cl union all select parent, 0, 0 from lk) group by 1""")
+def _(x):
+    """Descendants of each node, half the positions inside its interval, and its depth by pointer jumping."""
+    links = G.parent_links(x.edges)
+    labels = G.interval_labels(links)
+    up = G.chain_roots(links.unionByName(links.select(F.col("parent").alias("node")).distinct().join(links.select("node"), "node", "left_anti")
+                                         .withColumn("parent", F.lit(None).cast("string"))), "node", "parent")
+    return labels.join(up, "node").select("node", F.expr("(leave - enter - 1) div 2").alias("descendants"), F.col("links").cast("long").alias("depth"))
 
 
 @query("gr6_blocks_to_graph_objects", needs=("blocks",), ctes=RESOLVED + ", " + REC, sql="""
