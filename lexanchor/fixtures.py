@@ -208,11 +208,24 @@ from @supplier@ where s_suppkey >= 5"""
 select 'sub-'||cast(p_partkey as string) as edge_id, 'parent_of' as type_slug,
   'part-'||cast(cast(floor(p_partkey / 10) as bigint) as string) as source_id, 'part-'||cast(p_partkey as string) as target_id
 from @part@ where p_partkey > 0"""
-    d["amendments"] = """
-select 'ec-'||cast(c_nationkey as string) as amendment, 'cust-'||cast(c_custkey as string) as node,
-  cast('1990-01-01 00:00:00' as timestamp@NTZ@) + interval 30 days * c_nationkey as occurred_at,
-  case c_custkey%3 when 0 then 'adicionou_paragrafo' when 1 then 'alterou_texto' else 'revogou' end as action
-from @customer@ where c_custkey%4=0"""
+    d["amend_edges"] = """
+select 'am-'||cast(c_custkey as string) as edge_id, 'amends' as type_slug, 'ec-'||cast(c_nationkey as string) as source_id, 'cust-'||cast(c_custkey as string) as target_id,
+  cast('1990-01-01 00:00:00' as timestamp@NTZ@) + interval 30 days * c_nationkey as valid_from, cast(null as timestamp@NTZ@) as valid_to from @customer@
+union all
+select 'vo-'||cast(n_nationkey as string), 'version_of', 'v-ec-'||cast(n_nationkey as string), 'reg-'||cast(n_regionkey as string),
+  cast('1990-01-01 00:00:00' as timestamp@NTZ@) + interval 30 days * n_nationkey, cast(null as timestamp@NTZ@) from @nation@"""
+    node = "'cust-'||cast(c_custkey as string)"
+    applied = "'{\"emenda_slug\":\"ec-'||cast(%s as string)||'\",\"action\":\"'||%s||'\",\"node_afetado\":\"'||" + node + "||'\"}'"
+    action = "case c_custkey%3 when 0 then 'adicionou_paragrafo' when 1 then 'alterou_texto' else 'revogou' end"
+    start = "cast('1990-01-01 00:00:00' as timestamp@NTZ@) + interval 30 days * "
+    event = "select '{0}-'||cast(c_custkey as string) as event_id, '{1}' as type_slug, " + node + " as aggregate_id, {2} as payload, {3} as occurred_at from @customer@ where {4}"
+    d["norm_events"] = " union all ".join([
+        event.format("ea", "emenda_aplicada", applied % ("c_nationkey", action), start + "c_nationkey", "c_custkey%5 <> 4"),
+        event.format("eb", "emenda_aplicada", applied % ("25 + c_nationkey", "'alterou_texto'"), start + "(25 + c_nationkey)", "c_custkey%4 = 1"),
+        event.format("mr", "mudanca_estado", "'{\"from_state\":\"vigente\",\"to_state\":\"revogada\"}'", start + "c_nationkey", "c_custkey%3 = 2"),
+        event.format("mv", "mudanca_estado", "'{\"from_state\":\"revogada\",\"to_state\":\"vigente\"}'", start + "(60 + c_nationkey)", "c_custkey%12 = 2"),
+        event.format("an", "anulacao", "'{\"reason\":\"duplicado\"}'", start + "(40 + c_nationkey)", "c_custkey%7 = 0"),
+    ])
     d["provenance"] = """
 select 'pv-'||cast(o_orderkey as string) as provenance_id, 'ord-'||cast(o_orderkey as string) as target_id,
   case when o_orderkey%50=7 then 'outra' else 'objects' end as target_table,

@@ -139,19 +139,3 @@ def corrections(old: DataFrame, new: DataFrame) -> DataFrame:
         F.lit("correcao").alias("type_slug"), F.col("id").alias("aggregate_id"),
         F.to_json(F.struct("hash_anterior")).alias("payload"),
     )
-
-
-def version_changes(amendments: DataFrame, o: DataFrame) -> DataFrame:
-    """Nodes touched per amendment in date order, with the kind of change."""
-    nodes = o.select(F.col("id").alias("node"), F.col("slug").alias("node_slug"), "type_slug")
-    return amendments.join(nodes, "node").select(
-        "amendment", "occurred_at", "node", "node_slug", "type_slug", "action",
-        F.col("action").startswith("adicionou").alias("added"), (F.col("action") == "revogou").alias("repealed"),
-    )
-
-
-def version_summary(changes: DataFrame) -> DataFrame:
-    return changes.groupBy("amendment").agg(
-        F.min("occurred_at").alias("occurred_at"), F.count_if("added").alias("nodes_added"),
-        F.count_if(~F.col("added") & ~F.col("repealed")).alias("nodes_changed"), F.count_if("repealed").alias("nodes_repealed"),
-    )

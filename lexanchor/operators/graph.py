@@ -14,6 +14,7 @@ from lexanchor.operators.blocks import anchor_factors, filled, with_text_key
 from lexanchor.operators.core import active, latest_state
 from lexanchor.operators.keyed import position_segment, segmented_scan
 from lexanchor.operators.reconcile import split_processes
+from lexanchor.operators.versions import amendments
 from lexanchor.session import cut
 
 
@@ -172,11 +173,11 @@ def succession(e: DataFrame) -> DataFrame:
     return chain_roots(s.unionByName(first), "actor", "before").withColumnRenamed("links", "rank")
 
 
-def derive_caches(o: DataFrame, e: DataFrame, ev: DataFrame, amendments: DataFrame) -> DataFrame:
-    """Leaf, depth, repeal, normalized text and amendment count of each node."""
+def derive_caches(o: DataFrame, e: DataFrame, ev: DataFrame, amends: DataFrame) -> DataFrame:
+    """Leaf, depth, repeal (the last state event), normalized text and number of amendments of each node."""
     t = tree_closure(o, e).select("id", "depth", "is_leaf")
     repealed = latest_state(ev).select(F.col("aggregate_id").alias("id"), (F.col("to_state") == "revogada").alias("is_repealed"))
-    n = amendments.groupBy(F.col("node").alias("id")).agg(F.count("*").alias("total_amendments"))
+    n = amendments(ev, amends).groupBy(F.col("node").alias("id")).agg(F.count("*").alias("total_amendments"))
     text = T.norm_key(T.jget("payload", "text_content"))
     return active(o).select("id", text.alias("normalized_text")).join(t, "id").join(repealed, "id", "left").join(n, "id", "left").select(
         "id", "depth", "is_leaf", F.coalesce("is_repealed", F.lit(False)).alias("is_repealed"), "normalized_text",

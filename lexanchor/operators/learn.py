@@ -39,9 +39,39 @@ def learn_profiles(ev: DataFrame, e: DataFrame, period: str = "month") -> DataFr
         F.col("n").alias("sample_size"), *[c.alias(r) for r, c in rates.items()], F.lit("proposed").alias("status"))
 
 
+#: Sample size at which a profile is trusted by half.
+HALF_TRUST = 10
+
+
+def back_test(profiles: DataFrame, half_trust: int = HALF_TRUST) -> DataFrame:
+    """Confidence, stability and gain of each profile row, from how well the past predicted its period.
+
+    The prediction of a target's rate is its mean over all earlier periods, weighted by their
+    samples; the plain one is the same mean over all targets of the kind. Stability is one less
+    the mean error of the prediction over the rates, gain how much smaller that error is than
+    the plain one's; both are null in a target's first period. Confidence grows with the sample
+    so far. Rates are added as decimals, so that the order of rows does not matter.
+    """
+    exact = {f"__{r}": F.col(r).cast("decimal(10,6)") * F.col("sample_size").cast("decimal(18,0)") for r in RATES}
+    x = profiles.withColumns(exact)
+    kind = x.groupBy("profile_type", "period_start").agg(F.sum("sample_size").alias("__all"), *[F.sum(c).alias(f"{c}_all") for c in exact])
+    past = lambda *keys: W.partitionBy(*keys).orderBy("period_start").rowsBetween(W.unboundedPreceding, -1)
+    before = past("profile_type")  # one row for each kind and period
+    kind = kind.select("profile_type", "period_start", *[(F.sum(f"{c}_all").over(before).cast("double") / F.sum("__all").over(before)).alias(f"{c}_plain") for c in exact])
+    own = past("profile_type", "target_slug")
+    x = x.withColumn("__n", F.sum("sample_size").over(own)).withColumns({f"{c}_own": F.sum(c).over(own).cast("double") / F.col("__n") for c in exact})
+    x = x.join(kind, ["profile_type", "period_start"])
+    mean = lambda suffix: sum(F.abs(F.col(r) - F.col(f"__{r}{suffix}")) for r in RATES) / len(RATES)
+    total = F.coalesce("__n", F.lit(0)) + F.col("sample_size")
+    return x.select(
+        *profiles.columns, (total / (total + half_trust)).alias("confidence_score"), (1 - mean("_own")).alias("stability_score"),
+        (mean("_plain") - mean("_own")).alias("predictive_gain"))
+
+
 def with_payload(profiles: DataFrame) -> DataFrame:
-    """Profile rows with the rates as one JSON document."""
-    return profiles.withColumn("profile_payload", F.to_json(F.struct(*RATES))).drop(*RATES)
+    """Profile rows with the rates as one JSON document, six digits each."""
+    rates = F.struct(*[F.col(r).cast("decimal(10,6)").alias(r) for r in RATES])
+    return profiles.withColumn("profile_payload", F.to_json(rates)).drop(*RATES)
 
 
 def profile_drift(profiles: DataFrame) -> DataFrame:

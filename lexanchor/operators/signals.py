@@ -237,16 +237,18 @@ def norm_profile(o, e, ev, ot, via: str = "interpreta") -> DataFrame:
 
 
 def actor_profile(a, e, ev, o, ot) -> DataFrame:
-    """Rapporteur profile with the deference pattern."""
-    t = _by_rapporteur(e, case_tallies(ev, o, ot, ["deference_level"]), ["deference_level"])
-    return _named(a, profile(t, ["source_id"], "deference_level")).select(
+    """Rapporteur profile with the deference pattern and the dominant style of reasoning."""
+    dims = ["deference_level", "reasoning_style"]
+    t = _by_rapporteur(e, case_tallies(ev, o, ot, dims), dims)  # a few rows for each rapporteur
+    style = profile(t, ["source_id"], "reasoning_style").select("source_id", F.col("mode").alias("dominant_reasoning_style"))
+    return _named(a, profile(t, ["source_id"], "deference_level").join(style, "source_id")).select(
         "actor_id", "actor_slug", F.col("n").alias("total_decisions"), with_rate("procedente", "n").alias("procedencia_rate"),
         with_rate("modulated", "n").alias("modulacao_rate"), with_rate("contained", "n").alias("contencao_fiscal_rate"),
-        F.col("mode").alias("deference_pattern"),
+        F.col("mode").alias("deference_pattern"), "dominant_reasoning_style",
     )
 
 
-def actor_environment_interactions(ev: DataFrame) -> DataFrame:
+def actor_environment_interactions(ev: DataFrame, a: DataFrame) -> DataFrame:
     """Participation of an actor in each environment and its correlation with outcome and modulation.
 
     Each correlation is between two 0/1 marks over all judgments of the
@@ -261,8 +263,9 @@ def actor_environment_interactions(ev: DataFrame) -> DataFrame:
         n, c, k, t = (F.col(x).cast("double") for x in ("n", joint, margin, "env_n"))
         return F.round((t * c - n * k) / F.nullif(F.sqrt(n * (t - n) * k * (t - k)), F.lit(0.0)), 6)
 
-    return cells.join(F.broadcast(env), "adjudication_environment").select(  # one row per environment
-        "actor_id", F.col("adjudication_environment").alias("environment"), with_rate("n", "env_n", 6).alias("participation_rate"),
+    named = a.select(F.col("id").alias("actor_id"), F.col("slug").alias("actor_slug"), F.col("type_slug").alias("actor_type"))
+    return cells.join(F.broadcast(env), "adjudication_environment").join(named, "actor_id", "left").select(  # one row per environment
+        "actor_id", "actor_slug", "actor_type", F.col("adjudication_environment").alias("environment"), with_rate("n", "env_n", 6).alias("participation_rate"),
         phi("p", "env_p").alias("correlation_with_outcome"), phi("m", "env_m").alias("correlation_with_modulation"))
 
 
@@ -302,27 +305,40 @@ def conditional_rate(signals: DataFrame, label: str, given: Sequence[str]) -> Da
     return n.join(total, cond).select(*given, label, "n", "given_n", with_rate("n", "given_n", 6).alias("probability"))
 
 
-def judgment_environment_profile(ev, o, e, ot) -> DataFrame:
-    """Signals per judgment with rapporteur and the number and least slug of the subjects of its case."""
-    s = decision_signals(ev, o, ot)
-    about = active(e.filter(F.col("type_slug") == "sobre")).groupBy(F.col("source_id").alias("case_id")).agg(
-        F.array_sort(F.collect_set("target_id")).alias("subjects"))
-    ruled = active(e.filter(F.col("type_slug") == "relator_de")).groupBy(F.col("target_id").alias("case_id")).agg(
-        F.min("source_id").alias("relator"))
-    return s.join(ruled, "case_id", "left").join(about, "case_id", "left").select(
-        "case_id", "case_slug", "relator", "event_id", "decision_body", "adjudication_environment", "outcome",
-        "decision_direction", "uses_modulation", "fiscal_effect", "subjects")
-
-
-def collegial_dynamics(ev: DataFrame, roles: DataFrame) -> DataFrame:
-    """Composition of each case and whether vista, destaque, divergence or a change of environment occurred."""
-    flags = judgments(ev).groupBy("aggregate_id").agg(
-        F.bool_or("vista_present").alias("vista_presente"), F.bool_or("destaque_present").alias("destaque_presente"),
-        F.bool_or("divergence_present").alias("divergencia_presente"),
-        (F.count_distinct("adjudication_environment") > 1).alias("migracao_ambiente"))
-    members = roles.filter(F.col("type_slug") == "exerce_papel").groupBy(F.col("target_id").alias("aggregate_id")).agg(
-        F.array_sort(F.collect_set("source_id")).alias("composicao"))
-    return flags.join(members, "aggregate_id", "left")
+def judgment_environment_profile(ev, o, e, ot, a) -> DataFrame:
+    """Signals per judgment with its session and the rapporteur; the subjects of a case are ``case_subjects``."""
+    s = decision_signals(ev, o, ot).join(judgment_environment(ev).select("event_id", "session_format"), "event_id")
+    ruled = active(e.filter(F.col("type_slug") == "relator_de")).groupBy(F.col("target_id").alias("case_id")).agg(F.min("source_id").alias("relator"))
+    named = a.select(F.col("id").alias("relator"), F.col("slug").alias("relator_slug"))
+    return s.join(ruled, "case_id", "left").join(named, "relator", "left").select(
+        "case_id", "case_slug", "relator", "relator_slug", "event_id", "decision_body", "adjudication_environment", "session_format", "outcome",
+        "decision_direction", "uses_modulation", "fiscal_effect")
+
+
+def case_subjects(e: DataFrame) -> DataFrame:
+    """(case_id, subject) once each: joined to judgments on demand, not copied onto every judgment."""
+    return active(e.filter(F.col("type_slug") == "sobre")).select(F.col("source_id").alias("case_id"), F.col("target_id").alias("subject")).distinct()
+
+
+def collegial_dynamics(ev: DataFrame, segment: Column | None = None) -> DataFrame:
+    """Each judgment: whether vista, destaque or divergence occurred, and whether it left the environment of the one before in its case.
+
+    Who sat in the case is ``case_members``.
+    """
+    rows = judgments(ev).select("event_id", "aggregate_id", "occurred_at", "adjudication_environment", "vista_present", "destaque_present", "divergence_present")
+    key, order = ["aggregate_id"], ["occurred_at", "event_id"]
+    rows = bounded_segments(rows, key, order, time_segment("occurred_at") if segment is None else segment)
+    x = segmented_scan(rows, key, order, "__seg", prev={"__before": F.col("adjudication_environment")})
+    return x.select(
+        F.col("event_id").alias("julgamento_id"), "aggregate_id", F.col("vista_present").alias("vista_presente"), F.col("destaque_present").alias("destaque_presente"),
+        F.col("divergence_present").alias("divergencia_presente"),
+        F.coalesce(F.col("__before") != F.col("adjudication_environment"), F.lit(False)).alias("migracao_ambiente"))
+
+
+def case_members(roles: DataFrame) -> DataFrame:
+    """(aggregate_id, member, role) once each, of those who sat in a case."""
+    return roles.filter(F.col("type_slug") == "exerce_papel").select(
+        F.col("target_id").alias("aggregate_id"), F.col("source_id").alias("member"), F.get_json_object("payload", "$.role").alias("role")).distinct()
 
 
 def co_participation(e: DataFrame, roles: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lexanchor.operators import core as C
+from lexanchor.operators import core as C, versions as VS
 from lexanchor.plans.registry import query, ts
 
 
@@ -154,16 +154,43 @@ def _(x):
     return C.corrections(x.objects, new)
 
 
-@query("tmp7_version_changes", needs=("amendments", "objects"), sql=f"""
+VERSIONED = """told as (select json_extract_string(payload,'$.emenda_slug') as amendment, json_extract_string(payload,'$.node_afetado') as node, occurred_at, event_id,
+ json_extract_string(payload,'$.action') as action from fx_norm_events where type_slug = 'emenda_aplicada'),
+am as (select * from told union all select source_id, target_id, valid_from, edge_id, null from fx_amend_edges e where type_slug = 'amends'
+ and not exists (select 1 from told t where t.amendment = e.source_id and t.node = e.target_id))"""
+
+
+@query("tmp7_version_changes", needs=("norm_events", "amend_edges", "objects"), ctes=VERSIONED, sql=f"""
 select a.amendment, {ts('a.occurred_at')} as occurred_at, a.node, o.slug as node_slug, o.type_slug, a.action,
- a.action like 'adicionou%' as added, a.action = 'revogou' as repealed from fx_amendments a join fx_objects o on a.node = o.id""")
+ coalesce(a.action, '') like 'adicionou%' as added, coalesce(a.action, '') = 'revogou' as repealed from am a join fx_objects o on a.node = o.id""")
+def _(x):
+    return VS.version_changes(x.norm_events, x.amend_edges, x.objects)
+
+
+@query("tmp7_version_summary", needs=("norm_events", "amend_edges", "objects"), ctes=VERSIONED, sql=f"""
+select a.*, e.source_id as version, e.target_id as work from (
+ select amendment, {ts('min(occurred_at)')} as occurred_at, count(*) filter (where action like 'adicionou%') as nodes_added,
+  count(*) filter (where action is null or action not like 'adicionou%' and action <> 'revogou') as nodes_changed, count(*) filter (where action = 'revogou') as nodes_repealed
+ from am join fx_objects o on node = o.id group by 1) a
+left join fx_amend_edges e on e.type_slug = 'version_of' and substr(e.source_id, 3) = a.amendment""")
+def _(x):
+    marks = VS.version_marks(x.amend_edges, F.substring("source_id", 3, 100))
+    return VS.version_summary(VS.version_changes(x.norm_events, x.amend_edges, x.objects), marks)
+
+
+INTERVALS = VERSIONED + """,
+vr as (select node, occurred_at, event_id, amendment, action from am union all select aggregate_id, occurred_at, event_id, null, 'anulou' from fx_norm_events where type_slug = 'anulacao'),
+vi as (select node, count(*) filter (where action is distinct from 'anulou') over w as version, amendment, action,
+ case action when 'anulou' then 'anulada' when 'revogou' then 'revogada' else 'vigente' end as state, occurred_at as from_at, lead(occurred_at) over v as to_at
+ from vr window w as (partition by node order by occurred_at, event_id rows between unbounded preceding and current row), v as (partition by node order by occurred_at, event_id))"""
+
+
+@query("tmp7_node_versions", needs=("norm_events", "amend_edges"), ctes=INTERVALS, sql=f"select * replace ({ts('from_at')} as from_at, {ts('to_at')} as to_at) from vi")
 def _(x):
-    return C.version_changes(x.amendments, x.objects)
+    return VS.node_versions(x.norm_events, x.amend_edges)
 
 
-@query("tmp7_version_summary", needs=("amendments", "objects"), sql=f"""
-select a.amendment, {ts('min(a.occurred_at)')} as occurred_at, count(*) filter (where action like 'adicionou%') as nodes_added,
- count(*) filter (where action not like 'adicionou%' and action <> 'revogou') as nodes_changed,
- count(*) filter (where action = 'revogou') as nodes_repealed from fx_amendments a join fx_objects o on a.node = o.id group by a.amendment""")
+@query("tmp7_versions_at", needs=("norm_events", "amend_edges"), ctes=INTERVALS, sql="""
+select node, version, state from vi where from_at <= timestamp '1992-06-01 00:00:00' and (to_at is null or to_at > timestamp '1992-06-01 00:00:00')""")
 def _(x):
-    return C.version_summary(C.version_changes(x.amendments, x.objects))
+    return VS.versions_at(VS.node_versions(x.norm_events, x.amend_edges), "1992-06-01 00:00:00").select("node", "version", "state")

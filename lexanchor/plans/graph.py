@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexanchor.fixtures import Corpus
 from lexanchor.operators import blocks as B, graph as G, learn as LN, nearest as NE, search as SE, vectors as VE
-from lexanchor.plans.core import STATE_NEEDS
+from lexanchor.plans.core import STATE_NEEDS, VERSIONED
 from lexanchor.plans.integrity import WORD
 from lexanchor.plans.registry import query
 from lexanchor.plans.signals import JUDGMENTS
@@ -69,13 +69,14 @@ def _(x):
     return G.succession(x.succession_edges)
 
 
-@query("gr8_derive_caches", needs=("edges", "objects", "log", "amendments"), recursive=True, ctes=TREE + """,
-am as (select node, count(*) as n from fx_amendments group by 1),
-rp as (select aggregate_id as id, json_extract_string(payload,'$.to_state') = 'revogada' as r from fx_log where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1)""", sql=f"""
+@query("gr8_derive_caches", needs=("edges", "objects", "norm_events", "amend_edges"), recursive=True, ctes=TREE + """,
+""" + VERSIONED.replace("am as", "am0 as") + """,
+am as (select node, count(*) as n from am0 group by 1),
+rp as (select aggregate_id as id, json_extract_string(payload,'$.to_state') = 'revogada' as r from fx_norm_events where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1)""", sql=f"""
 select t.id, t.depth, t.is_leaf, coalesce(r.r, false) as is_repealed, {norm_key("json_extract_string(o.payload, '$.text_content')")} as normalized_text, coalesce(a.n, 0) as total_amendments
 from tc t join fx_objects o on o.id = t.id left join rp r on r.id = t.id left join am a on a.node = t.id""")
 def _(x):
-    return G.derive_caches(x.objects, x.edges, x.log, x.amendments)
+    return G.derive_caches(x.objects, x.edges, x.norm_events, x.amend_edges)
 
 
 REC = """rc as (select *, 'stf-'||replace(lower(process_key), '_', '-') as process_slug, row_number() over (partition by process_key order by block_id) as n from rb where process_key <> ''),
@@ -361,6 +362,29 @@ def _(x):
     return LN.learn_profiles(x.log, x.edges, "week").select("profile_type", "target_slug", "period_start", "period_end", "sample_size", *_M)
 
 
+_X = {r: f"cast({r} as decimal(10,6)) * sample_size" for r in _M}
+_OWN = {r: f"(sum({x}) over own / sum(sample_size) over own)" for r, x in _X.items()}
+_PLAIN = {r: f"(sum({r}_all) over kind / sum(n_all) over kind)" for r in _M}
+BACK = profiles_sql("week") + f""",
+kd0 as (select profile_type, period_start, sum(sample_size) as n_all, {', '.join(f'sum({x}) as {r}_all' for r, x in _X.items())} from pf group by 1, 2),
+kd as (select profile_type, period_start, {', '.join(f'{p}::double as {r}_plain' for r, p in _PLAIN.items())} from kd0
+ window kind as (partition by profile_type order by period_start rows between unbounded preceding and 1 preceding)),
+bo as (select *, coalesce(sum(sample_size) over own, 0) + sample_size as seen, {', '.join(f'{o}::double as {r}_own' for r, o in _OWN.items())} from pf
+ window own as (partition by profile_type, target_slug order by period_start rows between unbounded preceding and 1 preceding)),
+bt as (select *, ({' + '.join(f'abs({r} - {r}_own)' for r in _M)}) / {len(_M)} as e_own, ({' + '.join(f'abs({r} - {r}_plain)' for r in _M)}) / {len(_M)} as e_plain
+ from bo join kd using (profile_type, period_start))"""
+
+
+@query("lrn1_back_test", needs=("log", "edges"), ctes=BACK, sql=f"""
+select profile_type, target_slug, strftime(period_start, '%Y-%m-%d') as period_start, sample_size,
+ '{{' || {" || ',' || ".join(f"""'"{r}":' || cast({r} as decimal(10,6))::varchar""" for r in _M)} || '}}' as profile_payload,
+ round(seen::double / (seen + {LN.HALF_TRUST}) + 1e-9, 4) as confidence_score, round(1 - e_own + 1e-9, 4) as stability_score, round(e_plain - e_own + 1e-9, 4) as predictive_gain from bt""")
+def _(x):
+    p = LN.with_payload(LN.back_test(LN.learn_profiles(x.log, x.edges, "week")))
+    scores = [F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("confidence_score", "stability_score", "predictive_gain")]  # no ties at the last digit
+    return p.select("profile_type", "target_slug", "period_start", "sample_size", "profile_payload", *scores)
+
+
 @query("win13_profile_drift", needs=("log", "edges"), ctes=profiles_sql("week"), sql=f"select profile_type, target_slug, strftime(period_start, '%Y-%m-%d') as period_start, {', '.join(r + '_drift' for r in _M)} from df")
 def _(x):
     return LN.profile_drift(LN.learn_profiles(x.log, x.edges, "week")).select("profile_type", "target_slug", "period_start", *[f"{r}_drift" for r in _M])

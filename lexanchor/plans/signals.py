@@ -194,20 +194,22 @@ def _(x):
 
 @query("agg33_actor_profile", needs=NEEDS_A, ctes=RELATOR, sql=f"""
 select r.actor_id, r.actor_slug, count(*) as total_decisions, {rate("outcome='procedente'")} as procedencia_rate, {rate('uses_modulation')} as modulacao_rate,
- {rate("fiscal_effect='contencao'")} as contencao_fiscal_rate, any_value(m.mode_value) as deference_pattern
-from rs r left join {mode('rs', 'actor_id', 'deference_level')} m on m.actor_id = r.actor_id group by r.actor_id, r.actor_slug""")
+ {rate("fiscal_effect='contencao'")} as contencao_fiscal_rate, any_value(m.mode_value) as deference_pattern,
+ any_value(s.mode_value) as dominant_reasoning_style
+from rs r left join {mode('rs', 'actor_id', 'deference_level')} m on m.actor_id = r.actor_id left join {mode('rs', 'actor_id', 'reasoning_style')} s on s.actor_id = r.actor_id group by r.actor_id, r.actor_slug""")
 def _(x):
     return S.actor_profile(x.actors, x.edges, x.log, x.objects, x.object_types)
 
 
-@query("agg34_actor_environment_interactions", needs=("log",), ctes=JUDGMENTS, sql="""
-select c.actor_id, c.environment, round(c.n::double / t.n, 6) as participation_rate,
+@query("agg34_actor_environment_interactions", needs=("log", "actors"), ctes=JUDGMENTS, sql="""
+select c.actor_id, a.slug as actor_slug, a.type_slug as actor_type, c.environment, round(c.n::double / t.n, 6) as participation_rate,
  (select nullif(round(corr((j.actor_id = c.actor_id)::int, (j.outcome = 'procedente')::int), 6), 'nan'::double) from jg j where j.adjudication_environment = c.environment) as correlation_with_outcome,
  (select nullif(round(corr((j.actor_id = c.actor_id)::int, j.uses_modulation::int), 6), 'nan'::double) from jg j where j.adjudication_environment = c.environment) as correlation_with_modulation
 from (select actor_id, adjudication_environment as environment, count(*) as n from jg group by all) c
-join (select adjudication_environment as environment, count(*) as n from jg group by all) t on t.environment = c.environment""")
+join (select adjudication_environment as environment, count(*) as n from jg group by all) t on t.environment = c.environment
+left join fx_actors a on a.id = c.actor_id""")
 def _(x):
-    return S.actor_environment_interactions(x.log)
+    return S.actor_environment_interactions(x.log, x.actors)
 
 
 _PAIR_SQL = {"relator": "relator", "body": "decision_body", "environment": "adjudication_environment", "period": "strftime(judgment_date, '%Y-%m')",
@@ -246,21 +248,30 @@ def _(x):
     return S.conditional_rate(signals(x), "outcome", ["class_code", "decision_body", "adjudication_environment"])
 
 
-@query("agg37_judgment_environment_profile", needs=NEEDS_E, ctes=SIGNALS, sql="""
-select d.case_id, d.case_slug, r.relator, d.event_id, d.decision_body, d.adjudication_environment, d.outcome, d.decision_direction, d.uses_modulation, d.fiscal_effect, s.subjects
+@query("agg37_judgment_environment_profile", needs=NEEDS_A, ctes=SIGNALS, sql="""
+select d.case_id, d.case_slug, r.relator, a.slug as relator_slug, d.event_id, d.decision_body, d.adjudication_environment, d.session_format, d.outcome, d.decision_direction, d.uses_modulation, d.fiscal_effect
 from ds d left join (select target_id, min(source_id) as relator from fx_edges where type_slug='relator_de' and valid_to is null group by 1) r on r.target_id = d.case_id
-left join (select source_id, string_agg(distinct target_id, ',' order by target_id) as subjects from fx_edges where type_slug='sobre' and valid_to is null group by 1) s on s.source_id = d.case_id""")
+left join fx_actors a on a.id = r.relator""")
 def _(x):
-    p = S.judgment_environment_profile(x.log, x.objects, x.edges, x.object_types)
-    return p.withColumn("subjects", F.array_join("subjects", ","))
+    return S.judgment_environment_profile(x.log, x.objects, x.edges, x.object_types, x.actors)
 
 
-@query("agg38_collegial_dynamics", needs=("log", "roles"), ctes=JUDGMENTS, sql="""
-select f.*, m.composicao from (select aggregate_id, bool_or(vista_present) as vista_presente, bool_or(destaque_present) as destaque_presente,
- bool_or(divergence_present) as divergencia_presente, count(distinct adjudication_environment) > 1 as migracao_ambiente from jg group by 1) f
-left join (select target_id, string_agg(distinct source_id, ',' order by source_id) as composicao from fx_roles group by 1) m on m.target_id = f.aggregate_id""")
+@query("agg37_case_subjects", needs=("edges",), sql="select distinct source_id as case_id, target_id as subject from fx_edges where type_slug='sobre' and valid_to is null")
 def _(x):
-    return S.collegial_dynamics(x.log, x.roles).withColumn("composicao", F.array_join("composicao", ","))
+    return S.case_subjects(x.edges)
+
+
+@query("agg38_collegial_dynamics", needs=("log",), ctes=JUDGMENTS, sql="""
+select event_id as julgamento_id, aggregate_id, vista_present as vista_presente, destaque_present as destaque_presente, divergence_present as divergencia_presente,
+ coalesce(lag(adjudication_environment) over (partition by aggregate_id order by occurred_at, event_id) <> adjudication_environment, false) as migracao_ambiente from jg""")
+def _(x):
+    return S.collegial_dynamics(x.log)
+
+
+@query("agg38_case_members", needs=("roles",), sql="""
+select distinct target_id as aggregate_id, source_id as member, json_extract_string(payload,'$.role') as role from fx_roles where type_slug='exerce_papel'""")
+def _(x):
+    return S.case_members(x.roles)
 
 
 @query("jn18_co_participation", needs=("edges", "roles"), sql="""
