@@ -1,19 +1,22 @@
 """Mixing sources to target weights.
 
 The words of a source, document after document, form a stream that is cut into blocks of
-a fixed length. Every source gets as many block slots as its target asks for. All slots
-are dealt to output shards by one pseudorandom permutation, so the counts of sources in a
-shard are a multinomial draw without replacement, whose sums over shards meet the targets.
+a fixed length. Every source gets as many block slots as its target asks for, and each output
+shard of a fixed number of slots draws how many of them go to each source: a multinomial
+draw with the sources' shares as chances. A running sum of a source's draws numbers its
+slots. What the draws give a source beyond its slots goes to sources that were drawn too
+seldom, in the shards where that happened, so shards stay full and sources meet their targets.
 Slot ``k`` of a source reads the block at index ``k`` of the source's own pseudorandom
-permutation, one pass after the other; documents and slots meet by (source, block).
+permutation, one pass after the other; documents and slots meet by (source, block). Within
+a shard slots are in a pseudorandom order.
 The last slot of a source takes only the words that are missing to its target, so a source
 gives its target rounded to whole words, and no word is taken more than three times.
 
 The permutations are swap-or-not shuffles: exact on any range, nothing to sort or store.
 
 Null texts have no words; documents without words are returned with nothing taken. A null
-source is a source of its own, after all others; null ids are ordinary rows. One narrow row
-per source is ranked in one task: sources are what a mix sets weights for. An empty table
+source is a source of its own, after all others; null ids are ordinary rows, ordered by a
+digest of their texts. One narrow row per source is ranked in one task: sources are what a mix sets weights for. An empty table
 gives an empty result.
 """
 
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lexanchor.llm.common import WORD, query, table, written
-from lexanchor.operators.keyed import compute_once
+from lexanchor.operators.keyed import compute_once, position_segment, segmented_scan
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 1024
@@ -32,8 +35,10 @@ SEED = 20
 ROUNDS = 12
 #: Buckets that split the documents of one source.
 BUCKETS = 4096
-#: Slots that one task row expands to.
-SLOT_CHUNK = 16384
+#: Slots that one task draws or writes out.
+TASK_SLOTS = 65536
+#: Parts of the range of slots by which a draw finds its source.
+CELLS = 4096
 
 _P = 2147483647
 
@@ -101,41 +106,80 @@ def _slot_counts(targets: DataFrame, block: int) -> DataFrame:
     return t.withColumns({"slot_base": F.coalesce(F.sum("slots").over(before), F.lit(0)), "all_slots": F.sum("slots").over(W.partitionBy())})
 
 
+def _found(points: DataFrame, at: str, ranges: DataFrame, start: str, length: str, total: int) -> DataFrame:
+    """Points with the range that holds them; ranges follow each other from 0 to ``total``. An equi-join on parts of the range."""
+    wide = -(-total // CELLS)
+    cells = ranges.filter(f"{length} > 0").withColumn("cell", F.explode(F.expr(f"sequence({start} div {wide}, ({start} + {length} - 1) div {wide})")))
+    return points.withColumn("cell", F.expr(f"{at} div {wide}")).join(cells, "cell").filter(f"{at} >= {start} and {at} < {start} + {length}").drop("cell")
+
+
+def draw_counts(counts: DataFrame, shard_slots: int, all_slots: int) -> DataFrame:
+    """(shard, rank, n): a multinomial draw of sources for the slots of each shard, the last shard may be shorter.
+
+    Counts, not slots, are what is kept: each slot's draw is a hash of its number.
+    """
+    spark = counts.sparkSession
+    draws = spark.range(0, all_slots, 1, max(1, -(-all_slots // TASK_SLOTS))).select(
+        F.expr(f"id div {shard_slots}").alias("shard"), F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(all_slots)).alias("at"))
+    return _found(draws, "at", counts.select("rank", "slot_base", "slots"), "slot_base", "slots", all_slots).groupBy("shard", "rank").agg(F.count("*").alias("n"))
+
+
 def draw_slots(targets: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """One row per slot of the output: shard, slot, rank (of the source), pass, block, words it takes."""
-    counts = _slot_counts(targets, block)
-    chunks = counts.filter("slots > 0").withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {SLOT_CHUNK})")))
-    chunks = chunks.repartition("rank", "chunk")
-    slots = chunks.withColumn("k", F.explode(F.expr(f"sequence(chunk * {SLOT_CHUNK}, least(slots, (chunk + 1) * {SLOT_CHUNK}) - 1)")))
-    slots = _shuffled(slots, "block", "k % blocks", "blocks", "rank")
-    slots = slots.withColumn("place", F.expr("slot_base + k")).withColumn("zero", F.lit(0).cast("long"))
-    slots = _shuffled(slots, "at", "place", "all_slots", "zero")
-    return slots.select(
-        F.expr(f"at div {shard_slots}").alias("shard"), F.expr(f"at % {shard_slots}").alias("slot"), "rank",
-        F.expr("k div blocks").alias("pass"), "block",
+    counts = written(_slot_counts(targets, block), "slot-counts")  # a row a source
+    all_slots = counts.agg(F.max("all_slots")).first()[0] or 0
+    if not all_slots:
+        return counts.limit(0).select(*[F.lit(0).cast("long").alias(c) for c in ("shard", "slot", "rank", "pass", "block", "words")])
+    drawn = written(draw_counts(counts, shard_slots, all_slots), "drawn")
+    # a source's slots are numbered along the shards
+    base = segmented_scan(drawn, ["rank"], ["shard"], position_segment("shard"), sums={"until": F.col("n")})
+    in_shard = F.sum("n").over(W.partitionBy("shard").orderBy("rank").rowsBetween(W.unboundedPreceding, -1))
+    base = base.withColumn("in_shard", F.coalesce(in_shard, F.lit(0))).repartition(max(1, -(-all_slots // TASK_SLOTS)), "shard", "rank")
+    slots = base.withColumn("i", F.explode(F.expr("sequence(1L, n)"))).select(
+        "shard", (F.col("in_shard") + F.col("i") - 1).alias("place"), "rank", (F.col("until") - F.col("n") + F.col("i") - 1).alias("k"))
+    # draws beyond a source's slots fill the sources that were drawn too seldom
+    totals = drawn.groupBy("rank").agg(F.sum("n").alias("drawn"))
+    gaps = counts.join(totals, "rank", "left").select("rank", "slots", F.coalesce("drawn", F.lit(0)).alias("drawn"))
+    before = W.orderBy("rank").rowsBetween(W.unboundedPreceding, -1)  # a row a source
+    gaps = written(gaps.withColumns({"over": F.expr("greatest(drawn - slots, 0L)"), "under": F.expr("greatest(slots - drawn, 0L)")}).withColumns({
+        "over_base": F.coalesce(F.sum("over").over(before), F.lit(0)), "under_base": F.coalesce(F.sum("under").over(before), F.lit(0))}), "gaps")
+    missing = gaps.agg(F.sum("under")).first()[0]
+    slots = slots.join(gaps.select("rank", "slots", "over_base"), "rank")
+    kept = slots.filter("k < slots").select("shard", "place", "rank", "k")
+    if missing:
+        extra = slots.filter("k >= slots").select("shard", "place", F.expr("over_base + k - slots").alias("q"))
+        extra = _found(extra, "q", gaps.select("rank", "drawn", "under", "under_base"), "under_base", "under", missing)
+        kept = kept.unionByName(extra.select("shard", "place", "rank", F.expr("drawn + q - under_base").alias("k")))
+    kept = kept.join(counts, "rank")
+    kept = _shuffled(kept, "block", "k % blocks", "blocks", "rank")
+    kept = kept.withColumn("held", F.expr(f"least({shard_slots}, all_slots - shard * {shard_slots})"))
+    kept = _shuffled(kept, "slot", "place", "held", f"shard % {_P}")
+    return kept.select(
+        "shard", "slot", "rank", F.expr("k div blocks").alias("pass"), "block",
         F.expr(f"case when k = slots - 1 and extra > 0 then last_words when block = blocks - 1 then short else {block} end").alias("words"))
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """Adds the number of words and a row number; to be written before it is used twice."""
-    return docs.withColumns({"size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"), "row": F.monotonically_increasing_id()})
+    """Adds the number of words, a digest of the text and a row number; to be written before it is used twice."""
+    return docs.withColumns({"size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"), "digest": F.xxhash64("text"),
+                             "row": F.monotonically_increasing_id()})
 
 
 def mix(sized: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> tuple[DataFrame, DataFrame]:
-    """Places and takes of documents given as (row, doc_id, source, size).
+    """Places and takes of documents given as (row, doc_id, source, size, digest).
 
     Returns the documents with source_size and target, and one row per piece of a document
     in a slot: row, shard, slot, pass, from, until (word numbers in the document).
     """
-    bucket = F.expr(f"coalesce(((doc_id % {_P}) * 48271 % {_P}) % {BUCKETS} + {BUCKETS}, 0) % {BUCKETS}")
-    docs = sized.select("row", "doc_id", "source", "size", bucket.alias("bucket"))
+    bucket = F.expr(f"coalesce(((doc_id % {_P}) * 48271 % {_P}) % {BUCKETS} + {BUCKETS}, pmod(digest, {BUCKETS})) % {BUCKETS}")
+    docs = sized.select("row", "doc_id", "source", "size", "digest", bucket.alias("bucket"))
     parts = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = written(source_targets(parts.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))), "targets")
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     bases = parts.withColumn("base", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
     t = targets.withColumnRenamed("source", "__source")
     bases = bases.join(t, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "bucket_size").withColumnsRenamed({"source": "__source", "bucket": "__bucket"})
-    inner = W.partitionBy("source", "bucket").orderBy("doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
+    inner = W.partitionBy("source", "bucket").orderBy("doc_id", "size", "digest", "row").rowsBetween(W.unboundedPreceding, -1)
     placed = docs.withColumn("start", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     placed = placed.join(bases, placed["source"].eqNullSafe(bases["__source"]) & (placed["bucket"] == bases["__bucket"]))
     placed = placed.withColumn("start", F.col("start") + F.col("base")).select(
@@ -154,16 +198,21 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: one row per document and pass, with the words that the pass takes.
 
     A pass that takes a whole document keeps its text as it is; otherwise the words taken
-    keep the white space before them. n_chars is counted again where the column exists.
+    keep the white space before them. n_chars is counted again where the column exists. A
+    document stands where its first piece does: rows are in the order of shards and slots.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
     kept = written(docs.select(whole, "doc_id", "source", "text").transform(with_words).drop("text"), "mixed")
     _, taken = mix(kept)
-    ranges = taken.groupBy("row", "pass").agg(F.sum(F.expr("until - from")).alias("n"), F.sort_array(F.collect_list(F.struct("from", "until"))).alias("ranges"))
+    ranges = taken.groupBy("row", "pass").agg(
+        F.sum(F.expr("until - from")).alias("n"), F.sort_array(F.collect_list(F.struct("from", "until"))).alias("ranges"), F.min(F.struct("shard", "slot")).alias("first"))
     met = kept.select("row", "size", "d").join(ranges, "row")
-    parts = F.expr(r"array_join(flatten(transform(ranges, r -> slice(regexp_extract_all(d.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), int(r.from + 1), int(r.until - r.from)))), '')")
+    # the words of a document that is taken in part, found once
+    words = F.when(F.col("n") < F.col("size"), F.expr(r"regexp_extract_all(d.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0)"))
+    met = compute_once(met, {"__w": words})
+    parts = F.expr("array_join(flatten(transform(ranges, r -> slice(__w, int(r.from + 1), int(r.until - r.from)))), '')")
     text = F.when(F.col("n") == F.col("size"), F.col("d.text")).otherwise(F.regexp_replace(parts, r"^[\x20\x09-\x0D]+", ""))
-    out = met.withColumn("__text", text)
+    out = met.withColumn("__text", text).sortWithinPartitions("first")
     cols = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
     return out.select(*[(cols[c].cast(docs.schema[c].dataType) if c in cols else F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
 

@@ -107,6 +107,39 @@ def test_targets_and_takes(spark, block):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, taken.collect()))
 
 
+def test_shards_draw_multinomial_counts(spark):
+    """Mean and variance of the draws over many shards, and sources that meet their slots after the correction."""
+    slots = [500, 12_000, 30_000, 57_500]
+    bases = [sum(slots[:i]) for i in range(4)]
+    counts = spark.createDataFrame([(i + 1, b, n) for i, (b, n) in enumerate(zip(bases, slots))], "rank long, slot_base long, slots long")
+    shards = 100_000 // 100
+    drawn = {(r.shard, r["rank"]): r.n for r in M.draw_counts(counts, 100, 100_000).collect()}
+    assert sum(drawn.values()) == 100_000
+    for rank, n in enumerate(slots, 1):
+        p = n / 100_000
+        got = [drawn.get((s, rank), 0) for s in range(shards)]
+        mean = sum(got) / shards
+        assert abs(mean - 100 * p) < 4 * (100 * p * (1 - p) / shards) ** 0.5
+        variance = sum((x - mean) ** 2 for x in got) / (shards - 1)
+        assert 0.8 < variance / (100 * p * (1 - p)) < 1.25
+
+
+@pytest.mark.parametrize("shard_slots", [1, 16, 1000])
+def test_every_slot_is_dealt_once(spark, shard_slots):
+    sized = written(docs(spark, corpus(90)).select("doc_id", "source", "text").transform(M.with_words).drop("text"), "test")
+    targets = M.source_targets(sized.groupBy("source").agg(M.F.sum("size").alias("source_size")))
+    rows = M.draw_slots(targets, 7, shard_slots).collect()
+    counts = {r["rank"]: r for r in M._slot_counts(targets, 7).collect()}
+    assert Counter(r["rank"] for r in rows) == {k: c.slots for k, c in counts.items() if c.slots}
+    for k, c in counts.items():  # a block is taken once in each pass
+        mine = Counter((r["pass"], r.block) for r in rows if r["rank"] == k)
+        assert set(mine.values()) <= {1} and all(b < c.blocks for _, b in mine)
+    places = Counter((r.shard, r.slot) for r in rows)
+    assert set(places.values()) == {1} and all(slot < shard_slots for _, slot in places)
+    sizes = Counter(r.shard for r in rows)
+    assert all(sizes[s] == shard_slots for s in range(len(rows) // shard_slots))
+
+
 def test_shuffles_are_permutations(spark):
     for n in (1, 2, 3, 10, 997):
         df = spark.range(n).withColumns({"n": M.F.lit(n).cast("long"), "k": M.F.lit(5).cast("long")})
