@@ -144,7 +144,7 @@ def draw_slots(targets: DataFrame, block: int = BLOCK_WORDS, shard_slots: int =
     gaps = written(gaps.withColumns({"over": F.expr("greatest(drawn - slots, 0L)"), "under": F.expr("greatest(slots - drawn, 0L)")}).withColumns({
         "over_base": F.coalesce(F.sum("over").over(before), F.lit(0)), "under_base": F.coalesce(F.sum("under").over(before), F.lit(0))}), "gaps")
     missing = gaps.agg(F.sum("under")).first()[0]
-    slots = slots.join(gaps.select("rank", "slots", "over_base"), "rank")
+    slots = written(slots.join(gaps.select("rank", "slots", "over_base"), "rank"), "slots")  # read twice, and plans stay small
     kept = slots.filter("k < slots").select("shard", "place", "rank", "k")
     if missing:
         extra = slots.filter("k >= slots").select("shard", "place", F.expr("over_base + k - slots").alias("q"))
