@@ -7,8 +7,7 @@ draw with the sources' shares as chances. A running sum of a source's draws numb
 slots. What the draws give a source beyond its slots goes to sources that were drawn too
 seldom, in the shards where that happened, so shards stay full and sources meet their targets.
 Slot ``k`` of a source reads the block at index ``k`` of the source's own pseudorandom
-permutation, one pass after the other; documents and slots meet by (source, block). Within
-a shard slots are in a pseudorandom order.
+permutation, one pass after the other; documents and slots meet by (source, block).
 The last slot of a source takes only the words that are missing to its target, so a source
 gives its target rounded to whole words, and no word is taken more than three times.
 
@@ -152,10 +151,8 @@ def draw_slots(targets: DataFrame, block: int = BLOCK_WORDS, shard_slots: int =
         kept = kept.unionByName(extra.select("shard", "place", "rank", F.expr("drawn + q - under_base").alias("k")))
     kept = kept.join(counts, "rank")
     kept = _shuffled(kept, "block", "k % blocks", "blocks", "rank")
-    kept = kept.withColumn("held", F.expr(f"least({shard_slots}, all_slots - shard * {shard_slots})"))
-    kept = _shuffled(kept, "slot", "place", "held", f"shard % {_P}")
     return kept.select(
-        "shard", "slot", "rank", F.expr("k div blocks").alias("pass"), "block",
+        "shard", F.col("place").alias("slot"), "rank", F.expr("k div blocks").alias("pass"), "block",
         F.expr(f"case when k = slots - 1 and extra > 0 then last_words when block = blocks - 1 then short else {block} end").alias("words"))
 
 
@@ -199,13 +196,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A pass that takes a whole document keeps its text as it is; otherwise the words taken
     keep the white space before them. n_chars is counted again where the column exists. A
-    document stands where its first piece does: rows are in the order of shards and slots.
+    document stands where its first piece does: rows are in the order of shards, and of a hash within them.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
     kept = written(docs.select(whole, "doc_id", "source", "text").transform(with_words).drop("text"), "mixed")
     _, taken = mix(kept)
     ranges = taken.groupBy("row", "pass").agg(
-        F.sum(F.expr("until - from")).alias("n"), F.sort_array(F.collect_list(F.struct("from", "until"))).alias("ranges"), F.min(F.struct("shard", "slot")).alias("first"))
+        F.sum(F.expr("until - from")).alias("n"), F.sort_array(F.collect_list(F.struct("from", "until"))).alias("ranges"), F.min(F.struct("shard", F.xxhash64("shard", "slot"))).alias("first"))
     met = kept.select("row", "size", "d").join(ranges, "row")
     # the words of a document that is taken in part, found once
     words = F.when(F.col("n") < F.col("size"), F.expr(r"regexp_extract_all(d.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0)"))
