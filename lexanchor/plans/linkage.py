@@ -319,9 +319,9 @@ def _(x):
 
 
 @query("fn21_clean_name", needs=("blocks",), ctes=RESOLVED, sql="""
-select distinct relator, case relator when 'Roberto Barroso' then 'Luís Roberto Barroso' when 'Marco Aurelio' then 'Marco Aurélio' when 'Dias Tofolli' then 'Dias Toffoli' else relator end as cleaned from rb where length(relator) >= 4""")
+select distinct relator, case relator when 'Roberto Barroso' then 'Luís Roberto Barroso' when 'Marco Aurelio' then 'Marco Aurélio' when 'Dias Tofolli' then 'Dias Toffoli' else case when length(relator) >= 4 then relator else '' end end as cleaned from rb""")
 def _(x):
-    return B.resolve_blocks(x.blocks).filter("length(relator) >= 4").select("relator", T.clean_name("relator").alias("cleaned")).distinct()
+    return B.resolve_blocks(x.blocks).select("relator", T.clean_name("relator").alias("cleaned")).distinct()
 
 
 @query("fn26_link_summary", needs=("comments",), ctes=COMM, sql="select com_id, coalesce(urls[1], '') as first, array_to_string(urls, ' | ') as all_links from h1")
