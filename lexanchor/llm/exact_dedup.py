@@ -206,7 +206,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     marked = docs.mapInArrow(_with_sha, T.StructType([*docs.schema.fields, T.StructField("__sha", T.BinaryType())]))
     one = first_per_key(marked, ["doc_id", "__sha"], [F.col(c).asc() for c in docs.columns if c in ("lang", "source", "n_chars")] or [F.lit(0)])
     met = one.join(stay, one["doc_id"].eqNullSafe(stay["__id"]) & (one["__sha"] == stay["__digest"]), "left_semi")
-    return met.select(*docs.columns)
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 SQL = """

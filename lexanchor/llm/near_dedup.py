@@ -347,7 +347,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     if not repeated.isEmpty():  # rows equal in id and text
         once = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "__text_key"])
         out = out.join(repeated, same(repeated), "left_anti").union(once)
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 _W = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"

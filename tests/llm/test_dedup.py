@@ -143,3 +143,8 @@ def test_groups_of_null_and_repeated_ids_keep_one(spark):
     table += [(11, near(4, 0), None, None)] * 2 + [(12, None, None, None)] * 2
     out = N.drop_near_duplicates(docs(spark, table)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 5), (False, 7), (False, 11), (False, 12), (False, 12), (True, 0)]
+
+
+def test_columns_with_dots_in_their_names_stay(spark):
+    df = docs(spark, corpus(12)).withColumn("a.b", E.F.lit(1))
+    assert E.drop_exact_duplicates(df).columns == df.columns and N.drop_near_duplicates(df).columns == df.columns
