@@ -202,11 +202,13 @@ def _with_sha(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with all its columns, without the rows whose text repeats that of a row that stays."""
+    names = [f"__c{i}" if set(c) & set(".`") else c for i, c in enumerate(docs.columns)]  # a map over batches cannot take such names
+    columns, docs = docs.columns, docs.toDF(*names)
     stay = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
     marked = docs.mapInArrow(_with_sha, T.StructType([*docs.schema.fields, T.StructField("__sha", T.BinaryType())]))
     one = first_per_key(marked, ["doc_id", "__sha"], [F.col(c).asc() for c in docs.columns if c in ("lang", "source", "n_chars")] or [F.lit(0)])
     met = one.join(stay, one["doc_id"].eqNullSafe(stay["__id"]) & (one["__sha"] == stay["__digest"]), "left_semi")
-    return met.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return met.select(*names).toDF(*columns)
 
 
 SQL = """
