@@ -12,7 +12,7 @@ from lexanchor.plans.registry import query
 from lexanchor.plans.signals import JUDGMENTS
 from lexanchor.plans.sqltext import RESOLVED, norm_key
 from lexanchor.session import cut, scratch
-from lexanchor.streaming import state as ST
+from lexanchor.streaming import changes as CH, state as ST
 
 CLOSE = """lk as (select target_id as node, source_id as parent from fx_edges where type_slug='parent_of' and valid_to is null),
 cl as (select node, parent as ancestor, 1 as distance from lk union all select c.node, l.parent, c.distance + 1 from cl c join lk l on l.node = c.ancestor)"""
@@ -445,3 +445,30 @@ def _(x):
     _chunks(x)[1].write.parquet(f"{base}/emb")
     ST.worklist_stream(_chunks(stream)[0], f"{base}/emb", "m1", f"{base}/work", f"{base}/progress").awaitTermination()
     return x.spark.read.parquet(f"{base}/work/batch=*").select("chunk_slug", "token_estimate")
+
+
+@query("str2_state_changes", needs=("log",), sql="""
+select aggregate_id, event_id, json_extract_string(payload,'$.to_state') as to_state, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') as occurred_at from fx_log
+where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1""")
+def _(x):
+    """Transitions from a stateful stream over the whole log; the last of each aggregate is its state."""
+    stream = Corpus(x.spark, x.dir)
+    stream._cache["events"] = x.spark.readStream.schema(x.events.schema).option("pathGlobFilter", "events.parquet").parquet(x.dir)
+    base = _shared(x.spark)
+    CH.state_change_stream(stream.log, f"{base}/changes", f"{base}/progress").awaitTermination()
+    return CH.read_newest(x.spark, f"{base}/changes").select(
+        F.col("key").alias("aggregate_id"), F.col("tie").alias("event_id"), F.col("value").alias("to_state"), F.timestamp_micros("at").alias("occurred_at"))
+
+
+@query("str1_poll_changes", needs=("log",), sql="""
+select aggregate_id, case when type_slug <> 'distribuicao' then md5(payload) end as content_hash from fx_log
+where occurred_at is not null qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1""")
+def _(x):
+    """Every event is a look at its aggregate (gone, where it is a distribution); afternoons come first, the stream stops, and mornings come late."""
+    base = _shared(x.spark)
+    rows = CH.observations(x.log, "aggregate_id", "occurred_at", "event_id", F.when(F.col("type_slug") != "distribuicao", F.md5("payload")))
+    for half in (1, 0):
+        rows.filter(F.col("at") / 43_200_000_000 % 2 >= 1 if half else F.col("at") / 43_200_000_000 % 2 < 1).write.mode("append").parquet(f"{base}/polls")
+        polls = x.spark.readStream.schema(CH.ROWS).parquet(f"{base}/polls")
+        CH.poll_stream(polls, f"{base}/changes", f"{base}/progress").awaitTermination()
+    return CH.read_newest(x.spark, f"{base}/changes").select(F.col("key").alias("aggregate_id"), F.col("value").alias("content_hash"))
