@@ -8,7 +8,7 @@ from lexanchor.operators import blocks as B, integrity as I, reconcile as R
 from lexanchor.plans.registry import query, ts
 from lexanchor.plans.sqltext import RESOLVED, lit, norm_key, strip_accents, sub
 from lexanchor.session import scratch
-from lexanchor.sources import tables as S
+from lexanchor.sources import in_place as P, tables as S
 
 
 # -------------------------------------------------------------------- integrity
@@ -374,6 +374,28 @@ def _(x):
     return S.materialize(n, scratch(x.spark, "distribution"), "by_status", ["o_orderstatus"]).select("o_orderpriority", "o_orderstatus", "n")
 
 
+@query("src8_upsert_in_place", sql="select o_orderkey, case when o_orderkey%3<>1 then 'Z' else o_orderstatus end as o_orderstatus, 0 as rewritten_again from orders")
+def _(x):
+    """The upsert into a table kept in buckets, run twice; the second run writes no bucket."""
+    o, path = x.orders.select("o_orderkey", "o_orderstatus"), scratch(x.spark, "bucketed")
+    P.create_bucketed(o.filter("o_orderkey % 3 <> 2"), path, ["o_orderkey"], 16)
+    come = o.filter("o_orderkey % 3 <> 1").withColumn("o_orderstatus", F.lit("Z"))
+    _first, again = [P.upsert_in_place(come, path, ["o_orderkey"], 16) for _ in range(2)]
+    return x.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", F.lit(again).alias("rewritten_again"))
+
+
+@query("src9_refresh_in_place", sql="""
+select o_orderpriority, o_orderstatus, count(*) as n, (select count(distinct o_orderstatus) from orders where o_orderstatus <> 'P') as written, 1 as removed from orders where o_orderstatus <> 'P' group by 1, 2""")
+def _(x):
+    """A distribution by status made of some orders, then brought up to date: changed partitions are written, the one that is gone is removed."""
+    path = scratch(x.spark, "refreshed")
+    old = x.orders.withColumn("o_orderkey", F.when(F.col("o_orderstatus") == "P", 1).otherwise(0))
+    count = lambda o, n: o.groupBy("o_orderpriority", "o_orderstatus").agg(n.alias("n"))
+    P.refresh_in_place(count(old, F.sum("o_orderkey")), path, "o_orderstatus")
+    written, removed = P.refresh_in_place(count(x.orders.filter("o_orderstatus <> 'P'"), F.count("*")), path, "o_orderstatus")
+    return x.spark.read.parquet(path).select("o_orderpriority", "o_orderstatus", "n", F.lit(written).alias("written"), F.lit(removed).alias("removed"))
+
+
 @query("src13_changed_only", needs=("objects",), sql="select id, hash_content from fx_objects where length(payload)%3=0 or id like '%9'")
 def _(x):
     prev = x.objects.filter(~F.col("id").endswith("9")).withColumn(

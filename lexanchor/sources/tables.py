@@ -102,7 +102,7 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 
 def upsert(df: DataFrame, target: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
     """Target with the incoming rows in place of those of equal key; ``newest`` orders several incoming rows."""
-    cols = target.columns
+    cols = [F.col(f"`{c}`") for c in target.columns]
     both = df.select(*cols, F.lit(0).alias("__side")).unionByName(target.select(*cols, F.lit(1).alias("__side")))
     order = [F.col("__side").asc()] + ([F.col(newest).desc()] if newest else [])
     return first_per_key(both, keys, order).drop("__side")
