@@ -2,18 +2,21 @@
 
 Counts of all training tokens are exact: tasks count, Spark sums. The vocabulary holds every
 token of the lexicon that was counted ``LEAST`` times or more; the others share the leaf "rare".
-Words are factored into nested classes, two in each: a Huffman tree over the counts, so that
-a word costs about as many decisions as its information in bits. A token's chance is the
-product of its path's decisions; rare tokens share their leaf's chance by add-one counts, so
-the chances of all tokens, seen or not, sum to one. Each decision adds weights of hashed
-features of the text before: the previous word, the previous two, skips to the second and
-third word before, and the previous word's last three bytes by a hash. The table of weights
-grows with the vocabulary.
+The softmax is factored into classes by frequency. Of its ``WIDTH`` outputs a node gives the
+most frequent half to single words and the others to classes, which deal the remaining words
+among them by turns, so that all weigh about the same; each class is a node of its own, until the
+words left fit one. A token's chance is the product of the softmaxes on its path (one for the most
+frequent words, few for the others); rare tokens share their leaf's chance by add-one counts, so
+the chances of all tokens, seen or not, sum to one. Each softmax adds, to the log of its outputs'
+counts, rows of weights of hashed pairs of a node and a feature of the text before: the previous
+word, the previous two, skips to the second and third word before, and the previous word's last
+three bytes by a hash. The table of weights grows with the vocabulary.
 
 Training runs in ``ROUNDS`` over disjoint parts that cover all training documents. In a
 round every task starts from the same weights, does minibatch gradient steps over its
 documents (Adagrad, sparse rows in numpy) and returns its change; changes are averaged by
-their tokens in two steps of bounded groups. Weights start at the unigram model.
+their tokens in two steps of bounded groups. A task takes at least a quarter as many tokens as the
+table has weights, so that changes stay small beside the texts. Weights start at the unigram model.
 
 The lexicon goes to every task. It holds the tokens above a count limit: at most ``LOOKUP`` or,
 if that is more, ``GROWTH`` times the root of the number of training tokens. The other tokens
@@ -21,12 +24,12 @@ of a text meet the counts in a join, so their counts are exact too.
 
 Null texts are empty: the end alone. With no training document both scores are those of
 an empty count table. Rows with null or repeated ids are scored one by one; an empty table
-gives an empty result.
+gives an empty result, very long texts are taken whole, and columns other than doc_id and text are
+not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import zlib
 from collections import Counter
@@ -50,9 +53,10 @@ SUFFIXES = 1024
 #: Kinds of features, and the code that stands before a text.
 KINDS, START = 5, 1 << 40
 _BEFORE = np.full(3, START)
-#: Weights for each word, and the least size of the table.
-PER_WORD, LEAST_TABLE = 8, 1 << 21
-BATCH, RATE, DAMPING, ROUNDS = 8192, 0.15, 1.0, 2
+#: Outputs of a softmax; weights for each word, and the least size of the table.
+WIDTH = 32
+PER_WORD, LEAST_TABLE = 32, 1 << 21
+BATCH, RATE, DAMPING, ROUNDS = 16384, 0.15, 1.0, 2
 #: Most tasks of a training round, and floats in a slice of their changes.
 WORKERS, SLICE = 1024, 1 << 14
 #: Distinct tokens that a counting task holds.
@@ -98,117 +102,133 @@ class Lexicon:
         inside = int(self.counts[:self.size].sum())
         #: Add-one mass of all tokens outside the vocabulary, one unseen token included.
         self.rare_mass = (self.total - inside) + (self.distinct - self.size) + 1
-        self.tree = Tree(np.append(self.counts[:self.size] + 1.0, self.rare_mass))
+        self.classes = Classes(np.append(self.rare_mass, self.counts[:self.size] + 1.0))
 
 
 def suffix_code(word: bytes) -> int:
     return zlib.crc32(word[-3:]) & (SUFFIXES - 1)
 
 
-class Tree:
-    """A Huffman tree. ``up`` holds twice the decision above each leaf, then above each decision, plus the side; -1 at the root."""
+class Classes:
+    """Leaves (0: rare, then the words, most frequent first) in nodes of ``WIDTH`` outputs, and the logs of their masses."""
 
     def __init__(self, mass: np.ndarray):
-        self.leaves = n = len(mass)
-        self.up = np.full(2 * n - 1, -1, np.int32)
-        self.bias = np.zeros(n - 1, np.float32)
-        heap = list(zip(mass.tolist(), range(n), strict=True))
-        heapq.heapify(heap)
-        for k in range(n - 1):
-            (a, left), (b, right) = heapq.heappop(heap), heap[0]
-            self.up[left], self.up[right] = 2 * k, 2 * k + 1
-            self.bias[k] = math.log(b / a)
-            heapq.heapreplace(heap, (a + b, n + k))
-
-    def paths(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of ``leaf``, decisions and sides (1: the second) on the ways to the root."""
-        row, up = np.arange(len(leaf)), self.up[leaf]
-        on_way, steps = [], []
-        while True:
-            more = np.flatnonzero(up >= 0)
-            if not len(more):
-                break
-            row, up = np.take(row, more), np.take(up, more)
-            on_way.append(row)
-            steps.append(up)
-            up = self.up[self.leaves + (up >> 1)]
-        if not steps:
-            none = np.zeros(0, np.int64)
-            return none, none, none
-        step = np.concatenate(steps)
-        return np.concatenate(on_way), step >> 1, step & 1
+        #: Classes of a node on each level; its other outputs are single leaves.
+        self.classes: list[int] = []
+        left = len(mass)
+        while left > WIDTH:
+            c = min(WIDTH // 2, -(-(left - WIDTH) // (WIDTH - 1)))
+            self.classes.append(c)
+            left = -(-(left - WIDTH + c) // c)
+        self.classes.append(0)
+        #: First node of each level.
+        self.first = np.cumsum([0, *np.cumprod([1, *self.classes[:-1]])])
+        total = np.zeros((self.first[-1], WIDTH))
+        for at, node, output in self.paths(np.arange(len(mass))):
+            np.add.at(total, (node, output), mass[at])
+        with np.errstate(divide="ignore"):
+            self.bias = np.log(total).astype(np.float32)
+        self.of_node = mix(np.arange(len(total), dtype=np.uint64))
+
+    def paths(self, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level: places in ``leaf`` that reach it, their nodes there and the outputs they take."""
+        at, left, node = np.arange(len(leaf)), leaf, np.zeros(len(leaf), np.int64)
+        for level, c in enumerate(self.classes):
+            single = WIDTH - c
+            deeper = np.flatnonzero(left >= single)
+            output = left.copy()
+            turn = left[deeper] - single
+            if len(deeper):
+                output[deeper] = single + turn % c
+            yield at, node, output
+            if not len(deeper):
+                return
+            at, left = at[deeper], turn // c
+            node = self.first[level + 1] + (node[deeper] - self.first[level]) * c + turn % c
 
 
 class Weights:
-    """Weights of hashed pairs of a feature and a decision, in a table whose size is a power of two."""
+    """Rows of ``WIDTH`` weights for hashed pairs of a feature and a node."""
 
     SIZE = LEAST_TABLE
 
-    def __init__(self, flat: np.ndarray, tree: Tree | None = None):
-        self.flat, self.tree = flat, tree
-        self.shift = np.uint64(65 - len(flat).bit_length())
-        #: Gradients of a batch; zero between batches.
-        self.open = np.zeros(0, np.float32)
-        if tree is not None:
-            self.of_decision = mix(np.arange(len(tree.bias), dtype=np.uint64))
+    def __init__(self, flat: np.ndarray, classes: Classes | None = None):
+        self.flat, self.classes = flat, classes
+        self.table = flat.reshape(-1, WIDTH)
 
     @classmethod
     def unigram(cls, lexicon: Lexicon) -> Weights:
         size = max(cls.SIZE, 1 << (PER_WORD * lexicon.size).bit_length())
-        return cls(np.zeros(size, np.float32), lexicon.tree)
+        return cls(np.zeros(size, np.float32), lexicon.classes)
 
-    def slots(self, features: np.ndarray, row: np.ndarray, decision: np.ndarray) -> np.ndarray:
-        """Places in the table, one line for each kind of feature."""
-        of_decision = self.of_decision[decision]
-        out = np.empty((features.shape[1], len(row)), np.int64)
-        for j in range(len(out)):
-            out[j] = (np.take(features[:, j], row) + of_decision) >> self.shift
-        return out
+    def rows(self, feature: np.ndarray, node: np.ndarray) -> np.ndarray:
+        pair = (feature + self.classes.of_node[node]) >> np.uint64(32)
+        return ((pair * np.uint64(len(self.table))) >> np.uint64(32)).astype(np.int64)
 
 
 def _features(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashed features of the tokens at these places; three codes come before each text."""
+    """Hashed features of the tokens at these places, a line for each kind; three codes come before each text."""
     codes = codes.astype(np.uint64)
     one, two, three = (mix(codes * np.uint64(KINDS) + np.uint64(j)) for j in range(3))
     pair, end = two[at - 2] * np.uint64(3) + one[at - 1], (codes % np.uint64(SUFFIXES))[at - 1] * np.uint64(KINDS) + np.uint64(3)
     return np.stack([one[at - 1], two[at - 2], three[at - 3], mix(pair), mix(end)], axis=1)
 
 
-def forward(w: Weights, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows, sides and places in the table of all decisions on the targets' paths, and their logits."""
-    row, decision, side = w.tree.paths(np.where(target >= 0, target, w.tree.leaves - 1))
-    slots = w.slots(features, row, decision)
-    z = w.tree.bias[decision]
-    for line in slots:
-        z += np.take(w.flat, line)
-    return row, side, slots, z
+def forward(w: Weights, features: np.ndarray, target: np.ndarray) -> Iterator[tuple]:
+    """For each level of the targets' paths: places that reach it, outputs taken, rows of the table by kind, exponentials and their sums."""
+    for at, node, output in w.classes.paths(target + 1):
+        rows = [w.rows(np.take(features[:, j], at), node) for j in range(features.shape[1])]
+        z = np.take(w.classes.bias, node, axis=0)
+        for line in rows:
+            z += np.take(w.table, line, axis=0)
+        z -= z.max(axis=1, keepdims=True)
+        taken = z[np.arange(len(at)), output]
+        np.exp(z, out=z)
+        yield at, output, rows, z, z.sum(axis=1), taken
 
 
 def log10_chances(w: Weights, features: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log10 of each token's chance; for tokens outside the vocabulary (target -1) of their leaf alone."""
-    row, side, _, z = forward(w, features, target)
-    logs = np.logaddexp(np.float32(0), np.where(side > 0, -z, z))
-    return np.bincount(row, logs, len(target)) / -math.log(10)
+    out = np.zeros(len(target))
+    for at, _, _, _, total, taken in forward(w, features, target):
+        out[at] += taken - np.log(total)
+    return out / math.log(10)
+
+
+def sum_by_row(g: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sums of their gradients. Most rows come a few times: these are added one by one, the rest in runs."""
+    order = np.argsort(row)
+    ordered = row[order]
+    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    length = np.diff(np.r_[start, len(row)])
+    total = np.take(g, order[start], axis=0)
+    for k in (1, 2, 3):
+        more = np.flatnonzero((length > k) & (length < 5))
+        if len(more):
+            total[more] += np.take(g, order[start[more] + k], axis=0)
+    many = np.flatnonzero(length > 4)
+    if len(many):
+        inside = np.repeat(length > 4, length)
+        runs = np.cumsum(np.r_[0, length[many][:-1]])
+        total[many] = np.add.reduceat(np.take(g, order[inside], axis=0), runs, axis=0)
+    return ordered[start], total
 
 
 def train_batch(w: Weights, sums: Weights, features: np.ndarray, target: np.ndarray) -> None:
-    """Adagrad steps over the batch's summed gradients, one for each kind of feature."""
-    _, side, slots, z = forward(w, features, target)
-    g = 1 / (1 + np.exp(np.clip(-z, -60, 60))) - side.astype(np.float32)
-    if len(w.open) != len(w.flat):
-        w.open = np.zeros_like(w.flat)
-    for line in slots:
-        np.add.at(w.open, line, g)
-        total = np.take(w.open, line)
-        w.open[line] = 0
-        square = np.take(sums.flat, line)  # a slot that comes twice is set twice to the same value
-        square += total * total
-        sums.flat[line] = square
-        square += np.float32(DAMPING)
-        np.sqrt(square, out=square)
-        total *= np.float32(RATE)
-        total /= square
-        w.flat[line] = np.take(w.flat, line) - total
+    """Adagrad steps over the batch's summed gradients, one for each level and kind of feature."""
+    for at, output, rows, g, total, _ in forward(w, features, target):
+        g /= total[:, None]
+        g[np.arange(len(at)), output] -= 1
+        for line in rows:
+            row, step = sum_by_row(g, line)
+            square = np.take(sums.table, row, axis=0)
+            square += step * step
+            sums.table[row] = square
+            square += np.float32(DAMPING)
+            np.sqrt(square, out=square)
+            step *= np.float32(RATE)
+            step /= square
+            w.table[row] -= step
 
 
 class Reader:
@@ -250,7 +270,7 @@ def _train(sent, weights_sent):
         schema = pa.schema([("slice", pa.int32()), ("part", pa.int64()), ("n", pa.float64()), ("change", pa.binary())])
         lexicon: Lexicon = sent.value
         start: np.ndarray = weights_sent.value
-        w, sums, reader, n = Weights(start.copy(), lexicon.tree), Weights(np.zeros_like(start)), Reader(lexicon), 0
+        w, sums, reader, n = Weights(start.copy(), lexicon.classes), Weights(np.zeros_like(start)), Reader(lexicon), 0
         held: list = []
         size = 0
 
@@ -270,7 +290,7 @@ def _train(sent, weights_sent):
         if held:
             n += learn()
         if n:
-            change = ((w.flat - start) * np.float32(n)).astype("<f4")
+            change = (w.flat - start).astype("<f2")
             parts = [change[at:at + SLICE].tobytes() for at in range(0, len(change), SLICE)]
             me = TaskContext.get().partitionId()
             yield batch_of(schema, [list(range(len(parts))), [me] * len(parts), [float(n)] * len(parts), parts])
@@ -279,10 +299,9 @@ def _train(sent, weights_sent):
 
 
 def _sum_changes(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(pdf["change"].iloc[0]) // 4, np.float64)
-    for raw in pdf["change"]:
-        total += np.frombuffer(raw, "<f4")
-    return pd.DataFrame({"slice": [int(key[0])], "part": [int(key[1])], "n": [pdf["n"].sum()], "change": [total.astype("<f4").tobytes()]})
+    """The mean change of a slice, by tokens, in half precision (a change is a small number)."""
+    total = sum(np.frombuffer(raw, "<f2").astype(np.float64) * n for raw, n in zip(pdf["change"], pdf["n"], strict=True)) / pdf["n"].sum()
+    return pd.DataFrame({"slice": [int(key[0])], "part": [int(key[1])], "n": [pdf["n"].sum()], "change": [total.astype("<f2").tobytes()]})
 
 
 def fit(docs: DataFrame, lexicon: Lexicon) -> np.ndarray:
@@ -291,15 +310,17 @@ def fit(docs: DataFrame, lexicon: Lexicon) -> np.ndarray:
     flat = Weights.unigram(lexicon).flat
     sent = spark.sparkContext.broadcast(lexicon)
     columns = "slice int, part long, n double, change binary"
+    cores = spark.sparkContext.defaultParallelism
+    workers = min(WORKERS, max(cores, 4 * lexicon.total // (ROUNDS * len(flat))))
     for r in range(ROUNDS):
         weights = spark.sparkContext.broadcast(flat)
-        part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == r).select("text").coalesce(WORKERS)
+        part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == r).select("text").coalesce(workers)
         changes = part.mapInArrow(_train(sent, weights), columns)
         for group in (32, WORKERS):  # at most 32 changes of a slice meet in a group, twice
             changes = changes.withColumn("part", F.expr(f"part div {group}")).groupBy("slice", "part").applyInPandas(_sum_changes, columns)
         got = changes.orderBy("slice").collect()  # the size of the model
         if got:
-            flat = flat + np.concatenate([np.frombuffer(x.change, "<f4") / x.n for x in got]).astype(np.float32)
+            flat = flat + np.concatenate([np.frombuffer(x.change, "<f2") for x in got]).astype(np.float32)
         weights.unpersist()
     return flat
 
@@ -310,7 +331,7 @@ def _score(sent, weights_sent):
                             ("log_counts", pa.float64()), ("log_model", pa.float64()), ("n_rare", pa.int64()),
                             ("tokens", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
         lexicon: Lexicon = sent.value
-        w, reader = Weights(weights_sent.value, lexicon.tree), Reader(lexicon)
+        w, reader = Weights(weights_sent.value, lexicon.classes), Reader(lexicon)
         row = TaskContext.get().partitionId() << 36
         held: list = []
         size = 0

@@ -204,6 +204,80 @@ def test_skip_to_the_third_word_and_a_table_that_grows():
     assert many.size == 600_000 and len(G.Weights.unigram(many).flat) >= G.PER_WORD * many.size > G.Weights.SIZE
 
 
+def small_model(seed=5, least=G.LEAST_TABLE):
+    counts = Counter(words(9000, seed, 900).split())
+    best = counts.most_common()
+    lexicon = G.Lexicon([w.encode() for w, _ in best], np.array([c for _, c in best], float), sum(counts.values()), len(counts))
+    w = G.Weights(np.random.default_rng(seed).normal(0, 0.3, least).astype(np.float32), lexicon.classes)
+    ranks, codes, _ = G.Reader(lexicon).read(words(300, seed + 1, 900).encode().split())
+    return lexicon, w, *G._batches_of([(ranks, codes)], lexicon.size)
+
+
+def softmaxes_by_loop(lexicon, w, feature, target):
+    """(node, output, rows, chances) on a target's path: classes are cut from the whole list of leaves, node by node."""
+    mass = [lexicon.rare_mass, *(lexicon.counts[:lexicon.size] + 1)]
+    leaves, node, out = list(range(len(mass))), 0, []
+    for level, c in enumerate(lexicon.classes.classes):
+        single = G.WIDTH - c
+        outputs = [[x] for x in leaves[:single]] + [leaves[single + k::c] for k in range(c)]
+        rows = [int(w.rows(feature[j:j + 1], np.array([node]))[0]) for j in range(len(feature))]
+        z = [math.log(sum(mass[x] for x in o)) + sum(float(w.table[r, k]) for r in rows) if o else -math.inf for k, o in enumerate(outputs)]
+        total = sum(math.exp(x) for x in z)
+        taken = next(k for k, o in enumerate(outputs) if target + 1 in o)
+        out.append((node, taken, rows, [math.exp(x) / total for x in z]))
+        if taken < single:
+            return out
+        node = int(lexicon.classes.first[level + 1] + (node - lexicon.classes.first[level]) * c + taken - single)
+        leaves = outputs[taken]
+    raise AssertionError("the leaf is on no path")
+
+
+def test_chances_by_a_plain_loop():
+    lexicon, w, features, target = small_model()
+    assert len(lexicon.classes.classes) > 2 and len({len(softmaxes_by_loop(lexicon, w, f, t)) for f, t in zip(features, target, strict=True)}) > 1
+    want = [sum(math.log10(p[k]) for _, k, _, p in softmaxes_by_loop(lexicon, w, f, t)) for f, t in zip(features, target, strict=True)]
+    assert G.log10_chances(w, features, target) == pytest.approx(want, abs=1e-4)
+
+
+def test_a_step_by_a_plain_loop():
+    lexicon, w, features, target = small_model(8)
+    features, target = np.repeat(features[:12], 7, axis=0), np.repeat(target[:12], 7)
+    paths = [softmaxes_by_loop(lexicon, w, f, t) for f, t in zip(features, target, strict=True)]
+    change: dict = {}
+    for path in paths:
+        for _, taken, rows, p in path:
+            for j, r in enumerate(rows):
+                g = change.setdefault((j, r), np.zeros(G.WIDTH))
+                g += p
+                g[taken] -= 1
+    assert len({r for _, r in change}) == len(change)  # no two pairs share a row here
+    before, sums = w.table.copy(), G.Weights(np.zeros_like(w.flat))
+    G.train_batch(w, sums, features, target)
+    want = before.copy()
+    for (_, r), g in change.items():
+        want[r] -= G.RATE * g / np.sqrt(g * g + G.DAMPING)
+        assert sums.table[r] == pytest.approx(g * g, rel=1e-3, abs=1e-4)
+    assert np.abs(w.table - want).max() < 1e-4 and (w.table != before).any(axis=1).sum() == len(change)
+
+
+def test_gradients_are_summed_by_row():
+    r = np.random.default_rng(3)
+    row, g = np.r_[r.integers(0, 40, 90), r.integers(100, 400, 200), np.full(50, 7)], r.normal(size=(340, 4))
+    rows, total = G.sum_by_row(g, row)
+    assert rows.tolist() == sorted(set(row.tolist()))
+    for x, t in zip(rows, total, strict=True):
+        assert t == pytest.approx(g[row == x].sum(axis=0))
+
+
+def test_classes_hold_every_leaf_once():
+    for n in (1, 2, 31, 32, 33, 40, 600, 9001):
+        classes = G.Classes(np.sort(np.random.default_rng(n).integers(1, 1000, n))[::-1].astype(float))
+        ends: dict = {}
+        for at, node, output in classes.paths(np.arange(n)):
+            ends.update(zip(at.tolist(), zip(node.tolist(), output.tolist(), strict=True), strict=True))
+        assert len(ends) == n == len(set(ends.values())) and len(classes.bias) <= 1 + n
+
+
 def test_learning_toxicity_never_collects_texts(spark, monkeypatch):
     df = docs(spark, corpus(40))
     labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
