@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 #: A word is a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,6 +91,22 @@ def crc_mod(n: int, col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def first_by_hash(df: DataFrame, label: str, limits: dict, *order: str) -> DataFrame:
+    """The first rows of each label (``limits``: label to number) by a hash of ``order``, then ``order``; with column ``rn``, from 1.
+
+    No label is sorted whole: rows are counted by the hash's leading 14 bits first, and only
+    those up to the bits where the limit is reached are ranked, the limit and about one in
+    16,384 of the label's rows. Labels that ``limits`` does not name, and null, have no rows.
+    """
+    limit = F.coalesce(*(F.when(F.col(label) == F.lit(v), F.lit(n)) for v, n in limits.items()))
+    near = df.withColumn("hash", F.xxhash64(*order)).withColumn("lead", F.shiftright("hash", 50)).withColumn("limit", limit).filter("limit is not null")
+    counts = near.groupBy(label, "limit", "lead").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(label).orderBy("lead").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
+    cuts = counts.withColumn("before", before).filter("before < limit").groupBy(label).agg(F.max("lead").alias("cut"))  # a row for each label
+    ranked = near.join(F.broadcast(cuts), label).filter("lead <= cut").withColumn("rn", F.row_number().over(W.partitionBy(label).orderBy("hash", *order)))
+    return ranked.filter("rn <= limit").select(*df.columns, "rn")
+
+
 def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of Python values, a bounded slice at a time."""
     for batch in batches:

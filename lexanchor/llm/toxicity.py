@@ -24,9 +24,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lexanchor.llm.common import crc_mod, query, table
+from lexanchor.llm.common import crc_mod, first_by_hash, query, table
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 6000
 MIN_DOCS = 3
@@ -149,11 +149,9 @@ def fit(bags: Iterable[tuple[int, list[set[str]]]]) -> Model | None:
 def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: tuple[int, int] = (SAMPLE_CLEAN, SAMPLE_TOXIC)) -> Model | None:
     """A model from labelled rows of (doc_id, text) where ``train`` holds."""
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(F.col("toxic") > 0).alias("toxic"))
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = marked.withColumn("rn", F.row_number().over(order)).filter(
-        F.col("rn") <= F.when(F.col("toxic"), sample[1]).otherwise(sample[0])).filter(F.col("rn") <= max(sample)).select("doc_id", "toxic")
-    # at most ``sample`` ids of either label
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    chosen = first_by_hash(marked, "toxic", {True: sample[1], False: sample[0]}, "doc_id").select("doc_id", "toxic")
+    # at most ``sample`` ids of either label; of a repeated id the least text
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
     # a part of the texts at a time; the fit keeps the numbers of their words only
     rows = texts.orderBy("doc_id").toLocalIterator()
     return fit((int(r.toxic), [words for _, _, words in sentences(r.text or "")]) for r in rows)

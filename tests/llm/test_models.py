@@ -6,7 +6,7 @@ import pytest
 
 from helpers import corpus, crc, docs, words
 from lexanchor.llm import language as L, language_model as G, toxicity as T, url_filter as U
-from lexanchor.llm.common import crc_mod
+from lexanchor.llm.common import crc_mod, first_by_hash
 
 DIR = "/root/testdata/sf0.01"
 
@@ -29,6 +29,32 @@ def test_noisy_or_finds_the_sentence(spark):
     assert [(x.doc_id, text[x["from"]:x.until]) for x in T.offending_sentences(df, model).collect() if "vileness" in text[x["from"]:x.until]]
 
 
+def test_document_scores_by_a_plain_loop(spark):
+    r = np.random.default_rng(4)
+    vocabulary = words(300, 5).split()
+    model = T.Model({f: float(r.normal(0, 0.8)) for w in vocabulary for f in T.features(w)}, -1.5)
+    texts = [". ".join(words(9, i) for i in range(k, k + 4)) for k in range(20)]
+    for text in texts:
+        clean = 1.0
+        for sentence in text.split("."):
+            z = model.bias
+            for w in set(sentence.lower().split()):
+                z += sum(model.words.get(f, 0.0) for f in (w, *[w[:k] + "-" for k in T.STEMS if len(w) >= k]))
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert model.score(text)[0] == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_samples_are_the_first_rows_of_each_label(spark):
+    df = spark.range(30_000).selectExpr("case when id % 11 = 0 then null else id % 3 = 0 end as toxic", "id as doc_id", "'x' as n")
+    order = df.withColumn("h", G.F.xxhash64("doc_id")).collect()
+    for limits in ({True: 700, False: 5}, {True: 10**6, False: 9000}, {False: 1}):
+        want = [(y, r.doc_id, k + 1) for y, n in limits.items()
+                for k, r in enumerate(sorted((r for r in order if r.toxic is y), key=lambda r: (r.h, r.doc_id))[:n])]
+        got = first_by_hash(df, "toxic", limits, "doc_id").collect()
+        assert sorted((r.toxic, r.doc_id, r.rn) for r in got) == sorted(want)
+    assert first_by_hash(df.limit(0), "toxic", {True: 3, False: 3}, "doc_id").count() == 0
+
+
 def test_long_sentences_are_cut_whole():
     text = words(95, 9)
     parts = list(T.sentences(text))
@@ -130,6 +156,37 @@ def test_markov_chances_sum_to_one():
         assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_url_scores_and_threshold_by_plain_loops():
+    accepted, rejected = [f"http://{w}.com/en/" for w in words(60, 1).split()], [f"http://{w}.net/{w[::-1]}" for w in words(60, 2).split()]
+
+    def chance(texts, context, char):
+        """Witten-Bell from the shortest context up, with all occurrences counted anew each time."""
+        p = 1 / 256
+        for k in range(len(context) + 1):
+            tail = context[len(context) - k:]
+            after = [whole[i + k] for whole in texts for i in range(len(whole) - k) if whole.startswith(tail, i) and (i + k > 0)]
+            if not after or (len(after) < 2 and tail):
+                continue
+            kinds = len(set(after))
+            p = (after.count(char) + kinds * p) / (len(after) + kinds)
+        return p
+
+    def score(url):
+        whole = "\x02" + url + "\x03"
+        sides = [["\x02" + t + "\x03" for t in x] for x in fitted]
+        logs = [sum(math.log(chance(t, whole[max(0, i - U.ORDER):i], whole[i])) for i in range(1, len(whole))) for t in sides]
+        return (logs[0] - logs[1]) / (len(url) + 1)
+
+    parts = [([u for i, u in enumerate(x) if i % U.HOLD_OUT], x[::U.HOLD_OUT]) for x in (accepted, rejected)]
+    fitted = [p[0] for p in parts]
+    model = U.fit(accepted, rejected)
+    for url in (accepted[0], rejected[0], "http://new.org/", ""):
+        assert model.score(url) == pytest.approx(score(url), abs=1e-9)
+    good, bad = ([model.score(u) for u in p[1]] for p in parts)
+    value = lambda t: sum(x >= t for x in good) / len(good) + sum(x < t for x in bad) / len(bad)
+    assert value(model.threshold) == max(map(value, [*good, *bad, max(good + bad) + 1]))
+
+
 # ------------------------------------------------------------------ language model
 def test_base_scores_against_counts_and_order_of_scores(spark):
     table = corpus(80)
