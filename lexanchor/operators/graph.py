@@ -201,7 +201,8 @@ def blocks_to_graph(b: DataFrame) -> tuple[DataFrame, DataFrame]:
     # everything but the texts, read several times
     narrow = cut(with_text_key(b).drop("block_text", "metadata_text"))
     procs, _ = split_processes(narrow)
-    rec = cut(record_slugs(narrow))
+    # one row per block: a column of it looks small enough to be broadcast where files are compressed well, and would pass through the driver
+    rec = cut(record_slugs(narrow)).hint("merge")
     payload = F.to_json(F.struct(
         F.col("block_text").alias("conteudo"), F.col("metadata_text").alias("rotulo_final"), F.col("editorial_marker").alias("camada_editorial"),
         F.col("decision_unit_type").alias("tipo_decisorio")))
