@@ -425,12 +425,19 @@ def _shared(spark) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
 
 
+def _streamed(x, name: str):
+    """The corpus with one table read as a stream; a table is a file or a folder of files."""
+    stream = Corpus(x.spark, x.dir)
+    # as a pattern, the path may name a file
+    stream._cache[name] = x.spark.readStream.schema(x.table(name).schema).parquet(f"{x.dir}/{name}.parque[t]")
+    return stream
+
+
 @query("str2_current_state_stream", needs=("log",), sql="""
 select aggregate_id, event_id, json_extract_string(payload,'$.to_state') as to_state, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') as occurred_at from fx_log
 where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1""")
 def _(x):
-    stream = Corpus(x.spark, x.dir)
-    stream._cache["events"] = x.spark.readStream.schema(x.events.schema).option("pathGlobFilter", "events.parquet").parquet(x.dir)
+    stream = _streamed(x, "events")
     base = _shared(x.spark)
     q = ST.current_state_stream(stream.log, f"{base}/state", f"{base}/progress")
     q.awaitTermination()
@@ -439,8 +446,7 @@ def _(x):
 
 @query("str3_worklist_stream", sql="select 'c-'||doc_id as chunk_slug, ceil(length(text) / 4.0)::int as token_estimate from documents where text <> '' and not (doc_id%3=0 and doc_id%2=0)")
 def _(x):
-    stream = Corpus(x.spark, x.dir)
-    stream._cache["documents"] = x.spark.readStream.schema(x.documents.schema).option("pathGlobFilter", "documents.parquet").parquet(x.dir)
+    stream = _streamed(x, "documents")
     base = _shared(x.spark)
     _chunks(x)[1].write.parquet(f"{base}/emb")
     ST.worklist_stream(_chunks(stream)[0], f"{base}/emb", "m1", f"{base}/work", f"{base}/progress").awaitTermination()
@@ -452,8 +458,7 @@ select aggregate_id, event_id, json_extract_string(payload,'$.to_state') as to_s
 where list_contains(json_keys(payload), 'to_state') qualify row_number() over (partition by aggregate_id order by occurred_at desc, event_id) = 1""")
 def _(x):
     """Transitions from a stateful stream over the whole log; the last of each aggregate is its state."""
-    stream = Corpus(x.spark, x.dir)
-    stream._cache["events"] = x.spark.readStream.schema(x.events.schema).option("pathGlobFilter", "events.parquet").parquet(x.dir)
+    stream = _streamed(x, "events")
     base = _shared(x.spark)
     CH.state_change_stream(stream.log, f"{base}/changes", f"{base}/progress").awaitTermination()
     return CH.read_newest(x.spark, f"{base}/changes").select(
