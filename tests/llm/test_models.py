@@ -346,3 +346,34 @@ def test_learning_toxicity_never_collects_texts(spark, monkeypatch):
     monkeypatch.setattr(type(df), "collect", refuse)
     monkeypatch.setattr(T, "fit", lambda bags: [y for y, _ in bags])
     assert T.learn(df, labels, crc_mod(4) != 2) == [y for _, y, _ in want]
+
+
+def test_url_models_learn_from_every_ruled_url(spark):
+    """The packed models against plain ones of the same URLs, of which none is left out."""
+    urls = [f"http://{w}{i}.com/en/{i}" for i, w in enumerate(words(400, 5).split())] + [f"http://{w}{i}.net/es/{i}é\U0001F600" for i, w in enumerate(words(300, 6).split())]
+    pages = spark.createDataFrame(list(enumerate([*urls, *urls[:50]])), "page_id long, url string")
+    judged = U.with_rule(pages)
+    got = U.learn(judged)
+    sides = {}
+    for r in judged.distinct().selectExpr("url", "rule_verdict", f"pmod(xxhash64(url), {U.HOLD_OUT}) = 0 as held").distinct().collect():
+        sides.setdefault((r.rule_verdict, r.held), []).append(r.url)
+    assert sum(map(len, sides.values())) == 700
+    plain = U.UrlModel(*(U.MarkovModel.fitted(sides[kind, False]) for kind in ("allow", "block")))
+    tests = ["", "x", "http://new.org/é", *urls[::7]]
+    assert got.scores(tests) == pytest.approx([plain.score(u) for u in tests], abs=1e-9)
+    good, bad = ([got.score(u) for u in sides[kind, True]] for kind in ("allow", "block"))
+    value = lambda t: sum(x >= t for x in good) / len(good) + sum(x < t for x in bad) / len(bad)
+    assert value(got.threshold) == pytest.approx(value(U.best_threshold(good, bad)), abs=0.02)
+
+
+def test_url_models_know_runs_of_more_urls_than_a_sample(spark):
+    """40,000 accepted URLs: a run that only one pair of them holds is scored as known."""
+    number = "lpad(conv(id div 2 * 26, 10, 36), 5, 'q')"
+    pages = spark.range(40_000).selectExpr("id as page_id", f"concat('h://', if(id % 2 = 0, 'a', 'b'), {number}, '.com/') as url")
+    pages = pages.unionByName(spark.range(50).selectExpr("-1 - id as page_id", "concat('h://', id, '.net/es/') as url"))
+    model = U.learn(U.with_rule(pages))
+    learned = pages.filter(f"page_id >= 0 and pmod(xxhash64(url), {U.HOLD_OUT}) != 0").orderBy("page_id").collect()
+    assert len(learned) > 30_000
+    plain = U.MarkovModel.fitted([r.url for r in learned])
+    tests = [r.url for r in learned[::500]]
+    assert model.accepted.log_likelihoods(tests).tolist() == pytest.approx([plain.log_likelihood(u) for u in tests], abs=1e-8)
