@@ -5,7 +5,8 @@ plates of one centre whose angles to it lie in a narrow ring. For a decision at
 to the centre, no plate of a ring from ``lo`` to ``hi`` is nearer than the distance of ``a`` from
 the ring, so its cosine is a bound on all scores of the tile. A first visit to the tile with
 the best bound gives every decision a k-th score; the second pass visits the tiles whose
-bound is not below that. Centres are fitted on a bounded sample, which decides how many
+bound is not below that. Consecutive tiles make up stripes of bounded size: a decision
+travels once to a stripe, with a bit for each tile that it visits there. Centres are fitted on a bounded sample, which decides how many
 tiles are visited but not what is found.
 """
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lexanchor.operators.keyed import first_per_key
-from lexanchor.operators.vectors import BLOCK_ROWS, _best, _unit_rows
+from lexanchor.operators.vectors import BLOCK_ROWS, MOST_PLATES, TILE_BYTES, _scores, _unit_rows
 from lexanchor.session import cut
 
 CENTRES, SAMPLE, ROUNDS = 64, 8192, 8
@@ -32,12 +33,13 @@ TILE_ROWS = 16384
 
 @dataclass(frozen=True)
 class Tiles:
-    """Unit centres, and for each tile its centre and the least and greatest angle of a plate."""
+    """Unit centres, for each tile its centre and the least and greatest angle of a plate, and the first tile of each stripe."""
 
     centres: np.ndarray
     centre: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    starts: np.ndarray
 
     def bounds(self, unit: np.ndarray) -> np.ndarray:
         """What each decision (a row) can score at most in each tile."""
@@ -92,19 +94,31 @@ def _visits(sent, key: str, vector: str, first: bool):
                 part = batch.slice(at, 512)
                 bound = tiles.bounds(_unit_rows(part.column(vector).to_pandas()))
                 best = bound.argmax(axis=1)
-                if first:
-                    row, tile = np.arange(len(best)), best
-                else:
-                    open_ = bound >= part.column("kth").to_numpy()[:, None]
-                    open_[np.arange(len(best)), best] = False
-                    row, tile = np.nonzero(open_)
-                yield pa.RecordBatch.from_arrays([part.column(key).take(pa.array(row)), pa.array(tile.astype(np.int32))], names=[key, "tile"])
+                open_ = np.zeros(bound.shape, bool) if first else bound >= part.column("kth").to_numpy()[:, None]
+                open_[np.arange(len(best)), best] = first
+                for stripe, mine in enumerate(np.split(open_, tiles.starts[1:], axis=1)):
+                    n = mine.sum(axis=1)
+                    row = np.flatnonzero(n)
+                    bits = pa.array([x.tobytes() for x in np.packbits(mine[row], axis=1)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(key).take(pa.array(row)), pa.array(np.full(len(row), stripe, np.int32)), bits, pa.array(n[row].astype(np.int32))],
+                                                     names=[key, "stripe", "open", "visits"])
 
     return run
 
 
+def _stripe_starts(rows: np.ndarray, most: int) -> np.ndarray:
+    """The first tile of each stripe: consecutive tiles of ``most`` rows together, or one."""
+    starts, held = [0], 0
+    for i, n in enumerate(rows):
+        if held and held + n > most:
+            starts.append(i)
+            held = 0
+        held += n
+    return np.array(starts)
+
+
 def tiled(plates: DataFrame, key: str, vector: str, dim: int, tile_rows: int, centres: int) -> tuple[DataFrame, Tiles]:
-    """Plates with the number of their tile, and the tiles."""
+    """Plates with their stripe and the number of their tile in it, and the tiles."""
     spark = plates.sparkSession
     sample = plates.orderBy(F.xxhash64(key), key).limit(SAMPLE).select(vector).toPandas()[vector]
     fitted = fit_centres(_unit_rows(sample), centres) if len(sample) else np.zeros((1, dim))
@@ -122,21 +136,24 @@ def tiled(plates: DataFrame, key: str, vector: str, dim: int, tile_rows: int, ce
             found.append([r.centre, r.lo, r.hi, r.n, -(-r.n // tile_rows)])
         of_ring.append(len(found) - 1)
     base = np.cumsum([0, *[t[4] for t in found]])
+    parts = [t[4] for t in found]
+    each = lambda i, kind: np.repeat(np.array([t[i] for t in found], kind), parts) if found else np.zeros(0, kind)
+    starts = _stripe_starts(np.repeat([-(-t[3] // t[4]) for t in found], parts), max(tile_rows, TILE_BYTES // (8 * dim)))
     table = spark.createDataFrame([(r.centre, r.ring, int(base[t]), int(found[t][4])) for r, t in zip(rings, of_ring, strict=True)], "centre int, ring int, base int, parts int")
     placed = at.join(F.broadcast(table), ["centre", "ring"])  # at most CENTRES * RINGS rows
     placed = placed.select(key, vector, (F.col("base") + F.pmod(F.xxhash64(key), F.col("parts"))).cast("int").alias("tile"))
-    parts = [t[4] for t in found]
-    each = lambda i, kind: np.repeat(np.array([t[i] for t in found], kind), parts) if found else np.zeros(0, kind)
-    return placed, Tiles(fitted, each(0, np.int64), each(1, float), each(2, float))
+    first = F.array(*[F.lit(int(x)) for x in starts])
+    placed = placed.withColumn("stripe", F.size(F.filter(first, lambda x: x <= F.col("tile"))) - 1).withColumn("tile", F.col("tile") - F.get(first, F.col("stripe")))
+    return placed, Tiles(fitted, each(0, np.int64), each(1, float), each(2, float), starts)
 
 
 def _scored(visits: DataFrame, decisions: DataFrame, plates: DataFrame, k: int, key: str, vector: str, block_rows: int) -> DataFrame:
-    """The k best plates of each visited tile."""
-    blocks = visits.groupBy("tile").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    d = visits.join(blocks, "tile").withColumn("b", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int")).drop("blocks").join(decisions.select(key, vector), key)
-    p = plates.select(F.col(key).alias("plate"), F.col(vector).alias("plate_vector"), "tile").join(blocks, "tile").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """The k best plates of the visited tiles of each stripe."""
+    blocks = visits.groupBy("stripe").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    d = visits.drop("visits").join(F.broadcast(blocks), "stripe").withColumn("b", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int")).drop("blocks").join(decisions.select(key, vector), key)
+    p = plates.select(F.col(key).alias("plate"), F.col(vector).alias("plate_vector"), "tile", "stripe").join(F.broadcast(blocks), "stripe").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     schema = f"{key} {decisions.schema[key].dataType.simpleString()}, plate {plates.schema[key].dataType.simpleString()}, score double"
-    return d.groupBy("tile", "b").cogroup(p.drop("blocks").groupBy("tile", "b")).applyInPandas(_best(k, key, vector), schema)
+    return d.groupBy("stripe", "b").cogroup(p.drop("blocks").groupBy("stripe", "b")).applyInArrow(_scores(k, key, vector, MOST_PLATES), schema)
 
 
 def nearest(
@@ -152,7 +169,7 @@ def nearest(
     ours = decisions.filter(usable).select(key, vector)
     theirs, tiles = tiled(plates.filter(usable).select(key, vector), key, vector, size["d"] or 1, tile_rows, centres)
     sent = decisions.sparkSession.sparkContext.broadcast(tiles)  # at most CENTRES centres and three numbers a tile
-    pair = f"{key} {decisions.schema[key].dataType.simpleString()}, tile int"
+    pair = f"{key} {decisions.schema[key].dataType.simpleString()}, stripe int, open binary, visits int"
     order = [F.col("score").desc(), F.col("plate").asc()]
     if not len(tiles.centre):
         none = theirs.select(F.col(key).alias("plate"), F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
@@ -168,4 +185,4 @@ def nearest(
     rows = per.select(key, F.posexplode("all").alias("i", "x")).select(
         key, F.col("x.plate").alias("plate"), (-F.col("x.s")).alias("score"), (F.col("i") + 1).alias("rank"))
     n = home.count()
-    return Nearest(rows, n + others.count(), n * len(tiles.centre))
+    return Nearest(rows, n + (others.agg(F.sum("visits")).first()[0] or 0), n * len(tiles.centre))

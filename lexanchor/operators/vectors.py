@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexanchor.functions import text as T
@@ -13,8 +14,8 @@ from lexanchor.operators.blocks import filled
 from lexanchor.operators.keyed import position_segment, segmented_scan
 from lexanchor.sources.tables import new_rows
 
-#: Bytes of the plates of a tile, decisions of a block, and scores that a task holds at once.
-TILE_BYTES, BLOCK_ROWS, SCORES = 16 * 1024 * 1024, 16384, 1 << 22
+#: Bytes of the plates of a tile or stripe, decisions of a block, and scores and plates that a task takes at once.
+TILE_BYTES, BLOCK_ROWS, SCORES, MOST_PLATES = 16 * 1024 * 1024, 16384, 1 << 20, 2048
 
 
 # --------------------------------------------------------------------- chunks
@@ -70,27 +71,69 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return m / np.where(norm == 0, 1, norm)
 
 
-def _best(k: int, key: str, vector: str):
-    """The k best plates of a tile for each decision of a block; scores are made for few rows at a time."""
+def _unit_lists(column: pa.ChunkedArray) -> np.ndarray:
+    m = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]).astype(np.float64).reshape(len(column), -1)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0, 1, norm)
+
+
+class _Best:
+    """The k best (score, plate) of each decision of a block so far; the smaller plate wins ties."""
+
+    def __init__(self, rows: int, k: int):
+        self.k, self.score, self.plate = k, np.full((rows, k), -np.inf), np.full((rows, k), -1)
+
+    def offer(self, rows: np.ndarray, left: np.ndarray, plates: np.ndarray, right: np.ndarray) -> None:
+        """Scores all given rows against all given plates; only scores that reach a row's k-th are rounded and merged."""
+        raw = left @ right.T
+        least = self.score[rows, -1] - 1e-8
+        if raw.shape[1] > self.k and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(raw, raw.shape[1] - self.k, axis=1)[:, raw.shape[1] - self.k] - 1e-8)
+        row, col = np.nonzero(raw >= least[:, None])
+        if not len(row):
+            return
+        touched = np.unique(row)
+        score = np.r_[np.round(raw[row, col], 9), self.score[rows[touched]].ravel()]
+        plate = np.r_[plates[col], self.plate[rows[touched]].ravel()]
+        row = np.r_[row, np.repeat(touched, self.k)]
+        order = np.lexsort((plate, -score, row))
+        row = row[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        order, row, rank = order[rank < self.k], rows[row[rank < self.k]], rank[rank < self.k]
+        self.score[row, rank], self.plate[row, rank] = score[order], plate[order]
+
+
+def _scores(k: int, key: str, vector: str, step: int):
+    """The k best plates of a stripe for each decision of a block, ``step`` plates at a time.
+
+    Where plates have a ``tile``, a decision meets those whose bit is set in its ``open``.
+    """
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
-            return pd.DataFrame({key: left[key].iloc[:0], "plate": right["plate"].iloc[:0], "score": np.zeros(0)})
-        right = right.sort_values("plate", ignore_index=True)
-        names, m, top = right["plate"].to_numpy(), _unit_rows(right["plate_vector"]), min(k, len(right))
-        step = max(1, SCORES // len(names))
-        out = []
-        for at in range(0, len(left), step):
-            part = left.iloc[at:at + step]
-            s = np.round(_unit_rows(part[vector]) @ m.T, 9)
-            least = np.partition(s, len(names) - top, axis=1)[:, len(names) - top, None]
-            row, col = np.nonzero(s >= least)  # ties at the limit included, in the order of the plates
-            order = np.lexsort((col, -s[row, col], row))
-            row, col = row[order], col[order]
-            rank = np.arange(len(row)) - np.searchsorted(row, row)
-            row, col = row[rank < top], col[rank < top]
-            out.append(pd.DataFrame({key: part[key].to_numpy()[row], "plate": names[col], "score": s[row, col]}))
-        return pd.concat(out, ignore_index=True)
+            kinds = (left.schema.field(key).type, right.schema.field("plate").type, pa.float64())
+            return pa.table([pa.array([], t) for t in kinds], names=[key, "plate", "score"])
+        right = right.sort_by("plate")
+        ours, theirs = _unit_lists(left.column(vector)), _unit_lists(right.column("plate_vector"))
+        best, fit = _Best(len(left), k), np.isfinite(ours).all(axis=1)
+        usable = np.flatnonzero(np.isfinite(theirs).all(axis=1))
+        if "tile" in right.column_names:
+            tile = right.column("tile").to_numpy()[usable]
+            bits = np.frombuffer(b"".join(left.column("open").to_pylist()), np.uint8).reshape(len(left), -1)
+            groups = [(usable[tile == t], fit & (bits[:, t // 8] >> (7 - t % 8) & 1).astype(bool)) for t in np.unique(tile)]
+        else:
+            groups = [(usable, fit)]
+        for plates, open_ in groups:
+            rows = np.flatnonzero(open_)
+            for p in range(0, len(plates), step):
+                some = plates[p:p + step]
+                take = max(1, SCORES // len(some))
+                for at in range(0, len(rows), take):
+                    part = rows[at:at + take]
+                    best.offer(part, ours[part], some, theirs[some])
+        row, rank = np.nonzero(best.plate >= 0)
+        return pa.table([left.column(key).take(pa.array(row)), right.column("plate").take(pa.array(best.plate[row, rank])), pa.array(best.score[row, rank])],
+                        names=[key, "plate", "score"])
 
     return run
 
@@ -101,22 +144,24 @@ def nearest_plates(
 ) -> DataFrame:
     """The k plates of highest cosine for each decision, with rank; any number of plates is exact.
 
-    Decisions are dealt to blocks and plates to tiles of bounded size by a hash; every block
-    meets every tile in one task as a matrix product, and the k best of each tile are
-    merged. Vectors that are missing or of another size than most plates' take no part.
+    Decisions are dealt to blocks and plates to stripes of bounded size by a hash; every block
+    meets every stripe in one task, which walks the stripe in tiles of ``tile_bytes`` at most and keeps
+    the k best, and those of each stripe are merged. So rows are copied once per stripe or block,
+    however small the tiles. Vectors that are missing or of another size than most plates' take no part.
     """
     size = plates.filter(F.col(vector).isNotNull()).agg(F.count("*").alias("n"), F.mode(F.size(vector)).alias("d")).first()
     dim = size["d"] or 0
     usable = F.col(vector).isNotNull() & (F.size(vector) == dim)
     ours, theirs = decisions.filter(usable).select(key, vector), plates.filter(usable)
-    tiles = max(1, -(-size["n"] * dim * 8 // tile_bytes))
+    stripes = max(1, -(-size["n"] * dim * 8 // max(tile_bytes, TILE_BYTES)))
     blocks = max(1, -(-ours.count() // block_rows))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    d = ours.withColumn("b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).withColumn("t", spread(tiles))
-    p = theirs.select(F.col(key).alias("plate"), F.col(vector).alias("plate_vector"), F.pmod(F.xxhash64(key), F.lit(tiles)).cast("int").alias("t")).withColumn("b", spread(blocks))
+    d = ours.withColumn("b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).withColumn("t", spread(stripes))
+    p = theirs.select(F.col(key).alias("plate"), F.col(vector).alias("plate_vector"), F.pmod(F.xxhash64(key), F.lit(stripes)).cast("int").alias("t")).withColumn("b", spread(blocks))
     schema = f"{key} {decisions.schema[key].dataType.simpleString()}, plate {plates.schema[key].dataType.simpleString()}, score double"
-    best = d.groupBy("b", "t").cogroup(p.groupBy("b", "t")).applyInPandas(_best(k, key, vector), schema)
-    # at most k rows per tile and decision
+    step = min(MOST_PLATES, max(1, tile_bytes // max(1, dim * 8)))
+    best = d.groupBy("b", "t").cogroup(p.groupBy("b", "t")).applyInArrow(_scores(k, key, vector, step), schema)
+    # at most k rows per stripe and decision
     per = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "plate"))).alias("all"))
     return per.select(key, F.posexplode(F.slice("all", 1, k)).alias("i", "x")).select(
         key, F.col("x.plate").alias("plate"), (-F.col("x.s")).alias("score"), (F.col("i") + 1).alias("rank"))
