@@ -65,7 +65,8 @@ def tree_nodes(o: DataFrame, ot: DataFrame, e: DataFrame) -> DataFrame:
         F.col("target_id").alias("id"), F.col("source_id").alias("parent_id"))
     parents = o.select(F.col("id").alias("parent_id"), F.col("slug").alias("parent_slug"))
     nodes = active(o).join(_types(ot.select("type_slug", "domain_slug")), "type_slug")
-    return nodes.join(links, "id", "left").join(parents, "parent_id", "left").select(
+    # most nodes have no parent: links meet the parents first, or all those nodes would meet under one null key
+    return nodes.join(links.join(parents, "parent_id", "left"), "id", "left").select(
         "id", "slug", "type_slug", "domain_slug", "parent_id", "parent_slug",
         jget("payload", "path_slug").alias("path_slug"), jget("payload", "depth_level").try_cast("int").alias("depth_level"),
         jget("payload", "sibling_order").try_cast("int").alias("sibling_order"),

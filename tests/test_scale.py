@@ -2,8 +2,11 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from lexanchor.fixtures import Corpus
-from lexanchor.operators import blocks as B, graph as G
+from lexanchor.operators import blocks as B, core as C, graph as G
 from lexanchor.plans.registry import QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -39,3 +42,22 @@ def test_streamed_tables_may_be_folders(spark, tmp_path):
     for name in ("str3_worklist_stream", "str2_current_state_stream", "str2_state_changes"):
         got = rows(QUERIES[name](spark, folder))
         assert got and got == rows(QUERIES[name](spark, DIR)), name
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins as they are where no side is small, with partitions left as they fall."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_nodes_without_a_parent_are_spread(spark, shuffled_joins):
+    x = Corpus(spark, DIR)
+    got = C.tree_nodes(x.objects, x.object_types, x.edges)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.filter("parent_id is null").count() > 0.5 * got.count() and max(sizes) < 0.5 * sum(sizes)
