@@ -31,7 +31,8 @@ def edges_readable(e: DataFrame, et: DataFrame, o: DataFrame, a: DataFrame | Non
     t = _types(et.select("type_slug", "epistemic_class", F.col("label").alias("type_label")))
     src = ends.select(F.col("id").alias("source_id"), F.col("slug").alias("source_slug"))
     tgt = ends.select(F.col("id").alias("target_id"), F.col("slug").alias("target_slug"))
-    return e.join(t, "type_slug").join(src, "source_id", "left").join(tgt, "target_id", "left")
+    # types last, so that their texts do not travel; edges are hashed to the ends of their partition, not sorted
+    return e.join(src.hint("shuffle_hash"), "source_id", "left").join(tgt.hint("shuffle_hash"), "target_id", "left").join(t, "type_slug")
 
 
 def state_events(ev: DataFrame) -> DataFrame:

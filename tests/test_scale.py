@@ -61,3 +61,10 @@ def test_nodes_without_a_parent_are_spread(spark, shuffled_joins):
     got = C.tree_nodes(x.objects, x.object_types, x.edges)
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert got.filter("parent_id is null").count() > 0.5 * got.count() and max(sizes) < 0.5 * sum(sizes)
+
+
+def test_edges_are_not_sorted_to_meet_their_ends(spark, shuffled_joins):
+    x = Corpus(spark, DIR)
+    for actors in (None, x.actors):
+        got = C.edges_readable(x.edges, x.edge_types, x.objects, actors)
+        assert "Sort" not in plan(got) and plan(got).count("ShuffledHashJoin") == 2
