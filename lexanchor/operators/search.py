@@ -47,6 +47,11 @@ def postings(b: DataFrame, key: str, text: str) -> DataFrame:
     return w.select(key, F.expr(f"inline({each})")).select("term", key, "n")
 
 
+def vocabulary(b: DataFrame, text: str) -> DataFrame:
+    """The distinct terms of all texts."""
+    return compute_once(b.select(text), {"__w": F.array_distinct(words(text))}).select(F.explode("__w").alias("term")).distinct()
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """An inverted index in a folder; keys are unique and not null."""
@@ -182,7 +187,9 @@ def similar_terms(terms: Sequence[str], vocabulary: DataFrame, percent: int, ter
     """Words of a vocabulary close to the words of a query, misspelt ones: (query, term, similarity)."""
     spark = vocabulary.sparkSession
     given = spark.createDataFrame([(t,) for t in dict.fromkeys(terms)], "class string").withColumn("tokens", trigrams("class")).filter(F.size("tokens") > 0)
-    members, classes = token_classes(vocabulary.select(term, trigrams(term).alias("tokens")), term, "tokens")
+    shared = given.select(F.explode("tokens").alias("t")).agg(F.collect_set("t").alias("t")).first().t  # trigrams of the query
+    near = compute_once(vocabulary.select(term), {"tokens": trigrams(term)}).filter(F.arrays_overlap("tokens", F.array(*[F.lit(t) for t in shared or []]).cast("array<string>")))
+    members, classes = token_classes(cut(near), term, "tokens")  # a similar word shares a trigram; texts are read once
     pairs = similar_sets(given, classes, percent).withColumnRenamed("b", "class")
     return pairs.join(members, "class").select(
         F.col("a").alias("query"), F.col(term).alias("term"), F.round(F.col("shared") / F.col("united"), 6).alias("similarity"))

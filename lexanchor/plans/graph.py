@@ -301,7 +301,7 @@ qt as (select term as query, {_trigrams('term')} as qg from (select unnest({MISS
 select query, term, round(shared / united, 6) as similarity from (select query, term, len(list_intersect(tg, qg))::double as shared,
   len(list_distinct(list_concat(tg, qg))) as united from vt, qt) where 100 * shared >= 45 * united""")
 def _(x):
-    return SE.similar_terms(MISSPELT, SE.postings(x.documents, "doc_id", "text").select("term").distinct(), 45)
+    return SE.similar_terms(MISSPELT, SE.vocabulary(x.documents, "text"), 45)
 
 
 @query("vec6_decision_lines", needs=("vectors", "plates"), ctes=COS, sql="""

@@ -96,3 +96,18 @@ def test_misspelt_terms_find_the_vocabulary(spark):
     vocabulary = spark.createDataFrame([(t,) for t in ("constituicao", "constituinte", "sumula", "sumulas", "voto")], "term string")
     got = {(r.query, r.term) for r in S.similar_terms(["constituisao", "súmla", "zzz", ""], vocabulary, 35).collect()}
     assert {("constituisao", "constituicao"), ("súmla", "sumula")} <= got and not any(q in ("zzz", "") for q, _ in got)
+
+
+def test_similar_terms_look_only_at_terms_with_a_shared_trigram(spark, monkeypatch):
+    """Against all pairs; of the vocabulary, only terms that share a trigram with the query are ordered and joined."""
+    terms = ["acao", "acoes", "recurso", "zzz", "xyw", "lei"]
+    docs = spark.createDataFrame([(1, "Ação ações <b>recurso</b> zzz"), (2, "xyw lei, lei."), (3, None)], "doc_id long, text string")
+    vocabulary = S.vocabulary(docs, "text")
+    assert sorted(r.term for r in vocabulary.collect()) == sorted(terms)
+    seen = []
+    monkeypatch.setattr(S, "token_classes", lambda df, *a, f=S.token_classes: (seen.append(sorted(r.term for r in df.collect())), f(df, *a))[1])
+    got = {(r.query, r.term) for r in S.similar_terms(["acaos", "qqq"], vocabulary, 40).collect()}
+    tri = lambda w: {("  " + w + " ")[i:i + 3] for i in range(len(w) + 1)}
+    want = {(q, t) for q in ("acaos", "qqq") for t in terms if 100 * len(tri(q) & tri(t)) >= 40 * len(tri(q) | tri(t))}
+    assert got == want and got and seen == [[t for t in sorted(terms) if tri(t) & (tri("acaos") | tri("qqq"))]]
+    assert S.similar_terms([], vocabulary, 40).count() == 0
