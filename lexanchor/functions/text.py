@@ -11,8 +11,14 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: What stands in front of any class and number: two to four letters, then a digit. One look ahead spares most words the list of classes.
+_CLASSES = [(rf"(?i)\b({c})\s*[\-n.\s]*([\d]", rf"(?i)\b(?=[a-z]{{2,4}}[\-n.\s]*\d)({c})\s*[\-n.\s]*([\d]") for c in (V.CLASSES, V.CLASSES_LINKS)]
+
+
 def pat(p: str) -> str:
-    """Pattern with Unicode case folding switched on where it has letters beyond ASCII."""
+    """Pattern as Java reads it: Unicode case folding where it has letters beyond ASCII, a look ahead where it lists process classes."""
+    for plain, guarded in _CLASSES:
+        p = p.replace(plain, guarded)
     return p if p.isascii() else p.replace("(?i)", "(?iu)")
 
 

@@ -74,12 +74,13 @@ URL = r"https?://[^\s\"<>)]+"
 def url_mentions(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
     """Every link with the text around it and the last decision named before it.
 
-    Links and decisions are found once per text; only short structs are exploded.
+    Links and decisions are found once per text, decisions only where there is a link; only short structs are exploded.
     """
     process = F.lit(T.pat(V.P_PROC))
-    x = compute_once(docs.select(key, F.col(text).alias("__text")), {
-        "__u": F.regexp_extract_all("__text", F.lit(URL), F.lit(0)), "__p": F.split("__text", URL, -1),
-        "__m": F.regexp_extract_all("__text", process, F.lit(0)), "__q": F.split("__text", T.pat(V.P_PROC), -1)})
+    x = docs.select(key, F.col(text).alias("__text")).filter(F.contains("__text", F.lit("://")))
+    x = compute_once(x, {"__u": F.regexp_extract_all("__text", F.lit(URL), F.lit(0))}).filter(F.size("__u") > 0)
+    x = compute_once(x, {
+        "__p": F.split("__text", URL, -1), "__m": F.regexp_extract_all("__text", process, F.lit(0)), "__q": F.split("__text", T.pat(V.P_PROC), -1)})
     size = lambda arr, n: f"aggregate(slice({arr}, 1, {n}), 0, (a, t) -> a + length(t))"
     x = compute_once(x, {
         "__urls": F.expr(f"transform(__u, (u, i) -> struct(i + 1 as numero, u as url, {size('__p', 'i + 1')} + {size('__u', 'i')} as start))"),
