@@ -136,13 +136,17 @@ def contract_summary(violations: DataFrame) -> DataFrame:
 
 
 def complete_judgments(ev: DataFrame, e: DataFrame, roles: DataFrame) -> DataFrame:
-    """Collegiate judgments with all required fields, a rapporteur edge and a rapporteur role."""
-    j = ev.filter((F.col("type_slug") == "julgamento") & (jget("payload", "collegiality_mode") == "colegiado"))
-    fields = F.array(*[jget("payload", f) for f in V.COMPLETE_JUDGMENT])
-    j = j.filter(F.size(F.array_compact(fields)) == len(V.COMPLETE_JUDGMENT))
+    """Collegiate judgments with all required fields, a rapporteur edge and a rapporteur role.
+
+    A payload is made and read once: ``json_tuple`` gives all its fields, and no filter copies the payload's expression.
+    """
+    fields = [f"__{f}" for f in V.COMPLETE_JUDGMENT]
+    j = ev.filter(F.col("type_slug") == "julgamento").select(
+        "event_id", "aggregate_id", F.json_tuple("payload", "collegiality_mode", *V.COMPLETE_JUDGMENT).alias("__mode", *fields))
+    j = j.filter(F.col("__mode") == "colegiado").dropna(subset=fields).select("event_id", "aggregate_id")
     ruled = active(e.filter(F.col("type_slug") == "relator_de")).select(F.col("target_id").alias("aggregate_id"))
-    seated = roles.filter((F.col("type_slug") == "exerce_papel") & (jget("payload", "role") == "relator")).select(
-        F.col("target_id").alias("aggregate_id"))
+    seated = roles.filter(F.col("type_slug") == "exerce_papel").select(F.col("target_id").alias("aggregate_id"), F.json_tuple("payload", "role").alias("__role"))
+    seated = seated.filter(F.col("__role") == "relator").select("aggregate_id")
     return j.join(ruled, "aggregate_id", "left_semi").join(seated, "aggregate_id", "left_semi").select("event_id", "aggregate_id")
 
 

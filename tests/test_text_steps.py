@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexanchor import vocab as V
 from lexanchor.functions import text as T
-from lexanchor.operators import citations as C
+from lexanchor.operators import citations as C, integrity as I
 
 
 def plan(df):
@@ -32,3 +32,16 @@ def test_mentions_read_decisions_only_beside_links(spark):
     assert sorted((r.doc_id, r.numero, r.url, r.acao_referente) for r in got.select("doc_id", "numero", "url", "acao_referente").collect()) == [
         (0, 1, "http://a.b/c,", "RE 12"), (0, 2, "https://d.e/f", "HC 3"), (4, 1, "http://a.b", "")]
     assert "://)" in plan(got)  # a filter on the texts, ahead of the list of decisions
+
+
+def test_judgment_payloads_are_read_once(spark):
+    full = '{"collegiality_mode":"colegiado","outcome":"x","decision_body":{"a":1},"adjudication_environment":"v","panel_size":5,"votes_present":[1],"extraction_method":"m","confidence_score":0.5}'
+    payloads = [full, full.replace("5,", "null,", 1), full.replace('"outcome":"x",', ""), full.replace("colegiado", "monocratico"), None, "", "{}", full.replace('"x"', '""')]
+    ev = spark.createDataFrame([(f"e{i}", "julgamento", "a", p) for i, p in enumerate(payloads)] + [("e90", "distribuicao", "a", full), ("e91", "julgamento", "b", full), ("e92", "julgamento", "c", full)],
+                               "event_id string, type_slug string, aggregate_id string, payload string")
+    e = spark.createDataFrame([("relator_de", "a", None), ("relator_de", "b", None), ("sobre", "c", None)], "type_slug string, target_id string, valid_to timestamp")
+    roles = spark.createDataFrame([("exerce_papel", "a", '{"role":"relator"}'), ("exerce_papel", "b", '{"role":"votante"}'), ("exerce_papel", "c", '{"role":"relator"}')],
+                                  "type_slug string, target_id string, payload string")
+    got = I.complete_judgments(ev, e, roles)
+    assert sorted(r.event_id for r in got.collect()) == ["e0", "e7"]
+    assert "get_json_object" not in plan(got)
