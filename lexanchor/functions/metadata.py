@@ -10,6 +10,16 @@ from lexanchor.functions.text import capture, clean_name, col, first_nonempty, l
 FIELDS = ["process_class", "process_number", "relator", "redator", "julgamento_data", "dje_data", "tema_rg", "sumula_num"]
 
 
+def rapporteur_of(c) -> Column:
+    """Rapporteur named in a metadata text."""
+    return F.trim(capture(c, V.P_REL))
+
+
+def judged_on(c) -> Column:
+    """Date of judgment as a metadata text has it."""
+    return F.trim(capture(c, V.P_JULG))
+
+
 def extract_meta(c) -> Column:
     """Class, number, rapporteur, drafter, dates, theme and súmula of a metadata text ('' when absent)."""
     c = F.coalesce(col(c), F.lit(""))
@@ -19,8 +29,8 @@ def extract_meta(c) -> Column:
         sumula = F.when(cls == "", capture(c, V.P_SUMULA)).otherwise("")
         return F.struct(
             cls.alias("process_class"), plain_number(capture(cited, V.P_PROC, 2)).alias("process_number"),
-            F.trim(capture(c, V.P_REL)).alias("relator"), F.trim(capture(c, V.P_RED)).alias("redator"),
-            F.trim(capture(c, V.P_JULG)).alias("julgamento_data"), F.trim(capture(c, V.P_DJE)).alias("dje_data"),
+            rapporteur_of(c).alias("relator"), F.trim(capture(c, V.P_RED)).alias("redator"),
+            judged_on(c).alias("julgamento_data"), F.trim(capture(c, V.P_DJE)).alias("dje_data"),
             capture(c, V.P_TEMA).alias("tema_rg"),
             F.when(F.lower(c).contains("mula"), F.coalesce(F.nullif(capture(c, V.P_SV), F.lit("")), sumula)).otherwise("").alias("sumula_num"))
 

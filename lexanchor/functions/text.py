@@ -198,11 +198,14 @@ def move_slug(c, article) -> Column:
 # ---------------------------------------------------------- dates and numbers
 def norm_date(c, first_year: int = 1988, last_year: int = 2026) -> Column:
     """D-M-YYYY to ISO text; NULL outside the valid window or when malformed."""
-    t = F.trim(col(c))
-    pat = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
-    d, m, y = (F.regexp_extract(t, pat, i).try_cast("int") for i in (1, 2, 3))
-    ok = d.between(1, 31) & m.between(1, 12) & y.between(first_year, last_year)
-    return F.when(ok, F.format_string("%04d-%02d-%02d", y, m, d))
+    def parts(t):
+        return F.when(t.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.transform(F.split(t, "-"), lambda n: n.cast("int")))
+
+    def iso(n):
+        ok = n[0].between(1, 31) & n[1].between(1, 12) & n[2].between(first_year, last_year)
+        return F.when(ok, F.format_string("%04d-%02d-%02d", n[2], n[1], n[0]))
+
+    return let(let(F.trim(col(c)), parts), iso)
 
 
 def judgment_year(c) -> Column:

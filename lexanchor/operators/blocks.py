@@ -63,6 +63,13 @@ def resolve_blocks(b: DataFrame, text_head: int | None = None) -> DataFrame:
     })
 
 
+def judgment_dates(b: DataFrame, text_head: int | None = None) -> DataFrame:
+    """The blocks with their ``julgamento_data`` as ``resolve_blocks`` finds it, without the costlier fields."""
+    meta, head = F.coalesce(F.col("metadata_text"), F.lit("")), _opening("block_text", text_head)
+    named = M.rapporteur_of(meta) != ""
+    return compute_once(b, {"julgamento_data": M.judged_on(F.when(named, meta).otherwise(head))})
+
+
 def resolve_blocks_strict(b: DataFrame) -> DataFrame:
     """Variant that reads text and metadata together and lets row values win."""
     x = compute_once(b, {"__m": M.extract_meta_strict(F.trim(F.concat_ws("\n", "block_text", "metadata_text")))})

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexanchor.functions import text as T
 from lexanchor.operators.blocks import filled
-from lexanchor.operators.keyed import position_segment, segmented_scan
+from lexanchor.operators.keyed import compute_once, position_segment, segmented_scan
+from lexanchor.session import cut
 from lexanchor.sources.tables import new_rows
 
 #: Bytes of the plates of a tile or stripe, decisions of a block, and scores and plates that a task takes at once.
@@ -26,7 +27,9 @@ def build_chunks(b: DataFrame, page_chars: int = 24000) -> DataFrame:
     and one more decision; nothing is cut.
     """
     iso = F.coalesce(T.norm_date("julgamento_data"), F.lit("9999-99-99"))
-    x = b.filter(filled("anchor_slug") & filled("block_text")).select("anchor_slug", "block_id", iso.alias("iso"), "block_text")
+    # dates are read once, not once for each pass of the scan
+    x = compute_once(b, {"iso": iso, "__fit": filled("anchor_slug") & filled("block_text")}).filter("__fit")
+    x = cut(x.select("anchor_slug", "block_id", "iso", "block_text"))
     day = F.replace("iso", F.lit("-"), F.lit("")).cast("bigint")
     seg = F.when(F.col("iso") < "9999", day).otherwise(day + position_segment("block_id"))
     own = F.length("block_text") + 1

@@ -146,7 +146,7 @@ ck2 as (select *, (sum(length(block_text) + 1) over (partition by anchor_slug or
 select anchor_slug||'/'||ix as chunk_slug, anchor_slug, ix as chunk_index, count(*) as units, min(case when iso < '9999' then iso end) as first_date, md5(string_agg(block_text, chr(10) order by iso, block_id)) as hash_chunk,
  ceil(length(string_agg(block_text, chr(10) order by iso, block_id)) / 4.0)::int as token_estimate from ck2 group by 2, 3""")
 def _(x):
-    return VE.build_chunks(B.resolve_blocks(x.blocks), page_chars=4000).select("chunk_slug", "anchor_slug", "chunk_index", "units", "first_date", "hash_chunk", "token_estimate")
+    return VE.build_chunks(B.judgment_dates(x.blocks), page_chars=4000).select("chunk_slug", "anchor_slug", "chunk_index", "units", "first_date", "hash_chunk", "token_estimate")
 
 
 def _chunks(x):

@@ -5,14 +5,19 @@ import random
 from pyspark.sql import functions as F
 
 from lexanchor import vocab as V
+from lexanchor.fixtures import Corpus
 from lexanchor.functions import text as T
-from lexanchor.operators import citations as C, integrity as I
+from lexanchor.operators import blocks as B, citations as C, integrity as I, vectors as V_
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def test_class_patterns_look_ahead_and_find_the_same(spark):
     rng = random.Random(3)
     pieces = ["ADI", "adpf", "re", "STP", "Rcl", "agr", "SSn", "hcN", " ", "  ", "-", ".", "n", "N", "\n", "1.234", "7", "º", "ã", "_", "x", "artigo ", "(", ","]
@@ -45,3 +50,24 @@ def test_judgment_payloads_are_read_once(spark):
     got = I.complete_judgments(ev, e, roles)
     assert sorted(r.event_id for r in got.collect()) == ["e0", "e7"]
     assert "get_json_object" not in plan(got)
+
+
+def test_dates_are_split_once(spark):
+    rows = ["5-6-2011", " 05-06-2011 ", "32-1-2000", "1-13-2000", "1-1-1987", "1-1-2027", "1-2-20201", "x", "", None, "1-2-2020 e", "31-12-1988"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, d string")
+    got = df.select("i", T.norm_date("d").alias("iso"))
+    assert [r.iso for r in got.orderBy("i").collect()] == ["2011-06-05", "2011-06-05", *[None] * 9, "1988-12-31"]
+    assert "regexp_extract" not in plan(got)
+
+
+def test_judgment_dates_equal_those_of_resolved_blocks(spark):
+    b = Corpus(spark, "/root/testdata/sf0.001").blocks
+    got, want = (rows_of(f(b).select("block_id", "julgamento_data")) for f in (B.judgment_dates, B.resolve_blocks))
+    assert got == want and any(d for _, d in got) and not all(d for _, d in got)
+
+
+def test_chunks_read_only_dates(spark):
+    x = Corpus(spark, "/root/testdata/sf0.001")
+    keep = ["chunk_slug", "units", "first_date", "hash_chunk"]
+    assert rows_of(V_.build_chunks(B.judgment_dates(x.blocks), 4000).select(*keep)) == rows_of(V_.build_chunks(B.resolve_blocks(x.blocks), 4000).select(*keep))
+    assert "regexp_extract" not in plan(V_.build_chunks(B.judgment_dates(x.blocks), 4000))  # read before the scan, once
