@@ -139,6 +139,42 @@ def rollup_by_intervals(counts: DataFrame, labels: DataFrame, value: str = "n",
     return per.filter("__c > 0").drop("__c").unionByName(outside)
 
 
+def rollup_by_levels(counts: DataFrame, links: DataFrame, value: str = "n", shrink: int = 4) -> DataFrame:
+    """Own and accumulated totals per node, as ``rollup_by_intervals``: leaves hand their totals up and leave, round by round.
+
+    Rounds go on as long as one node in ``shrink`` or more is a leaf, so all rounds together read a few
+    times the nodes. What is left then (long chains, cycles) is summed along its walk.
+    """
+    if not links.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError("a node has two parents")
+    own = counts.groupBy("node").agg(F.sum(value).alias("own"))
+    tops = links.select(F.col("parent").alias("node")).distinct().join(links.select("node"), "node", "left_anti")
+    nodes = links.select("node", "parent").unionByName(tops.withColumn("parent", F.lit(None).cast("string")))
+    # ``sum`` is null until the node, or one below it, has something of its own
+    live = cut(nodes.join(own, "node", "left").select("node", "parent", "own", F.col("own").alias("sum")))
+    outside, done, left = own.join(nodes.select("node"), "node", "left_anti").select("node", "own", F.col("own").alias("total")), None, live.count()
+    while left:
+        kids = live.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.lit(True).alias("inner"))
+        marked = cut(live.join(kids, "node", "left"))
+        leaves = marked.filter("inner is null")
+        n = leaves.count()
+        if shrink * n < left:
+            break
+        ended = leaves.select("node", "own", F.col("sum").alias("total"))
+        done = ended if done is None else done.unionByName(ended)
+        up = leaves.groupBy(F.col("parent").alias("node")).agg(F.sum("sum").alias("below"))
+        live = cut(marked.filter("inner").join(up, "node", "left").select("node", "parent", "own", F.when(
+            F.col("sum").isNotNull() | F.col("below").isNotNull(), F.coalesce("sum", F.lit(0)) + F.coalesce("below", F.lit(0))).alias("sum")))
+        left -= n
+    if left:
+        summed = rollup_by_intervals(live.filter("sum is not null").select("node", F.col("sum").alias("n")), interval_labels(live.filter("parent is not null").select("node", "parent")))
+        rest = live.select("node", F.col("own").alias("__own")).join(summed, "node").select("node", F.col("__own").alias("own"), "total")
+        done = rest if done is None else done.unionByName(rest)
+    if done is not None:
+        outside = outside.unionByName(done.filter("total is not null"))
+    return outside.select("node", F.coalesce("own", F.lit(0).cast("bigint")).alias("own"), "total")
+
+
 def rollup_to_ancestors(counts: DataFrame, closure: DataFrame, value: str = "n") -> DataFrame:
     """Own and accumulated totals per node: values are summed per node before they climb."""
     own = counts.groupBy("node").agg(F.sum(value).alias("own"))
@@ -149,7 +185,7 @@ def rollup_to_ancestors(counts: DataFrame, closure: DataFrame, value: str = "n")
 def subject_rollup(e: DataFrame, subject_links: DataFrame) -> DataFrame:
     """Cases per subject, with those of its narrower subjects."""
     n = active(e.filter(F.col("type_slug") == "sobre")).groupBy(F.col("target_id").alias("node")).agg(F.count("*").alias("n"))
-    return rollup_by_intervals(n, interval_labels(parent_links(subject_links)))
+    return rollup_by_levels(n, parent_links(subject_links))
 
 
 def cross_edges(e: DataFrame, o: DataFrame, ot: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ select node, sum(own)::bigint as own, sum(t)::bigint as total from (select targe
  union all select c.ancestor, 0, 1 from fx_edges e join cl c on c.node = e.target_id where e.type_slug='interpreta') group by 1""")
 def _(x):
     n = x.edges.filter("type_slug = 'interpreta'").groupBy(F.col("target_id").alias("node")).agg(F.count("*").alias("n"))
-    return G.rollup_by_intervals(n, G.interval_labels(G.parent_links(x.edges)))
+    return G.rollup_by_levels(n, G.parent_links(x.edges))
 
 
 @query("gr4_subject_rollup", needs=("edges", "subject_edges"), ctes="""
