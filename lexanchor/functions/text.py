@@ -54,24 +54,38 @@ def strip_accents(c) -> Column:
     return F.translate(col(c), V.ACCENTED, V.UNACCENTED)
 
 
-def norm_key(c) -> Column:
-    """Space-collapsed, accent-free, lower-case key with plain dashes."""
-    return norm_spaces(F.translate(F.lower(strip_accents(norm_spaces(c))), "–—", "--"))
+def norm_key(c, collapsed: bool = False) -> Column:
+    """Space-collapsed, accent-free, lower-case key with plain dashes; of ``norm_spaces(c)`` if ``collapsed``."""
+    return F.lower(F.translate(col(c) if collapsed else norm_spaces(c), V.ACCENTED + "–—", V.UNACCENTED + "--"))
+
+
+def _where(c, part: str, change) -> Column:
+    """``change(text)`` where the text contains ``part``, else the text as it is: most texts need no pattern."""
+    return let(col(c), lambda t: F.when(t.contains(part), change(t)).otherwise(t))
+
+
+def _no_tags(c) -> Column:
+    return _where(c, "<", lambda t: F.regexp_replace(t, r"<[^>]+>", " "))
 
 
 def _no_markup(c) -> Column:
-    return F.regexp_replace(F.regexp_replace(col(c), r"<[^>]+>", " "), r"&[a-z]+;|&#\d+;", " ")
+    return _where(_no_tags(c), "&", lambda t: F.regexp_replace(t, r"&[a-z]+;|&#\d+;", " "))
 
 
-def ascii_key(c, size: int = 80) -> Column:
+def folded_text(c) -> Column:
+    """Lower-case text without markup and accents, from which the two keys below are made."""
+    return F.lower(strip_accents(_no_markup(c)))
+
+
+def ascii_key(c, size: int = 80, folded: bool = False) -> Column:
     """Alphanumeric comparison key; editorial prefix removed after trimming."""
-    plain = F.trim(F.lower(strip_accents(_no_markup(c))))
+    plain = F.trim(col(c) if folded else folded_text(c))
     return F.substring(F.regexp_replace(F.regexp_replace(plain, V.ASCII_KEY_PREFIX, ""), "[^a-z0-9]", ""), 1, size)
 
 
-def word_key(c, prefixes: bool = True) -> Column:
+def word_key(c, prefixes: bool = True, folded: bool = False) -> Column:
     """Words separated by one space, no markup, accents or punctuation."""
-    key = F.trim(F.regexp_replace(F.regexp_replace(F.lower(strip_accents(_no_markup(c))), r"[^\p{L}\p{N}_]", " "), r"\s+", " "))
+    key = F.trim(F.regexp_replace(col(c) if folded else folded_text(c), r"[^\p{L}\p{N}_]+", " "))
     if not prefixes:
         return key
     # every listed prefix is optional and tried once, in order
@@ -95,11 +109,13 @@ def decode_numeric_entities(c) -> Column:
 
 def strip_html(c) -> Column:
     """Text of an HTML fragment: tags out, entities decoded, spaces collapsed."""
-    out = F.regexp_replace(col(c), r"<[^>]+>", " ")
-    for name, char in V.ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = decode_numeric_entities(F.regexp_replace(out, r"&[a-z]+;", ""))
-    return norm_spaces(out)
+
+    def decoded(t):
+        for name, char in V.ENTITIES:
+            t = F.replace(t, F.lit(name), F.lit(char))
+        return _where(F.regexp_replace(t, r"&[a-z]+;", ""), "&#", decode_numeric_entities)
+
+    return norm_spaces(_where(_no_tags(c), "&", decoded))
 
 
 def strip_prefix(c, prefixes=tuple(V.EDITORIAL_PREFIXES)) -> Column:

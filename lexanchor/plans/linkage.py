@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lexanchor import vocab as V
 from lexanchor.functions import metadata as M, text as T
 from lexanchor.operators import blocks as B, citations as C, linkage as L
+from lexanchor.operators.keyed import compute_once
 from lexanchor.plans.integrity import ASCII, WORD_CUT
 from lexanchor.plans.registry import query
 from lexanchor.session import cut
@@ -270,8 +271,9 @@ def _(x):
 @query("fn1_fn5_text_keys", sql=f"""
 select doc_id, md5({norm_spaces('text')}) as spaces, md5({norm_key('text')}) as norm, {ASCII} as ascii_key, md5({WORD_CUT}) as words from documents""")
 def _(x):
-    return x.documents.select("doc_id", F.md5(T.norm_spaces("text")).alias("spaces"), F.md5(T.norm_key("text")).alias("norm"), T.ascii_key("text").alias("ascii_key"),
-                              F.md5(T.word_key("text")).alias("words"))
+    d = compute_once(x.documents.select("doc_id", "text"), {"spaces": T.norm_spaces("text"), "folded": T.folded_text("text")})
+    return d.select("doc_id", F.md5("spaces").alias("spaces"), F.md5(T.norm_key("spaces", collapsed=True)).alias("norm"), T.ascii_key("folded", folded=True).alias("ascii_key"),
+                    F.md5(T.word_key("folded", folded=True)).alias("words"))
 
 
 @query("fn7_fn8_roman", sql="""
@@ -327,7 +329,7 @@ def _(x):
 @query("fn26_link_summary", needs=("comments",), ctes=COMM, sql="select com_id, coalesce(urls[1], '') as first, array_to_string(urls, ' | ') as all_links from h1")
 def _(x):
     s = T.link_summary("html")
-    return B.drop_markers(x.comments.withColumn("t", T.strip_html("html")), "t").select("com_id", s["first"].alias("first"), s["all"].alias("all_links"))
+    return B.drop_markers(compute_once(x.comments.select("com_id", "html"), {"t": T.strip_html("html")}), "t").select("com_id", s["first"].alias("first"), s["all"].alias("all_links"))
 
 
 @query("fn28_truncate_for_model", sql="""
