@@ -346,8 +346,17 @@ def node_paths(nodes: DataFrame, parents: DataFrame, prefix: str = "cf-1988") ->
     absolute = F.col("node_type").isin("preambulo", "titulo", "artigo")
     s = resolve_chains(x.select("doc_id", "pos", F.when(~absolute, F.col("parent_pos")).alias("up"), own.alias("slug")),
                        ["doc_id", "pos"], "up", {"slug": "-"}).select("doc_id", "pos", F.concat(F.lit(prefix + "-"), "slug").alias("slug"))
-    p = resolve_chains(x.select("doc_id", "pos", F.col("parent_pos").alias("up"), F.col("label").alias("path")), ["doc_id", "pos"], "up", {"path": " > "})
-    return x.join(s, ["doc_id", "pos"]).join(p, ["doc_id", "pos"])
+    return x.join(s, ["doc_id", "pos"]).join(_label_paths(x), ["doc_id", "pos"])
+
+
+def _label_paths(x: DataFrame) -> DataFrame:
+    return resolve_chains(x.select("doc_id", "pos", F.col("parent_pos").alias("up"), F.col("label").alias("path")), ["doc_id", "pos"], "up", {"path": " > "})
+
+
+def label_paths(nodes: DataFrame, parents: DataFrame) -> DataFrame:
+    """Label path and depth of every node, as ``node_paths``, without the slugs."""
+    x = cut(nodes.select("doc_id", "pos", "node_type", "label").join(parents.select("doc_id", "pos", "parent_pos"), ["doc_id", "pos"]))
+    return x.join(_label_paths(x), ["doc_id", "pos"])
 
 
 def attach_text(rows: DataFrame, size: int = 4096) -> DataFrame:

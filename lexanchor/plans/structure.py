@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from lexanchor import vocab as V
 from lexanchor.operators import structure as X
 from lexanchor.plans.registry import query
-from lexanchor.session import cut
 from lexanchor.plans.sqltext import has, lit, norm_spaces, rx, sub
 
 TAIL = f"substr(regexp_replace(text, {lit(V.P_ART_LINE)}, ''), 1, 120)"
@@ -239,7 +238,7 @@ def _(x):
 select p.doc_id, t.node_type, t.label, p.path, p.pos as line_start from pa p join tn t on t.doc_id = p.doc_id and t.pos = p.pos""")
 def _(x):
     nodes = _nodes(x)
-    return X.node_paths(nodes, X.assign_parents(nodes)).select("doc_id", "node_type", "label", "path", F.col("pos").alias("line_start"))
+    return X.label_paths(nodes, X.assign_parents(nodes)).select("doc_id", "node_type", "label", "path", F.col("pos").alias("line_start"))
 
 
 # -------------------------------------------------------------- document reports

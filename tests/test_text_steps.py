@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lexanchor import vocab as V
 from lexanchor.fixtures import Corpus
 from lexanchor.functions import text as T
-from lexanchor.operators import blocks as B, citations as C, integrity as I, vectors as V_
+from lexanchor.operators import blocks as B, citations as C, integrity as I, structure as X, vectors as V_
+from lexanchor.plans.registry import QUERIES
 
 
 def plan(df):
@@ -71,3 +72,29 @@ def test_chunks_read_only_dates(spark):
     keep = ["chunk_slug", "units", "first_date", "hash_chunk"]
     assert rows_of(V_.build_chunks(B.judgment_dates(x.blocks), 4000).select(*keep)) == rows_of(V_.build_chunks(B.resolve_blocks(x.blocks), 4000).select(*keep))
     assert "regexp_extract" not in plan(V_.build_chunks(B.judgment_dates(x.blocks), 4000))  # read before the scan, once
+
+
+def test_keys_need_no_second_pass(spark):
+    texts = ["", " ", "Ação – Única—x", "a < b", "<p>É&nbsp;isto</p>\n\n&sect;&#65; 1_2", "Súmula Vinculante 13\tx", "controle & concentrado", "ß–ÿ  z", "!!!", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    bare = F.regexp_replace(F.regexp_replace("t", r"<[^>]+>", " "), r"&[a-z]+;|&#\d+;", " ")
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(T.strip_accents(bare)), r"[^\p{L}\p{N}_]", " "), r"\s+", " "))
+    norm = T.norm_spaces(F.translate(F.lower(T.strip_accents(T.norm_spaces("t"))), "–—", "--"))
+    assert df.filter(~(T.norm_key("t").eqNullSafe(norm) & T.word_key("t", prefixes=False).eqNullSafe(words) & T.folded_text("t").eqNullSafe(F.lower(T.strip_accents(bare))))).collect() == []
+    assert plan(QUERIES["fn1_fn5_text_keys"](spark, "/root/testdata/sf0.001")).count("<[^>]+>") == 1
+
+
+def test_link_summary_strips_a_text_once(spark):
+    assert plan(QUERIES["fn26_link_summary"](spark, "/root/testdata/sf0.001")).count("<[^>]+>") == 1
+
+
+def test_exported_trees_resolve_no_slugs(spark, monkeypatch):
+    x = Corpus(spark, "/root/testdata/sf0.001")
+    nodes = X.classify_lines(x.norm_lines).filter("node_type <> 'texto_livre'")
+    parents = X.assign_parents(nodes)
+    cols = ["doc_id", "pos", "label", "path", "depth"]
+    assert rows_of(X.label_paths(nodes, parents).select(*cols)) == rows_of(X.node_paths(nodes, parents).select(*cols))
+    chains, whole = [], X.resolve_chains
+    monkeypatch.setattr(X, "resolve_chains", lambda *a: chains.append(list(a[3])) or whole(*a))
+    QUERIES["src12_export_tree"](spark, "/root/testdata/sf0.001")
+    assert chains == [["path"]]
