@@ -120,3 +120,15 @@ def test_long_heads_are_encoded_but_not_kept():
     for text in ("漢字" * 500, "x" * 5000, "y" * 65 + " tail", "short head"):
         assert e.encode(text).tolist() == e.whole([text])[0]
     assert max(map(len, e.heads)) <= E.LONGEST_REMEMBERED and "short" in e.heads
+
+
+@pytest.mark.parametrize("name,space,n", [(*VOCABULARIES[0], 2), (*VOCABULARIES[1], 5)])
+def test_a_word_is_merged_once_whatever_stands_behind_it(name, space, n):
+    e, whole, merged = Encoder(public_tokenizers.path(name), space), reference(name), []
+    merge = e.merge
+    e.merge = lambda piece: merged.append(piece) or merge(piece)
+    text = "x élan élan, élan### élan&&&! Élan Élan. word word% word** (a) µÿ ÿ-ß\nélan word\nword"
+    assert e.encode(text).tolist() == whole(text)
+    assert len(set(merged)) == len(merged) and sum("lan" in p or "word" in p for p in merged) == n  # with a space in front, at a line's start, by case
+    for text in ("x ΣΑΣ σας ΣΑΣ, σασ", "x ʼn İi İI, i̇", "a À À, à. Å Å"):
+        assert e.encode(text).tolist() == whole(text)
