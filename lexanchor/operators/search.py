@@ -1,8 +1,8 @@
 """Lexical search: an inverted index kept up to date by content hashes, and a similarity join over trigrams.
 
-The index is two tables in a folder. ``postings`` has a row (term, key, n) for each term of a
-text, laid out in buckets of terms; ``docs`` has the content hash of each text and the
-generation that indexed it. An update compares hashes and writes the postings of new and
+The index is three tables in a folder. ``texts`` has a row for each text, its terms and how often each comes, packed;
+``postings`` has a row (term, key, n) for each term of a text, laid out in buckets of terms;
+``docs`` has the content hash of each text and the generation that indexed it. An update compares hashes and writes the postings of new and
 changed texts only, as one more generation; a posting counts as long as its generation is
 the one that ``docs`` names, so nothing written before is touched. The new ``docs`` table
 commits the update: one that was cut off is unseen and written again.
@@ -38,15 +38,42 @@ def bucket_of(term, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def postings(b: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, n): how often each term is in each text. Counted within the row, so no words are shuffled."""
+def counted(b: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, terms, counts): the terms of each text in order and how often each is in it, both with spaces between (words hold none)."""
     w = compute_once(b.select(key, text), {"__w": F.array_sort(words(text))}).drop(text)
     runs = "filter(sequence(0, size(__w) - 1), i -> i = 0 or __w[i] != __w[i - 1])"
     w = compute_once(w.filter("size(__w) > 0"), {"__at": F.expr(runs)})
-    each = "transform(__at, (a, j) -> named_struct('term', __w[a], 'n', cast(coalesce(get(__at, j + 1), size(__w)) - a as bigint)))"
+    return w.select(
+        key, F.expr("array_join(transform(__at, a -> __w[a]), ' ')").alias("terms"),
+        F.expr("array_join(transform(__at, (a, j) -> cast(coalesce(get(__at, j + 1), size(__w)) - a as string)), ' ')").alias("counts"))
+
+
+def unpacked(packed: DataFrame, key: str) -> DataFrame:
+    """(term, key, n) of (key, terms, counts)."""
+    w = compute_once(packed.select(key, "terms", "counts"), {"__t": F.split("terms", " "), "__n": F.split("counts", " ")})
+    each = "transform(__t, (t, i) -> named_struct('term', t, 'n', cast(__n[i] as bigint)))"
     return w.select(key, F.expr(f"inline({each})")).select("term", key, "n")
 
 
+def postings(b: DataFrame, key: str, text: str) -> DataFrame:
+    """(term, key, n): how often each term is in each text. Counted within the row, so no words are shuffled."""
+    return unpacked(counted(b, key, text), key)
+
+
+def by_buckets(packed: DataFrame, key: str, buckets: int) -> DataFrame:
+    """(term, key, n, bucket) of (key, terms, counts), dealt by bucket. A text travels as one row for each of its buckets."""
+    width = len(str(buckets))
+    w = compute_once(packed, {"__t": F.split("terms", " "), "__n": F.split("counts", " ")})
+    entry = F.transform("__t", lambda t, i: F.concat(F.lpad(bucket_of(t, buckets).cast("string"), width, "0"), t, F.lit(" "), F.col("__n")[i]))
+    w = compute_once(w.select(key, entry.alias("__e")), {"__s": F.array_sort("__e")}).drop("__e")
+    w = compute_once(w, {"__at": F.expr(f"filter(sequence(0, size(__s) - 1), i -> i = 0 or left(__s[i], {width}) != left(__s[i - 1], {width}))")})
+    run = f"array_join(transform(slice(__s, a + 1, coalesce(get(__at, j + 1), size(__s)) - a), e -> substr(e, {width + 1})), ' ')"
+    dealt = w.select(key, F.expr(f"inline(transform(__at, (a, j) -> named_struct('bucket', cast(left(__s[a], {width}) as int), 'terms', {run})))"))
+    dealt = compute_once(dealt.hint("rebalance", "bucket"), {"__p": F.split("terms", " ")})
+    each = "transform(sequence(0, size(__p) div 2 - 1), i -> named_struct('term', __p[2 * i], 'n', cast(__p[2 * i + 1] as bigint)))"
+    return dealt.select(key, "bucket", F.expr(f"inline({each})")).select("term", key, "n", "bucket")
+
+
 def vocabulary(b: DataFrame, text: str) -> DataFrame:
     """The distinct terms of all texts."""
     return compute_once(b.select(text), {"__w": F.array_distinct(words(text))}).select(F.explode("__w").alias("term")).distinct()
@@ -71,6 +98,14 @@ class TextIndex:
                 raise
             return None
 
+    @property
+    def _packed(self) -> str:
+        return f"{self.key} {self.key_type}, terms string, counts string"
+
+    def _texts(self) -> DataFrame | None:
+        """(key, terms, counts, gen) of all generations."""
+        return self._read("texts", f"{self._packed}, gen int")
+
     def generation(self) -> int:
         """The last committed one; 0 where there is none."""
         all_docs = self._read("docs", "state int")
@@ -84,9 +119,11 @@ class TextIndex:
     def update(self, b: DataFrame, text: str = "block_text") -> int:
         """Makes the index hold exactly the texts of ``b``; returns how many were indexed anew."""
         last, old = self.generation(), self.docs()
+        if self._texts() is None:
+            old = None
         now = b.select(self.key, F.md5(F.coalesce(text, F.lit(""))).alias("hash"))
         if old is None:
-            now = now.withColumn("gen", F.lit(1))
+            now = now.withColumn("gen", F.lit(last + 1))
         else:
             before = old.select(self.key, F.col("hash").alias("__hash"), F.col("gen").alias("__gen"))
             now = now.join(before, self.key, "left").withColumn("gen", F.when(F.col("hash") == F.col("__hash"), F.col("__gen")).otherwise(last + 1)).drop("__hash", "__gen")
@@ -95,9 +132,13 @@ class TextIndex:
         n = fresh.count()
         if old is not None and not n and now.count() == old.count():
             return 0
-        rows = postings(b.join(fresh, self.key, "left_semi"), self.key, text).withColumn("bucket", bucket_of("term", self.buckets))
+        # in a new index all texts are fresh and stay where they are
+        b = b.filter(F.col(self.key).isNotNull()) if old is None else b.join(fresh, self.key, "left_semi")
+        place = f"{self.path}/texts/gen={last + 1}"
+        counted(b, self.key, text).write.mode("overwrite").option("compression", "zstd").parquet(place)
+        rows = by_buckets(self.spark.read.schema(self._packed).parquet(place), self.key, self.buckets)
         # a bucket is one file where it is small; frequent terms are split over files
-        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/gen={last + 1}")
+        rows.sortWithinPartitions("bucket", "term").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/postings/gen={last + 1}")
         now.write.mode("overwrite").parquet(f"{self.path}/docs/state={last + 1}")
         return n
 
@@ -109,8 +150,8 @@ class TextIndex:
         return rows.join(self.docs().select(self.key, "gen"), [self.key, "gen"]).select("term", self.key, "n", "bucket")
 
     def frequencies(self) -> DataFrame:
-        """(term, documents, occurrences) over all texts."""
-        return self.live().groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
+        """(term, documents, occurrences) over all texts; these meet ``docs`` whole, not by their postings."""
+        return unpacked(self._texts().join(self.docs().select(self.key, "gen"), [self.key, "gen"]), self.key).groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
 
     def lookup(self, terms: Sequence[str]) -> DataFrame:
         """Postings of some terms, written as in a query."""

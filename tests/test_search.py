@@ -57,6 +57,23 @@ def test_an_update_that_was_cut_off_is_unseen(spark):
     assert held(index) == [("inteiro", 5, 1)]
 
 
+def test_texts_travel_packed_not_by_their_postings(spark):
+    index = S.TextIndex(spark, scratch(spark, "t"), buckets=11)
+    first = texts(60)
+    index.update(spark.createDataFrame(first, SCHEMA))
+    second = [(i, t + " ementa lei" if t and i % 7 == 0 else t) for i, t in first if i % 10 != 3]
+    index.update(spark.createDataFrame(second, SCHEMA))
+    freq = index.frequencies()
+    want = expected(second)
+    assert {r.term: (r.documents, r.occurrences) for r in freq.collect()} == {
+        t: (sum(w == t for w, _, _ in want), sum(n for w, _, n in want if w == t)) for t in {w for w, _, _ in want}}
+    assert "/postings" not in "".join(freq.inputFiles()) and "/texts" in "".join(freq.inputFiles())
+    packed = S.counted(spark.createDataFrame(second, SCHEMA), "block_id", "block_text")
+    dealt = S.by_buckets(packed, "block_id", 11)
+    assert sorted(map(tuple, dealt.drop("bucket").collect())) == want and dealt.filter(F.col("bucket") != S.bucket_of("term", 11)).count() == 0
+    assert packed.count() == len({i for _, i, _ in want})
+
+
 def test_search_reads_only_the_partitions_of_its_terms(spark):
     index = S.TextIndex(spark, scratch(spark, "t"), buckets=32)
     rows = texts(80)
