@@ -326,6 +326,29 @@ def test_gradients_are_summed_by_row():
         assert t == pytest.approx(g[row == x].sum(axis=0))
 
 
+def test_exponentials_stay_within_range_and_rows_are_put_whole():
+    r = np.random.default_rng(4)
+    for low, high in ((-3, 3), (55, 59), (70, 90), (-200, -100), (-500, 500)):
+        z = r.uniform(low, high, (50, 8)).astype(np.float32)
+        z[::3, 5:] = -np.inf  # outputs that no leaf takes
+        e, total, shift = G.exponentials(z.copy())
+        want = np.log(np.exp(z.astype(float) - z.max(axis=1, keepdims=True)).sum(axis=1)) + z.max(axis=1)
+        assert np.log(total.astype(float)) + shift == pytest.approx(want, abs=1e-4) and np.isfinite(e).all()
+    assert isinstance(G.exponentials(np.zeros((2, 4), np.float32))[2], float)  # no maximum for each row where none is needed
+    table = r.normal(size=(30, 4)).astype(np.float32)
+    want = table.copy()
+    want[[3, 29, 0]] = 7
+    G.put_rows(table, np.array([3, 29, 0]), np.full((3, 4), 7, np.float32))
+    assert (table == want).all()
+
+
+def test_words_outside_the_lexicon_have_their_own_codes():
+    lexicon = G.Lexicon([b"a", b"bc"], np.array([5.0, 3.0]), 8, 2)
+    ranks, codes, missing = G.Reader(lexicon).read([b"x1", b"a", b"x2", b"bc", b"x1"])
+    assert ranks.tolist() == [-1, 0, -1, 1, -1] and missing == [b"x1", b"x2", b"x1"]
+    assert codes.tolist() == [G.suffix_code(b"x1"), lexicon.codes[0], G.suffix_code(b"x2"), lexicon.codes[1], G.suffix_code(b"x1")]
+
+
 def test_classes_hold_every_leaf_once():
     for n in (1, 2, 31, 32, 33, 40, 600, 9001):
         classes = G.Classes(np.sort(np.random.default_rng(n).integers(1, 1000, n))[::-1].astype(float))
