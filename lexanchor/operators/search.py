@@ -119,8 +119,6 @@ class TextIndex:
     def update(self, b: DataFrame, text: str = "block_text") -> int:
         """Makes the index hold exactly the texts of ``b``; returns how many were indexed anew."""
         last, old = self.generation(), self.docs()
-        if self._texts() is None:
-            old = None
         now = b.select(self.key, F.md5(F.coalesce(text, F.lit(""))).alias("hash"))
         if old is None:
             now = now.withColumn("gen", F.lit(last + 1))
@@ -150,8 +148,11 @@ class TextIndex:
         return rows.join(self.docs().select(self.key, "gen"), [self.key, "gen"]).select("term", self.key, "n", "bucket")
 
     def frequencies(self) -> DataFrame:
-        """(term, documents, occurrences) over all texts; these meet ``docs`` whole, not by their postings."""
-        return unpacked(self._texts().join(self.docs().select(self.key, "gen"), [self.key, "gen"]), self.key).groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
+        """(term, documents, occurrences) over all texts; these meet ``docs`` whole, by their postings only where a generation has no ``texts``."""
+        texts, docs = self._texts(), self.docs().select(self.key, "gen")
+        whole = texts is not None and not docs.select("gen").distinct().join(texts.select("gen").distinct(), "gen", "left_anti").count()
+        rows = unpacked(texts.join(docs, [self.key, "gen"]), self.key) if whole else self.live()
+        return rows.groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
 
     def lookup(self, terms: Sequence[str]) -> DataFrame:
         """Postings of some terms, written as in a query."""

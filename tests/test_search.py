@@ -68,6 +68,13 @@ def test_texts_travel_packed_not_by_their_postings(spark):
     assert {r.term: (r.documents, r.occurrences) for r in freq.collect()} == {
         t: (sum(w == t for w, _, _ in want), sum(n for w, _, n in want if w == t)) for t in {w for w, _, _ in want}}
     assert "/postings" not in "".join(freq.inputFiles()) and "/texts" in "".join(freq.inputFiles())
+    older = S.TextIndex(spark, scratch(spark, "t"), buckets=11)  # as if written before there were packed texts
+    spark.read.parquet(f"{index.path}/postings/gen=1").write.partitionBy("bucket").parquet(f"{older.path}/postings/gen=1")
+    spark.read.parquet(f"{index.path}/docs/state=1").write.parquet(f"{older.path}/docs/state=1")
+    first_terms = {t for t, _, _ in expected(first)}
+    assert {r.term for r in older.frequencies().collect()} == first_terms
+    older.update(spark.createDataFrame(second, SCHEMA))
+    assert sorted(map(tuple, older.frequencies().collect())) == sorted(map(tuple, freq.collect()))
     packed = S.counted(spark.createDataFrame(second, SCHEMA), "block_id", "block_text")
     dealt = S.by_buckets(packed, "block_id", 11)
     assert sorted(map(tuple, dealt.drop("bucket").collect())) == want and dealt.filter(F.col("bucket") != S.bucket_of("term", 11)).count() == 0
