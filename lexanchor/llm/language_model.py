@@ -32,18 +32,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexanchor.llm.common import batch_of, crc_mod, mix, query, rows, table, written
+from lexanchor.llm.common import batch_of, crc_mod, mix, query, table, written
 
 #: The end of a text; no word holds a space.
 END = b" "
@@ -58,10 +58,14 @@ _BEFORE = np.full(3, START)
 WIDTH = 32
 PER_WORD, LEAST_TABLE = 32, 1 << 21
 BATCH, RATE, DAMPING, ROUNDS = 16384, 0.15, 1.0, 2
+#: A step's runs of one row: places added for all runs at once, and the runs that are worth it; rows of a block.
+ADDED, FEW, BLOCK = 64, 32, 1024
+#: Bytes by which tables are aligned.
+LINE = 128
 #: Most tasks of a training round, and floats in a slice of their changes.
 WORKERS, SLICE = 1024, 1 << 14
-#: Distinct tokens that a counting task holds.
-HELD = 300_000
+#: Distinct tokens that a counting task holds, and bytes of texts that are read at once.
+HELD, PIECE = 600_000, 1 << 21
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -70,15 +74,51 @@ def tokens(text: str | None) -> list[bytes]:
     return out
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose texts have some ``PIECE`` bytes in all; a longer text is a piece of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            size = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, side="right")) - at)
+            yield batch.slice(at, size)
+            at += size
+
+
+def encoded_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Words of each text and, one text after another, the words; all as ``tokens`` has them, without the ends."""
+    binary = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+    words = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(texts), ""))
+    found = words.flatten()
+    real = pc.not_equal(pc.binary_length(found), 0).to_numpy(zero_copy_only=False)
+    before = np.cumsum(np.r_[0, real])
+    offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
+    return np.diff(before[offsets]), found.filter(pa.array(real)).cast(binary).dictionary_encode()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("token", pa.binary()), ("c", pa.int64())])
-    held: Counter = Counter()
-    for (text,) in rows(batches):
-        held.update(tokens(text))
-        if len(held) > HELD:
-            yield batch_of(schema, [list(held.keys()), list(held.values())])
-            held.clear()
-    yield batch_of(schema, [list(held.keys()), list(held.values())])
+    held: list[pa.Table] = []
+    size = 0
+
+    def summed() -> pa.Table:
+        found = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")])
+        return pa.Table.from_arrays([found["token"], found["c_sum"]], schema=schema)
+
+    for piece in pieces(batches):
+        _, words = encoded_words(piece["text"])
+        times = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary)).astype(np.int64)
+        held.append(pa.table([words.dictionary.cast(pa.binary()), pa.array(times)], schema=schema))
+        held.append(pa.table([pa.array([END], pa.binary()), pa.array([piece.num_rows], pa.int64())], schema=schema))
+        size += len(times)
+        if size > HELD:
+            held = [summed()]
+            if 2 * len(held[0]) > HELD:
+                yield from held[0].to_batches()
+                held = []
+            size = sum(map(len, held))
+    if held:
+        yield from summed().to_batches()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -148,19 +188,50 @@ class Classes:
             node = self.first[level + 1] + (node[deeper] - self.first[level]) * c + turn % c
 
 
+def aligned(n: int, width: int = WIDTH, dtype=np.float32) -> np.ndarray:
+    """Zeros in ``n`` rows that begin at a line of the cache: a row of 32 floats lies in two lines, not in three."""
+    size = np.dtype(dtype).itemsize * n * width
+    raw = np.zeros(size + LINE, np.uint8)
+    at = -raw.ctypes.data % LINE
+    return raw[at:at + size].view(dtype).reshape(n, width)
+
+
+class Room:
+    """Arrays of a task that batches use one after another, by name; what a name gave before is overwritten."""
+
+    def __init__(self) -> None:
+        self.held: dict[tuple, np.ndarray] = {}
+
+    def rows(self, name: str, n: int, width: int = WIDTH, dtype=np.float32) -> np.ndarray:
+        key = name, width, dtype
+        if len(self.held.get(key, ())) < n:
+            self.held[key] = aligned(n + n // 4, width, dtype)
+        return self.held[key][:n]
+
+
+ROOM = Room()
+
+
 class Weights:
     """Rows of ``WIDTH`` weights for hashed pairs of a feature and a node."""
 
     SIZE = LEAST_TABLE
 
     def __init__(self, flat: np.ndarray, classes: Classes | None = None):
+        if flat.ctypes.data % LINE:
+            flat, given = aligned(len(flat) // WIDTH).reshape(-1), flat
+            flat[:] = given
         self.flat, self.classes = flat, classes
         self.table = flat.reshape(-1, WIDTH)
 
     @classmethod
     def unigram(cls, lexicon: Lexicon) -> Weights:
         size = max(cls.SIZE, 1 << (PER_WORD * lexicon.size).bit_length())
-        return cls(np.zeros(size, np.float32), lexicon.classes)
+        return cls.zeros(size, lexicon.classes)
+
+    @classmethod
+    def zeros(cls, size: int, classes: Classes | None = None) -> Weights:
+        return cls(aligned(size // WIDTH).reshape(-1), classes)
 
     def rows(self, feature: np.ndarray, node: np.ndarray) -> np.ndarray:
         pair = (feature + self.classes.of_node[node]) >> np.uint64(32)
@@ -175,25 +246,22 @@ def _features(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([one[at - 1], two[at - 2], three[at - 3], mix(pair), mix(end)], axis=1)
 
 
-def forward(w: Weights, features: np.ndarray, target: np.ndarray) -> Iterator[tuple]:
-    """For each level of the targets' paths: places that reach it, outputs taken, rows of the table by kind, exponentials and their sums."""
-    for at, node, output in w.classes.paths(target + 1):
-        rows = [w.rows(np.take(features[:, j], at), node) for j in range(features.shape[1])]
-        z = np.take(w.classes.bias, node, axis=0)
-        for line in rows:
-            z += np.take(w.table, line, axis=0)
-        taken = z[np.arange(len(at)), output]
-        z, total, shift = exponentials(z)
-        yield at, output, rows, z, total, taken - shift
+def fetch(table: np.ndarray, row: np.ndarray, name: str) -> np.ndarray:
+    """Rows of a table, in the room's array of that name."""
+    return np.take(table, row, axis=0, out=ROOM.rows(name, len(row), table.shape[1], table.dtype), mode="clip")
+
 
+def exponentials(z: np.ndarray, again: Callable[[], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """exp(z - shift), the sums of its rows and the shift: the rows' maxima, or 0 where exp(z) is well within the range of floats.
 
-def exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
-    """exp(z - shift), the sums of its rows and the shift: the rows' maxima, or 0 where exp(z) is well within the range of floats."""
-    if z.max(initial=0) < 60:  # one maximum of all is found much faster than one for each row
-        out = np.exp(z)
+    With ``again``, which gives z once more, z is overwritten.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.exp(z, out=z if again else None)
         total = out @ np.ones(z.shape[1], z.dtype)
-        if total.min(initial=1) > 1e-20:
-            return out, total, 0.0
+    if 1e-20 < total.min(initial=1) and total.max(initial=1) < 1e30:  # the sums tell it at once; maxima of rows are found slowly
+        return out, total, 0.0
+    z = again() if again else z
     shift = z.max(axis=1)
     out = np.exp(z - shift[:, None])
     return out, out.sum(axis=1), shift
@@ -202,28 +270,59 @@ def exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | fl
 def log10_chances(w: Weights, features: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log10 of each token's chance; for tokens outside the vocabulary (target -1) of their leaf alone."""
     out = np.zeros(len(target))
-    for at, _, _, _, total, taken in forward(w, features, target):
-        out[at] += taken - np.log(total)
+    for at, node, output in w.classes.paths(target + 1):
+        rows = w.rows(np.take(features, at, axis=0).T, node)
+
+        def logits() -> np.ndarray:
+            z = fetch(w.classes.bias, node, "z")
+            for line in rows:
+                z += fetch(w.table, line, "one kind")
+            return z
+
+        z = logits()
+        taken = z[np.arange(len(at)), output]
+        _, total, shift = exponentials(z, logits)
+        out[at] += taken - shift - np.log(total)
     return out / math.log(10)
 
 
+def runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, the places in order of their rows, and where each row's run begins, with the end; sorted as one number each."""
+    shift = int(place.max(initial=0)).bit_length()
+    key = (row << shift) | place
+    key.sort()
+    order = key & ((1 << shift) - 1)
+    key >>= shift
+    new = np.ones(len(key) + 1, bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:-1])
+    start = np.flatnonzero(new)
+    return key[start[:-1]], order, start
+
+
+def sum_runs(g: np.ndarray, order: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For each run the sum of g's rows in it: the second rows of all runs are added to the first ones at once, then the third; what few long runs are left, each at once."""
+    first, length = start[:-1], np.diff(start)
+    total = fetch(g, order[first], "step")
+    more = np.flatnonzero(length > 1)
+    if len(more):
+        more = more[np.argsort(-length[more], kind="stable")]
+        first, length = first[more], length[more]
+        part = fetch(total, more, "part")
+        longer = np.searchsorted(-length, -np.arange(ADDED + 1), side="left")  # runs of more than k rows
+        k = 1
+        while k < ADDED and longer[k] >= FEW:
+            part[:longer[k]] += fetch(g, order[first[:longer[k]] + k], "one kind")
+            k += 1
+        for i in range(longer[k]):
+            part[i] += fetch(g, order[first[i] + k:first[i] + length[i]], "one kind").sum(axis=0)
+        put_rows(total, more, part)
+    return total
+
+
 def sum_by_row(g: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their gradients. Most rows come a few times: these are added one by one, the rest in runs."""
-    order = np.argsort(row)
-    ordered = row[order]
-    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    length = np.diff(np.r_[start, len(row)])
-    total = np.take(g, order[start], axis=0)
-    for k in (1, 2, 3):
-        more = np.flatnonzero((length > k) & (length < 5))
-        if len(more):
-            put_rows(total, more, np.take(total, more, axis=0) + np.take(g, order[start[more] + k], axis=0))
-    many = np.flatnonzero(length > 4)
-    if len(many):
-        inside = np.repeat(length > 4, length)
-        runs = np.cumsum(np.r_[0, length[many][:-1]])
-        put_rows(total, many, np.add.reduceat(np.take(g, order[inside], axis=0), runs, axis=0))
-    return ordered[start], total
+    """Distinct rows and the sums of their gradients."""
+    distinct, order, start = runs(row, np.arange(len(row)))
+    return distinct, sum_runs(g, order, start).copy()
 
 
 def put_rows(table: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
@@ -233,27 +332,47 @@ def put_rows(table: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
 
 
 def train_batch(w: Weights, sums: Weights, features: np.ndarray, target: np.ndarray) -> None:
-    """Adagrad steps over the batch's summed gradients, one for each level and kind of feature."""
-    for at, output, rows, g, total, _ in forward(w, features, target):
+    """Adagrad steps over the batch's summed gradients, one for each level. A row is fetched once, for all places and kinds of feature that it serves."""
+    kinds = features.shape[1]
+    room = (kinds - 1).bit_length()
+    for at, node, output in w.classes.paths(target + 1):
+        n = len(at)
+        row, order, start = runs(w.rows(np.take(features, at, axis=0), node[:, None]).ravel(), ((np.arange(n) << room)[:, None] | np.arange(kinds)).ravel())
+        place = np.empty(n << room, np.int64)
+        place[order] = np.repeat(np.arange(len(row)), np.diff(start))
+        place = place.reshape(n, -1)
+        weight = fetch(w.table, row, "weight")
+
+        def logits() -> np.ndarray:
+            z = fetch(w.classes.bias, node, "z")
+            for j in range(kinds):
+                z += fetch(weight, place[:, j], "one kind")
+            return z
+
+        g, total, _ = exponentials(logits(), logits)
         g /= total[:, None]
-        g[np.arange(len(at)), output] -= 1
-        for line in rows:
-            row, step = sum_by_row(g, line)
-            square = np.take(sums.table, row, axis=0)
-            square += step * step
-            put_rows(sums.table, row, square)
-            square += np.float32(DAMPING)
-            np.sqrt(square, out=square)
+        g[np.arange(n), output] -= 1
+        steps = sum_runs(g, order >> room, start)
+        for a in range(0, len(row), BLOCK):  # blocks stay in a core's cache
+            line, step, new = row[a:a + BLOCK], steps[a:a + BLOCK], weight[a:a + BLOCK]
+            square, root = fetch(sums.table, line, "square"), ROOM.rows("root", len(line))
+            np.multiply(step, step, out=root)
+            square += root
+            put_rows(sums.table, line, square)
+            np.add(square, np.float32(DAMPING), out=root)
+            np.sqrt(root, out=root)
             step *= np.float32(RATE)
-            step /= square
-            put_rows(w.table, row, np.take(w.table, row, axis=0) - step)
+            step /= root
+            new -= step
+            put_rows(w.table, line, new)
 
 
 class Reader:
-    """Turns texts into places, codes and targets, some thousands of tokens at a time."""
+    """Turns texts into ranks, codes and batches."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
+        self.words = pa.array(lexicon.words, pa.binary())
 
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Ranks of the tokens (-1: not in the lexicon), their codes, and those that are not in it."""
@@ -265,13 +384,43 @@ class Reader:
             codes[at] = [suffix_code(w) for w in missing]
         return ranks, codes, missing
 
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """Each text's number of tokens; ranks and codes of all tokens; and as which of the distinct words, which come last, they are given. A word is looked up once."""
+        n_words, words = encoded_words(texts)
+        distinct = pa.concat_arrays([words.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+        ranks = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = np.take(self.lexicon.codes, ranks, mode="clip") if len(self.lexicon.codes) else np.zeros(len(ranks), np.int64)
+        missing = ranks < 0
+        ends = pc.binary_slice(distinct.filter(pa.array(missing)), -3).dictionary_encode()
+        codes[missing] = np.array([suffix_code(w) for w in ends.dictionary.to_pylist()], np.int64)[ends.indices.to_numpy()]
+        lengths = n_words + 1
+        word = np.full(lengths.sum(), len(distinct) - 1)
+        inside = np.ones(len(word), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        word[inside] = words.indices.to_numpy()
+        return lengths, ranks[word], codes[word], word, distinct
+
+    def batches(self, lengths: np.ndarray, ranks: np.ndarray, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Features and targets, ``BATCH`` tokens at a time."""
+        codes, at = _with_starts(codes, lengths)
+        target = np.where(ranks < self.lexicon.size, ranks, -1)
+        for a in range(0, len(at), BATCH):
+            part = at[a:a + BATCH]
+            low = part[0] - len(_BEFORE)
+            yield _features(codes[low:part[-1] + 1], part - low), target[a:a + BATCH]
+
+
+def _with_starts(codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of texts with three codes before each text, and the places of the texts' own codes."""
+    at = np.arange(len(codes)) + len(_BEFORE) * (1 + np.repeat(np.arange(len(lengths)), lengths))
+    out = np.full(len(codes) + len(_BEFORE) * len(lengths), START)
+    out[at] = codes
+    return out, at
+
 
 def _batches_of(texts: list[tuple[np.ndarray, np.ndarray]], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and targets of texts given as (ranks, codes)."""
-    codes = np.concatenate([x for _, c in texts for x in (_BEFORE, c)])
-    lengths = np.array([len(r) for r, _ in texts])
-    starts = np.cumsum(lengths + 3) - lengths
-    at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    codes, at = _with_starts(np.concatenate([c for _, c in texts]), np.array([len(r) for r, _ in texts]))
     ranks = np.concatenate([r for r, _ in texts])
     return _features(codes, at), np.where(ranks < size, ranks, -1)
 
@@ -281,25 +430,13 @@ def _train(sent, weights_sent):
         schema = pa.schema([("slice", pa.int32()), ("part", pa.int64()), ("n", pa.float64()), ("change", pa.binary())])
         lexicon: Lexicon = sent.value
         start: np.ndarray = weights_sent.value
-        w, sums, reader, n = Weights(start.copy(), lexicon.classes), Weights(np.zeros_like(start)), Reader(lexicon), 0
-        held: list = []
-        size = 0
-
-        def learn() -> int:
-            features, target = _batches_of(held, lexicon.size)
-            for at in range(0, len(target), BATCH):
-                train_batch(w, sums, features[at:at + BATCH], target[at:at + BATCH])
-            return len(target)
-
-        for (text,) in rows(batches):
-            ranks, codes, _ = reader.read(tokens(text))
-            held.append((ranks, codes))
-            size += len(ranks)
-            if size >= 2 * BATCH:
-                n += learn()
-                held, size = [], 0
-        if held:
-            n += learn()
+        w, sums, reader, n = Weights.zeros(len(start), lexicon.classes), Weights.zeros(len(start)), Reader(lexicon), 0
+        w.flat[:] = start
+        for piece in pieces(batches):
+            lengths, ranks, codes, _, _ = reader.texts(piece["text"])
+            for features, target in reader.batches(lengths, ranks, codes):
+                train_batch(w, sums, features, target)
+                n += len(target)
         if n:
             change = (w.flat - start).astype("<f2")
             parts = [change[at:at + SLICE].tobytes() for at in range(0, len(change), SLICE)]
@@ -344,35 +481,26 @@ def _score(sent, weights_sent):
         lexicon: Lexicon = sent.value
         w, reader = Weights(weights_sent.value, lexicon.classes), Reader(lexicon)
         row = TaskContext.get().partitionId() << 36
-        held: list = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            features, target = _batches_of([(x[2], x[3]) for x in held], lexicon.size)
-            chances = np.concatenate([log10_chances(w, features[at:at + BATCH], target[at:at + BATCH]) for at in range(0, len(target), BATCH)])
-            starts = np.cumsum([0, *(len(x[2]) for x in held)])[:-1]
-            model = np.add.reduceat(chances, starts)
-            out: list[list] = [[] for _ in schema]
-            for i, (doc_id, held_out, ranks, _, missing) in enumerate(held):
-                known = ranks >= 0
-                rare = known & (ranks >= lexicon.size)
-                logs = lexicon.log_counts[ranks[known]].sum() if known.any() else 0.0
-                of_rare = lexicon.log_counts[ranks[rare]].sum() if rare.any() else 0.0
-                times = Counter(missing)
-                for col, v in zip(out, (row + i, doc_id, held_out, len(ranks), int(known.sum()), float(logs), float(model[i] + of_rare),
-                                        int(rare.sum()) + len(missing), list(times.keys()), list(times.values())), strict=True):
-                    col.append(v)
-            return batch_of(schema, out)
-
-        for doc_id, held_out, text in rows(batches):
-            ranks, codes, missing = reader.read(tokens(text))
-            held.append((doc_id, held_out, ranks, codes, missing))
-            size += len(ranks)
-            if size >= 4 * BATCH:
-                yield flush()
-                row, held, size = row + len(held), [], 0
-        if held:
-            yield flush()
+        logs = np.append(lexicon.log_counts, 0.0)  # of rank -1: none
+        for piece in pieces(batches):
+            lengths, ranks, codes, word, distinct = reader.texts(piece["text"])
+            chances = np.concatenate([log10_chances(w, *batch) for batch in reader.batches(lengths, ranks, codes)])
+            starts = np.cumsum(lengths) - lengths
+            total = lambda x: np.add.reduceat(x, starts)
+            known = ranks >= 0
+            rare = known & (ranks >= lexicon.size)
+            log = logs[ranks]
+            missing = np.flatnonzero(~known)
+            text = np.repeat(np.arange(len(lengths)), lengths)[missing]
+            pairs, times = np.unique(text * len(distinct) + word[missing], return_counts=True)
+            offsets = np.searchsorted(pairs, np.arange(len(lengths) + 1) * len(distinct))
+            offsets = pa.array(offsets, pa.int32())
+            tokens = distinct.take(pa.array(pairs % len(distinct)))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(row + np.arange(len(lengths))), piece["doc_id"].cast(pa.int64()), piece["held_out"], pa.array(lengths), pa.array(total(known.astype(np.int64))),
+                pa.array(total(log)), pa.array(total(chances) + total(np.where(rare, log, 0.0))), pa.array(total((rare | ~known).astype(np.int64))),
+                pa.ListArray.from_arrays(offsets, tokens), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))], schema=schema)
+            row += len(lengths)
 
     return run
 

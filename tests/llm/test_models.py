@@ -400,3 +400,47 @@ def test_url_models_know_runs_of_more_urls_than_a_sample(spark):
     plain = U.MarkovModel.fitted([r.url for r in learned])
     tests = [r.url for r in learned[::500]]
     assert model.accepted.log_likelihoods(tests).tolist() == pytest.approx([plain.log_likelihood(u) for u in tests], abs=1e-8)
+
+
+def test_a_row_that_kinds_share_takes_one_step():
+    text = [f"w{i}".encode() for i in np.random.default_rng(6).integers(0, 18, 200)]
+    counts = Counter(text)
+    best = counts.most_common()
+    lexicon = G.Lexicon([w for w, _ in best], np.array([c for _, c in best], float), sum(counts.values()), len(counts))
+    w = G.Weights(np.random.default_rng(5).normal(0, 0.3, 16 * G.WIDTH).astype(np.float32), lexicon.classes)
+    ranks, codes, _ = G.Reader(lexicon).read(text)
+    features, target = G._batches_of([(ranks, codes)], lexicon.size)
+    assert lexicon.classes.classes == [0]
+    g = np.zeros((16, G.WIDTH))
+    for f, t in zip(features, target, strict=True):
+        (_, taken, rows, p), = softmaxes_by_loop(lexicon, w, f, t)
+        for r in rows:
+            g[r, :len(p)] += p
+            g[r, taken] -= 1
+    want = w.table - G.RATE * g / np.sqrt(g * g + G.DAMPING)
+    sums = G.Weights(np.zeros_like(w.flat))
+    G.train_batch(w, sums, features, target)
+    assert np.abs(w.table - want).max() < 1e-4 and sums.table == pytest.approx(g * g, rel=1e-3, abs=1e-3)
+
+
+def test_texts_are_read_as_a_plain_split_reads_them():
+    r = np.random.default_rng(2)
+    letters = [*map(chr, range(128)), "É", "é", "\x85", "\xa0", " ", "😀"]
+    texts = [None, "", " ", "a", "  A\x1cb\tÉc ", *("".join(r.choice(letters, r.integers(0, 40))) for _ in range(500))]
+    lexicon = G.Lexicon([b"a", b"b", G.END], np.array([5.0, 4.0, 3.0]), 12, 3)
+    reader = G.Reader(lexicon)
+    for column in (G.pa.array(texts), G.pa.array(texts, G.pa.large_string()), G.pa.array(["x y", *texts]).slice(1)):
+        lengths, ranks, codes, word, distinct = reader.texts(column)
+        want = [G.tokens(t) for t in texts]
+        assert lengths.tolist() == [len(x) for x in want] and distinct.take(G.pa.array(word)).to_pylist() == [w for x in want for w in x]
+        plain = reader.read([w for x in want for w in x])
+        assert (ranks == plain[0]).all() and (codes == plain[1]).all()
+        features, target = G._batches_of([reader.read(x)[:2] for x in want], lexicon.size)
+        got = list(reader.batches(lengths, ranks, codes))
+        assert (np.concatenate([f for f, _ in got]) == features).all() and (np.concatenate([t for _, t in got]) == target).all()
+    batch = G.pa.RecordBatch.from_arrays([G.pa.array([*texts, "x" * (G.PIECE + 1), "y"])], names=["text"])
+    assert [p.num_rows for p in G.pieces(iter([batch]))] == [len(texts), 1, 1]
+    counted: Counter = Counter()
+    for b in G._count(iter([batch])):
+        counted.update(dict(zip(b["token"].to_pylist(), b["c"].to_pylist(), strict=True)))
+    assert counted == Counter(w for t in batch["text"].to_pylist() for w in G.tokens(t))
