@@ -15,7 +15,8 @@ def orders(spark, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("articles"))
     day = datetime.datetime(2020, 1, 5)
     rows = [(k, None if k % 3 == 1 else k % 97, "F", 1.0, day, "1-URGENT") for k in KEYS]
-    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{at}/orders.parquet")
     return at
 
 
@@ -39,3 +40,13 @@ def test_articles_have_the_namespace_of_their_zone(spark, orders):
     want = articles()
     assert {(doc, ns) for doc, _, _, ns in want} == {(0, "cf"), (0, "adct"), (1, "cf"), (2, "adct"), (3, "cf")}
     assert found(spark, "win10_namespace_of", orders) == want
+
+
+def test_only_the_first_line_of_an_article_is_accepted(spark, orders):
+    seen, want = set(), []
+    for doc, pos, value, namespace in articles():
+        if (doc, namespace, value) not in seen:
+            seen.add((doc, namespace, value))
+            want.append((doc, pos, value, namespace))
+    assert 0 < len(articles()) - len(want) and (3, 328 * 8, "2", "cf") in articles() and (3, 328 * 8, "2", "cf") not in want
+    assert found(spark, "win11_accept_first", orders) == want
